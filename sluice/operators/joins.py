@@ -42,16 +42,27 @@ def left_join(left: DataFrame, right: DataFrame, key: str | Sequence[str],
 
 
 def left_join_all(base: DataFrame, sides: Sequence[DataFrame], key: str,
-                  skew_safe: bool = True) -> DataFrame:
+                  unique: Sequence[bool] | None = None, skew_safe: bool = True) -> DataFrame:
     """Chain of left joins of independent sides on the base's key.
 
+    ``unique[i]`` declares that side i has at most one row per key (a lookup
+    such as a dimension table or a per-key aggregate).  Lookups are joined
+    first with a plain left join: their keys cannot be hot, and AQE may still
+    split the base.  Fan-out sides follow, each with the skew-safe form, so
+    the base appears twice per fan-out side only (not 2^n times).
+
     The branches are independent: a key with m matches in one side and n in
     another yields m x n rows, as in the reference.  Keep at most one side
     non-unique per key unless that product is really wanted.
     """
+    unique = list(unique) if unique is not None else [False] * len(sides)
     out = base
-    for side in sides:
-        out = left_join(out, side, key, skew_safe=skew_safe)
+    for side, u in zip(sides, unique):
+        if u:
+            out = out.join(side, on=key, how="left")
+    for side, u in zip(sides, unique):
+        if not u:
+            out = left_join(out, side, key, skew_safe=skew_safe)
     return out
 
 

@@ -51,10 +51,11 @@ def master_lookup_df(spark: SparkSession, sf_dir: str, order: bool = True) -> Da
     sides = [
         Side(orders, "o_custkey", "o_orderkey", "encounters_patient_encounter_id"),
         Side(supplier.withColumn("v", F.col("s_nationkey").cast("bigint")), "s_suppkey", "v",
-             "surgical_encounters_surgery_id"),
+             "surgical_encounters_surgery_id", unique=True),
         Side(part.withColumn("v", F.col("p_size").cast("bigint")), "p_partkey", "v",
-             "v_patients_primary_care_pcp_id"),
-        Side(urgent_first, "o_custkey", "pcp_id", "v_patients_primary_care_maleham_pcp_id"),
+             "v_patients_primary_care_pcp_id", unique=True),
+        Side(urgent_first, "o_custkey", "pcp_id", "v_patients_primary_care_maleham_pcp_id",
+             unique=True),
     ]
     return build_master_lookup(patients, "c_custkey", "patients_master_patient_id", sides,
                                lookup_key="master_patient_lookup_table_unique_key", order=order)

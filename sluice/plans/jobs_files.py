@@ -1 +1,265 @@
-"""Registered jobs."""
+"""Registered jobs over landed files: lineage, inference, create/load, isolation.
+
+Each job first lands driver tables as gzip CSV files (Spark writes them,
+one key range per file) in a fresh folder under the shared checkpoint
+root, then runs the operator on those files.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluice.functions.dates import parse_date
+from sluice.operators.infer import infer_schema
+from sluice.operators.load import create_entity_tables, load_files, read_table_rows
+from sluice.operators.snapshot import _fs
+from sluice.plans.fixtures import file_name_sql, land_table, new_landing
+from sluice.plans.jobs_core import RUN_AT, RUN_AT_KEY_TEXT
+from sluice.plans.registry import register
+from sluice.session import read_table, scratch_path
+from sluice.sources.files import filter_names, list_files
+from sluice.sources.landing import (FILE_DATE_PATTERN, entity_from_file, read_landed_csv,
+                                    with_lineage)
+
+ORDERS_PER_FILE = 5000
+CUSTOMERS_PER_FILE = 1000
+PARTS_PER_FILE = 1000
+
+# ---------------------------------------------------------------------------
+# lineage_columns: orders -> landed files -> positional read + lineage
+
+
+def _lineage_sql() -> str:
+    f = file_name_sql("orders", "o_orderkey", ORDERS_PER_FILE)
+    return f"""
+WITH n AS (
+    SELECT *, {f} AS fname,
+           row_number() OVER (PARTITION BY {f} ORDER BY o_orderkey) AS rn
+    FROM orders)
+SELECT TIMESTAMP '2025-01-02 03:04:05' AS source_file_loaded_at_utc,
+       DATE '2025-01-02' AS source_file_date_utc,
+       fname AS source_file_name,
+       md5('{RUN_AT_KEY_TEXT}' || fname) AS source_file_unique_key,
+       rn AS source_file_row_number,
+       md5(md5('{RUN_AT_KEY_TEXT}' || fname) || CAST(rn AS VARCHAR)) AS source_file_record_unique_key,
+       o_orderkey, o_custkey, o_orderstatus,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM n"""
+
+
+@register("lineage_columns", _lineage_sql())
+def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders")
+    landing = new_landing(spark)
+    names = land_table(spark, orders, landing, "orders", "o_orderkey", ORDERS_PER_FILE)
+    raw = read_landed_csv(spark, [f"{landing}/{n}" for n in names], orders.columns)
+    typed = [F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+             F.col("o_custkey").cast("bigint").alias("o_custkey"),
+             F.col("o_orderstatus"),
+             F.col("o_totalprice").cast("double").alias("o_totalprice"),
+             F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+             F.col("o_orderpriority")]
+    return with_lineage(raw, RUN_AT, typed)
+
+
+# ---------------------------------------------------------------------------
+# infer_schema: part and supplier -> landed files -> per-file inferred types
+
+_PART_COLS = [("p_partkey", "int"), ("p_name", "text"), ("p_brand", "text"),
+              ("p_type", "text"), ("p_size", "int"), ("p_retailprice", "dec2")]
+_SUPP_COLS = [("s_suppkey", "int"), ("s_name", "text"), ("s_nationkey", "int"),
+              ("s_acctbal", "dec2")]
+
+
+def _infer_sql_for(table: str, key: str, cols) -> list[str]:
+    fname = file_name_sql(table, key, PARTS_PER_FILE)
+    parts = []
+    for i, (c, kind) in enumerate(cols):
+        if kind == "int":
+            t, n = f"'NUMBER(' || max(length(CAST({c} AS VARCHAR))) || ',0)'", "'NUMBER(38,0)'"
+        elif kind == "dec2":
+            digits = f"length(CAST(CAST(floor(abs(CAST({c} AS DECIMAL(18,2)))) AS BIGINT) AS VARCHAR))"
+            t, n = f"'NUMBER(' || (max({digits}) + 2) || ',2)'", "'NUMBER(38,2)'"
+        else:
+            t, n = "'TEXT'", "'VARCHAR'"
+        parts.append(f"SELECT {fname} AS file_name, '{c}' AS column_name, {i} AS order_id, "
+                     f"{t} AS type, {n} AS normalised_type FROM {table} GROUP BY 1")
+    return parts
+
+
+INFER_SQL = "\nUNION ALL\n".join(_infer_sql_for("part", "p_partkey", _PART_COLS)
+                                 + _infer_sql_for("supplier", "s_suppkey", _SUPP_COLS))
+
+
+@register("infer_schema", INFER_SQL)
+def infer_schema_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = new_landing(spark)
+    names = land_table(spark, read_table(spark, sf_dir, "part"), landing, "part", "p_partkey",
+                       PARTS_PER_FILE)
+    names += land_table(spark, read_table(spark, sf_dir, "supplier"), landing, "supplier",
+                        "s_suppkey", PARTS_PER_FILE)
+    return infer_schema(spark, [f"{landing}/{n}" for n in names])
+
+
+# ---------------------------------------------------------------------------
+# create_and_load / reload_is_noop
+
+
+def _counts_sql(table: str, entity: str, key: str, per_file: int, status: str,
+                count_alias: str = "rows_loaded", where: str = "") -> str:
+    f = file_name_sql(table, key, per_file)
+    return (f"SELECT {f} AS file_name, '{entity}' AS entity, '{status}' AS status, "
+            f"count(*) AS {count_alias} FROM {table} {where} GROUP BY 1")
+
+
+CREATE_AND_LOAD_SQL = (_counts_sql("orders", "ORDERS", "o_orderkey", ORDERS_PER_FILE, "LOADED")
+                       + "\nUNION ALL\n"
+                       + _counts_sql("customer", "CUSTOMER", "c_custkey", CUSTOMERS_PER_FILE,
+                                     "LOADED"))
+
+
+def _land_and_load(spark: SparkSession, sf_dir: str, tables):
+    landing = new_landing(spark)
+    warehouse = scratch_path(spark, "warehouse")
+    for name, key, per_file in tables:
+        land_table(spark, read_table(spark, sf_dir, name), landing, name, key, per_file)
+    create_entity_tables(spark, landing, warehouse)
+    return landing, warehouse, load_files(spark, landing, warehouse, RUN_AT)
+
+
+@register("create_and_load", CREATE_AND_LOAD_SQL)
+def create_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, run = _land_and_load(spark, sf_dir, [("orders", "o_orderkey", ORDERS_PER_FILE),
+                                               ("customer", "c_custkey", CUSTOMERS_PER_FILE)])
+    return run.report.select("file_name", "entity", "status", "rows_loaded")
+
+
+RELOAD_SQL = _counts_sql("customer", "CUSTOMER", "c_custkey", CUSTOMERS_PER_FILE, "SKIPPED",
+                         count_alias="rows_in_table")
+
+
+@register("reload_is_noop", RELOAD_SQL)
+def reload_is_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing, warehouse, _ = _land_and_load(spark, sf_dir,
+                                           [("customer", "c_custkey", CUSTOMERS_PER_FILE)])
+    second = load_files(spark, landing, warehouse, RUN_AT)
+    table = read_table_rows(spark, warehouse, "CUSTOMER")
+    counts = table.groupBy(F.col("source_file_name").alias("file_name")) \
+        .agg(F.count(F.lit(1)).alias("rows_in_table"))
+    return second.report.select("file_name", "entity", "status").join(counts, "file_name", "left")
+
+
+# ---------------------------------------------------------------------------
+# per_file_isolation: good customer files + a truncated gzip + too many fields
+
+BROKEN_GZIP = "customer_20250103000000_UTC.csv.gz"
+EXTRA_FIELD = "customer_20250103000001_UTC.csv.gz"
+
+ISOLATION_SQL = (
+    _counts_sql("customer", "CUSTOMER", "c_custkey", CUSTOMERS_PER_FILE, "LOADED",
+                where="WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
+    + f"""
+UNION ALL SELECT '{BROKEN_GZIP}', 'CUSTOMER', 'FAILED', CAST(0 AS BIGINT)
+          FROM customer WHERE c_mktsegment = 'BUILDING' HAVING count(*) > 0
+UNION ALL SELECT '{EXTRA_FIELD}', 'CUSTOMER', 'FAILED', CAST(0 AS BIGINT)
+          FROM customer WHERE c_mktsegment = 'MACHINERY' HAVING count(*) > 0""")
+
+
+def _copy_prefix(spark: SparkSession, src: str, dst: str, max_bytes: int = 1 << 16) -> None:
+    """Copy the first half (at most ``max_bytes``) of a file: a truncated gzip."""
+    fs, p = _fs(spark, src)
+    half = min(int(fs.getFileStatus(p).getLen()) // 2, max_bytes)
+    jvm = spark.sparkContext._jvm
+    ins = fs.open(p)
+    try:
+        buf = jvm.java.nio.ByteBuffer.allocate(half).array()
+        ins.readFully(0, buf)
+    finally:
+        ins.close()
+    out_fs, q = _fs(spark, dst)
+    out = out_fs.create(q, False)
+    try:
+        out.write(buf)
+    finally:
+        out.close()
+
+
+@register("per_file_isolation", ISOLATION_SQL)
+def per_file_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = read_table(spark, sf_dir, "customer")
+    landing = new_landing(spark)
+    warehouse = scratch_path(spark, "warehouse")
+    good = customer.where(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
+    land_table(spark, good, landing, "customer", "c_custkey", CUSTOMERS_PER_FILE)
+    side = new_landing(spark, "broken")
+    b = land_table(spark, customer.where(F.col("c_mktsegment") == "BUILDING"), side,
+                   "building", "c_custkey", 1 << 62)
+    if b:
+        _copy_prefix(spark, f"{side}/{b[0]}", f"{landing}/{BROKEN_GZIP}")
+    extra = customer.where(F.col("c_mktsegment") == "MACHINERY") \
+        .withColumn("extra_field", F.lit("x")) \
+        .withColumn("__name", F.lit(EXTRA_FIELD))
+    if extra.take(1):
+        from sluice.sources.landing import write_named_csv
+        from sluice.plans.fixtures import csv_ready
+        write_named_csv(spark, csv_ready(extra), landing, "__name", order_by=["c_custkey"])
+    create_entity_tables(spark, landing, warehouse)
+    run = load_files(spark, landing, warehouse, RUN_AT)
+    return run.report.select("file_name", "entity", "status", "rows_loaded")
+
+
+# ---------------------------------------------------------------------------
+# entity_from_file: names built from customer, matching and not matching
+
+_NAME_RULE = """CASE c_mktsegment
+        WHEN 'AUTOMOBILE' THEN base || '_2025_UTC.csv.gz'
+        WHEN 'FURNITURE' THEN base || '_20250102030405_UTC_csv_gz'
+        WHEN 'HOUSEHOLD' THEN base || '_20250102030405_UTC.csv.gz.bak'
+        WHEN 'MACHINERY' THEN base || '.txt'
+        ELSE base || '_2025' || lpad(CAST(c_nationkey + 1 AS STRING), 2, '0')
+                  || '02030405_UTC.csv.gz' END"""
+
+ENTITY_SQL = f"""
+WITH n AS (
+    SELECT c_custkey, {_NAME_RULE} AS file_name
+    FROM (SELECT *, lower(replace(c_name, '#', '_')) AS base FROM customer))
+SELECT c_custkey, file_name,
+       upper(nullif(regexp_extract(file_name, '^(.*)_\\d{{14}}_UTC\\.csv\\.gz$', 1), '')) AS entity,
+       CAST(try_strptime(regexp_extract(file_name, '_(\\d{{8}})\\d{{6}}_UTC', 1), '%Y%m%d') AS DATE)
+           AS file_date
+FROM n"""
+
+
+@register("entity_from_file", ENTITY_SQL)
+def entity_from_file_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = read_table(spark, sf_dir, "customer")
+    named = customer.withColumn("base", F.lower(F.replace("c_name", F.lit("#"), F.lit("_")))) \
+        .select("c_custkey", F.expr(_NAME_RULE).alias("file_name"))
+    return named.select("c_custkey", "file_name", entity_from_file("file_name").alias("entity"),
+                        parse_date(F.regexp_extract("file_name", FILE_DATE_PATTERN, 1))
+                        .alias("file_date"))
+
+
+# ---------------------------------------------------------------------------
+# file_listing: listing of landed orders and customer files, customer excluded
+
+LISTING_SQL = f"""
+SELECT DISTINCT {file_name_sql('orders', 'o_orderkey', ORDERS_PER_FILE)} AS relative_path,
+       {file_name_sql('orders', 'o_orderkey', ORDERS_PER_FILE)} AS file_name,
+       'ORDERS' AS entity, true AS has_bytes
+FROM orders"""
+
+
+@register("file_listing", LISTING_SQL)
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = new_landing(spark)
+    land_table(spark, read_table(spark, sf_dir, "orders"), landing, "orders", "o_orderkey",
+               ORDERS_PER_FILE)
+    land_table(spark, read_table(spark, sf_dir, "customer"), landing, "customer", "c_custkey",
+               CUSTOMERS_PER_FILE)
+    listing = filter_names(list_files(spark, landing), exclude=r"customer_.*")
+    return listing.orderBy("relative_path").select(
+        "relative_path", "file_name", entity_from_file("file_name").alias("entity"),
+        (F.col("length") > 0).alias("has_bytes"))

@@ -31,6 +31,7 @@ class Side:
     key: str
     value: str
     alias: str
+    unique: bool = False  # at most one row per key (a lookup)
 
 
 def build_master_lookup(base: DataFrame, base_key: str, base_alias: str,
@@ -41,7 +42,8 @@ def build_master_lookup(base: DataFrame, base_key: str, base_alias: str,
     k = "__k"
     left = base.select(*[F.col(c) for c in carry], F.col(base_key).alias(k))
     right = [s.df.select(F.col(s.key).alias(k), F.col(s.value).alias(s.alias)) for s in sides]
-    joined = left_join_all(left, right, k, skew_safe=skew_safe)
+    joined = left_join_all(left, right, k, unique=[s.unique for s in sides],
+                           skew_safe=skew_safe)
     ids = [F.col(k)] + [F.col(s.alias) for s in sides]
     out = joined.select(
         *[F.col(c) for c in carry],
