@@ -23,12 +23,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str, overwrite: bool = False) -> bool:
     """Metadata-only move of one file or folder."""
     fs, s = _fs(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
     if not fs.exists(d.getParent()):
         fs.mkdirs(d.getParent())
+    if overwrite and fs.exists(d):
+        fs.delete(d, True)
     return bool(fs.rename(s, d))
 
 
