@@ -263,3 +263,111 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.orderBy("relative_path").select(
         "relative_path", "file_name", entity_from_file("file_name").alias("entity"),
         (F.col("length") > 0).alias("has_bytes"))
+
+
+# ---------------------------------------------------------------------------
+# clean_cells / clean_files_skip_existing: customer with junk cells -> landed
+# files -> cleaned files (same names) -> read back
+
+# Junk put into cells, chosen by the customer's nation (fixed values).
+# {TAB} {NBSP} {FFFD} {FS} {US} {IDEO} stand for U+0009, U+00A0, U+FFFD,
+# U+001C, U+001F and U+3000.
+_JUNK_NAME = """CASE c_nationkey
+        WHEN 0 THEN {TAB} || ' ' || c_name || '  '
+        WHEN 1 THEN 'NA'
+        WHEN 2 THEN ' NA '
+        WHEN 3 THEN 'NULL'
+        WHEN 4 THEN ' null '
+        WHEN 5 THEN 'NaN'
+        WHEN 6 THEN {NBSP} || c_name || {NBSP}
+        WHEN 7 THEN ''
+        WHEN 8 THEN 'None '
+        WHEN 9 THEN '#N/A'
+        WHEN 10 THEN c_name || {FFFD}
+        WHEN 12 THEN {FS} || c_name || {US}
+        WHEN 13 THEN '-nan'
+        WHEN 14 THEN 'n/a '
+        ELSE c_name END"""
+_JUNK_SEGMENT = """CASE WHEN c_nationkey = 11 THEN ' ' || c_mktsegment || {IDEO}
+        ELSE c_mktsegment END"""
+_CODES = {"TAB": 9, "NBSP": 160, "FFFD": 65533, "FS": 28, "US": 31, "IDEO": 12288}
+
+
+def _sql_text(expr: str) -> str:
+    """The junk rule as DuckDB SQL."""
+    return expr.format(**{k: f"chr({v})" for k, v in _CODES.items()})
+
+
+def _spark_text(expr: str) -> str:
+    """The junk rule as Spark SQL (literal characters in quotes)."""
+    return expr.format(**{k: "'" + chr(v) + "'" for k, v in _CODES.items()})
+
+
+def _clean_sql(x: str) -> str:
+    from sluice.functions.text import (CLEANED_NULL_TOKENS, PANDAS_DEFAULT_NA,
+                                       REPLACEMENT_CHAR, WHITESPACE_CLASS)
+    a = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_DEFAULT_NA)
+    b = ", ".join("'" + t + "'" for t in CLEANED_NULL_TOKENS)
+    dropped = f"replace({x}, chr({ord(REPLACEMENT_CHAR)}), '')"
+    stripped = (f"regexp_replace({dropped}, '^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '', 'g')")
+    return (f"CASE WHEN {dropped} IS NULL OR {dropped} IN ({a}) THEN NULL "
+            f"WHEN {stripped} IN ({b}) THEN NULL ELSE {stripped} END")
+
+
+def _junk_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = read_table(spark, sf_dir, "customer")
+    return customer.select("c_custkey", F.expr(_spark_text(_JUNK_NAME)).alias("c_name"),
+                           "c_nationkey", "c_acctbal",
+                           F.expr(_spark_text(_JUNK_SEGMENT)).alias("c_mktsegment"))
+
+
+CLEAN_SQL = f"""
+WITH j AS (
+    SELECT c_custkey, {_sql_text(_JUNK_NAME)} AS c_name, c_nationkey,
+           CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal,
+           {_sql_text(_JUNK_SEGMENT)} AS c_mktsegment
+    FROM customer)
+SELECT {file_name_sql('customer', 'c_custkey', CUSTOMERS_PER_FILE)} AS file_name,
+       CAST(c_custkey AS VARCHAR) AS c_custkey,
+       {_clean_sql('c_name')} AS c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       c_acctbal,
+       {_clean_sql('c_mktsegment')} AS c_mktsegment
+FROM j"""
+
+
+def _read_cleaned(spark: SparkSession, target: str) -> DataFrame:
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    df = spark.read.options(header="true").schema(", ".join(f"{c} string" for c in cols)) \
+        .csv(f"{target}/*.csv.gz")
+    return df.select(F.col("_metadata.file_name").alias("file_name"), *cols)
+
+
+@register("clean_cells", CLEAN_SQL)
+def clean_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.operators.clean import clean_csv_files
+    landing = new_landing(spark, "raw-files")
+    target = scratch_path(spark, "prepped-files")
+    land_table(spark, _junk_customer(spark, sf_dir), landing, "customer", "c_custkey",
+               CUSTOMERS_PER_FILE)
+    clean_csv_files(spark, landing, target, on_bad_utf8="replace")
+    return _read_cleaned(spark, target)
+
+
+SKIP_EXISTING_SQL = f"""
+SELECT DISTINCT {file_name_sql('customer', 'c_custkey', CUSTOMERS_PER_FILE)} AS file_name,
+       'skipped' AS status, 'target_exists' AS reason
+FROM customer"""
+
+
+@register("clean_files_skip_existing", SKIP_EXISTING_SQL)
+def clean_files_skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.operators.clean import clean_csv_files
+    landing = new_landing(spark, "raw-files")
+    target = scratch_path(spark, "prepped-files")
+    land_table(spark, _junk_customer(spark, sf_dir), landing, "customer", "c_custkey",
+               CUSTOMERS_PER_FILE)
+    clean_csv_files(spark, landing, target, on_bad_utf8="replace")
+    second = clean_csv_files(spark, landing, target, on_bad_utf8="replace")
+    return second.report.select(F.element_at(F.split("source_file", "/"), -1).alias("file_name"),
+                                "status", "reason")

@@ -25,7 +25,8 @@ PROFILES: dict[str, dict[str, str]] = {
     "ingest_csv": {"header": "true", "sep": ",", "quote": '"', "escape": '"',
                    "mode": "PERMISSIVE"},
     "export_csv": {"header": "true", "sep": ",", "quote": '"', "escape": '"',
-                   "compression": "gzip"},
+                   "compression": "gzip", "ignoreLeadingWhiteSpace": "false",
+                   "ignoreTrailingWhiteSpace": "false"},
     "unload_json": {"compression": "gzip"},
 }
 

@@ -97,20 +97,25 @@ def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[
 
 
 def write_named_csv(spark: SparkSession, df: DataFrame, out_dir: str, name_col: str,
-                    order_by: Sequence[str] = (), options: dict[str, str] | None = None
-                    ) -> list[str]:
+                    order_by: Sequence[str] = (), options: dict[str, str] | None = None,
+                    shuffle: bool = True, drop: Sequence[str] = ()) -> list[str]:
     """Write one gzip CSV file per distinct ``name_col`` value, named by it.
 
     Rows of one name go to one task (``repartition(name)``), sorted by
     ``order_by`` inside the file; the part file is then renamed (metadata
     only).  Callers keep each name's row count bounded (a key range per
-    file), so no file is unboundedly large.  Returns the written names.
+    file), so no file is unboundedly large.  ``shuffle=False`` is for data
+    whose names are already confined to one partition each (rows read
+    from one non-splittable file).  ``drop`` columns are removed after the
+    sort.  Returns the written names.
     """
     opts = dict(options or profile("export_csv"))
     tmp = out_dir.rstrip("/") + "/_tmp_write"
-    (df.repartition(name_col)
-       .sortWithinPartitions(name_col, *order_by)
-       .write.mode("overwrite").partitionBy(name_col).options(**opts).csv(tmp))
+    ordered = (df.repartition(name_col) if shuffle else df) \
+        .sortWithinPartitions(name_col, *order_by)
+    if drop:
+        ordered = ordered.drop(*drop)
+    ordered.write.mode("overwrite").partitionBy(name_col).options(**opts).csv(tmp)
     names = []
     prefix = f"{name_col}="
     from urllib.parse import unquote
