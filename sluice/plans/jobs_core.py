@@ -146,3 +146,112 @@ def merge_insert_only_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     merge_insert_only(spark, path, staged, ["o_orderkey"])
     merge_insert_only(spark, path, staged, ["o_orderkey"])  # re-run: only NULL keys again
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# date_text / tz_convert / text_functions: scalar functions over whole tables
+
+from sluice.functions.dates import date_text, parse_date, to_utc, utc_stamp  # noqa: E402
+from sluice.functions.text import (regexp_count, regexp_full_match, rtrim_chars,  # noqa: E402
+                                   regexp_group)
+from sluice.operators.infer import normalise_type  # noqa: E402
+
+DATE_TEXT_SQL = """
+SELECT o_orderkey,
+       strftime(o_orderdate, '%Y%m%d') AS date_text,
+       CAST(o_orderdate AS DATE) AS parsed_date,
+       strftime(o_orderdate, '%Y%m%d') || '_UTC' AS stamp_date,
+       strftime(o_orderdate, '%Y%m%d%H%M%S') || '_UTC' AS stamp_time
+FROM orders"""
+
+
+@register("date_text", DATE_TEXT_SQL)
+def date_text_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders")
+    txt = date_text("o_orderdate", "YYYYMMDD")
+    return orders.select("o_orderkey", txt.alias("date_text"),
+                         parse_date(txt, "YYYYMMDD").alias("parsed_date"),
+                         utc_stamp("o_orderdate", "date").alias("stamp_date"),
+                         utc_stamp("o_orderdate", "time").alias("stamp_time"))
+
+
+TZ_SQL = """
+SELECT event_id, ts,
+       (ts AT TIME ZONE 'America/Denver') AT TIME ZONE 'UTC' AS ts_utc,
+       strftime((ts AT TIME ZONE 'America/Denver') AT TIME ZONE 'UTC', '%Y%m%d') AS utc_day
+FROM events"""
+
+
+@register("tz_convert", TZ_SQL)
+def tz_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read_table(spark, sf_dir, "events")
+    utc = to_utc("ts", "America/Denver")
+    return events.select("event_id", "ts", utc.alias("ts_utc"),
+                         date_text(utc, "YYYYMMDD").alias("utc_day"))
+
+
+TEXT_SQL = r"""
+WITH t AS (
+    SELECT *, CASE p_type WHEN 'ECONOMY' THEN 'TEXT' WHEN 'SMALL' THEN 'DATE'
+                          ELSE 'NUMBER(' || CAST(p_size AS VARCHAR) || ',2)' END AS type_text
+    FROM part)
+SELECT p_partkey,
+       regexp_full_match(p_brand, 'Brand#\d+') AS brand_full,
+       regexp_full_match(p_name, 'red') AS name_is_red,
+       regexp_matches(p_name, 'red') AS name_has_red,
+       len(regexp_extract_all(p_name, '[aeiou]')) AS vowels,
+       CASE WHEN regexp_full_match(type_text, '(TEXT|DATE)') THEN 'VARCHAR'
+            WHEN regexp_full_match(type_text, 'NUMBER\(.*') THEN regexp_replace(type_text, 'NUMBER\(\d+,', 'NUMBER(38,')
+            ELSE type_text END AS normalised_type,
+       rtrim(p_brand || ',' || chr(10) || ',', ',' || chr(10)) AS trimmed,
+       repeat('-', p_size // 10) AS bar,
+       p_size + 1 AS next_position,
+       upper(nullif(regexp_extract(p_brand, '#(\d+)$', 1), '')) AS brand_no,
+       (SELECT max(p_retailprice) FROM part) AS max_price,
+       true AS flag
+FROM t"""
+
+
+@register("text_functions", TEXT_SQL)
+def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part")
+    type_text = (F.when(F.col("p_type") == "ECONOMY", F.lit("TEXT"))
+                 .when(F.col("p_type") == "SMALL", F.lit("DATE"))
+                 .otherwise(F.concat(F.lit("NUMBER("), F.col("p_size").cast("string"), F.lit(",2)"))))
+    max_price = part.select(F.max("p_retailprice")).scalar()  # scalar subquery (B10)
+    return part.select(
+        "p_partkey",
+        regexp_full_match("p_brand", r"Brand#\d+").alias("brand_full"),
+        regexp_full_match("p_name", "red").alias("name_is_red"),
+        F.col("p_name").rlike("red").alias("name_has_red"),
+        regexp_count("p_name", "[aeiou]").cast("bigint").alias("vowels"),
+        normalise_type(type_text).alias("normalised_type"),
+        rtrim_chars(F.concat("p_brand", F.lit(",\n,")), ",\n").alias("trimmed"),
+        F.repeat(F.lit("-"), F.floor(F.col("p_size") / 10).cast("int")).alias("bar"),
+        (F.col("p_size") + 1).alias("next_position"),
+        F.upper(regexp_group("p_brand", r"#(\d+)$")).alias("brand_no"),
+        max_price.alias("max_price"),
+        F.lit(True).alias("flag"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# failover_snapshot: the merge into an incompatible target fails, the staged
+# load table is copied to <load>_<yyyymmdd>
+
+from sluice.operators.merge import merge_with_failover  # noqa: E402
+
+
+@register("failover_snapshot", MASTER_LOOKUP_SQL)
+def failover_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    load = scratch_path(spark, "master-lookup-load")
+    master_lookup_df(spark, sf_dir).write.parquet(load)  # temp snapshot (A23)
+    target = scratch_path(spark, "master-lookup")
+    # a target whose key column is numeric: the key comparison fails at runtime
+    spark.range(1).select(F.col("id").alias("master_patient_lookup_table_unique_key")) \
+        .write.parquet(target)
+    result = merge_with_failover(spark, target, load, ["master_patient_lookup_table_unique_key"],
+                                 run_date=RUN_AT.date())
+    if "Failover table at: " not in result.message:
+        raise RuntimeError(f"expected a failover, got: {result.message}")
+    return spark.read.parquet(result.message.split("Failover table at: ")[1])
