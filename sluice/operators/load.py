@@ -38,7 +38,7 @@ from sluice.operators.infer import (create_table_if_absent, entity_schema, infer
                                     read_entity, table_schema)
 from sluice.operators.snapshot import delete, list_status, path_exists
 from sluice.sources.files import filter_names, list_files, profile
-from sluice.sources.landing import ENTITY_PATTERN, entity_from_file, read_landed_csv, with_lineage
+from sluice.sources.landing import LANDED_PATTERN, entity_from_file, read_landed_csv, with_lineage
 
 LEDGER = "_ledger"
 LEDGER_SCHEMA = T.StructType([
@@ -64,10 +64,11 @@ class RunResult:
 # ---------------------------------------------------------------------------
 # listing and ledger
 
-def landed_files(spark: SparkSession, landing: str, pattern: str = ENTITY_PATTERN) -> DataFrame:
+def landed_files(spark: SparkSession, landing: str, pattern: str = LANDED_PATTERN) -> DataFrame:
     """Files whose name has an entity: (path, file_name, length, entity)."""
     lst = filter_names(list_files(spark, landing), pattern=pattern)
-    return lst.select("path", "file_name", "length", entity_from_file("file_name").alias("entity"))
+    return lst.select("path", "file_name", "length",
+                      entity_from_file("file_name", pattern).alias("entity"))
 
 
 def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:

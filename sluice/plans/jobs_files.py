@@ -371,3 +371,84 @@ def clean_files_skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = clean_csv_files(spark, landing, target, on_bad_utf8="replace")
     return second.report.select(F.element_at(F.split("source_file", "/"), -1).alias("file_name"),
                                 "status", "reason")
+
+
+# ---------------------------------------------------------------------------
+# table_export: tables having the key column, exported ordered by it to
+# compressed CSV, read back
+
+
+def _export_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
+        "accounts": read_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey"),
+        "purchases": read_table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "custkey"),
+        "regions": read_table(spark, sf_dir, "region"),
+    }
+
+
+EXPORT_SQL = """
+SELECT 'accounts' AS table_name, count(*) AS rows_exported, CAST(sum(c_custkey) AS BIGINT) AS key_sum,
+       min(c_custkey) AS key_min, max(c_custkey) AS key_max FROM customer
+UNION ALL
+SELECT 'purchases', count(*), CAST(sum(o_custkey) AS BIGINT), min(o_custkey), max(o_custkey)
+FROM orders"""
+
+
+@register("table_export", EXPORT_SQL)
+def table_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.sources.export import export_ordered_csv
+    out = scratch_path(spark, "export")
+    tables = _export_tables(spark, sf_dir)
+    export_ordered_csv(spark, tables, "custkey", out, RUN_AT)
+    parts = []
+    for name in ("accounts", "purchases"):
+        back = spark.read.options(header="true").csv(f"{out}/{name}_*.csv.gz")
+        parts.append(back.select(F.lit(name).alias("table_name"),
+                                 F.col("custkey").cast("bigint").alias("custkey")))
+    both = parts[0].unionByName(parts[1])
+    return both.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rows_exported"), F.sum("custkey").alias("key_sum"), F.min("custkey").alias("key_min"), F.max("custkey").alias("key_max"))
+
+
+# ---------------------------------------------------------------------------
+# stream_ingest: events land in two rounds; a file stream triggers
+# create -> load each round; a third run finds nothing new
+
+EVENTS_PER_FILE = 2000
+_ROUND_ONE = ("click", "view")
+
+STREAM_SQL = f"""
+WITH f AS (
+    SELECT *, 'events_' || CASE WHEN event_type IN ('click', 'view') THEN '20250102'
+                                ELSE '20250103' END
+              || lpad(CAST(event_id // {EVENTS_PER_FILE} AS VARCHAR), 6, '0') || '_UTC.csv.gz' AS fname
+    FROM events)
+SELECT fname AS source_file_name,
+       CAST(strptime(substr(fname, 8, 8), '%Y%m%d') AS DATE) AS source_file_date_utc,
+       row_number() OVER (PARTITION BY fname ORDER BY event_id) AS source_file_row_number,
+       event_id, ts, user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value, props
+FROM f"""
+
+
+@register("stream_ingest", STREAM_SQL)
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.streaming.ingest import run_available
+    events = read_table(spark, sf_dir, "events")
+    landing = new_landing(spark, "stream-landing")
+    warehouse = scratch_path(spark, "stream-warehouse")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    first = events.where(F.col("event_type").isin(*_ROUND_ONE))
+    rest = events.where(~F.col("event_type").isin(*_ROUND_ONE))
+    land_table(spark, first, landing, "events", "event_id", EVENTS_PER_FILE, date="20250102")
+    b1 = run_available(spark, landing, warehouse, checkpoint, loaded_at=RUN_AT)
+    land_table(spark, rest, landing, "events", "event_id", EVENTS_PER_FILE, date="20250103")
+    b2 = run_available(spark, landing, warehouse, checkpoint, loaded_at=RUN_AT)
+    b3 = run_available(spark, landing, warehouse, checkpoint, loaded_at=RUN_AT)
+    if (b1, b2, b3) != (1, 1, 0):
+        raise RuntimeError(f"unexpected micro-batches per run: {(b1, b2, b3)}")
+    table = read_table_rows(spark, warehouse, "EVENTS")
+    return table.select(
+        "source_file_name", "source_file_date_utc", "source_file_row_number",
+        F.col("EVENT_ID").cast("bigint").alias("event_id"), F.col("TS").alias("ts"),
+        F.col("USER_ID").cast("bigint").alias("user_id"), F.col("EVENT_TYPE").alias("event_type"),
+        F.col("VALUE").cast("double").alias("value"), F.col("PROPS").alias("props"))

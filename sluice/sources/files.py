@@ -26,7 +26,10 @@ PROFILES: dict[str, dict[str, str]] = {
                    "mode": "PERMISSIVE"},
     "export_csv": {"header": "true", "sep": ",", "quote": '"', "escape": '"',
                    "compression": "gzip", "ignoreLeadingWhiteSpace": "false",
-                   "ignoreTrailingWhiteSpace": "false"},
+                   "ignoreTrailingWhiteSpace": "false",
+                   # keep microseconds (the default text form stops at millis)
+                   "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+                   "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"},
     "unload_json": {"compression": "gzip"},
 }
 

@@ -22,6 +22,8 @@ from sluice.sources.files import profile
 # Landed file name rules.  Dots are escaped and the end is
 # anchored (the reference left both open, so ``.`` matched any character).
 ENTITY_PATTERN = r"^(.*)_\d{14}_UTC\.csv\.gz$"
+# What the loader accepts: also the numbered parts of a multi-part export.
+LANDED_PATTERN = r"^(.*)_\d{14}_UTC(?:_\d{5})?\.csv\.gz$"
 FILE_DATE_PATTERN = r"_(\d{8})\d{6}_UTC"
 
 LINEAGE_FIELDS = [
