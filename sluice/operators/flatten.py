@@ -69,8 +69,8 @@ def flatten_documents(landing: DataFrame, object_col: str = "source_file_object"
                       outer_path: str = "near_earth_objects",
                       fields: Sequence[Field] = NEO_FIELDS, order_field: str = "id",
                       carry: Sequence[str] = LANDING_COLUMNS, keep_object: bool = False,
-                      strict: bool = True, row_number: str = "source_file_row_number"
-                      ) -> DataFrame:
+                      strict: bool = True, row_number: str = "source_file_row_number",
+                      stage: bool = True) -> DataFrame:
     """Two-level flatten + typed projection + global row number (M2).
 
     Object of arrays (``near_earth_objects: {date: [elements]}``) -> one row
@@ -78,6 +78,8 @@ def flatten_documents(landing: DataFrame, object_col: str = "source_file_object"
     ``order_field`` (a variant cannot be a sort key, so it is compared as a
     string, ``'10' < '3'``), computed without a single-partition sort.
     ``strict=False`` turns bad casts into NULL instead of an error.
+    ``stage`` writes the typed rows once before numbering (the numbering
+    reads its input several times; parsing happens only once).
     """
     keep = list(carry) + ([object_col] if keep_object else [])
     level1 = flatten(landing.select(*keep, object_col), object_col, outer_path, "d")
@@ -86,6 +88,6 @@ def flatten_documents(landing: DataFrame, object_col: str = "source_file_object"
     typed = level2.select(*keep, *[get_path(elem, f.path, f.type, strict=strict).alias(f.name)
                                    for f in fields],
                           get_path(elem, order_field, "string", strict=False).alias("__order"))
-    numbered = global_row_number(typed, ["__order"], name=row_number)
+    numbered = global_row_number(typed, ["__order"], name=row_number, stage=stage)
     names = [f.name for f in fields]
     return numbered.select(*keep, row_number, *names)

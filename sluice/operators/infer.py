@@ -57,40 +57,50 @@ def read_headers(spark: SparkSession, paths: Sequence[str],
     return out
 
 
+# Value classes, one bit each; a column's type follows from the set of
+# classes its values fall in (OR of the bits).
+BOOL, INT, DEC, FLOAT, DATE, TS, OTHER = 1, 2, 4, 8, 16, 32, 64
+N_EVIDENCE = 4
+
+
 def _evidence(c: Column) -> list[Column]:
+    """count, class mask, max integer digits, max scale of one column."""
     v = F.trim(c)
     present = v.isNotNull() & (v != "")
-    def every(pred):
-        return F.every(F.when(present, pred))
+    cls = (F.when(~present, F.lit(0))
+           .when(v.rlike(INT_RE), F.lit(INT))
+           .when(v.rlike(DEC_RE), F.lit(DEC))
+           .when(v.rlike(BOOL_RE), F.lit(BOOL))
+           .when(v.rlike(FLOAT_RE), F.lit(FLOAT))
+           .when(v.rlike(DATE_RE) & F.try_to_date(v, "yyyy-MM-dd").isNotNull(), F.lit(DATE))
+           .when(v.rlike(TS_RE) & F.try_to_timestamp(F.replace(v, F.lit("T"), F.lit(" ")))
+                 .isNotNull(), F.lit(TS))
+           .otherwise(F.lit(OTHER)))
     int_digits = F.greatest(F.length(F.regexp_extract(v, r"^[+-]?0*([0-9]*)", 1)), F.lit(1))
     scale = F.length(F.regexp_extract(v, r"\.([0-9]*)$", 1))
     return [
         F.count(F.when(present, 1)),
-        every(v.rlike(BOOL_RE)),
-        every(v.rlike(INT_RE)),
-        every(v.rlike(INT_RE) | v.rlike(DEC_RE)),
-        every(v.rlike(FLOAT_RE)),
-        every(v.rlike(DATE_RE) & F.try_to_date(v, "yyyy-MM-dd").isNotNull()),
-        every(v.rlike(TS_RE) & F.try_to_timestamp(F.replace(v, F.lit("T"), F.lit(" "))).isNotNull()),
-        F.max(F.when(present & (v.rlike(INT_RE) | v.rlike(DEC_RE)), int_digits)),
-        F.max(F.when(present & v.rlike(DEC_RE), scale)),
+        F.bit_or(cls),
+        F.max(F.when(cls.isin(INT, DEC), int_digits)),
+        F.max(F.when(cls == DEC, scale)),
     ]
 
 
-def _type_text(n, is_bool, is_int, is_dec, is_float, is_date, is_ts, idig, scale) -> Column:
+def _type_text(n, mask, idig, scale) -> Column:
     idig = F.coalesce(idig, F.lit(1))
     scale = F.coalesce(scale, F.lit(0))
     p_dec = idig + scale
+    only = lambda bits: (mask.bitwiseAND(F.lit(~bits & 127)) == 0)
     return (
         F.when(n == 0, F.lit("TEXT"))
-        .when(is_bool, F.lit("BOOLEAN"))
-        .when(is_int & (idig <= MAX_PRECISION),
+        .when(mask == BOOL, F.lit("BOOLEAN"))
+        .when((mask == INT) & (idig <= MAX_PRECISION),
               F.concat(F.lit("NUMBER("), idig.cast("string"), F.lit(",0)")))
-        .when(is_dec & (p_dec <= MAX_PRECISION),
+        .when(only(INT | DEC) & (p_dec <= MAX_PRECISION),
               F.concat(F.lit("NUMBER("), p_dec.cast("string"), F.lit(","), scale.cast("string"), F.lit(")")))
-        .when(is_float, F.lit("REAL"))
-        .when(is_date, F.lit("DATE"))
-        .when(is_ts, F.lit("TIMESTAMP_NTZ"))
+        .when(only(INT | DEC | FLOAT), F.lit("REAL"))
+        .when(mask == DATE, F.lit("DATE"))
+        .when(mask == TS, F.lit("TIMESTAMP_NTZ"))
         .otherwise(F.lit("TEXT"))
     )
 
@@ -137,7 +147,7 @@ def infer_schema(spark: SparkSession, paths: Sequence[str],
             aggs += [e.alias(f"{c}_{j}") for j, e in enumerate(_evidence(F.col(c)))]
         ev = df.groupBy("__file").agg(*aggs)
         rows = [F.struct(F.lit(name).alias("column_name"), F.lit(i).alias("order_id"),
-                         _type_text(*[F.col(f"c{i}_{j}") for j in range(9)]).alias("type"))
+                         _type_text(*[F.col(f"c{i}_{j}") for j in range(N_EVIDENCE)]).alias("type"))
                 for i, name in enumerate(cols)]
         parts.append(ev.select(F.col("__file").alias("file_name"),
                                F.inline(F.array(*rows))))

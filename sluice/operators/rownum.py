@@ -47,10 +47,19 @@ def _bucket_expr(key: Column, bounds: list, lo: int, hi: int) -> Column:
 def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_number", *,
                       buckets: int | None = None, rows_per_bucket: int = 4_000_000,
                       max_buckets: int = 4096, samples_per_bucket: int = 40,
-                      tiebreak: Sequence[str] | None = None, seed: int = 17) -> DataFrame:
-    """Add ``name`` = 1-based position of the row in ``ORDER BY keys`` (asc, nulls first)."""
+                      tiebreak: Sequence[str] | None = None, seed: int = 17,
+                      stage: bool = False) -> DataFrame:
+    """Add ``name`` = 1-based position of the row in ``ORDER BY keys`` (asc, nulls first).
+
+    ``stage=True`` first writes ``df`` to the shared checkpoint folder, so an
+    expensive input (parsing, exploding) is computed once; the count and
+    sample passes then read only the key columns from parquet.
+    """
     spark = df.sparkSession
     order = list(keys) + list(tiebreak if tiebreak is not None else _tiebreak(df, keys))
+    if stage:
+        from sluice.operators.snapshot import stage as _stage
+        df = _stage(spark, df, "rownum-input")
     n = df.count()
     if buckets is None:
         parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
