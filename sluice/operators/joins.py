@@ -69,9 +69,23 @@ def left_join_all(base: DataFrame, sides: Sequence[DataFrame], key: str,
 def anti_join(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``source`` whose key has no match in ``target``.
 
-    The target's key columns are deduplicated first, so a key repeated
-    millions of times in the target is combined map-side before the shuffle.
+    Written so the (large) target is never shuffled when the (usually small,
+    incremental) source is small:
+
+    1. ``src_keys``: the source's distinct non-NULL keys (combined map-side);
+    2. ``hits``: target keys ``LEFT SEMI JOIN src_keys`` -- Spark broadcasts
+       ``src_keys`` when its size is under the broadcast threshold, so the
+       target is only scanned (key columns, pruned) and filtered in place;
+       beyond the threshold it is a sort-merge semi join;
+    3. ``source LEFT ANTI JOIN hits`` -- both sides are at most source-sized.
+
     A NULL key never matches, so such source rows are always returned.
     """
     keys = list(keys)
-    return source.join(target.select(*keys).distinct(), on=keys, how="left_anti")
+    not_null = None
+    for k in keys:
+        cond = F.col(k).isNotNull()
+        not_null = cond if not_null is None else not_null & cond
+    src_keys = source.select(*keys).where(not_null).distinct()
+    hits = target.select(*keys).join(src_keys, on=keys, how="left_semi").distinct()
+    return source.join(hits, on=keys, how="left_anti")
