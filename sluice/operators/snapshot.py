@@ -66,3 +66,14 @@ def create_table_as_if_absent(spark: SparkSession, path: str, query: DataFrame)
         return False
     query.write.mode("errorifexists").parquet(path)
     return True
+
+
+def create_table(spark: SparkSession, path: str, schema) -> bool:
+    """``CREATE TABLE IF NOT EXISTS t (<columns>)`` for a parquet path table.
+
+    ``schema`` is a DDL string or StructType; an existing table is left as
+    it is (``mode('ignore')``).  Returns True when the table was created.
+    """
+    existed = path_exists(spark, path)
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return not existed

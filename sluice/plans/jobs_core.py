@@ -208,6 +208,8 @@ SELECT p_partkey,
        p_size + 1 AS next_position,
        upper(nullif(regexp_extract(p_brand, '#(\d+)$', 1), '')) AS brand_no,
        (SELECT max(p_retailprice) FROM part) AS max_price,
+       [p_brand, p_type][1] AS first_of_pair,
+       len([p_brand, p_type, p_name]) AS triple_size,
        true AS flag
 FROM t"""
 
@@ -231,6 +233,8 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_size") + 1).alias("next_position"),
         F.upper(regexp_group("p_brand", r"#(\d+)$")).alias("brand_no"),
         max_price.alias("max_price"),
+        F.array("p_brand", "p_type")[0].alias("first_of_pair"),  # 0-based index (H24)
+        F.array_size(F.array("p_brand", "p_type", "p_name")).cast("bigint").alias("triple_size"),
         F.lit(True).alias("flag"),
     )
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from sluice.functions.json import get_path
 from sluice.operators.flatten import flatten_documents
+from sluice.operators.merge import merge_insert_only
 from sluice.operators.rownum import global_row_number
+from sluice.operators.snapshot import stage
 from sluice.plans.jobs_core import RUN_AT, RUN_AT_KEY_TEXT
 from sluice.plans.registry import register
 from sluice.session import read_table, scratch_path
@@ -93,10 +95,16 @@ FROM f"""
 
 @register("flatten_object_array", FLATTEN_SQL)
 def flatten_object_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flatten into a temp table, insert-only merge into the raw table on the
+    document key (twice: the second run inserts nothing), read it ordered."""
     docs = customer_documents(spark, sf_dir)
     path = scratch_path(spark, "landing-json")
     docs.write.parquet(path)  # the landing table (variant survives parquet)
-    return flatten_documents(spark.read.parquet(path))
+    temp = stage(spark, flatten_documents(spark.read.parquet(path)), "temp-load-neo")
+    raw = scratch_path(spark, "raw-neo")
+    for _ in range(2):
+        merge_insert_only(spark, raw, temp, ["source_file_object_unique_key"])
+    return spark.read.parquet(raw).orderBy("source_file_date_utc", "source_file_row_number")
 
 
 # ---------------------------------------------------------------------------
