@@ -74,8 +74,7 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
                            "skipped", "target_exists"))
         else:
             todo.append(r)
-    gz = {p: e for p, e in check_compression(spark, [r["path"] for r in todo]).collect()} \
-        if todo else {}
+    gz = check_compression(spark, [r["path"] for r in todo])
     readable = []
     for r in todo:
         if gz.get(r["path"]):

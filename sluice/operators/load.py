@@ -154,12 +154,28 @@ def _gzip_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": pdf["path"], "error": errs})
 
 
-def check_compression(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, error) for each file; error is NULL for a readable file."""
+def check_compression(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """{path: error} for the files whose gzip stream cannot be read to the end.
+
+    Each file's bytes go to Python one file per Arrow batch (a file is one
+    row of ``binaryFile``; files over 2 GiB exceed that source), and are
+    inflated in 1 MiB steps, so memory per task stays near one file.
+    """
     if not paths:
-        return spark.createDataFrame([], "path string, error string")
+        return {}
     raw = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    return raw.mapInPandas(_gzip_errors, "path string, error string")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "1")
+    try:
+        rows = raw.mapInPandas(_gzip_errors, "path string, error string") \
+            .where(F.col("error").isNotNull()).collect()  # failed files only
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+    return {r["path"]: r["error"] for r in rows}
 
 
 def _cast_ok(c: str, dt: T.DataType) -> Column:
@@ -219,8 +235,7 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     for r in todo:
         by_entity.setdefault(r["entity"], []).append(r)
 
-    gz = check_compression(spark, [r["path"] for r in todo]).collect() if todo else []
-    gz_err = {p: e for p, e in gz if e}
+    gz_err = check_compression(spark, [r["path"] for r in todo])
 
     for entity, rows in sorted(by_entity.items()):
         table = f"{wh}/{entity}"
