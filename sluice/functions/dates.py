@@ -81,3 +81,12 @@ def utc_stamp(c, kind: str = "time") -> Column:
 def utc_stamp_text(ts, kind: str = "time") -> str:
     """Driver-side stamp for one run timestamp (a Python datetime)."""
     return ts.strftime("%Y%m%d_UTC" if kind == "date" else "%Y%m%d%H%M%S_UTC")
+
+
+def ntz_literal(ts) -> Column:
+    """A TIMESTAMP_NTZ literal from a Python datetime, independent of the
+    session and process time zones (built from its wall-clock text)."""
+    if ts.tzinfo is not None:
+        import datetime as _dt
+        ts = ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")

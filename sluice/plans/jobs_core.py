@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.dates import ntz_literal
 from sluice.functions.keys import TIMESTAMP_KEY_FORMAT
 from sluice.operators.merge import merge_insert_only
 from sluice.operators.snapshot import stage
@@ -30,7 +31,7 @@ def as_loaded(df: DataFrame, entity: str, key: str) -> DataFrame:
     file_key = F.md5(F.lit(RUN_AT_KEY_TEXT + name))
     row_no = (F.col(key) + 1).cast("bigint")
     return df.select(
-        F.lit(RUN_AT).cast("timestamp_ntz").alias("source_file_loaded_at_utc"),
+        ntz_literal(RUN_AT).alias("source_file_loaded_at_utc"),
         F.lit(RUN_AT.date()).alias("source_file_date_utc"),
         F.lit(name).alias("source_file_name"),
         file_key.alias("source_file_unique_key"),

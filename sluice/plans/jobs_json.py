@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.dates import ntz_literal
 from sluice.functions.json import get_path
 from sluice.operators.flatten import flatten_documents
 from sluice.operators.merge import merge_insert_only
@@ -58,7 +59,7 @@ def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = per_nation.groupBy("__file").agg(
         F.map_from_entries(F.collect_list(F.struct("n_name", "arr"))).alias("neo"))
     return docs.select(
-        F.lit(RUN_AT).cast("timestamp_ntz").alias("source_file_loaded_at_utc"),
+        ntz_literal(RUN_AT).alias("source_file_loaded_at_utc"),
         F.lit(RUN_DATE).alias("source_file_date_utc"),
         F.col("__file").alias("source_file_name"),
         F.md5(F.concat(F.lit(RUN_AT_KEY_TEXT), F.col("__file"))).alias("source_file_object_unique_key"),

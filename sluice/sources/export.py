@@ -52,7 +52,12 @@ def export_ordered_csv(spark: SparkSession, tables: Mapping[str, DataFrame], key
     for name in (names if names is not None else tables_with_column(tables, key)):
         tmp = f"{out_dir.rstrip('/')}/_tmp_{name}"
         try:
-            (tables[name].orderBy(key).write.mode("errorifexists")
+            # ORDER BY key; the other columns break ties so the range
+            # partitioner can split one very frequent key over several tasks
+            df = tables[name]
+            ties = [c for c, t in df.dtypes if c != key and not t.startswith(
+                ("variant", "map", "struct", "array"))]
+            (df.orderBy(key, *ties).write.mode("errorifexists")
              .options(**profile("export_csv")).csv(tmp))
             parts = sorted(f for f in list_status(spark, tmp) if f[0].startswith("part-"))
             for i, (_, full, _, _) in enumerate(parts):

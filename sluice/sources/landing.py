@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.dates import ntz_literal
 from sluice.functions.text import regexp_group
 from sluice.operators.rownum import file_row_number
 from sluice.operators.snapshot import delete, list_status, rename
@@ -88,7 +89,7 @@ def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[
     data = data_columns if data_columns is not None else [
         F.col(f"`{c}`") for c in df.columns if c not in ("__file", "__split")]
     return numbered.select(
-        F.lit(loaded_at.replace(tzinfo=None)).cast("timestamp_ntz").alias("source_file_loaded_at_utc"),
+        ntz_literal(loaded_at).alias("source_file_loaded_at_utc"),
         date_from_file(F.col("__file")).alias("source_file_date_utc"),
         F.col("__file").alias("source_file_name"),
         file_key.alias("source_file_unique_key"),
