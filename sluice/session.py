@@ -61,3 +61,35 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def cluster_conf(shuffle_bytes: int = 100 * 2**40, partition_bytes: int = 512 * 2**20
+                 ) -> dict[str, str]:
+    """Settings for a large cluster (pass to ``SparkSession.builder.config``).
+
+    ``spark.sql.shuffle.partitions`` starts at the largest shuffle divided by
+    ``partition_bytes`` (AQE then coalesces small partitions and splits
+    skewed join partitions); broadcasts stay behind a 64 MiB size check;
+    decommissioning moves shuffle blocks off executors that are going away.
+    """
+    partitions = max(200, min(100_000, -(-shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.task.maxFailures": "8",
+        "spark.ui.enabled": "false",
+    }

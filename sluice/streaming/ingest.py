@@ -50,14 +50,27 @@ def run_chain(spark: SparkSession, landing: str, warehouse: str, loaded_at: _dt.
 def ingest_stream(spark: SparkSession, landing: str, warehouse: str, checkpoint: str, *,
                   trigger: str = "availableNow", loaded_at: _dt.datetime | None = None,
                   after_load: AfterLoad | None = None, glob: str = "*.csv.gz",
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = None, clean_source: str = "off",
+                  archive_dir: str | None = None) -> StreamingQuery:
     """Start the ingest stream.  ``trigger``: ``'availableNow'`` (run what is
     there, then stop; for an outside scheduler) or an interval such as
-    ``'5 minutes'`` (the reference's cadence, I4)."""
+    ``'5 minutes'`` (the reference's cadence, I4).
+
+    ``clean_source='archive'`` (with ``archive_dir``) or ``'delete'`` moves
+    landed files away once their micro-batch is committed (A21), done by the
+    file source itself.  Files that failed to load are moved too, so keep the
+    default ``'off'`` when failed files should be retried in place.
+    """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if clean_source != "off":
+        reader = reader.option("cleanSource", clean_source)
+        if clean_source == "archive":
+            if not archive_dir:
+                raise ValueError("archive_dir is required for clean_source='archive'")
+            reader = reader.option("sourceArchiveDir", archive_dir)
     arrivals = reader.load(landing).select("path", "length")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:

@@ -190,3 +190,27 @@ def test_jdbc_option_building():
     opts = partitioned_read_options("s.t", "id", 1, 100, 4)
     assert opts == {"dbtable": "s.t", "partitionColumn": "id", "lowerBound": "1",
                     "upperBound": "101", "numPartitions": "4"}
+
+
+def test_replayed_batch_adds_no_rows(spark, tmp):
+    """foreachBatch is at-least-once: running the chain again for the same
+    files (a replayed micro-batch) must not duplicate rows."""
+    from sluice.streaming.ingest import run_chain
+    land, wh = f"{tmp}/land", f"{tmp}/wh"
+    gz(f"{land}/e_20250102000000_UTC.csv.gz", "id,v\n1,a\n2,b\n")
+    run_chain(spark, land, wh, RUN)
+    run_chain(spark, land, wh, RUN)  # replay
+    assert read_table_rows(spark, wh, "E").count() == 2
+
+
+def test_stream_archives_committed_files(spark, tmp):
+    land, wh, ck, arc = f"{tmp}/land", f"{tmp}/wh", f"{tmp}/ck", f"{tmp}/archive"
+    gz(f"{land}/e_20250102000000_UTC.csv.gz", "id\n1\n")
+    assert run_available(spark, land, wh, ck, loaded_at=RUN, clean_source="archive",
+                         archive_dir=arc) == 1
+    gz(f"{land}/e_20250103000000_UTC.csv.gz", "id\n2\n")
+    assert run_available(spark, land, wh, ck, loaded_at=RUN, clean_source="archive",
+                         archive_dir=arc) == 1
+    archived = [f for _, _, fs in os.walk(arc) for f in fs if f.endswith(".gz")]
+    assert "e_20250102000000_UTC.csv.gz" in archived
+    assert read_table_rows(spark, wh, "E").count() == 2

@@ -122,3 +122,21 @@ def test_flatten_documents_typed_and_numbered(spark):
     fields = (Field("id", "id"), Field("n", "name"))
     small = flatten_documents(landing, fields=fields, keep_object=True)
     assert "source_file_object" in small.columns and small.count() == 2
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 20), max_size=30), st.lists(st.integers(0, 20), max_size=30))
+def test_merge_twice_equals_merge_once(spark, target_keys, source_keys):
+    """merge(merge(t, s), s) == merge(t, s) for non-NULL keys."""
+    import tempfile
+    path = tempfile.mkdtemp(prefix="sluice-prop-") + "/t"
+    spark.createDataFrame([(k, "t") for k in target_keys] or [(0, "x")][:0],
+                          "k bigint, v string").write.parquet(path)
+    src = spark.createDataFrame([(k, "s") for k in source_keys], "k bigint, v string")
+    merge_insert_only(spark, path, src, ["k"])
+    once = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    merge_insert_only(spark, path, src, ["k"])
+    twice = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    assert once == twice
+    new = {k for k in source_keys if k not in set(target_keys)}
+    assert len(once) == len(target_keys) + sum(1 for k in source_keys if k in new)
