@@ -96,3 +96,17 @@ def run_available(spark: SparkSession, landing: str, warehouse: str, checkpoint:
     q.awaitTermination()
     progress = q.recentProgress
     return sum(1 for p in progress if p.get("numInputRows", 0) > 0)
+
+
+def stream_landed_csv(spark: SparkSession, landing: str, columns: list[str],
+                      glob: str = "*.csv.gz", options: dict[str, str] | None = None
+                      ) -> DataFrame:
+    """Streaming analogue of ``read_landed_csv`` (I6): all-string columns by
+    position plus the file name, one micro-batch per group of new files."""
+    from pyspark.sql import types as T
+
+    from sluice.sources.files import profile
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    df = (spark.readStream.options(**(options or profile("ingest_csv"))).schema(schema)
+          .option("pathGlobFilter", glob).option("recursiveFileLookup", "true").csv(landing))
+    return df.select("*", F.col("_metadata.file_name").alias("source_file_name"))

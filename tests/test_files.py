@@ -214,3 +214,19 @@ def test_stream_archives_committed_files(spark, tmp):
     archived = [f for _, _, fs in os.walk(arc) for f in fs if f.endswith(".gz")]
     assert "e_20250102000000_UTC.csv.gz" in archived
     assert read_table_rows(spark, wh, "E").count() == 2
+
+
+def test_stream_landed_rows_with_file_names(spark, tmp):
+    from sluice.streaming.ingest import stream_landed_csv
+    land = f"{tmp}/land"
+    gz(f"{land}/e_20250102000000_UTC.csv.gz", "id,v\n1,a\n2,b\n")
+    rows = []
+
+    def keep(batch, _):
+        rows.extend(tuple(r) for r in batch.collect())
+
+    q = (stream_landed_csv(spark, land, ["id", "v"]).writeStream.foreachBatch(keep)
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(rows) == [("1", "a", "e_20250102000000_UTC.csv.gz"),
+                            ("2", "b", "e_20250102000000_UTC.csv.gz")]
