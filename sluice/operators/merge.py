@@ -31,15 +31,22 @@ class MergeResult:
     message: str
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-               dedupe: bool = False, skip_null_keys: bool = False) -> DataFrame:
-    """Rows the merge would insert, in the target's column order and types."""
+def _prepare(source: DataFrame, keys: Sequence[str], dedupe: bool,
+             skip_null_keys: bool) -> DataFrame:
+    """The two options beyond the reference: drop NULL keys, dedupe the source."""
     src = source
     if skip_null_keys:
-        src = src.where(F.lit(True) if not keys else
-                        F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+        for k in keys:
+            src = src.where(F.col(f"`{k}`").isNotNull())
     if dedupe:
         src = src.dropDuplicates(list(keys))
+    return src
+
+
+def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
+               dedupe: bool = False, skip_null_keys: bool = False) -> DataFrame:
+    """Rows the merge would insert, in the target's column order and types."""
+    src = _prepare(source, keys, dedupe, skip_null_keys)
     new = anti_join(src, target, keys)
     return new.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
                         for f in target.schema.fields])
@@ -60,11 +67,7 @@ def merge_insert_only(spark: SparkSession, target_path: str, source: DataFrame,
         target = spark.read.parquet(target_path)
         new = merge_rows(target, source, keys, dedupe=dedupe, skip_null_keys=skip_null_keys)
     else:
-        new = source
-        if skip_null_keys:
-            new = new.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-        if dedupe:
-            new = new.dropDuplicates(list(keys))
+        new = _prepare(source, keys, dedupe, skip_null_keys)
     if sort_by:
         new = new.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     new = new.observe(obs, F.count(F.lit(1)).alias("n"))

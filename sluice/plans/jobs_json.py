@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -251,5 +249,3 @@ def land_responses_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("api_name", "json_response_date",
                         F.to_json("json_response").alias("response_text"))
 
-
-_ = _dt  # datetime kept for callers building run dates
