@@ -210,7 +210,11 @@ def create_table_if_absent(spark: SparkSession, table_path: str, schema: T.Struc
 
 
 def read_entity(spark: SparkSession, table_path: str) -> DataFrame:
-    """All rows of an entity table (empty DataFrame when nothing is loaded)."""
+    """All rows of an entity table (empty DataFrame when nothing is loaded).
+
+    ``load_id`` and ``source_file_name`` are folder (partition) columns; the
+    result keeps the frozen column order, then ``load_id``.
+    """
     schema = table_schema(spark, table_path)
     if schema is None:
         raise FileNotFoundError(f"no table at {table_path}")
@@ -219,4 +223,4 @@ def read_entity(spark: SparkSession, table_path: str) -> DataFrame:
     has_data = any(s.getPath().getName().startswith("load_id=") for s in fs.listStatus(p))
     if not has_data:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(table_path)
+    return spark.read.schema(full).parquet(table_path).select(*full.fieldNames())

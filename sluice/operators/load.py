@@ -5,7 +5,8 @@ SURVEY A2, A9, A10, D1-D5, I5, K1-K3.
 Layout of a warehouse folder::
 
     <warehouse>/<ENTITY>/_schema.json          frozen schema (first file decides)
-    <warehouse>/<ENTITY>/load_id=<id>/part-*   one folder per load
+    <warehouse>/<ENTITY>/load_id=<id>/source_file_name=<file>/part-*
+                                               one folder per load and file
     <warehouse>/_ledger/part-*                 one row per loaded/failed file
 
 Exactly once without a transactional table format: data is appended first
@@ -15,9 +16,10 @@ ledger; the next run deletes such folders before it loads, and the files are
 loaded again.  Already loaded files (same name and length) are reported
 ``SKIPPED`` and not read again.
 
-Per-file isolation: every new file of an entity is checked in one job
-(gzip stream integrity, then field counts and casts), and only the clean
-files are loaded, in one append per entity.
+Per-file isolation: the new files of an entity are parsed once, in one job;
+each file lands in its own sub-folder of the load, and the files that held
+a bad row are dropped before the ledger commit, so a file loads whole or
+not at all.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,14 +210,59 @@ def check_rows(df: DataFrame, data_fields: Sequence[T.StructField],
 # ---------------------------------------------------------------------------
 # load
 
+def _write_load(spark: SparkSession, table: str, paths: Sequence[str],
+                data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
+                opts: dict[str, str], load_id: str) -> set[str]:
+    """One parse of the files: typed rows into ``load_id=/source_file_name=``
+    folders; returns the files holding a bad row (wrong field count or a value
+    that does not fit its column), collected by an Observation on the same pass."""
+    raw = read_landed_csv(spark, paths, [f.name for f in data_fields], opts,
+                          corrupt_column="__corrupt")
+    bad = F.col("__corrupt").isNotNull()
+    for f in data_fields:
+        bad = bad | ~_cast_ok(f.name, f.dataType)
+    typed = [F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else
+             F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name)
+             for f in data_fields]
+    out = with_lineage(raw.withColumn("__bad", bad), loaded_at, typed + [F.col("__bad")])
+    obs = Observation(f"load_{load_id}")
+    out = out.observe(obs, F.collect_set(F.when(F.col("__bad"), F.col("source_file_name")))
+                      .alias("bad_files"))
+    (out.drop("__bad").withColumn("load_id", F.lit(load_id))
+     .write.mode("append").partitionBy("load_id", "source_file_name").parquet(table))
+    return set(obs.get.get("bad_files") or [])
+
+
+def _file_folders(spark: SparkSession, load_dir: str) -> dict[str, str]:
+    from urllib.parse import unquote
+    prefix = "source_file_name="
+    return {unquote(n[len(prefix):]): full for n, full, _, is_dir in list_status(spark, load_dir)
+            if is_dir and n.startswith(prefix)}
+
+
+def _rows_per_file(spark: SparkSession, load_dir: str) -> dict[str, int]:
+    if not path_exists(spark, load_dir):
+        return {}
+    df = (spark.read.schema("source_file_name string").option("basePath", load_dir)
+          .parquet(load_dir))
+    return {r[0]: int(r[1]) for r in df.groupBy("source_file_name").count().collect()}
+
+
 def load_files(spark: SparkSession, landing: str, warehouse: str,
                loaded_at: _dt.datetime, options: dict[str, str] | None = None,
                on_error: str = "continue") -> RunResult:
     """Load every landed file not yet loaded into its entity table (A10).
 
     Report rows: (file_name, entity, status, rows_loaded, message) with
-    status LOADED, FAILED or SKIPPED.  ``on_error='abort'`` raises on the
-    first failed file instead of loading the clean ones.
+    status LOADED, FAILED or SKIPPED.  ``on_error='abort'`` raises when any
+    file fails, before anything is committed.
+
+    Optimistic, single parse per entity: the new files are parsed once and
+    written into a fresh ``load_id`` folder, one sub-folder per source file;
+    the files that held a bad row are known from the same pass and their
+    folders are removed before the ledger names the load.  Only when the
+    pass dies on an unreadable gzip stream are the files checked one by one
+    (``check_compression``) and the pass repeated without the broken ones.
     """
     wh = warehouse.rstrip("/")
     opts = dict(options or profile("ingest_csv"))
@@ -235,8 +282,6 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     for r in todo:
         by_entity.setdefault(r["entity"], []).append(r)
 
-    gz_err = check_compression(spark, [r["path"] for r in todo])
-
     for entity, rows in sorted(by_entity.items()):
         table = f"{wh}/{entity}"
         schema = table_schema(spark, table)
@@ -247,32 +292,37 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
             continue
         _drop_orphan_loads(spark, table, known)
         data_fields = schema.fields[6:]
-        failed = {r["file_name"]: gz_err[r["path"]] for r in rows if r["path"] in gz_err}
-        intact = [r for r in rows if r["file_name"] not in failed]
-        counts = {}
-        if intact:
-            raw = read_landed_csv(spark, [r["path"] for r in intact],
-                                  [f.name for f in data_fields], opts, corrupt_column="__corrupt")
-            for c in check_rows(raw, data_fields).collect():
-                counts[c["__file"]] = c["rows"]
-                if c["bad_fields"] or c["bad_casts"]:
-                    failed[c["__file"]] = (f"{c['bad_fields']} rows with a wrong field count, "
-                                           f"{c['bad_casts']} rows with a bad value, "
-                                           f"of {c['rows']} rows")
+        failed: dict[str, str] = {}
+        load_id = uuid.uuid4().hex
+        try:
+            bad = _write_load(spark, table, [r["path"] for r in rows], data_fields, loaded_at,
+                              opts, load_id)
+        except Exception:  # noqa: BLE001 - find unreadable files, then retry once
+            delete(spark, f"{table}/load_id={load_id}")
+            gz_err = check_compression(spark, [r["path"] for r in rows])
+            if not gz_err:
+                raise
+            failed.update({r["file_name"]: gz_err[r["path"]] for r in rows if r["path"] in gz_err})
+            load_id = uuid.uuid4().hex
+            rest = [r["path"] for r in rows if r["file_name"] not in failed]
+            bad = _write_load(spark, table, rest, data_fields, loaded_at, opts, load_id) \
+                if rest else set()
+        for f in bad:
+            failed[f] = ("rows with a wrong number of fields or a value that does not fit "
+                         "the column type")
+        load_dir = f"{table}/load_id={load_id}"
         if failed and on_error == "abort":
+            delete(spark, load_dir)
             raise RuntimeError(f"load of {entity} aborted: {failed}")
-        clean = [r for r in intact if r["file_name"] not in failed]
-        load_id = uuid.uuid4().hex
-        if clean:
-            raw = read_landed_csv(spark, [r["path"] for r in clean],
-                                  [f.name for f in data_fields], opts)
-            typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in data_fields]
-            out = with_lineage(raw, loaded_at, typed).withColumn("load_id", F.lit(load_id))
-            out.write.mode("append").partitionBy("load_id").parquet(table)
+        folders = _file_folders(spark, load_dir) if path_exists(spark, load_dir) else {}
+        for f in failed:
+            if f in folders:
+                delete(spark, folders[f])
+        counts = _rows_per_file(spark, load_dir)
         report = [(r["file_name"], entity, "FAILED", 0, failed[r["file_name"]])
                   for r in rows if r["file_name"] in failed]
-        report += [(r["file_name"], entity, "LOADED", counts.get(r["file_name"], 0),
-                    "loaded") for r in clean]
+        report += [(r["file_name"], entity, "LOADED", counts.get(r["file_name"], 0), "loaded")
+                   for r in rows if r["file_name"] not in failed]
         rep_df = spark.createDataFrame(report, REPORT_SCHEMA)
         length = {r["file_name"]: r["length"] for r in rows}
         ledger_rows = [(entity, f, length[f], load_id, loaded_at.replace(tzinfo=None), n, st, m)

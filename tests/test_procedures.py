@@ -8,6 +8,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from sluice.operators.load import read_table_rows
 from sluice.operators.snapshot import create_table
 from sluice.plans.master import Side
 from sluice.plans.procedures import (CREATE_REPORT, INGEST_REPORT, create_schema_and_tables,
@@ -40,10 +41,10 @@ def test_create_load_merge_procedures(spark, tmp):
     rep = {r["FILE_NAME"]: r for r in spark.read.parquet(f"{wh}/{INGEST_REPORT}").collect()}
     assert rep["patients_20250102000000_UTC.csv.gz"]["EXCEPTION_SUMMARY"] == "--No exceptions"
     bad = rep["encounters_20250103000000_UTC.csv.gz"]
-    assert "success: FALSE" in bad["DAILY_INGEST_RESULTS"] and "bad value" in bad["EXCEPTION_SUMMARY"]
+    assert "success: FALSE" in bad["DAILY_INGEST_RESULTS"] and "does not fit" in bad["EXCEPTION_SUMMARY"]
 
-    patients = spark.read.parquet(f"{wh}/PATIENTS")
-    enc = spark.read.parquet(f"{wh}/ENCOUNTERS")
+    patients = read_table_rows(spark, wh, "PATIENTS")
+    enc = read_table_rows(spark, wh, "ENCOUNTERS")
     sides = [Side(enc, "MASTER_PATIENT_ID", "PATIENT_ENCOUNTER_ID", "encounters_patient_encounter_id")]
     master = f"{wh}/MASTER_PATIENT_LOOKUP"
     r1 = merge_data_to_master(spark, patients, "MASTER_PATIENT_ID", "patients_master_patient_id",
