@@ -15,7 +15,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,32 +96,31 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
         raw = (spark.read.options(**read_opts).schema(schema).csv([r["path"] for r in files])
                .withColumn("__file", F.col("_metadata.file_name"))
                .withColumn("__split", F.col("_metadata.file_block_start")))
-        bad = set()
-        if on_bad_utf8 == "skip":
-            has_bad = F.lit(False)
-            for c in pos:
-                has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
-            bad = {x["__file"] for x in raw.where(has_bad).select("__file").distinct().collect()}
-            for r in files:
-                if r["file_name"] in bad:
-                    report.append((r["path"], None, "skipped", "invalid UTF-8 bytes"))
-        keep = [r for r in files if r["file_name"] not in bad]
-        if not keep:
-            continue
-        by_name = {r["file_name"]: r for r in keep}
-        part = raw.where(F.col("__file").isin(list(by_name)))
-        numbered = file_row_number(part)
-        cleaned = clean_frame(numbered, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
+        by_name = {r["file_name"]: r for r in files}
+        numbered = file_row_number(raw)
+        has_bad = F.lit(False)
+        for c in pos:
+            has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
+        obs = Observation("clean")
+        # files with invalid UTF-8 are found on the same pass (Observation)
+        # and their outputs dropped before they are published
+        observed = numbered.observe(
+            obs, F.collect_set(F.when(has_bad, F.col("__file"))).alias("bad_files"))
+        cleaned = clean_frame(observed, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
                               else "keep")
         named = cleaned.select(*[F.col(p).alias(n) for p, n in zip(pos, cols)],
                                F.col("__file"), F.col("source_file_row_number").alias("__rn"))
-        splittable = any(not r["file_name"].endswith(".gz") for r in keep)
+        splittable = any(not r["file_name"].endswith(".gz") for r in files)
         staging = f"{target.rstrip('/')}/_tmp_clean"
         written = write_named_csv(spark, named, staging, "__file",
                                   order_by=["__rn"], options=_write_options(),
                                   shuffle=splittable, drop=["__rn"])
+        bad = set(obs.get.get("bad_files") or []) if on_bad_utf8 == "skip" else set()
         for name in written:
             r = by_name[name]
+            if name in bad:
+                report.append((r["path"], None, "skipped", "invalid UTF-8 bytes"))
+                continue
             dst = f"{target.rstrip('/')}/{r['relative_path']}"
             rename(spark, f"{staging}/{name}", dst)
             report.append((r["path"], dst, "processed", None))
