@@ -63,3 +63,37 @@ def test_scans_prune_columns_and_push_filters(spark):
         .select("o_orderkey")
     p2 = executed(orders)
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in p2
+
+
+def test_hot_key_is_split_in_fan_out_join(spark):
+    """One customer holds a third of all orders: AQE splits its partition in
+    the inner (fan-out) join, which a plain LEFT JOIN could not do."""
+    from sluice.operators.joins import left_join
+    orders = read_table(spark, "/root/testdata/sf0.01", "orders")
+    hot = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(7))
+                            .otherwise(F.col("o_custkey")))
+    base = read_table(spark, "/root/testdata/sf0.01", "customer").select(
+        F.col("c_custkey").alias("k"), "c_name")
+    # several map tasks, as any large input has: AQE splits by map ranges
+    side = hot.repartition(8).select(F.col("o_custkey").alias("k"), "o_orderkey", "o_totalprice")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = left_join(base, side, "k")
+        n = len(df.collect())  # runs this plan, so AQE finalises it
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert n == orders.count() + base.join(side, "k", "left_anti").count()
+        assert "SortMergeJoin(skew=true)" in final
+        plain = base.join(side, "k", "left")
+        plain.collect()
+        assert "skew=true" not in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
