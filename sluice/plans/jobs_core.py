@@ -252,9 +252,10 @@ def failover_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = scratch_path(spark, "master-lookup-load")
     master_lookup_df(spark, sf_dir).write.parquet(load)  # temp snapshot (A23)
     target = scratch_path(spark, "master-lookup")
-    # a target whose key column is numeric: the key comparison fails at runtime
-    spark.range(1).select(F.col("id").alias("master_patient_lookup_table_unique_key")) \
-        .write.parquet(target)
+    # a target with a column the load does not have: the merge cannot align
+    # the inserted rows to it and fails (with any ANSI setting)
+    spark.range(1).select(F.col("id").cast("string").alias("master_patient_lookup_table_unique_key"),
+                          F.lit("x").alias("column_missing_from_load")).write.parquet(target)
     result = merge_with_failover(spark, target, load, ["master_patient_lookup_table_unique_key"],
                                  run_date=RUN_AT.date())
     if "Failover table at: " not in result.message:
