@@ -85,3 +85,32 @@ def test_land_and_unload(spark, tmp):
     assert sorted(r["feed"] for r in back.collect()) == ["neo_data", "tle_data"]
     assert back.where(F.col("feed") == "neo_data").select(
         F.to_json("value")).first()[0] == '{"near_earth_objects":{"2025-01-02":[{"id":"1"}]}}'
+
+
+def test_stream_chain_with_master_merge(spark, tmp):
+    """M6: file arrival -> create -> load -> master lookup merge, twice."""
+    from sluice.streaming.ingest import run_available
+
+    land, wh, ck = f"{tmp}/land", f"{tmp}/wh", f"{tmp}/ck"
+    master = f"{wh}/MASTER_PATIENT_LOOKUP"
+
+    def merge(spark_, warehouse, result):
+        patients = read_table_rows(spark_, warehouse, "PATIENTS")
+        sides = []
+        try:
+            enc = read_table_rows(spark_, warehouse, "ENCOUNTERS")
+            sides.append(Side(enc, "MASTER_PATIENT_ID", "PATIENT_ENCOUNTER_ID",
+                              "encounters_patient_encounter_id"))
+        except FileNotFoundError:
+            pass
+        merge_data_to_master(spark_, patients, "MASTER_PATIENT_ID", "patients_master_patient_id",
+                             sides, "master_patient_lookup_table_unique_key", master, RUN.date())
+
+    gz(f"{land}/patients_20250102000000_UTC.csv.gz", "master_patient_id\n1\n2\n")
+    assert run_available(spark, land, wh, ck, loaded_at=RUN, after_load=merge) == 1
+    assert spark.read.parquet(master).count() == 2
+    gz(f"{land}/patients_20250103000000_UTC.csv.gz", "master_patient_id\n3\n")
+    assert run_available(spark, land, wh, ck, loaded_at=RUN, after_load=merge) == 1
+    ids = sorted(r[0] for r in spark.read.parquet(master)
+                 .select("patients_master_patient_id").collect())
+    assert [int(i) for i in ids] == [1, 2, 3]
