@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.json import array_text, object_text
 from sluice.operators.infer import (create_table_if_absent, entity_schema, infer_schema,
-                                    read_entity, table_schema)
+                                    read_entity, read_headers, table_schema)
 from sluice.operators.snapshot import delete, list_status, path_exists
 from sluice.sources.files import filter_names, list_files, profile
 from sluice.sources.landing import LANDED_PATTERN, entity_from_file, read_landed_csv, with_lineage
@@ -97,31 +97,61 @@ def _drop_orphan_loads(spark: SparkSession, table: str, known: set[str]) -> list
 # ---------------------------------------------------------------------------
 # create
 
+def _first_with_header(spark: SparkSession, candidates: dict[str, list],
+                       options: dict[str, str] | None) -> dict[str, object]:
+    """Per entity, the first file (by name) that has a header line.
+
+    Empty files have no row 1 and are passed over, as discovery does in the
+    reference.  Candidates are tried in growing batches (1, 8, 64, ...), so
+    normally only each entity's first file is opened.
+    """
+    chosen: dict[str, object] = {}
+    start, size = 0, 1
+    while True:
+        batch = {e: rows[start:start + size] for e, rows in candidates.items()
+                 if e not in chosen and len(rows) > start}
+        if not batch:
+            return chosen
+        headers = read_headers(spark, [r["path"] for rs in batch.values() for r in rs], options)
+        for e, rows in batch.items():
+            for r in rows:
+                if headers.get(r["file_name"]):
+                    chosen[e] = r
+                    break
+        start, size = start + size, size * 8
+
+
 def create_entity_tables(spark: SparkSession, landing: str, warehouse: str,
                          options: dict[str, str] | None = None) -> DataFrame:
-    """Create each entity's table from its first landed file.
+    """Create each entity's table from its first landed file with a header.
 
     Returns one row per entity: (entity, file_name, created, columns).  An
     existing table keeps its schema (``CREATE TABLE IF NOT EXISTS``).
     """
+    wh = warehouse.rstrip("/")
     files = landed_files(spark, landing)
-    firsts = (files.groupBy("entity").agg(F.min("file_name").alias("file_name"))
-              .join(files.select("file_name", "path"), "file_name").collect())  # one row per entity
-    todo = {r["entity"]: r for r in firsts
-            if table_schema(spark, f"{warehouse.rstrip('/')}/{r['entity']}") is None}
+    firsts = files.groupBy("entity").agg(F.min("file_name").alias("file_name")).collect()
+    todo = sorted(r["entity"] for r in firsts if table_schema(spark, f"{wh}/{r['entity']}") is None)
     out = []
     if todo:
-        inferred = infer_schema(spark, [r["path"] for r in todo.values()], options)
-        cols = {}
-        for r in inferred.orderBy("file_name", "order_id").collect():
-            cols.setdefault(r["file_name"], []).append((r["column_name"], r["normalised_type"]))
-        for entity, r in sorted(todo.items()):
-            columns = cols.get(r["file_name"])
-            if not columns:
-                out.append((entity, r["file_name"], False, "no header"))
+        candidates: dict[str, list] = {}
+        for r in (files.where(F.col("entity").isin(todo))
+                  .select("entity", "file_name", "path").orderBy("entity", "file_name")
+                  .collect()):  # file names of entities without a table
+            candidates.setdefault(r["entity"], []).append(r)
+        chosen = _first_with_header(spark, candidates, options)
+        cols: dict[str, list] = {}
+        if chosen:
+            inferred = infer_schema(spark, [r["path"] for r in chosen.values()], options)
+            for r in inferred.orderBy("file_name", "order_id").collect():
+                cols.setdefault(r["file_name"], []).append((r["column_name"], r["normalised_type"]))
+        for entity in todo:
+            r = chosen.get(entity)
+            if r is None or not cols.get(r["file_name"]):
+                out.append((entity, candidates[entity][0]["file_name"], False, "no header"))
                 continue
-            created = create_table_if_absent(spark, f"{warehouse.rstrip('/')}/{entity}",
-                                             entity_schema(columns))
+            columns = cols[r["file_name"]]
+            created = create_table_if_absent(spark, f"{wh}/{entity}", entity_schema(columns))
             out.append((entity, r["file_name"], created,
                         ", ".join(f"{c.upper()} {t}" for c, t in columns)))
     for r in firsts:

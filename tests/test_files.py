@@ -230,3 +230,14 @@ def test_stream_landed_rows_with_file_names(spark, tmp):
     q.awaitTermination()
     assert sorted(rows) == [("1", "a", "e_20250102000000_UTC.csv.gz"),
                             ("2", "b", "e_20250102000000_UTC.csv.gz")]
+
+
+def test_create_skips_empty_first_file(spark, tmp):
+    land, wh = f"{tmp}/land", f"{tmp}/wh"
+    gz(f"{land}/p_20250101000000_UTC.csv.gz", "")                       # no row 1
+    gz(f"{land}/p_20250102000000_UTC.csv.gz", "id,amt\n1,2.5\n")
+    rows = {r["entity"]: r for r in create_entity_tables(spark, land, wh).collect()}
+    assert rows["P"]["created"] and rows["P"]["file_name"] == "p_20250102000000_UTC.csv.gz"
+    assert [f.name for f in table_schema(spark, f"{wh}/P").fields][6:] == ["ID", "AMT"]
+    again = {r["entity"]: r for r in create_entity_tables(spark, land, wh).collect()}
+    assert again["P"]["created"] is False and again["P"]["columns"] == "exists"
