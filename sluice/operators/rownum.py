@@ -3,11 +3,14 @@
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY sends every row to
 one task.  ``global_row_number`` gives the same numbers in parallel:
 
-1. sample the sort keys once and collect at most ``buckets - 1`` boundaries
-   to the driver (bounded: ~``samples_per_bucket`` rows per bucket);
-2. bucket = number of boundaries <= key, a pure function of the row, so it
-   is identical on every retry (no dependency on partition ids);
-3. ``groupBy(bucket).count()`` -> running sum -> one offset per bucket;
+1. sample the sort keys once (at most ``max_sample`` rows reach the driver)
+   and pick ``buckets - 1`` boundaries;
+2. bucket = number of boundaries <= key, found by a binary search (a
+   higher-order ``aggregate`` over ``log2(buckets)`` steps) in the sorted
+   boundary array, a folded literal; a pure function of the row, so
+   identical on every retry;
+3. ``groupBy(bucket).count()`` (<= ``max_buckets`` rows) -> running sum ->
+   one offset per bucket, shipped the same way;
 4. ``row_number() OVER (PARTITION BY bucket ORDER BY k) + offset``.
 
 The ordering includes a tie-breaker over the remaining columns, so one very
@@ -35,18 +38,70 @@ def _tiebreak(df: DataFrame, keys: Sequence[str]) -> list[str]:
             if f.name not in keys and isinstance(f.dataType, _ORDERABLE)]
 
 
-def _bucket_expr(key: Column, bounds: list, lo: int, hi: int) -> Column:
-    """Index of the bucket of ``key``: balanced tree of struct comparisons."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2  # bucket >= mid  <=>  key >= bounds[mid - 1]
-    return F.when(key >= bounds[mid - 1], _bucket_expr(key, bounds, mid, hi)) \
-        .otherwise(_bucket_expr(key, bounds, lo, mid - 1))
+def _norm(df: DataFrame, c: str) -> tuple[Column, T.DataType]:
+    """An order-preserving, one-to-one image of a key column whose values
+    survive a JSON text round trip exactly (for the literal boundaries)."""
+    t = df.schema[c].dataType
+    col = F.col(f"`{c}`")
+    if isinstance(t, T.TimestampNTZType):
+        return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), T.StringType()
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(col), T.LongType()
+    if isinstance(t, T.DateType):
+        return F.unix_date(col), T.LongType()
+    if isinstance(t, T.BinaryType):
+        return F.hex(col), T.StringType()
+    if isinstance(t, T.BooleanType):
+        return col.cast("int"), T.LongType()
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return col.cast("bigint"), T.LongType()
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return col.cast("double"), T.DoubleType()
+    return col, t  # string, decimal
+
+
+def _json_value(v) -> str:
+    import decimal
+    import json
+    if v is None:
+        return "null"
+    if isinstance(v, decimal.Decimal):
+        return str(v)
+    return json.dumps(v)
+
+
+def _literal_array(rows: list, schema: T.StructType | T.DataType) -> Column:
+    """A sorted array literal from driver values: one JSON text literal that
+    the optimizer folds into a constant (the plan stays one literal, no
+    expression per element, no join)."""
+    if isinstance(schema, T.StructType):
+        text = "[" + ",".join("{" + ",".join(f'"{f.name}":{_json_value(v)}'
+                                             for f, v in zip(schema.fields, row)) + "}"
+                              for row in rows) + "]"
+    else:
+        text = "[" + ",".join(_json_value(v) for v in rows) + "]"
+    return F.from_json(F.lit(text), T.ArrayType(schema))
+
+
+def _binary_search(bounds: Column, n_bounds: int, key: Column) -> Column:
+    """Number of elements of the sorted ``bounds`` that are <= ``key``."""
+    steps = max(1, n_bounds.bit_length() + 1)
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        right = F.element_at(bounds, mid + 1) <= key
+        return F.when(lo < hi, F.when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+                      .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))).otherwise(acc)
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(n_bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
 
 
 def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_number", *,
-                      buckets: int | None = None, rows_per_bucket: int = 4_000_000,
-                      max_buckets: int = 4096, samples_per_bucket: int = 40,
+                      buckets: int | None = None, rows_per_bucket: int = 1_000_000,
+                      max_buckets: int = 65_536, samples_per_bucket: int = 20,
+                      max_sample: int = 1_000_000,
                       tiebreak: Sequence[str] | None = None, seed: int = 17,
                       stage: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of the row in ``ORDER BY keys`` (asc, nulls first).
@@ -65,30 +120,34 @@ def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_numbe
         parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(parallel, math.ceil(n / rows_per_bucket))
     buckets = max(1, min(buckets, max_buckets, n or 1))
-    key = F.struct(*[F.col(c) for c in order])
-    bounds: list = []
+    normed = [_norm(df, c) for c in order]
+    key_schema = T.StructType([T.StructField(f"k{i}", t) for i, (_, t) in enumerate(normed)])
+    key = F.struct(*[e.alias(f"k{i}") for i, (e, _) in enumerate(normed)])
+    uniq: list = []
     if buckets > 1:
-        frac = min(1.0, samples_per_bucket * buckets / max(n, 1))
+        want = min(max_sample, samples_per_bucket * buckets)
+        frac = min(1.0, want / max(n, 1))
+        cols = [e.alias(f"k{i}") for i, (e, _) in enumerate(normed)]
         sample = (df.sample(withReplacement=False, fraction=frac, seed=seed)
-                  .select(*order).orderBy(*order).collect())
+                  .select(*cols).orderBy(*[f"k{i}" for i in range(len(cols))])
+                  .collect())  # bounded by max_sample
         step = len(sample) / buckets
-        picked = [sample[int(step * i)] for i in range(1, buckets) if int(step * i) < len(sample)]
-        # distinct, increasing boundaries as literal structs
-        uniq = []
-        for row in picked:
-            if not uniq or tuple(row) != tuple(uniq[-1]):
-                uniq.append(row)
-        bounds = [F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c)
-                             for c, v in zip(order, row)]) for row in uniq]
-    bucket = _bucket_expr(key, bounds, 0, len(bounds)) if bounds else F.lit(0)
+        for i in range(1, buckets):
+            j = int(step * i)
+            if j < len(sample) and (not uniq or tuple(sample[j]) != tuple(uniq[-1])):
+                uniq.append(tuple(sample[j]))
+    if uniq:
+        bounds = _literal_array(uniq, key_schema)
+        bucket = _binary_search(bounds, len(uniq), key)
+    else:
+        bucket = F.lit(0)
     tagged = df.withColumn("__bucket", bucket)
     counts = dict(tagged.groupBy("__bucket").count().collect())  # <= buckets rows
     offsets, run = [], 0
-    for b in range(len(bounds) + 1):
+    for b in range(len(uniq) + 1):
         offsets.append(run)
         run += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]),
-                          F.col("__bucket") + 1)
+    offset = F.element_at(_literal_array(offsets, T.LongType()), F.col("__bucket") + 1)
     w = Window.partitionBy("__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return (tagged.withColumn(name, (F.row_number().over(w) + offset).cast("bigint"))
             .drop("__bucket"))
