@@ -125,7 +125,7 @@ def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_numbe
     key = F.struct(*[e.alias(f"k{i}") for i, (e, _) in enumerate(normed)])
     uniq: list = []
     if buckets > 1:
-        want = min(max_sample, samples_per_bucket * buckets)
+        want = min(max_sample, max(samples_per_bucket * buckets, 10_000))
         frac = min(1.0, want / max(n, 1))
         cols = [e.alias(f"k{i}") for i, (e, _) in enumerate(normed)]
         sample = (df.sample(withReplacement=False, fraction=frac, seed=seed)
