@@ -35,7 +35,13 @@ def left_join(left: DataFrame, right: DataFrame, key: str | Sequence[str],
         return left.join(right, on=keys, how="left")
     extra = [f for f in right.schema.fields if f.name not in keys]
     matched = left.join(right, on=keys, how="inner")
-    unmatched = left.join(right.select(*keys).distinct(), on=keys, how="left_anti")
+    # "no match" as an outer join against the distinct keys + IS NULL rather
+    # than LEFT ANTI: the optimizer would push an anti join below ``left``'s
+    # own joins, giving two different copies of ``left``; this way both
+    # branches share one ``left`` subtree and its shuffles are reused.
+    hits = right.select(*keys).distinct().withColumn("__hit", F.lit(True))
+    unmatched = (left.join(hits, on=keys, how="left").where(F.col("__hit").isNull())
+                 .drop("__hit"))
     for f in extra:
         unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
     return matched.unionByName(unmatched)
