@@ -91,5 +91,5 @@ def merge_with_failover(spark: SparkSession, target_path: str, load_path: str,
     except Exception as exc:  # noqa: BLE001 - any failure triggers the snapshot
         create_table_as_if_absent(spark, failover, spark.read.parquet(load_path))
         return MergeResult(target_path, 0,
-                           f"Failure during merge ({type(exc).__name__}). "
-                           f"Failover table at: {failover}")
+                           f"Failure during procedure ({type(exc).__name__}).  Check query "
+                           f"history and failover table at: {failover}")

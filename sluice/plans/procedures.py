@@ -102,7 +102,8 @@ def land_and_unload(spark: SparkSession, requests: DataFrame,
     # one action: each request is fetched once
     land_responses(requests, make_fetcher, param_cols, run_date) \
         .write.mode("append").parquet(responses_path)
-    table = spark.read.parquet(responses_path).where(F.col("json_response_date") == F.lit(run_date))
+    # every response of the feed goes to the run's file, whatever its date
+    table = spark.read.parquet(responses_path)
     files = unload_json(spark, table, out_dir, run_date, feeds=feeds)
     parts = [f"\n\t--{r['feed']}: {r['file_name']} ({r['rows']} rows, {r['bytes']} bytes)"
              for r in files.orderBy("feed", "file_name").collect()]  # one row per file
