@@ -241,3 +241,21 @@ def test_create_skips_empty_first_file(spark, tmp):
     assert [f.name for f in table_schema(spark, f"{wh}/P").fields][6:] == ["ID", "AMT"]
     again = {r["entity"]: r for r in create_entity_tables(spark, land, wh).collect()}
     assert again["P"]["created"] is False and again["P"]["columns"] == "exists"
+
+
+def test_row_number_in_splittable_file(spark, tmp):
+    """An uncompressed file read in many splits still gets 1..n in file order."""
+    os.makedirs(f"{tmp}/plain", exist_ok=True)
+    p = f"{tmp}/plain/t_20250102000000_UTC.csv"
+    with open(p, "w") as f:
+        f.write("a,b\n" + "".join(f"{i},row{i}\n" for i in range(5000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = read_landed_csv(spark, [p], ["a", "b"])
+        assert raw.select("__split").distinct().count() > 5          # really split
+        got = {int(r["a"]): r["source_file_row_number"]
+               for r in with_lineage(raw, RUN).select("a", "source_file_row_number").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {i: i + 1 for i in range(5000)}
