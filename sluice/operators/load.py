@@ -217,29 +217,6 @@ def _cast_ok(c: str, dt: T.DataType) -> Column:
     return v.isNull() | F.expr(f"try_cast(`{c}` AS {dt.simpleString()})").isNotNull()
 
 
-def check_rows(df: DataFrame, data_fields: Sequence[T.StructField],
-               corrupt: str = "__corrupt") -> DataFrame:
-    """Per file: rows, rows with a wrong field count, rows with a bad cast.
-
-    Every data column is referenced (``chars``): with CSV column pruning the
-    parser only checks the field count of records whose columns are all
-    requested.
-    """
-    bad_cast = F.lit(False)
-    for f in data_fields:
-        bad_cast = bad_cast | ~_cast_ok(f.name, f.dataType)
-    return df.groupBy("__file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.col(corrupt)).alias("bad_fields"),
-        F.count(F.when(bad_cast & F.col(corrupt).isNull(), 1)).alias("bad_casts"),
-        F.sum(F.length(F.concat_ws("", *[F.col(f"`{f.name}`") for f in data_fields])))
-        .alias("chars"),
-    )
-
-
-# ---------------------------------------------------------------------------
-# load
-
 def _write_load(spark: SparkSession, table: str, paths: Sequence[str],
                 data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
                 opts: dict[str, str], load_id: str) -> set[str]:
