@@ -40,10 +40,11 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 
 def land_table(spark: SparkSession, df: DataFrame, landing: str, entity: str, key: str,
-               rows_per_file: int, date: str = FILE_DATE) -> list[str]:
+               rows_per_file: int, date: str = FILE_DATE,
+               options: dict[str, str] | None = None) -> list[str]:
     """Write ``df`` as landed files sorted by ``key``; returns the file names."""
     named = csv_ready(df).withColumn("__name", file_name_col(entity, key, rows_per_file, date))
-    return write_named_csv(spark, named, landing, "__name", order_by=[key])
+    return write_named_csv(spark, named, landing, "__name", order_by=[key], options=options)
 
 
 def new_landing(spark: SparkSession, purpose: str = "landing") -> str:

@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from sluice.functions.dates import parse_date
 from sluice.operators.infer import infer_schema
 from sluice.operators.load import create_entity_tables, load_files, read_table_rows
-from sluice.operators.snapshot import _fs
 from sluice.plans.fixtures import file_name_sql, land_table, new_landing
 from sluice.plans.jobs_core import RUN_AT, RUN_AT_KEY_TEXT
 from sluice.plans.registry import register
 from sluice.session import read_table, scratch_path
-from sluice.sources.files import filter_names, list_files
+from sluice.sources.files import filter_names, list_files, profile
 from sluice.sources.landing import (FILE_DATE_PATTERN, entity_from_file, read_landed_csv,
                                     with_lineage)
 
@@ -152,38 +151,27 @@ def reload_is_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# per_file_isolation: good customer files + a truncated gzip + too many fields
-
-BROKEN_GZIP = "customer_20250103000000_UTC.csv.gz"
-EXTRA_FIELD = "customer_20250103000001_UTC.csv.gz"
-
-ISOLATION_SQL = (
-    _counts_sql("customer", "CUSTOMER", "c_custkey", CUSTOMERS_PER_FILE, "LOADED",
-                where="WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
-    + f"""
-UNION ALL SELECT '{BROKEN_GZIP}', 'CUSTOMER', 'FAILED', CAST(0 AS BIGINT)
-          FROM customer WHERE c_mktsegment = 'BUILDING' HAVING count(*) > 0
-UNION ALL SELECT '{EXTRA_FIELD}', 'CUSTOMER', 'FAILED', CAST(0 AS BIGINT)
-          FROM customer WHERE c_mktsegment = 'MACHINERY' HAVING count(*) > 0""")
-
-
-def _copy_prefix(spark: SparkSession, src: str, dst: str, max_bytes: int = 1 << 16) -> None:
-    """Copy the first half (at most ``max_bytes``) of a file: a truncated gzip."""
-    fs, p = _fs(spark, src)
-    half = min(int(fs.getFileStatus(p).getLen()) // 2, max_bytes)
-    jvm = spark.sparkContext._jvm
-    ins = fs.open(p)
-    try:
-        buf = jvm.java.nio.ByteBuffer.allocate(half).array()
-        ins.readFully(0, buf)
-    finally:
-        ins.close()
-    out_fs, q = _fs(spark, dst)
-    out = out_fs.create(q, False)
-    try:
-        out.write(buf)
-    finally:
-        out.close()
+# per_file_isolation: good customer files, files that are not gzip streams
+# (BUILDING customers) and files with an extra field (MACHINERY customers),
+# every file one key range, so no file grows with the table
+
+NOT_GZIP_DATE = "20250103"
+EXTRA_FIELD_DATE = "20250104"
+
+
+def _isolation_sql() -> str:
+    good = _counts_sql("customer", "CUSTOMER", "c_custkey", CUSTOMERS_PER_FILE, "LOADED",
+                       where="WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
+    bad = []
+    for segment, date in (("BUILDING", NOT_GZIP_DATE), ("MACHINERY", EXTRA_FIELD_DATE)):
+        f = file_name_sql("customer", "c_custkey", CUSTOMERS_PER_FILE, date)
+        bad.append(f"SELECT DISTINCT {f} AS file_name, 'CUSTOMER' AS entity, 'FAILED' AS status, "
+                   f"CAST(0 AS BIGINT) AS rows_loaded FROM customer "
+                   f"WHERE c_mktsegment = '{segment}'")
+    return good + "\nUNION ALL\n" + "\nUNION ALL\n".join(bad)
+
+
+ISOLATION_SQL = _isolation_sql()
 
 
 @register("per_file_isolation", ISOLATION_SQL)
@@ -191,20 +179,16 @@ def per_file_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     landing = new_landing(spark)
     warehouse = scratch_path(spark, "warehouse")
-    good = customer.where(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-    land_table(spark, good, landing, "customer", "c_custkey", CUSTOMERS_PER_FILE)
-    side = new_landing(spark, "broken")
-    b = land_table(spark, customer.where(F.col("c_mktsegment") == "BUILDING"), side,
-                   "building", "c_custkey", 1 << 62)
-    if b:
-        _copy_prefix(spark, f"{side}/{b[0]}", f"{landing}/{BROKEN_GZIP}")
-    extra = customer.where(F.col("c_mktsegment") == "MACHINERY") \
-        .withColumn("extra_field", F.lit("x")) \
-        .withColumn("__name", F.lit(EXTRA_FIELD))
-    if extra.take(1):
-        from sluice.sources.landing import write_named_csv
-        from sluice.plans.fixtures import csv_ready
-        write_named_csv(spark, csv_ready(extra), landing, "__name", order_by=["c_custkey"])
+    segment = F.col("c_mktsegment")
+    land_table(spark, customer.where(~segment.isin("BUILDING", "MACHINERY")), landing,
+               "customer", "c_custkey", CUSTOMERS_PER_FILE)
+    # named .csv.gz but written uncompressed: not a gzip stream
+    land_table(spark, customer.where(segment == "BUILDING"), landing, "customer", "c_custkey",
+               CUSTOMERS_PER_FILE, date=NOT_GZIP_DATE,
+               options=profile("export_csv", compression="none"))
+    # one more field than the table has
+    land_table(spark, customer.where(segment == "MACHINERY").withColumn("extra_field", F.lit("x")),
+               landing, "customer", "c_custkey", CUSTOMERS_PER_FILE, date=EXTRA_FIELD_DATE)
     create_entity_tables(spark, landing, warehouse)
     run = load_files(spark, landing, warehouse, RUN_AT)
     return run.report.select("file_name", "entity", "status", "rows_loaded")
