@@ -5,10 +5,11 @@ one task.  ``global_row_number`` gives the same numbers in parallel:
 
 1. sample the sort keys once (at most ``max_sample`` rows reach the driver)
    and pick ``buckets - 1`` boundaries;
-2. bucket = number of boundaries <= key, found by a binary search (a
-   higher-order ``aggregate`` over ``log2(buckets)`` steps) in the sorted
-   boundary array, a folded literal; a pure function of the row, so
-   identical on every retry;
+2. bucket = number of boundaries <= key, found by a binary search over a
+   perfect search tree kept as one folded literal array per level
+   (``log2(buckets)`` small code-generated projections, literals adding up
+   to the boundary count); a pure function of the row, so identical on
+   every retry;
 3. ``groupBy(bucket).count()`` (<= ``max_buckets`` rows) -> running sum ->
    one offset per bucket, shipped the same way;
 4. ``row_number() OVER (PARTITION BY bucket ORDER BY k) + offset``.
@@ -75,7 +76,8 @@ def _literal_array(rows: list, schema: T.StructType | T.DataType) -> Column:
     the optimizer folds into a constant (the plan stays one literal, no
     expression per element, no join)."""
     if isinstance(schema, T.StructType):
-        text = "[" + ",".join("{" + ",".join(f'"{f.name}":{_json_value(v)}'
+        text = "[" + ",".join("null" if row is None else
+                              "{" + ",".join(f'"{f.name}":{_json_value(v)}'
                                              for f, v in zip(schema.fields, row)) + "}"
                               for row in rows) + "]"
     else:
@@ -83,19 +85,30 @@ def _literal_array(rows: list, schema: T.StructType | T.DataType) -> Column:
     return F.from_json(F.lit(text), T.ArrayType(schema))
 
 
-def _binary_search(bounds: Column, n_bounds: int, key: Column) -> Column:
-    """Number of elements of the sorted ``bounds`` that are <= ``key``."""
-    steps = max(1, n_bounds.bit_length() + 1)
+def _with_bucket(df: DataFrame, bounds: list, key_schema: T.StructType, key: Column,
+                 name: str = "__bucket") -> DataFrame:
+    """Add ``name`` = number of the sorted ``bounds`` that are <= ``key``.
 
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        right = F.element_at(bounds, mid + 1) <= key
-        return F.when(lo < hi, F.when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
-                      .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))).otherwise(acc)
-
-    init = F.struct(F.lit(0).alias("lo"), F.lit(n_bounds).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+    A binary search over a perfect search tree stored level by level: level
+    ``i`` holds its 2^i pivots as one literal array, so the literals add up
+    to about ``len(bounds)`` values and each of the ceil(log2) levels is one
+    code-generated comparison (``p = 2p + [pivot <= key]``).  Missing pivots
+    past the end are NULL and count as +infinity.
+    """
+    n = len(bounds)
+    depth = max(1, n.bit_length())            # 2^depth - 1 >= n
+    out = df.withColumn("__key", key).withColumn("__p", F.lit(0))
+    p = F.col("__p")
+    for i in range(depth):
+        span = 1 << (depth - 1 - i)
+        level = []
+        for j in range(1 << i):
+            idx = (2 * j + 1) * span - 1
+            level.append(bounds[idx] if idx < n else None)
+        pivot = F.element_at(_literal_array(level, key_schema), p + 1)
+        go_right = F.coalesce(pivot <= F.col("__key"), F.lit(False))
+        out = out.withColumn("__p", F.when(go_right, p * 2 + 1).otherwise(p * 2))
+    return out.withColumn(name, F.col("__p")).drop("__key", "__p")
 
 
 def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_number", *,
@@ -137,11 +150,9 @@ def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_numbe
             if j < len(sample) and (not uniq or tuple(sample[j]) != tuple(uniq[-1])):
                 uniq.append(tuple(sample[j]))
     if uniq:
-        bounds = _literal_array(uniq, key_schema)
-        bucket = _binary_search(bounds, len(uniq), key)
+        tagged = _with_bucket(df, uniq, key_schema, key)
     else:
-        bucket = F.lit(0)
-    tagged = df.withColumn("__bucket", bucket)
+        tagged = df.withColumn("__bucket", F.lit(0))
     counts = dict(tagged.groupBy("__bucket").count().collect())  # <= buckets rows
     offsets, run = [], 0
     for b in range(len(uniq) + 1):
