@@ -259,3 +259,14 @@ def test_row_number_in_splittable_file(spark, tmp):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == {i: i + 1 for i in range(5000)}
+
+
+def test_abort_on_error_commits_nothing(spark, tmp):
+    land, wh = f"{tmp}/land", f"{tmp}/wh"
+    gz(f"{land}/c_20250102000000_UTC.csv.gz", "id\n1\n")
+    gz(f"{land}/c_20250103000000_UTC.csv.gz", "id\nnot-a-number\n")
+    create_entity_tables(spark, land, wh)
+    with pytest.raises(RuntimeError):
+        load_files(spark, land, wh, RUN, on_error="abort")
+    assert read_table_rows(spark, wh, "C").count() == 0
+    assert not os.path.exists(f"{wh}/_ledger")
