@@ -8,6 +8,7 @@ can call them the way the task graph called the procedures.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,6 +106,8 @@ def land_and_unload(spark: SparkSession, requests: DataFrame,
     # every response of the feed goes to the run's file, whatever its date
     table = spark.read.parquet(responses_path)
     files = unload_json(spark, table, out_dir, run_date, feeds=feeds)
-    parts = [f"\n\t--{r['feed']}: {r['file_name']} ({r['rows']} rows, {r['bytes']} bytes)"
-             for r in files.orderBy("feed", "file_name").collect()]  # one row per file
+    parts = [f"\n\t--{r['feed']}: " + json.dumps(
+                 {"rows_unloaded": r["rows_unloaded"], "input_bytes": r["input_bytes"],
+                  "output_bytes": r["output_bytes"], "files": list(r["files"])})
+             for r in files.orderBy("feed").collect()]  # one row per feed
     return "Objects loaded: " + ",".join(parts)

@@ -31,7 +31,8 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
                 feed_col: str = "api_name", value_col: str = "json_response",
                 feeds: Sequence[str] | None = None, max_file_size: int = MAX_FILE_SIZE,
                 single: bool = False) -> DataFrame:
-    """Write one or more files per feed; returns (feed, file_name, rows, bytes) per file."""
+    """Write one or more files per feed; returns one row per feed:
+    (feed, rows_unloaded, input_bytes, output_bytes, files)."""
     src = responses
     if feeds is not None:
         src = src.where(F.col(feed_col).isin(list(feeds)))
@@ -60,7 +61,7 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
     (named.select("__name", "value").repartition("__name")
      .write.mode("overwrite").partitionBy("__name").options(**profile("unload_json")).text(tmp))
     from urllib.parse import unquote
-    written = []
+    written: dict[str, list[tuple[str, int]]] = {}
     for d, full, _, is_dir in list_status(spark, tmp):
         if not (is_dir and d.startswith("__name=")):
             continue
@@ -69,10 +70,18 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
         if len(files) != 1:
             raise RuntimeError(f"expected one part file for {fname}, found {len(files)}")
         rename(spark, files[0][1], f"{out_dir.rstrip('/')}/{fname}", overwrite=True)
-        written.append(fname)
+        feed = fname.rsplit(f"_{stamp}", 1)[0]
+        written.setdefault(feed, []).append((fname, files[0][2]))
     delete(spark, tmp)
-    return (named.groupBy(F.col("__feed").alias("feed"), F.col("__name").alias("file_name"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("value") + 1).alias("bytes")))
+    # per feed, as the dialect's unload result: rows, input and output bytes
+    # (from the size pass and the written files' lengths; no extra data pass)
+    report = [(r["__feed"], int(r["rows"]), int(r["bytes"]),
+               sum(n for _, n in written.get(r["__feed"], [])),
+               sorted(f for f, _ in written.get(r["__feed"], [])))
+              for r in sizes]
+    return spark.createDataFrame(
+        report, "feed string, rows_unloaded bigint, input_bytes bigint, output_bytes bigint, "
+                "files array<string>")
 
 
 def read_unloaded(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -148,10 +148,10 @@ def test_unload_caps_and_names(spark, tmp):
     df = spark.createDataFrame(rows, "api_name string, s string").select(
         "api_name", F.parse_json("s").alias("json_response"))
     out = unload_json(spark, df, f"{tmp}/u", dt.date(2025, 1, 2), max_file_size=8000)
-    files = {r["file_name"]: r["rows"] for r in out.collect()}
-    assert files["tle_20250102.json.gz"] == 1
-    neo = [f for f in files if f.startswith("neo_")]
-    assert len(neo) >= 3 and sum(files[f] for f in neo) == 400
+    feeds = {r["feed"]: r for r in out.collect()}
+    assert feeds["tle"]["files"] == ["tle_20250102.json.gz"] and feeds["tle"]["rows_unloaded"] == 1
+    assert len(feeds["neo"]["files"]) >= 3 and feeds["neo"]["rows_unloaded"] == 400
+    assert 0 < feeds["neo"]["output_bytes"] < feeds["neo"]["input_bytes"]
     back = read_unloaded(spark, f"{tmp}/u")
     assert back.count() == 401 and back.where(F.col("feed") == "neo").count() == 400
     with pytest.raises(ValueError):
