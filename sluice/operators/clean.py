@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from sluice.functions.text import REPLACEMENT_CHAR, drop_invalid, null_tokens
 from sluice.operators.infer import read_headers
 from sluice.operators.load import check_compression
-from sluice.operators.rownum import file_row_number
 from sluice.operators.snapshot import delete, rename
 from sluice.sources.files import list_files, profile
 from sluice.sources.landing import write_named_csv
@@ -88,16 +87,18 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
         if not cols:
             report.append((r["path"], None, "skipped", "no header row"))
             continue
-        groups.setdefault(tuple(cols), []).append(r)
+        groups.setdefault((tuple(cols), r["file_name"].endswith(".gz")), []).append(r)
 
-    for cols, files in groups.items():
+    for (cols, gzipped), files in groups.items():
         pos = [f"c{i}" for i in range(len(cols))]
         schema = T.StructType([T.StructField(c, T.StringType()) for c in pos])
         raw = (spark.read.options(**read_opts).schema(schema).csv([r["path"] for r in files])
                .withColumn("__file", F.col("_metadata.file_name"))
                .withColumn("__split", F.col("_metadata.file_block_start")))
         by_name = {r["file_name"]: r for r in files}
-        numbered = file_row_number(raw)
+        # file order = (split start, scan position): no exact row numbers
+        # are needed, so no per-split summary pass
+        numbered = raw.withColumn("__mono", F.monotonically_increasing_id())
         has_bad = F.lit(False)
         for c in pos:
             has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
@@ -109,12 +110,14 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
         cleaned = clean_frame(observed, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
                               else "keep")
         named = cleaned.select(*[F.col(p).alias(n) for p, n in zip(pos, cols)],
-                               F.col("__file"), F.col("source_file_row_number").alias("__rn"))
-        splittable = any(not r["file_name"].endswith(".gz") for r in files)
+                               "__file", "__split", "__mono")
+        # a gzip file is read by one task, so its rows never need a shuffle;
+        # uncompressed files may be split and are brought together by name
         staging = f"{target.rstrip('/')}/_tmp_clean"
         written = write_named_csv(spark, named, staging, "__file",
-                                  order_by=["__rn"], options=_write_options(),
-                                  shuffle=splittable, drop=["__rn"])
+                                  order_by=["__split", "__mono"],
+                                  options=_write_options("gzip" if gzipped else "none"),
+                                  shuffle=not gzipped, drop=["__split", "__mono"])
         bad = set(obs.get.get("bad_files") or []) if on_bad_utf8 == "skip" else set()
         for name in written:
             r = by_name[name]
@@ -132,9 +135,9 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
     return CleanResult(summary_json(report), rep)
 
 
-def _write_options() -> dict[str, str]:
+def _write_options(compression: str = "gzip") -> dict[str, str]:
     return profile("export_csv", ignoreLeadingWhiteSpace="false",
-                   ignoreTrailingWhiteSpace="false")
+                   ignoreTrailingWhiteSpace="false", compression=compression)
 
 
 def _source_action(spark: SparkSession, r, action: str, archive_dir: str | None) -> None:

@@ -270,3 +270,18 @@ def test_abort_on_error_commits_nothing(spark, tmp):
         load_files(spark, land, wh, RUN, on_error="abort")
     assert read_table_rows(spark, wh, "C").count() == 0
     assert not os.path.exists(f"{wh}/_ledger")
+
+
+def test_clean_split_uncompressed_file_keeps_order(spark, tmp):
+    os.makedirs(f"{tmp}/raw", exist_ok=True)
+    with open(f"{tmp}/raw/p.csv", "w") as f:
+        f.write("id,v\n" + "".join(f"{i}, v{i} \n" for i in range(4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        clean_csv_files(spark, f"{tmp}/raw", f"{tmp}/prep")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with open(f"{tmp}/prep/p.csv") as f:              # still plain text
+        lines = f.read().splitlines()
+    assert lines == ["id,v"] + [f"{i},v{i}" for i in range(4000)]
