@@ -285,3 +285,26 @@ def test_clean_split_uncompressed_file_keeps_order(spark, tmp):
     with open(f"{tmp}/prep/p.csv") as f:              # still plain text
         lines = f.read().splitlines()
     assert lines == ["id,v"] + [f"{i},v{i}" for i in range(4000)]
+
+
+def test_catalog_discovery_and_source_delete(spark, tmp):
+    from sluice.sources.export import catalog_tables_with_column, tables_with_column
+    a = spark.createDataFrame([(1, "x")], "master_patient_id bigint, v string")
+    b = spark.createDataFrame([(2,)], "other bigint")
+    a.createOrReplaceTempView("sluice_t_a")
+    b.createOrReplaceTempView("sluice_t_b")
+    assert "sluice_t_a" in catalog_tables_with_column(spark, "master_patient_id")
+    assert "sluice_t_b" not in catalog_tables_with_column(spark, "master_patient_id")
+    assert tables_with_column({"b": b, "a": a}, "master_patient_id") == ["a"]
+    gz(f"{tmp}/raw/a_20250102000000_UTC.csv.gz", "c\nx\n")
+    clean_csv_files(spark, f"{tmp}/raw", f"{tmp}/prep", source_action="delete")
+    assert not os.path.exists(f"{tmp}/raw/a_20250102000000_UTC.csv.gz")
+    assert os.path.exists(f"{tmp}/prep/a_20250102000000_UTC.csv.gz")
+
+
+def test_pretty_json_and_object_text(spark):
+    from sluice.functions import object_text, pretty_json
+    df = spark.createDataFrame([(1, None, "s")], "a int, b string, c string")
+    assert df.select(object_text("a", "b", "c")).first()[0] == '{"a":1,"c":"s"}'  # NULL dropped
+    text = df.select(pretty_json(F.struct("a", "c"))).first()[0]
+    assert json.loads(text) == {"a": 1, "c": "s"} and "\n" in text
