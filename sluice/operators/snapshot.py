@@ -77,3 +77,27 @@ def create_table(spark: SparkSession, path: str, schema) -> bool:
     existed = path_exists(spark, path)
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
     return not existed
+
+
+def publish_named(spark: SparkSession, tmp: str, out_dir: str, column: str,
+                  overwrite: bool = False) -> list[tuple[str, int]]:
+    """Move the single part file of each ``<column>=<name>`` folder written
+    under ``tmp`` to ``<out_dir>/<name>`` (metadata only), then drop ``tmp``.
+
+    Returns (name, length) per published file.  More than one part file for
+    a name means the rows of one name were not kept in one task: an error.
+    """
+    from urllib.parse import unquote
+    prefix = f"{column}="
+    out = []
+    for d, full, _, is_dir in list_status(spark, tmp):
+        if not (is_dir and d.startswith(prefix)):
+            continue
+        name = unquote(d[len(prefix):])
+        parts = [f for f in list_status(spark, full) if f[0].startswith("part-")]
+        if len(parts) != 1:
+            raise RuntimeError(f"expected one part file for {name}, found {len(parts)}")
+        rename(spark, parts[0][1], f"{out_dir.rstrip('/')}/{name}", overwrite=overwrite)
+        out.append((name, parts[0][2]))
+    delete(spark, tmp)
+    return sorted(out)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from sluice.functions.dates import ntz_literal
 from sluice.functions.text import regexp_group
 from sluice.operators.rownum import file_row_number
-from sluice.operators.snapshot import delete, list_status, rename
+from sluice.operators.snapshot import publish_named
 from sluice.sources.files import profile
 
 # Landed file name rules.  Dots are escaped and the end is
@@ -119,18 +119,4 @@ def write_named_csv(spark: SparkSession, df: DataFrame, out_dir: str, name_col:
     if drop:
         ordered = ordered.drop(*drop)
     ordered.write.mode("overwrite").partitionBy(name_col).options(**opts).csv(tmp)
-    names = []
-    prefix = f"{name_col}="
-    from urllib.parse import unquote
-
-    for part_dir, full, _, is_dir in list_status(spark, tmp):
-        if not (is_dir and part_dir.startswith(prefix)):
-            continue
-        name = unquote(part_dir[len(prefix):])
-        files = [f for f in list_status(spark, full) if f[0].startswith("part-")]
-        if len(files) != 1:
-            raise RuntimeError(f"expected one part file for {name}, found {len(files)}")
-        rename(spark, files[0][1], f"{out_dir.rstrip('/')}/{name}")
-        names.append(name)
-    delete(spark, tmp)
-    return sorted(names)
+    return [name for name, _ in publish_named(spark, tmp, out_dir, name_col)]

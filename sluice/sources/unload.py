@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.snapshot import delete, list_status, rename
+from sluice.operators.snapshot import publish_named
 from sluice.sources.files import profile
 
 MAX_FILE_SIZE = 16_777_216  # bytes per unloaded file, as in the reference
@@ -60,19 +60,9 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
     tmp = out_dir.rstrip("/") + "/_tmp_unload"
     (named.select("__name", "value").repartition("__name")
      .write.mode("overwrite").partitionBy("__name").options(**profile("unload_json")).text(tmp))
-    from urllib.parse import unquote
     written: dict[str, list[tuple[str, int]]] = {}
-    for d, full, _, is_dir in list_status(spark, tmp):
-        if not (is_dir and d.startswith("__name=")):
-            continue
-        fname = unquote(d[len("__name="):])
-        files = [f for f in list_status(spark, full) if f[0].startswith("part-")]
-        if len(files) != 1:
-            raise RuntimeError(f"expected one part file for {fname}, found {len(files)}")
-        rename(spark, files[0][1], f"{out_dir.rstrip('/')}/{fname}", overwrite=True)
-        feed = fname.rsplit(f"_{stamp}", 1)[0]
-        written.setdefault(feed, []).append((fname, files[0][2]))
-    delete(spark, tmp)
+    for fname, length in publish_named(spark, tmp, out_dir, "__name", overwrite=True):
+        written.setdefault(fname.rsplit(f"_{stamp}", 1)[0], []).append((fname, length))
     # per feed, as the dialect's unload result: rows, input and output bytes
     # (from the size pass and the written files' lengths; no extra data pass)
     report = [(r["__feed"], int(r["rows"]), int(r["bytes"]),
