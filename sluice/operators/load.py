@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import ship_package
 from sluice.functions.json import array_text, object_text
 from sluice.operators.infer import (create_table_if_absent, entity_schema, infer_schema,
                                     read_entity, read_headers, table_schema)
@@ -195,6 +196,7 @@ def check_compression(spark: SparkSession, paths: Sequence[str]) -> dict[str, st
     """
     if not paths:
         return {}
+    ship_package(spark)
     raw = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key, None)

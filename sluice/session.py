@@ -93,3 +93,43 @@ def cluster_conf(shuffle_bytes: int = 100 * 2**40, partition_bytes: int = 512 *
         "spark.task.maxFailures": "8",
         "spark.ui.enabled": "false",
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sluice`` importable by the Python workers of this application.
+
+    Jobs that run Python on the executors (``mapInPandas``) need the package
+    there, as any PySpark library does (``--py-files``).  The package is
+    zipped in memory, written once to the shared checkpoint folder and
+    added with ``addPyFile``; calling this again is a no-op.
+    """
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    path = f"{scratch_path(spark, 'pyfiles')}/sluice.zip"
+    jvm = sc._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(str(fs.makeQualified(p).toString()))
+    _SHIPPED.add(app)

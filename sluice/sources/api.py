@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.session import ship_package
+
 RESPONSES_SCHEMA = "api_name string, json_response_date date, json_response variant"
 
 
@@ -51,6 +53,7 @@ def fetch_responses(requests: DataFrame, make_fetcher: Callable[[], Callable[...
             yield pd.DataFrame({"api_name": pdf[feed_col].astype(str), "json_data": texts,
                                 "error": errors})
 
+    ship_package(requests.sparkSession)
     cols = [F.col(c).cast("string").alias(c) for c in params if c != feed_col]
     return requests.select(F.col(feed_col).cast("string").alias(feed_col), *cols) \
         .mapInPandas(call, "api_name string, json_data string, error string")
