@@ -12,6 +12,7 @@ needs no shuffle; splittable inputs are repartitioned by file.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -102,7 +103,7 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
         has_bad = F.lit(False)
         for c in pos:
             has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
-        obs = Observation("clean")
+        obs = Observation(f"clean_{uuid.uuid4().hex}")
         # files with invalid UTF-8 are found on the same pass (Observation)
         # and their outputs dropped before they are published
         observed = numbered.observe(

@@ -14,6 +14,7 @@ writer per target at a time.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -62,7 +63,7 @@ def merge_insert_only(spark: SparkSession, target_path: str, source: DataFrame,
     ``sort_by`` clusters the appended files (range partition + local sort),
     which keeps min/max statistics tight for later key lookups.
     """
-    obs = Observation("merge")
+    obs = Observation(f"merge_{uuid.uuid4().hex}")
     if path_exists(spark, target_path):
         target = spark.read.parquet(target_path)
         new = merge_rows(target, source, keys, dedupe=dedupe, skip_null_keys=skip_null_keys)
