@@ -123,14 +123,17 @@ def spark_type(normalised: str) -> T.DataType:
 
 
 def infer_schema(spark: SparkSession, paths: Sequence[str],
-                 options: dict[str, str] | None = None) -> DataFrame:
+                 options: dict[str, str] | None = None,
+                 headers: dict[str, list[str]] | None = None) -> DataFrame:
     """``INFER_SCHEMA`` over files: (file_name, column_name, type, order_id, normalised_type).
 
     Files with the same header are one group; each group is one scan and
     one aggregation grouped by file.  Column names keep their case.
+    ``headers`` (file name -> columns) skips reading them again.
     """
     opts = dict(options or profile("infer_csv"))
-    headers = read_headers(spark, paths, opts)
+    if headers is None:
+        headers = read_headers(spark, paths, opts)
     by_name = {p.rsplit("/", 1)[-1]: p for p in paths}
     groups: dict[tuple[str, ...], list[str]] = {}
     for fname, cols in headers.items():

@@ -99,7 +99,8 @@ def _drop_orphan_loads(spark: SparkSession, table: str, known: set[str]) -> list
 # create
 
 def _first_with_header(spark: SparkSession, candidates: dict[str, list],
-                       options: dict[str, str] | None) -> dict[str, object]:
+                       options: dict[str, str] | None
+                       ) -> tuple[dict[str, object], dict[str, list[str]]]:
     """Per entity, the first file (by name) that has a header line.
 
     Empty files have no row 1 and are passed over, as discovery does in the
@@ -107,17 +108,19 @@ def _first_with_header(spark: SparkSession, candidates: dict[str, list],
     normally only each entity's first file is opened.
     """
     chosen: dict[str, object] = {}
+    found: dict[str, list[str]] = {}
     start, size = 0, 1
     while True:
         batch = {e: rows[start:start + size] for e, rows in candidates.items()
                  if e not in chosen and len(rows) > start}
         if not batch:
-            return chosen
+            return chosen, found
         headers = read_headers(spark, [r["path"] for rs in batch.values() for r in rs], options)
         for e, rows in batch.items():
             for r in rows:
                 if headers.get(r["file_name"]):
                     chosen[e] = r
+                    found[r["file_name"]] = headers[r["file_name"]]
                     break
         start, size = start + size, size * 8
 
@@ -140,10 +143,11 @@ def create_entity_tables(spark: SparkSession, landing: str, warehouse: str,
                   .select("entity", "file_name", "path").orderBy("entity", "file_name")
                   .collect()):  # file names of entities without a table
             candidates.setdefault(r["entity"], []).append(r)
-        chosen = _first_with_header(spark, candidates, options)
+        chosen, headers = _first_with_header(spark, candidates, options)
         cols: dict[str, list] = {}
         if chosen:
-            inferred = infer_schema(spark, [r["path"] for r in chosen.values()], options)
+            inferred = infer_schema(spark, [r["path"] for r in chosen.values()], options,
+                                    headers=headers)
             for r in inferred.orderBy("file_name", "order_id").collect():
                 cols.setdefault(r["file_name"], []).append((r["column_name"], r["normalised_type"]))
         for entity in todo:
