@@ -308,3 +308,17 @@ def test_pretty_json_and_object_text(spark):
     assert df.select(object_text("a", "b", "c")).first()[0] == '{"a":1,"c":"s"}'  # NULL dropped
     text = df.select(pretty_json(F.struct("a", "c"))).first()[0]
     assert json.loads(text) == {"a": 1, "c": "s"} and "\n" in text
+
+
+def test_stream_with_interval_trigger(spark, tmp):
+    from sluice.streaming.ingest import ingest_stream
+    land, wh, ck = f"{tmp}/land", f"{tmp}/wh", f"{tmp}/ck"
+    gz(f"{land}/e_20250102000000_UTC.csv.gz", "id\n1\n2\n")
+    q = ingest_stream(spark, land, wh, ck, trigger="1 second", loaded_at=RUN)
+    try:
+        q.processAllAvailable()
+        gz(f"{land}/e_20250103000000_UTC.csv.gz", "id\n3\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_table_rows(spark, wh, "E").count() == 3
