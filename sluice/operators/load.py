@@ -223,12 +223,34 @@ def _cast_ok(c: str, dt: T.DataType) -> Column:
     return v.isNull() | F.expr(f"try_cast(`{c}` AS {dt.simpleString()})").isNotNull()
 
 
+# Fixed value: an open cost far above any split size, so the planner gives
+# every file its own input partition.
+ONE_FILE_OPEN_COST = str(1 << 40)
+
+
 def _write_load(spark: SparkSession, table: str, paths: Sequence[str],
                 data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
                 opts: dict[str, str], load_id: str) -> set[str]:
     """One parse of the files: typed rows into ``load_id=/source_file_name=``
     folders; returns the files holding a bad row (wrong field count or a value
-    that does not fit its column), collected by an Observation on the same pass."""
+    that does not fit its column), collected by an Observation on the same pass.
+
+    Gzip files are read one file per partition, so the row number in file
+    comes from the scan position alone (no second, summary scan).  The same
+    pass checks that condition; if it did not hold, the load folder is
+    dropped and written again with the summary method.
+    """
+    if all(p.endswith(".gz") for p in paths):
+        bad = _write_pass(spark, table, paths, data_fields, loaded_at, opts, load_id, True)
+        if bad is not None:
+            return bad
+        delete(spark, f"{table}/load_id={load_id}")
+    return _write_pass(spark, table, paths, data_fields, loaded_at, opts, load_id, False)
+
+
+def _write_pass(spark: SparkSession, table: str, paths: Sequence[str],
+                data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
+                opts: dict[str, str], load_id: str, one_file: bool) -> set[str] | None:
     raw = read_landed_csv(spark, paths, [f.name for f in data_fields], opts,
                           corrupt_column="__corrupt")
     bad = F.col("__corrupt").isNotNull()
@@ -237,12 +259,29 @@ def _write_load(spark: SparkSession, table: str, paths: Sequence[str],
     typed = [F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else
              F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name)
              for f in data_fields]
-    out = with_lineage(raw.withColumn("__bad", bad), loaded_at, typed + [F.col("__bad")])
-    obs = Observation(f"load_{load_id}")
-    out = out.observe(obs, F.collect_set(F.when(F.col("__bad"), F.col("source_file_name")))
-                      .alias("bad_files"))
-    (out.drop("__bad").withColumn("load_id", F.lit(load_id))
-     .write.mode("append").partitionBy("load_id", "source_file_name").parquet(table))
+    out = with_lineage(raw.withColumn("__bad", bad), loaded_at, typed + [F.col("__bad")],
+                       one_file_per_partition=one_file)
+    obs = Observation(f"load_{load_id}_{int(one_file)}")
+    metrics = [F.collect_set(F.when(F.col("__bad"), F.col("source_file_name")))
+               .alias("bad_files")]
+    if one_file:  # (partition, file) pairs: one file per partition expected
+        metrics.append(F.collect_set(F.struct("__pid", "source_file_name")).alias("pid_files"))
+    out = out.observe(obs, *metrics).drop("__bad", "__pid")
+    write = (out.withColumn("load_id", F.lit(load_id))
+             .write.mode("append").partitionBy("load_id", "source_file_name"))
+    if one_file:
+        key = "spark.sql.files.openCostInBytes"
+        old = spark.conf.get(key)
+        spark.conf.set(key, ONE_FILE_OPEN_COST)
+        try:
+            write.parquet(table)
+        finally:
+            spark.conf.set(key, old)
+        pids = [r[0] for r in obs.get.get("pid_files") or []]
+        if len(pids) != len(set(pids)):
+            return None
+    else:
+        write.parquet(table)
     return set(obs.get.get("bad_files") or [])
 
 

@@ -171,6 +171,23 @@ def single_partition_row_number(df: DataFrame, keys: Sequence[str],
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
+def file_row_number_one_file_per_partition(df: DataFrame,
+                                           name: str = "source_file_row_number") -> DataFrame:
+    """Row number in file when every input partition holds exactly one whole
+    file (e.g. gzip files read with a large ``spark.sql.files.openCostInBytes``).
+
+    ``monotonically_increasing_id`` puts the partition id in the upper 31
+    bits and the record number within the partition in the lower 33, so the
+    row number is the lower part + 1: one scan, no summary, no join.  The
+    caller must make sure the one-file-per-partition condition holds (adds
+    ``__pid`` for that check).
+    """
+    mono = F.monotonically_increasing_id()
+    pid = F.spark_partition_id()
+    return (df.withColumn("__pid", pid)
+            .withColumn(name, (mono - F.shiftleft(pid.cast("bigint"), 33) + 1).cast("bigint")))
+
+
 def file_row_number(df: DataFrame, name: str = "source_file_row_number",
                     file_col: str = "__file", split_col: str = "__split") -> DataFrame:
     """1-based row number of each row inside its file, in file order.

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.dates import ntz_literal
 from sluice.functions.text import regexp_group
-from sluice.operators.rownum import file_row_number
+from sluice.operators.rownum import file_row_number, file_row_number_one_file_per_partition
 from sluice.operators.snapshot import publish_named
 from sluice.sources.files import profile
 
@@ -76,14 +76,18 @@ def read_landed_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence
                      F.col("_metadata.file_block_start").alias("__split"))
 
 
-def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[Column] | None = None
-                 ) -> DataFrame:
+def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[Column] | None = None,
+                 one_file_per_partition: bool = False) -> DataFrame:
     """Six lineage columns in front of the data (A5, B6, §1.3).
 
     ``df`` comes from ``read_landed_csv``.  ``loaded_at`` is one value per
     run, passed in so reruns and tests are repeatable.
+    ``one_file_per_partition`` takes the row number from the scan position
+    alone (see ``file_row_number_one_file_per_partition``) and keeps a
+    ``__pid`` column for the caller's check.
     """
-    numbered = file_row_number(df)
+    numbered = (file_row_number_one_file_per_partition(df) if one_file_per_partition
+                else file_row_number(df))
     file_key = F.md5(F.concat(F.lit(loaded_at_key_text(loaded_at)), F.col("__file")))
     rn = F.col("source_file_row_number")
     data = data_columns if data_columns is not None else [
@@ -96,6 +100,7 @@ def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[
         rn,
         F.md5(F.concat(file_key, rn.cast("string"))).alias("source_file_record_unique_key"),
         *data,
+        *([F.col("__pid")] if one_file_per_partition else []),
     )
 
 

@@ -322,3 +322,43 @@ def test_stream_with_interval_trigger(spark, tmp):
     finally:
         q.stop()
     assert read_table_rows(spark, wh, "E").count() == 3
+
+
+def _row_numbers_ok(spark, wh, entity):
+    t = read_table_rows(spark, wh, entity)
+    got = sorted((r["source_file_name"], r["source_file_row_number"], int(r["ID"]))
+                 for r in t.collect())
+    # files hold ids k*100 .. k*100+n-1 in order: row number = id - k*100 + 1
+    return all(rn == i - int(f.split("_")[1][8:]) * 100 + 1 for f, rn, i in got), len(got)
+
+
+def test_load_row_numbers_one_scan_and_fallback(spark, tmp, monkeypatch):
+    import sluice.operators.load as L
+    calls = []
+    real = L._write_pass
+
+    def spy(*a, **k):
+        res = real(*a, **k)
+        calls.append((a[-1], res is not None))
+        return res
+    monkeypatch.setattr(L, "_write_pass", spy)
+    for mode, cost in (("one", L.ONE_FILE_OPEN_COST), ("packed", "0")):
+        land, wh = f"{tmp}/{mode}/land", f"{tmp}/{mode}/wh"
+        for k, n in ((0, 7), (1, 30), (2, 1)):
+            gz(f"{land}/e_20250102{k:06d}_UTC.csv.gz",
+               "id\n" + "".join(f"{k * 100 + i}\n" for i in range(n)))
+        monkeypatch.setattr(L, "ONE_FILE_OPEN_COST", cost)
+        calls.clear()
+        create_entity_tables(spark, land, wh)
+        # one input partition would take all three small files if allowed
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        try:
+            load_files(spark, land, wh, RUN)
+        finally:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+        ok, n = _row_numbers_ok(spark, wh, "E")
+        assert ok and n == 38
+        if mode == "one":
+            assert calls == [(True, True)]                  # one scan, check passed
+        else:
+            assert calls == [(True, False), (False, True)]  # packed -> fallback
