@@ -362,3 +362,14 @@ def test_load_row_numbers_one_scan_and_fallback(spark, tmp, monkeypatch):
             assert calls == [(True, True)]                  # one scan, check passed
         else:
             assert calls == [(True, False), (False, True)]  # packed -> fallback
+
+
+def test_clean_skips_truncated_gzip(spark, tmp):
+    gz(f"{tmp}/raw/a_20250102000000_UTC.csv.gz", "c\n x \n")
+    body = gzip.compress(b"c\n" + b"".join(b"%d\n" % (i * 7919 % 100003) for i in range(20000)))
+    with open(f"{tmp}/raw/b_20250102000000_UTC.csv.gz", "wb") as f:
+        f.write(body[: len(body) // 2])
+    res = clean_csv_files(spark, f"{tmp}/raw", f"{tmp}/prep")
+    status = {r["source_file"].rsplit("/", 1)[1]: r["status"] for r in res.report.collect()}
+    assert status == {"a_20250102000000_UTC.csv.gz": "processed",
+                      "b_20250102000000_UTC.csv.gz": "skipped"}
