@@ -37,9 +37,9 @@ def canon(v) -> str:
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 6))
+        return repr(v)  # exact: the same double on both sides
     if isinstance(v, decimal.Decimal):
-        return repr(round(float(v), 6))
+        return repr(float(v))
     if isinstance(v, (_dt.datetime, _dt.date, _dt.time)):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
