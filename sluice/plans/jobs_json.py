@@ -110,7 +110,7 @@ def flatten_object_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 # variant paths and casts over events.props
 
 VARIANT_PATHS_SQL = """
-SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events"""
+SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events"""
 
 
 @register("variant_paths", VARIANT_PATHS_SQL)
@@ -184,7 +184,7 @@ def row_number_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 UNLOAD_SQL = """
 SELECT event_type AS api_name, DATE '2025-01-02' AS file_date, event_id, user_id, value,
-       CAST(props->>'$.k' AS INTEGER) AS k
+       CAST(props->>'$.k' AS BIGINT) AS k
 FROM events"""
 
 
