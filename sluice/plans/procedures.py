@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.json import object_text
 from sluice.operators.clean import clean_csv_files
-from sluice.operators.load import create_entity_tables, load_files, verify
+from sluice.operators.load import create_entity_tables, load_files, verify_summary
 from sluice.operators.merge import MergeResult, merge_with_failover
 from sluice.operators.snapshot import create_table
 from sluice.plans.master import Side, build_master_lookup
@@ -70,8 +70,8 @@ def load_data_from_files(spark: SparkSession, landing: str, warehouse: str,
         .alias("DAILY_INGEST_RESULTS"),
         F.when(ok, F.lit("--No exceptions")).otherwise(F.col("message")).alias("EXCEPTION_SUMMARY"))
     rows.write.mode("append").parquet(f"{wh}/{INGEST_REPORT}")
-    summary = verify(run.report).first()
-    state = "SUCCESS" if summary is None or summary["all_loaded"] else "SUCCESS WITH FAILED FILES"
+    summary = verify_summary(run.report).first()
+    state = "SUCCESS" if summary["all_loaded"] else "SUCCESS WITH FAILED FILES"
     return (f"{state} -- LOAD_DATA_FROM_FILES() procedure complete.  "
             f"Check the logs at {wh}/{INGEST_REPORT}")
 

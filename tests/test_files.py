@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from sluice.operators.clean import clean_csv_files
 from sluice.operators.infer import infer_schema, table_schema
-from sluice.operators.load import create_entity_tables, load_files, read_table_rows, verify
+from sluice.operators.load import (create_entity_tables, load_files, read_table_rows, verify,
+                                   verify_summary)
 from sluice.sources.export import export_ordered_csv
 from sluice.sources.files import discover_files, filter_names, list_files
 from sluice.sources.jdbc import discovery_query, partitioned_read_options
@@ -100,8 +101,12 @@ def test_create_load_reload_isolation(spark, tmp):
     assert st["cust_20250103000000_UTC.csv.gz"][0] == "FAILED"   # 3 fields for 2 columns
     assert st["cust_20250104000000_UTC.csv.gz"][0] == "FAILED"
     assert st["cust_20250105000000_UTC.csv.gz"][0] == "FAILED"
-    summary = verify(run.report).first()
+    summary = verify_summary(run.report).first()
     assert summary["all_loaded"] is False and summary["files_loaded"] == 1
+    per_file = {r["file_name"]: r for r in verify(run.report).collect()}
+    ok = per_file["cust_20250102000000_UTC.csv.gz"]
+    assert ok["all_loaded"] and '"status":"LOADED"' in ok["result_text"]
+    assert per_file["cust_20250104000000_UTC.csv.gz"]["all_loaded"] is False
     again = load_files(spark, land, wh, RUN)
     st2 = {r["file_name"]: r["status"] for r in again.report.collect()}
     assert st2["cust_20250102000000_UTC.csv.gz"] == "SKIPPED"
