@@ -47,7 +47,8 @@ class Field:
     type: str = "string"
 
 
-# The reference's projection of a near-earth-object element.
+# The element paths the reference projects, with their output
+# names and types (a near-earth-object feed element).
 NEO_FIELDS = (
     Field("link_self", "links.self", "string"),
     Field("id", "id", "string"),

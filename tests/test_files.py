@@ -189,8 +189,8 @@ def test_export_guard_and_order(spark, tmp):
 
 
 def test_jdbc_option_building():
-    q = discovery_query("general_hospital", "master_patient_id")
-    assert "table_schema = 'general_hospital'" in q and "column_name = 'master_patient_id'" in q
+    q = discovery_query("clinic", "master_patient_id")
+    assert "table_schema = 'clinic'" in q and "column_name = 'master_patient_id'" in q
     assert discovery_query("o'x", "c").count("'o''x'") == 1
     opts = partitioned_read_options("s.t", "id", 1, 100, 4)
     assert opts == {"dbtable": "s.t", "partitionColumn": "id", "lowerBound": "1",
