@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sluice.functions.keys import surrogate_key
 from sluice.operators.joins import left_join_all
 
+# The lineage columns carried into the master lookup.
 LINEAGE_COLUMNS = [
     "source_file_loaded_at_utc", "source_file_date_utc", "source_file_name",
     "source_file_unique_key", "source_file_row_number",

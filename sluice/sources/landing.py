@@ -27,6 +27,8 @@ ENTITY_PATTERN = r"^(.*)_\d{14}_UTC\.csv\.gz$"
 LANDED_PATTERN = r"^(.*)_\d{14}_UTC(?:_\d{5})?\.csv\.gz$"
 FILE_DATE_PATTERN = r"_(\d{8})\d{6}_UTC"
 
+# The six lineage columns in front of every entity table, in
+# the reference's order (types chosen here).
 LINEAGE_FIELDS = [
     ("source_file_loaded_at_utc", T.TimestampNTZType()),
     ("source_file_date_utc", T.DateType()),
