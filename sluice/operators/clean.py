@@ -74,71 +74,82 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
                            "skipped", "target_exists"))
         else:
             todo.append(r)
-    # The header pass inflates every gzip file whole (a gzip file is one
-    # split), so it is also the integrity check: only when it fails are the
-    # files checked one by one and the broken ones skipped.
-    readable = list(todo)
-    try:
-        headers = read_headers(spark, [r["path"] for r in readable], read_opts) \
-            if readable else {}
-    except Exception:  # noqa: BLE001 - find the unreadable files, then retry once
-        gz = check_compression(spark, [r["path"] for r in readable])
-        if not gz:
-            raise
+    # Files are matched to their outputs by base name, so files that share a
+    # name (in different sub-folders) go to separate rounds.
+    rounds: list[list] = []
+    seen: dict[str, int] = {}
+    for r in todo:
+        k = seen.get(r["file_name"], 0)
+        seen[r["file_name"]] = k + 1
+        if k == len(rounds):
+            rounds.append([])
+        rounds[k].append(r)
+    for batch in rounds:
+        # The header pass inflates every gzip file whole (a gzip file is one
+        # split), so it is also the integrity check: only when it fails are the
+        # files checked one by one and the broken ones skipped.
+        readable = list(batch)
+        try:
+            headers = read_headers(spark, [r["path"] for r in readable], read_opts) \
+                if readable else {}
+        except Exception:  # noqa: BLE001 - find the unreadable files, then retry once
+            gz = check_compression(spark, [r["path"] for r in readable])
+            if not gz:
+                raise
+            for r in readable:
+                if r["path"] in gz:
+                    report.append((r["path"], None, "skipped", gz[r["path"]]))
+            readable = [r for r in readable if r["path"] not in gz]
+            headers = read_headers(spark, [r["path"] for r in readable], read_opts) \
+                if readable else {}
+        groups: dict[tuple, list] = {}
         for r in readable:
-            if r["path"] in gz:
-                report.append((r["path"], None, "skipped", gz[r["path"]]))
-        readable = [r for r in readable if r["path"] not in gz]
-        headers = read_headers(spark, [r["path"] for r in readable], read_opts) \
-            if readable else {}
-    groups: dict[tuple, list] = {}
-    for r in readable:
-        cols = headers.get(r["file_name"])
-        if not cols:
-            report.append((r["path"], None, "skipped", "no header row"))
-            continue
-        groups.setdefault((tuple(cols), r["file_name"].endswith(".gz")), []).append(r)
-
-    for (cols, gzipped), files in groups.items():
-        pos = [f"c{i}" for i in range(len(cols))]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in pos])
-        raw = (spark.read.options(**read_opts).schema(schema).csv([r["path"] for r in files])
-               .withColumn("__file", F.col("_metadata.file_name"))
-               .withColumn("__split", F.col("_metadata.file_block_start")))
-        by_name = {r["file_name"]: r for r in files}
-        # file order = (split start, scan position): no exact row numbers
-        # are needed, so no per-split summary pass
-        numbered = raw.withColumn("__mono", F.monotonically_increasing_id())
-        has_bad = F.lit(False)
-        for c in pos:
-            has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
-        obs = Observation(f"clean_{uuid.uuid4().hex}")
-        # files with invalid UTF-8 are found on the same pass (Observation)
-        # and their outputs dropped before they are published
-        observed = numbered.observe(
-            obs, F.collect_set(F.when(has_bad, F.col("__file"))).alias("bad_files"))
-        cleaned = clean_frame(observed, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
-                              else "keep")
-        named = cleaned.select(*[F.col(p).alias(n) for p, n in zip(pos, cols)],
-                               "__file", "__split", "__mono")
-        # a gzip file is read by one task, so its rows never need a shuffle;
-        # uncompressed files may be split and are brought together by name
-        staging = f"{target.rstrip('/')}/_tmp_clean"
-        written = write_named_csv(spark, named, staging, "__file",
-                                  order_by=["__split", "__mono"],
-                                  options=_write_options("gzip" if gzipped else "none"),
-                                  shuffle=not gzipped, drop=["__split", "__mono"])
-        bad = set(obs.get.get("bad_files") or []) if on_bad_utf8 == "skip" else set()
-        for name in written:
-            r = by_name[name]
-            if name in bad:
-                report.append((r["path"], None, "skipped", "invalid UTF-8 bytes"))
+            cols = headers.get(r["file_name"])
+            if not cols:
+                report.append((r["path"], None, "skipped", "no header row"))
                 continue
-            dst = f"{target.rstrip('/')}/{r['relative_path']}"
-            rename(spark, f"{staging}/{name}", dst)
-            report.append((r["path"], dst, "processed", None))
-            _source_action(spark, r, source_action, archive_dir)
-        delete(spark, staging)
+            groups.setdefault((tuple(cols), r["file_name"].endswith(".gz")), []).append(r)
+
+        for (cols, gzipped), files in groups.items():
+            pos = [f"c{i}" for i in range(len(cols))]
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in pos])
+            raw = (spark.read.options(**read_opts).schema(schema).csv([r["path"] for r in files])
+                   .withColumn("__file", F.col("_metadata.file_name"))
+                   .withColumn("__split", F.col("_metadata.file_block_start")))
+            by_name = {r["file_name"]: r for r in files}
+            # file order = (split start, scan position): no exact row numbers
+            # are needed, so no per-split summary pass
+            numbered = raw.withColumn("__mono", F.monotonically_increasing_id())
+            has_bad = F.lit(False)
+            for c in pos:
+                has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
+            obs = Observation(f"clean_{uuid.uuid4().hex}")
+            # files with invalid UTF-8 are found on the same pass (Observation)
+            # and their outputs dropped before they are published
+            observed = numbered.observe(
+                obs, F.collect_set(F.when(has_bad, F.col("__file"))).alias("bad_files"))
+            cleaned = clean_frame(observed, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
+                                  else "keep")
+            named = cleaned.select(*[F.col(p).alias(n) for p, n in zip(pos, cols)],
+                                   "__file", "__split", "__mono")
+            # a gzip file is read by one task, so its rows never need a shuffle;
+            # uncompressed files may be split and are brought together by name
+            staging = f"{target.rstrip('/')}/_tmp_clean"
+            written = write_named_csv(spark, named, staging, "__file",
+                                      order_by=["__split", "__mono"],
+                                      options=_write_options("gzip" if gzipped else "none"),
+                                      shuffle=not gzipped, drop=["__split", "__mono"])
+            bad = set(obs.get.get("bad_files") or []) if on_bad_utf8 == "skip" else set()
+            for name in written:
+                r = by_name[name]
+                if name in bad:
+                    report.append((r["path"], None, "skipped", "invalid UTF-8 bytes"))
+                    continue
+                dst = f"{target.rstrip('/')}/{r['relative_path']}"
+                rename(spark, f"{staging}/{name}", dst)
+                report.append((r["path"], dst, "processed", None))
+                _source_action(spark, r, source_action, archive_dir)
+            delete(spark, staging)
 
     rep = spark.createDataFrame(report, REPORT_SCHEMA) if report else \
         spark.createDataFrame([], REPORT_SCHEMA)

@@ -378,3 +378,13 @@ def test_clean_skips_truncated_gzip(spark, tmp):
     status = {r["source_file"].rsplit("/", 1)[1]: r["status"] for r in res.report.collect()}
     assert status == {"a_20250102000000_UTC.csv.gz": "processed",
                       "b_20250102000000_UTC.csv.gz": "skipped"}
+
+
+def test_clean_same_name_in_two_folders(spark, tmp):
+    gz(f"{tmp}/raw/east/x_20250102000000_UTC.csv.gz", "c\n east \n")
+    gz(f"{tmp}/raw/west/x_20250102000000_UTC.csv.gz", "c\n west \n")
+    res = clean_csv_files(spark, f"{tmp}/raw", f"{tmp}/prep")
+    assert sorted(r["status"] for r in res.report.collect()) == ["processed", "processed"]
+    for side in ("east", "west"):
+        with gzip.open(f"{tmp}/prep/{side}/x_20250102000000_UTC.csv.gz", "rt") as f:
+            assert f.read().splitlines() == ["c", side]
