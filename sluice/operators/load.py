@@ -330,6 +330,16 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
         "file_name", "entity", F.lit("SKIPPED").alias("status"),
         F.lit(0).cast("bigint").alias("rows_loaded"),
         F.lit("file already loaded").alias("message"))]
+    # File names identify files (ledger, lineage, per-file folders): names
+    # that occur twice under the landing folder are refused, not merged.
+    names = [r["file_name"] for r in todo]
+    dup = {n for n in names if names.count(n) > 1} if len(set(names)) < len(names) else set()
+    if dup:
+        reports.append(spark.createDataFrame(
+            [(r["file_name"], r["entity"], "FAILED", 0,
+              "file name occurs more than once under the landing folder")
+             for r in todo if r["file_name"] in dup], REPORT_SCHEMA))
+        todo = [r for r in todo if r["file_name"] not in dup]
     by_entity: dict[str, list] = {}
     for r in todo:
         by_entity.setdefault(r["entity"], []).append(r)

@@ -388,3 +388,14 @@ def test_clean_same_name_in_two_folders(spark, tmp):
     for side in ("east", "west"):
         with gzip.open(f"{tmp}/prep/{side}/x_20250102000000_UTC.csv.gz", "rt") as f:
             assert f.read().splitlines() == ["c", side]
+
+
+def test_load_refuses_duplicate_names(spark, tmp):
+    land, wh = f"{tmp}/land", f"{tmp}/wh"
+    gz(f"{land}/a/t_20250102000000_UTC.csv.gz", "id\n1\n")
+    gz(f"{land}/b/t_20250102000000_UTC.csv.gz", "id\n2\n")
+    gz(f"{land}/t_20250103000000_UTC.csv.gz", "id\n3\n")
+    create_entity_tables(spark, land, wh)
+    st = sorted((r["file_name"], r["status"]) for r in load_files(spark, land, wh, RUN).report.collect())
+    assert st == [("t_20250102000000_UTC.csv.gz", "FAILED"), ("t_20250102000000_UTC.csv.gz", "FAILED"),
+                  ("t_20250103000000_UTC.csv.gz", "LOADED")]
