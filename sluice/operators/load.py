@@ -27,6 +27,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -332,8 +333,8 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
         F.lit("file already loaded").alias("message"))]
     # File names identify files (ledger, lineage, per-file folders): names
     # that occur twice under the landing folder are refused, not merged.
-    names = [r["file_name"] for r in todo]
-    dup = {n for n in names if names.count(n) > 1} if len(set(names)) < len(names) else set()
+    seen = Counter(r["file_name"] for r in todo)
+    dup = {n for n, k in seen.items() if k > 1}
     if dup:
         reports.append(spark.createDataFrame(
             [(r["file_name"], r["entity"], "FAILED", 0,
