@@ -17,3 +17,20 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(conf["spark.sql.shuffle.partitions"]) == 20480
     assert int(cluster_conf(shuffle_bytes=1)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_ship_package_once_with_all_modules(spark):
+    import os
+    import zipfile
+
+    from sluice import session as S
+    S._SHIPPED.discard(spark.sparkContext.applicationId)
+    S.ship_package(spark)
+    S.ship_package(spark)  # second call is a no-op
+    assert spark.sparkContext.applicationId in S._SHIPPED
+    pkg = os.path.dirname(os.path.abspath(S.__file__))
+    wanted = {os.path.relpath(os.path.join(r, f), os.path.dirname(pkg))
+              for r, _, fs in os.walk(pkg) for f in fs if f.endswith(".py")}
+    root = checkpoint_root(spark).replace("file:", "")
+    found = [os.path.join(r, f) for r, _, fs in os.walk(root) for f in fs if f == "sluice.zip"]
+    assert found and wanted <= set(zipfile.ZipFile(found[-1]).namelist())
