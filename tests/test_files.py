@@ -399,3 +399,26 @@ def test_load_refuses_duplicate_names(spark, tmp):
     st = sorted((r["file_name"], r["status"]) for r in load_files(spark, land, wh, RUN).report.collect())
     assert st == [("t_20250102000000_UTC.csv.gz", "FAILED"), ("t_20250102000000_UTC.csv.gz", "FAILED"),
                   ("t_20250103000000_UTC.csv.gz", "LOADED")]
+
+
+def test_export_splits_a_hot_key(spark, tmp):
+    """90% of rows share one key: the tie-breaker lets the range partitioner
+    spread that key over several part files, still in key order."""
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(5)).alias("k"),
+        F.col("id").alias("v"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # keep the range split visible
+    spark.conf.set(key, "false")
+    try:
+        rep = export_ordered_csv(spark, {"t": df}, "k", f"{tmp}/exp", RUN)
+    finally:
+        spark.conf.set(key, "true")
+    names = sorted(r["file_name"] for r in rep.collect())
+    keys_per_file = []
+    for n in names:
+        with gzip.open(f"{tmp}/exp/{n}", "rt") as f:
+            keys_per_file.append([int(x.split(",")[0]) for x in f.read().splitlines()[1:]])
+    with_hot = [ks for ks in keys_per_file if 5 in ks]
+    assert len(with_hot) > 1                                   # the hot key is split
+    flat = [k for ks in keys_per_file for k in ks]
+    assert flat == sorted(flat) and len(flat) == 20000        # whole and ordered
