@@ -140,3 +140,23 @@ def test_merge_twice_equals_merge_once(spark, target_keys, source_keys):
     assert once == twice
     new = {k for k in source_keys if k not in set(target_keys)}
     assert len(once) == len(target_keys) + sum(1 for k in source_keys if k in new)
+
+
+def test_master_lookup_order_splits_a_hot_id(spark):
+    from sluice.plans.master import Side, build_master_lookup
+    base = spark.createDataFrame([(i, f"f{i}") for i in range(3)], "id bigint, src string")
+    enc = spark.range(0, 6000).select(F.when(F.col("id") < 5000, F.lit(1)).otherwise(F.col("id") % 3)
+                                      .cast("bigint").alias("pid"), F.col("id").alias("eid"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        out = build_master_lookup(base, "id", "patient_id", [Side(enc, "pid", "eid", "enc_id")],
+                                  lookup_key="lookup_key", carry=["src"])
+        parts = (out.select(F.spark_partition_id().alias("p"), "patient_id")
+                 .where(F.col("patient_id") == 1).select("p").distinct().count())
+        assert parts > 1                    # the frequent id spans several range partitions
+        rows = out.collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert len(rows) == 6000
+    assert [r["patient_id"] for r in rows] == sorted(r["patient_id"] for r in rows)
