@@ -160,3 +160,27 @@ def test_master_lookup_order_splits_a_hot_id(spark):
         spark.conf.set(key, "true")
     assert len(rows) == 6000
     assert [r["patient_id"] for r in rows] == sorted(r["patient_id"] for r in rows)
+
+
+def test_global_row_number_spreads_a_hot_key(spark):
+    """90% of rows share one key value: the boundaries (key + tie-breaker)
+    still split it, so no bucket (window task) holds the hot value alone."""
+    import sluice.operators.rownum as R
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(5)).alias("k"), "id")
+    seen = {}
+    real = R._with_bucket
+
+    def spy(*a, **kw):
+        out = real(*a, **kw)
+        seen["counts"] = {r[0]: r[1] for r in out.groupBy("__bucket").count().collect()}
+        return out
+    R._with_bucket = spy
+    try:
+        got = global_row_number(df, ["k"], buckets=8)
+        rows = got.collect()
+    finally:
+        R._with_bucket = real
+    assert max(seen["counts"].values()) < 0.3 * 20000      # hot value spread over buckets
+    want = {r[1]: i + 1 for i, r in enumerate(sorted((r["k"], r["id"]) for r in rows))}
+    assert all(r["row_number"] == want[r["id"]] for r in rows)
