@@ -9,11 +9,13 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+from sluice.plans import registry
 from tests.conftest import SF_SMALL
 from tests.oracle import compare, duck
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+entry_module.queries()  # loads the registry
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,8 @@ def con():
 
 def test_every_job_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
