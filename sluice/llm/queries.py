@@ -60,3 +60,58 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "conv_id long, turn long, role string, text string")
     turns = read_table(spark, sf_dir, "conversations").select(*cols).unionByName(extra)
     return cf.digest(cf.read_back(cf.format_examples(turns)))
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         ('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15))::BIGINT
+           AS h
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM d GROUP BY source),
+r AS (
+  SELECT *, 3 * CAST(source_size AS HUGEINT) AS cap, sum(source_size) OVER () AS total,
+         sum(w) OVER () AS total_w FROM s),
+f AS (
+  SELECT *, coalesce(sum(cap) OVER o, 0) AS caps, coalesce(sum(w) OVER o, 0) AS ws
+  FROM r WINDOW o AS (ORDER BY cap / w, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, cap * (total_w - ws) < w * (total - caps) AS clamped FROM f),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN clamped THEN CAST(cap AS DOUBLE)
+              ELSE CAST(w * (total - coalesce(sum(CASE WHEN clamped THEN cap END) OVER (), 0))
+                        AS DOUBLE)
+                   / CAST(total_w - coalesce(sum(CASE WHEN clamped THEN w END) OVER (), 0)
+                          AS DOUBLE) END AS target
+  FROM g),
+u AS (
+  SELECT *, CAST(round(target) AS BIGINT) AS want,
+         CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END
+           AS whole FROM t),
+x AS (
+  SELECT d.doc_id, d.size, u.source_size, u.target, u.whole,
+         u.want - u.whole * u.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
+                           ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + greatest(0, least(size, rest - (upto - size))) AS BIGINT) AS taken
+FROM x
+"""
+
+
+@register("op10_mixing", OP10_SQL)
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    from pyspark.sql import functions as F
+
+    from sluice.llm import mixing
+
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.take(docs).select("doc_id", "size", "source_size", "target", "taken")
