@@ -115,3 +115,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     return mixing.take(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op8_sketch")
+def op8_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch of every document, of its edited text and its likeness to the next."""
+    from sluice.llm import sketch
+
+    return sketch.sketch_report(read_table(spark, sf_dir, "documents"))
