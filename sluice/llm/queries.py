@@ -123,3 +123,11 @@ def op8_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm import sketch
 
     return sketch.sketch_report(read_table(spark, sf_dir, "documents"))
+
+
+@register("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    from sluice.llm import simhash
+
+    return simhash.near_groups(read_table(spark, sf_dir, "documents"))
