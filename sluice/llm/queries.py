@@ -131,3 +131,52 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm import simhash
 
     return simhash.near_groups(read_table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM documents),
+i AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+         regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+l AS (SELECT item, ws, least(10, len(ws)) AS n FROM i WHERE len(ws) > 0),
+iw AS (
+  SELECT DISTINCT item, n, array_to_string(ws[p:p + n - 1], ' ') AS w
+  FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM l)),
+dw AS (
+  SELECT rid, n, p, array_to_string(ws[p:p + n - 1], ' ') AS w
+  FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS p
+        FROM d, (SELECT DISTINCT n FROM l) WHERE len(ws) >= n)),
+h AS (SELECT dw.rid, dw.p, dw.n, iw.item FROM dw JOIN iw USING (n, w)),
+c AS (SELECT rid, count(DISTINCT q) AS n_hit
+      FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM h) GROUP BY rid),
+k AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN k USING (rid)
+"""
+
+
+@register("op3_decontaminate", OP3_SQL)
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark hits of every document."""
+    from pyspark.sql import functions as F
+
+    from sluice.llm import decontaminate as dc
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = dc.hits(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "hits.n_words", dc.n_hit("hits").alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits.spans") > 0).alias("contaminated"))
