@@ -180,3 +180,17 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("hits.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("hits.spans") > 0).alias("contaminated"))
+
+
+@register("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    from pyspark.sql import functions as F
+
+    from sluice.llm import toxicity as tx
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = tx.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = tx.score(docs, model)
+    return scored.select("doc_id", tx.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
