@@ -194,3 +194,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = tx.score(docs, model)
     return scored.select("doc_id", tx.held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the common blocks that an earlier document holds."""
+    from pyspark.sql import functions as F
+
+    from sluice.llm import line_dedup
+
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
+        .alias("n_lines"))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long")
+        .alias("n_removed"), "text")
