@@ -209,3 +209,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long")
         .alias("n_removed"), "text")
+
+
+@register("op7_licenses")
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed license blocks of all documents."""
+    from sluice.llm import licenses
+
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
