@@ -217,3 +217,16 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm import licenses
 
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+@register("op2_html_extract")
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from pyspark.sql import functions as F
+
+    from sluice.llm import html_extract as hx
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    got = hx.extract(pages, hx.fit(pages))
+    return got.select("page_id", "url", "text",
+                      F.char_length("text").cast("long").alias("n_chars"))
