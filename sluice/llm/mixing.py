@@ -29,6 +29,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.llm._names import fresh
 from sluice.operators.rownum import global_row_number
 from sluice.session import scratch_path
 
@@ -90,14 +91,10 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
                       F.when(over, F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def take(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str = "size",
-         weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
-         rows_per_bucket: int = 2_000) -> DataFrame:
-    """Words the mix takes of every document.
-
-    Returns ``doc_id, source, size, source_size, target, taken, epochs``; ``epochs``
-    counts the repetitions a document appears in, the last perhaps in part.
-    """
+def _ordered(docs: DataFrame, doc_id: str, source: str, size: str, weights, max_epochs: int,
+             seed: int, rows_per_bucket: int) -> DataFrame:
+    """Every row with its source's target, whole epochs and words left, and
+    the words of its source before it in hash order."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                        F.col(size).alias("size"))
@@ -125,11 +122,63 @@ def take(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size:
     inside = Window.partitionBy("k", "b").orderBy("h", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     joined = rows.withColumn("upto", F.sum("size").over(inside)).join(base, ["k", "b"])
-    extra = F.greatest(F.lit(0), F.least(
-        F.col("size"), F.col("rest") - (F.col("start") + F.col("upto") - F.col("size"))))
+    return joined.withColumn("before", F.col("start") + F.col("upto") - F.col("size"))
+
+
+def take(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str = "size",
+         weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
+         rows_per_bucket: int = 2_000) -> DataFrame:
+    """Words the mix takes of every document.
+
+    Returns ``doc_id, source, size, source_size, target, taken, epochs``;
+    ``epochs`` counts the repetitions a document appears in, the last perhaps
+    in part.
+    """
+    joined = _ordered(docs, doc_id, source, size, weights, max_epochs, seed, rows_per_bucket)
+    extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
     joined = joined.withColumn("extra", extra)
     return joined.select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"),
         F.when(F.col("size") > 0, F.col("whole") + (F.col("extra") > 0).cast("long"))
         .otherwise(0).cast("long").alias("epochs"))
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+        weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
+        rows_per_bucket: int = 2_000) -> DataFrame:
+    """The mixed corpus: a row per document and repetition, with the columns
+    of ``docs``, ``copy`` (from 1) and ``words``, the words of it that count
+    (fewer than it has only in the cut document of each source).
+
+    A source's fractional epoch ends at one document, so texts need only a
+    join with the small table of those cuts and are never put in order.
+    Documents without words are in no repetition.  Rows that repeat id and
+    size at a cut are treated alike.
+    """
+    n, c = fresh(docs, "words"), fresh(docs, "copy")
+    sizes = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
+                        word_count(F.col(text)).alias("size"))
+    rows = _ordered(sizes, "doc_id", "source", "size", weights, max_epochs, seed,
+                    rows_per_bucket)
+    cut = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("size"))
+    cuts = rows.filter(cut).select(
+        F.col("k").alias("k__"), F.col("whole").alias("whole__"),
+        F.struct("h", "doc_id", "size").alias("at__"),
+        (F.col("rest") - F.col("before")).alias("left__")).dropDuplicates(["k__"])
+    size = word_count(F.col(text))
+    here = F.struct(seeded_order(F.col(doc_id), seed).alias("h"),
+                    F.col(doc_id).alias("doc_id"), F.col("size__").alias("size"))
+    joined = docs.withColumn("size__", size).withColumn("here__", here).join(
+        cuts, _source_key(F.col(source)) == F.col("k__"))
+    extra = F.when(F.col("here__") < F.col("at__"), F.col("size__")).when(
+        F.col("here__").eqNullSafe(F.col("at__")), F.col("left__")).otherwise(0)
+    joined = joined.withColumn("extra__", extra)
+    epochs = F.col("whole__") + (F.col("extra__") > 0).cast("long")
+    many = joined.filter((F.col("size__") > 0) & (epochs > 0)).select(
+        *docs.columns, "whole__", "extra__", "size__",
+        F.explode(F.sequence(F.lit(1).cast("long"), epochs)).alias("copy__"))
+    return many.select(
+        *docs.columns, F.col("copy__").alias(c),
+        F.when(F.col("copy__") > F.col("whole__"), F.col("extra__")).otherwise(F.col("size__"))
+        .alias(n))

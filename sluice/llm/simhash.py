@@ -72,14 +72,16 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, doc_id: str, text: str,
                  shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` of every row."""
+    """``doc_id, t, fp`` of every row; t is a hash of the text."""
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series([text_fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select(F.col(doc_id).alias("doc_id"), fp(F.col(text).cast("string")).alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"),
+                       F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("t"),
+                       fp(F.col(text).cast("string")).alias("fp"))
 
 
 # --- choice of partitions and thresholds -------------------------------------------------
@@ -310,20 +312,46 @@ def hex64(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                block: int = BLOCK) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int, block: int
+             ) -> tuple[DataFrame, DataFrame]:
+    """Tables ``doc_id, t, fp`` (t: hash of the text) and ``fp, root``."""
     spark = docs.sparkSession
     by_doc, by_fp = scratch_path(spark, "simhash-docs"), scratch_path(spark, "simhash-fps")
     fingerprints(docs, doc_id, text, shingle).write.parquet(by_doc)
     rows = spark.read.parquet(by_doc)
-    rows.groupBy("fp").agg(F.min("doc_id").alias("least")).write.parquet(by_fp)
+    rows.select("fp").distinct().write.parquet(by_fp)
     distinct = spark.read.parquet(by_fp)
     roots = components(links(distinct, max_bits, block)).select(
         F.col("u").alias("fp"), "root")
-    named = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return rows, distinct.join(roots, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"))
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                block: int = BLOCK) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row."""
+    rows, roots = _grouped(docs, doc_id, text, shingle, max_bits, block)
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = least.join(roots, "fp")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     names = named.join(names, "root").select("fp", "component_id")
     return rows.join(names, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"),
                                          "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+             shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+             block: int = BLOCK) -> DataFrame:
+    """One row of each group, columns as they were: the smallest id (a null id
+    last), of rows that repeat it the smallest text hash."""
+    rows, roots = _grouped(docs, doc_id, text, shingle, max_bits, block)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "t")
+    first = rows.groupBy("fp").agg(F.min(order).alias("o")).join(roots, "fp") \
+        .groupBy("root").agg(F.min("o").alias("o")) \
+        .select(F.col("o.doc_id").alias("d__"), F.col("o.t").alias("t__"))
+    own = F.coalesce(F.xxhash64(F.col(text)), F.lit(0))
+    cols = docs.columns
+    return docs.withColumn("h__", own).join(
+        first, F.col(doc_id).eqNullSafe(F.col("d__")) & (F.col("h__") == F.col("t__")),
+        "left_semi").dropDuplicates([doc_id, "h__"]).select(*cols)
