@@ -230,3 +230,11 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = hx.extract(pages, hx.fit(pages))
     return got.select("page_id", "url", "text",
                       F.char_length("text").cast("long").alias("n_chars"))
+
+
+@register("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to strings of 100 bytes that start earlier."""
+    from sluice.llm import suffix_dedup
+
+    return suffix_dedup.dedup(read_table(spark, sf_dir, "documents")).drop("kept")
