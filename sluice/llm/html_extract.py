@@ -228,10 +228,12 @@ def train(pages: list[str | None], drawn: int = DRAWN, seed: int = SEED) -> BiLS
 def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE
         ) -> BiLSTM:
     """Train on a bounded sample of the pages."""
-    rows = pages.select(F.col(page_id).alias("i"), F.col(html).alias("h")) \
-        .filter(F.col("h").isNotNull()) \
-        .orderBy(F.xxhash64("i"), F.xxhash64("h")).limit(sample).collect()
-    return train([r["h"] for r in rows])
+    rows = pages.select(F.xxhash64(F.col(page_id)).alias("i"), F.col(html).alias("h")) \
+        .filter(F.col("h").isNotNull()).withColumn("k", F.xxhash64("h"))
+    picked = rows.select("i", "k").distinct().orderBy("i", "k").limit(sample)
+    got = rows.join(F.broadcast(picked), ["i", "k"])  # at most ``sample`` pairs
+    got = got.dropDuplicates(["i", "k"]).collect()
+    return train([r["h"] for r in sorted(got, key=lambda r: (r["i"], r["k"]))])
 
 
 def page_texts(net: BiLSTM, pages) -> list[str]:

@@ -160,14 +160,15 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     with the numbers of the deleted lines (null: none)."""
     name = fresh(docs, out)
     gone = removed_lines(docs, doc_id, text, min_chars)
-    gone = gone.select(F.col("d").alias("d__"), F.col("t").alias("t__"),
-                       F.col("removed").alias("r__"))
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("d__"))
-                       & (F.xxhash64(F.col(text)) == F.col("t__")), "left")
+    joined = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"),
+                         F.xxhash64(F.col(text)).alias("hash")).join(
+        gone, F.col("id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("t")), "left")
+    old = F.col("row").getField(text)
     kept = F.element_at(F.transform(
-        F.array(F.split(F.col(text), "\n", -1)), lambda ls: F.array_join(F.transform(
-            F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("r__")),
+        F.array(F.split(old, "\n", -1)), lambda ls: F.array_join(F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("removed")),
             lambda i: F.element_at(ls, i + 1)), "\n")), 1)
     return joined.select(
-        *[F.when(F.col("r__").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text
-          else F.col(c) for c in docs.columns], F.col("r__").alias(name))
+        *[F.when(F.col("removed").isNull(), old).otherwise(kept).alias(c) if c == text
+          else F.col("row").getField(c).alias(c) for c in docs.columns],
+        F.col("removed").alias(name))

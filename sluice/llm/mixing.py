@@ -163,22 +163,20 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
                     rows_per_bucket)
     cut = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("size"))
     cuts = rows.filter(cut).select(
-        F.col("k").alias("k__"), F.col("whole").alias("whole__"),
-        F.struct("h", "doc_id", "size").alias("at__"),
-        (F.col("rest") - F.col("before")).alias("left__")).dropDuplicates(["k__"])
+        "k", "whole", F.struct("h", "doc_id", "size").alias("cut"),
+        (F.col("rest") - F.col("before")).alias("left")).dropDuplicates(["k"])
     size = word_count(F.col(text))
     here = F.struct(seeded_order(F.col(doc_id), seed).alias("h"),
-                    F.col(doc_id).alias("doc_id"), F.col("size__").alias("size"))
-    joined = docs.withColumn("size__", size).withColumn("here__", here).join(
-        cuts, _source_key(F.col(source)) == F.col("k__"))
-    extra = F.when(F.col("here__") < F.col("at__"), F.col("size__")).when(
-        F.col("here__").eqNullSafe(F.col("at__")), F.col("left__")).otherwise(0)
-    joined = joined.withColumn("extra__", extra)
-    epochs = F.col("whole__") + (F.col("extra__") > 0).cast("long")
-    many = joined.filter((F.col("size__") > 0) & (epochs > 0)).select(
-        *docs.columns, "whole__", "extra__", "size__",
-        F.explode(F.sequence(F.lit(1).cast("long"), epochs)).alias("copy__"))
+                    F.col(doc_id).alias("doc_id"), size.alias("size"))
+    joined = docs.select(F.struct("*").alias("row"), _source_key(F.col(source)).alias("k"),
+                         here.alias("here")).join(cuts, "k")
+    extra = F.when(F.col("here") < F.col("cut"), F.col("here.size")).when(
+        F.col("here").eqNullSafe(F.col("cut")), F.col("left")).otherwise(0)
+    joined = joined.filter(F.col("here.size") > 0).withColumn("extra", extra)
+    epochs = F.col("whole") + (F.col("extra") > 0).cast("long")
+    many = joined.filter(epochs > 0).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), epochs)))
     return many.select(
-        *docs.columns, F.col("copy__").alias(c),
-        F.when(F.col("copy__") > F.col("whole__"), F.col("extra__")).otherwise(F.col("size__"))
+        "row.*", F.col("copy").alias(c),
+        F.when(F.col("copy") > F.col("whole"), F.col("extra")).otherwise(F.col("here.size"))
         .alias(n))

@@ -350,8 +350,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = rows.groupBy("fp").agg(F.min(order).alias("o")).join(roots, "fp") \
         .groupBy("root").agg(F.min("o").alias("o")) \
         .select(F.col("o.doc_id").alias("d__"), F.col("o.t").alias("t__"))
-    own = F.coalesce(F.xxhash64(F.col(text)), F.lit(0))
-    cols = docs.columns
-    return docs.withColumn("h__", own).join(
-        first, F.col(doc_id).eqNullSafe(F.col("d__")) & (F.col("h__") == F.col("t__")),
-        "left_semi").dropDuplicates([doc_id, "h__"]).select(*cols)
+    whole = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("d"),
+                        F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("t"))
+    return whole.join(first, F.col("d").eqNullSafe(F.col("d__")) & (F.col("t") == F.col("t__")),
+                      "left_semi").dropDuplicates(["d", "t"]).select("row.*")
