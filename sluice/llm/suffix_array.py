@@ -257,12 +257,13 @@ class InducedSorter:
             if len(pos):
                 lcp = lcp.copy()
                 lcp[0] = 0
-            while len(pos):
+            end = c == t[self.n - 1]  # the last suffix is the least of all
+            while len(pos) or end:
+                if not len(pos):
+                    pos, lcp = np.array([self.n - 1], self.idx), np.zeros(1, np.uint8)
+                    end = False
                 parts.append((pos, lcp))
                 pos, lcp = scan(pos, lcp, True, c)
-            if c == t[self.n - 1]:  # the last suffix is the least of all
-                parts.append((np.array([self.n - 1], self.idx), np.zeros(1, np.uint8)))
-                scan(*parts[-1], True, c)
             own, l1 = _cat(parts, 0, self.idx), _cat(parts, 1, np.uint8)
             smaller.append((own, l1))
             big, l2 = larger[c]

@@ -210,10 +210,11 @@ def _repeated_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if held:
                 us, hs = [held[0]], [held[1]]
         out = twice & (kind == 0)
-        us, hs = np.append(us, u[out]), np.append(hs, key[out])
+        us = np.concatenate([np.array(us, "i8"), u[out]])  # never floats: hashes are exact
+        hs = np.concatenate([np.array(hs, "i8"), key[out]])
         last = int(key[-1])
         held = None if twice[-1] or kind[-1] != 0 else (int(u[-1]), last)
-        yield pd.DataFrame({"u": us.astype("i8"), "h": hs.astype("i8")})
+        yield pd.DataFrame({"u": us, "h": hs})
 
 
 # --- 3. snippets and shards --------------------------------------------------------------
