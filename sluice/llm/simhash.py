@@ -273,6 +273,16 @@ def _linker(max_bits: int):
     return link
 
 
+def _visit(i: int, key: Column):
+    """The place of a flipped key in partition i."""
+
+    def place(flip: Column) -> Column:
+        return F.struct(F.lit(i).alias("i"), key.bitwiseXOR(flip).alias("key"),
+                        F.lit(False).alias("home"))
+
+    return place
+
+
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """Links ``u, v`` between distinct fingerprints that keep every component
     whole (stars instead of all pairs); ``distinct`` is a table with ``fp``."""
@@ -287,9 +297,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
                                        F.lit(True).alias("home"))))
         if t:
             masks = F.array(*[F.lit(x) for x in flips(bits, t)])
-            places.append(F.transform(masks, lambda x, i=i, key=key: F.struct(
-                F.lit(i).alias("i"), key.bitwiseXOR(x).alias("key"),
-                F.lit(False).alias("home"))))
+            places.append(F.transform(masks, _visit(i, key)))
     rows = distinct.select("fp", F.explode(F.concat(*places)).alias("at")) \
         .select("fp", "at.i", "at.key", "at.home")
     crowded = scratch_path(spark, "simhash-crowded")

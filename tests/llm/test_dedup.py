@@ -251,7 +251,7 @@ def _components(fps, bits=4):
     every = sorted(name)
     for k, a in enumerate(every):
         for b in every[k + 1:]:
-            if (a ^ b).bit_count() <= bits:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= bits:
                 name[find(a)] = find(b)
     return {f: find(f) for f in every}
 
