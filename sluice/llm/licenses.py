@@ -1,14 +1,14 @@
 """License scan by conditional compression.
 
-1. Documents with a license cue word are split into sentences and lines.
-   Candidate blocks are every sentence with a cue and every run of such
-   sentences with at most two others between them.
+1. Around every license cue word stand two candidate blocks: its sentence
+   (or line), and as many words before and after it as the longest template
+   can reach, which also holds notices wrapped over lines or set in prose.
 2. Each block is compressed alone and with each template as raw zstandard
    dictionary.  The templates are ranked by the bytes they save, as a share
    of what they save on their own text.
 3. The best ``tries`` templates are confirmed in that order by the exact
    differences in wording: words of the template that the block lacks, and
-   words that the block has between the first and last word it shares.  A
+   words that stand between the first and last word it shares.  A
    template is confirmed when no key word (name, version) is missing, and
    the words missing and those put in between are at most ``max_diff`` of it.
 
@@ -23,6 +23,7 @@ texts are scanned whole; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -80,10 +81,9 @@ CUE = (r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|public domain|s
        r"creative commons|\bcc[ -]by|\bcc0\b")
 _CUE = re.compile(CUE)
 _SENTENCE = re.compile(r"[^\n]+?(?:(?<=[.!?:;])(?=\s)|(?=\n)|$)")
-_WORD = re.compile(r"[a-z0-9]+(?:[.'-][a-z0-9]+)*")
+_WORD = re.compile(r"[A-Za-z0-9]+(?:[.'-][A-Za-z0-9]+)*")
 MAX_DIFF = 0.2
 TRIES = 5
-_GAP = 2
 
 BLOCKS = ("doc_id long, block int, license string, template int, start long, end long, "
           "size_alone int, size_given int, saved double, n_shared int, missing string, "
@@ -91,7 +91,7 @@ BLOCKS = ("doc_id long, block int, license string, template int, start long, end
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 @dataclass(frozen=True)
@@ -108,29 +108,41 @@ class Found:
     added: str
 
 
-def word_diff(template: list[str], block: list[str]) -> tuple[list[str], list[str], int]:
-    """Missing words, words put in between, and the number shared (by a
-    longest common subsequence of the words)."""
+def _shared(template: list[str], block: list[str]) -> list[tuple[int, int]]:
+    """A longest common subsequence of the words that ends as early as it can."""
     n, m = len(template), len(block)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
+        row, below = best[i], best[i + 1]
         for j in range(m - 1, -1, -1):
-            best[i][j] = (best[i + 1][j + 1] + 1 if template[i] == block[j]
-                          else max(best[i + 1][j], best[i][j + 1]))
+            row[j] = (below[j + 1] + 1 if template[i] == block[j]
+                      else max(below[j], row[j + 1]))
     i = j = 0
-    missing, at = [], []
-    while i < n:
-        if j < m and template[i] == block[j] and best[i][j] == best[i + 1][j + 1] + 1:
-            at.append(j)
+    out = []
+    while i < n and j < m and best[i][j]:
+        if template[i] == block[j]:
+            out.append((i, j))
             i, j = i + 1, j + 1
-        elif j < m and best[i][j + 1] >= best[i + 1][j]:
-            j += 1
-        else:
-            missing.append(template[i])
+        elif best[i + 1][j] == best[i][j]:
             i += 1
+        else:
+            j += 1
+    return out
+
+
+def word_diff(template: list[str], block: list[str]) -> tuple[list[str], list[str], list[int]]:
+    """Missing words, words put in between, and the places of the shared
+    words, taken where they stand closest."""
+    first = _shared(template, block)
+    if not first:
+        return list(template), [], []
+    end = first[-1][1] + 1  # then backwards from there, to start as late as possible
+    back = _shared(template[::-1], block[:end][::-1])
+    pairs = [(len(template) - 1 - i, end - 1 - j) for i, j in back][::-1]
+    has, at = {i for i, _ in pairs}, [j for _, j in pairs]
+    missing = [w for i, w in enumerate(template) if i not in has]
     used = set(at)
-    added = [block[k] for k in range(at[0], at[-1]) if k not in used] if at else []
-    return missing, added, len(at)
+    return missing, [block[k] for k in range(at[0], at[-1]) if k not in used], at
 
 
 class Scanner:
@@ -150,56 +162,54 @@ class Scanner:
             self.given.append(given)
             self.own.append(max(1, len(self.alone.compress(raw)) - len(given.compress(raw))))
             self.words.append(words_of(wording))
+        self.reach = int(max(map(len, self.words)) * (1 + max_diff)) + 1
 
     @staticmethod
     def form(text: str) -> bytes:
         return " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
 
-    def judge(self, text: str, start: int, end: int) -> Found | None:
-        raw, words = self.form(text[start:end]), words_of(text[start:end])
+    def judge(self, text: str, spans: list[tuple[int, int]]) -> Found | None:
+        """The winner of a block, given by its words' places."""
+        raw = self.form(text[spans[0][0]:spans[-1][1]])
+        words = [text[a:b].lower() for a, b in spans]
+        present = set(words)
         size = len(self.alone.compress(raw))
         ranked = []
         for k, given in enumerate(self.given):
             with_it = len(given.compress(raw))
-            ranked.append(((size - with_it) / self.own[k], size - with_it, -k, with_it))
+            ranked.append(((size - with_it) / self.own[k], -k, with_it))
         ranked.sort(reverse=True)
-        for share, saved, k, with_it in ranked[:self.tries]:
+        for share, k, with_it in ranked[:self.tries]:
             name, keys, _ = self.templates[-k]
             mine = self.words[-k]
-            if saved <= 0:
+            most = self.max_diff * len(mine)
+            if share <= 0 or not present.issuperset(keys.split()) \
+                    or sum(w not in present for w in mine) > most:
                 continue
-            for part in self.parts(mine, keys.split()[0], words):
-                missing, added, shared = word_diff(mine, part)
-                if (len(missing) <= self.max_diff * len(mine)
-                        and len(added) <= self.max_diff * len(mine)
-                        and not set(keys.split()) & set(missing)):
-                    return Found(name, -k, start, end, size, with_it, share, shared,
-                                 " ".join(missing), " ".join(added))
+            missing, added, at = word_diff(mine, words)
+            if len(missing) <= most and len(added) <= most \
+                    and not set(keys.split()) & set(missing):
+                return Found(name, -k, spans[at[0]][0], spans[at[-1]][1], size, with_it, share,
+                             len(at), " ".join(missing), " ".join(added))
         return None
 
-    def parts(self, template: list[str], key: str, words: list[str]) -> list[list[str]]:
-        """A long block's words around each place of a key word: no match
-        can reach further, as it holds all key words."""
-        if len(words) <= 4 * len(template):
-            return [words]
-        reach = int(len(template) * (1 + self.max_diff)) + 1
-        return [words[max(0, p - reach):p + reach + 1]
-                for p, w in enumerate(words) if w == key]
-
     def scan(self, text: str | None) -> list[Found]:
-        units = [m.span() for m in _SENTENCE.finditer(text or "")]
-        cued = [i for i, (a, b) in enumerate(units) if _CUE.search(text, a, b)]
-        spans = [units[i] for i in cued]
-        run: list[int] = []
-        for i in [*cued, 1 << 60]:
-            if run and i - run[-1] > _GAP + 1:
-                if len(run) > 1:
-                    spans.append((units[run[0]][0], units[run[-1]][1]))
-                run = []
-            run.append(i)
-        found = [f for f in (self.judge(text, a, b) for a, b in spans) if f]
+        text = text or ""
+        spans = [m.span() for m in _WORD.finditer(text)]
+        starts = [a for a, _ in spans]
+        units = [m.span() for m in _SENTENCE.finditer(text)]
+        unit_starts = [a for a, _ in units]
+        blocks: dict[tuple[int, int], None] = {}
+        for m in _CUE.finditer(text):
+            i = max(0, bisect_right(starts, m.start()) - 1)
+            lo, hi = max(0, i - self.reach), min(len(spans), i + self.reach + 1)
+            a, b = units[max(0, bisect_right(unit_starts, m.start()) - 1)]
+            own = max(lo, bisect_left(starts, a)), min(hi, bisect_left(starts, b))
+            blocks |= {own: None, (lo, hi): None}
+        found = [f for f in (self.judge(text, spans[lo:hi]) for lo, hi in blocks if lo < hi) if f]
         kept: list[Found] = []
-        for f in sorted(found, key=lambda f: (-f.n_shared, f.end - f.start, f.start)):
+        for f in sorted(set(found), key=lambda f: (-f.n_shared, f.end - f.start, f.start,
+                                                   f.template, f.size_alone)):
             if all(f.end <= k.start or f.start >= k.end for k in kept):
                 kept.append(f)
         return sorted(kept, key=lambda f: f.start)
