@@ -162,9 +162,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = _ordered(sizes, "doc_id", "source", "size", weights, max_epochs, seed,
                     rows_per_bucket)
     cut = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("size"))
-    cuts = rows.filter(cut).select(
+    table = scratch_path(docs.sparkSession, "mix-cuts")  # its size is known to the planner
+    rows.filter(cut).select(
         "k", "whole", F.struct("h", "doc_id", "size").alias("cut"),
-        (F.col("rest") - F.col("before")).alias("left")).dropDuplicates(["k"])
+        (F.col("rest") - F.col("before")).alias("left")).dropDuplicates(["k"]) \
+        .write.parquet(table)
+    cuts = docs.sparkSession.read.parquet(table)
     size = word_count(F.col(text))
     here = F.struct(seeded_order(F.col(doc_id), seed).alias("h"),
                     F.col(doc_id).alias("doc_id"), size.alias("size"))
