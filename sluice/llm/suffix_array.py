@@ -332,24 +332,49 @@ def _cat(parts, k: int, dtype) -> np.ndarray:
     return parts[0][k] if len(parts) == 1 else np.concatenate([p[k] for p in parts])
 
 
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key, and for each place in it the first place of its key and
+    whether the key occurs again."""
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+    again = ~new
+    again[:-1] |= ~new[1:]
+    return order, first, again
+
+
 def _rank_pairs(names: np.ndarray, last: np.ndarray, span: int, most: int) -> np.ndarray:
-    """Ranks of the suffixes of a string of names, up to a separator: a name
-    for each pair (name, name ``span`` places on), then the same for those."""
-    if span >= most or len(names) < 2:
-        return names
+    """Ranks of the suffixes of a string of names, up to a separator."""
     stop = np.where(last, np.arange(len(names)), len(names))
     stop = np.minimum.accumulate(stop[::-1])[::-1]
-    at = np.arange(len(names)) + span
-    ahead = np.where(at <= stop, names[np.minimum(at, len(names) - 1)] + 1, 0)
-    ahead[at >= len(names)] = 0
-    key = names * (int(names.max()) + 2) + ahead
-    order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    new = np.empty(len(names), np.int64)
-    new[order] = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
-    if new.max() == names.max():
-        return new
-    return _rank_pairs(new, last, span * 2, most)
+    order, first, again = _groups(names)
+    rank = np.empty(len(names), np.int64)
+    rank[order] = first
+    return _refine(rank, order[again], stop, span, most)
+
+
+def _refine(rank: np.ndarray, open_: np.ndarray, stop: np.ndarray, span: int, most: int
+            ) -> np.ndarray:
+    """One level: equal ranks are told apart by the rank ``span`` names on,
+    and what stays equal by the next level, over twice the span."""
+    if span >= most or not len(open_):
+        return rank
+    n = len(rank)
+    at = open_ + span
+    ahead = np.where(at <= np.minimum(stop[open_], n - 1), rank[np.minimum(at, n - 1)] + 1, 0)
+    own = rank[open_]
+    order, first, again = _groups(own * (n + 2) + ahead)
+    own = own[order]
+    base = np.ones(len(own), bool)
+    base[1:] = own[1:] != own[:-1]
+    base = np.maximum.accumulate(np.where(base, np.arange(len(own)), 0))
+    new = own + first - base
+    if np.array_equal(new, own):
+        return rank
+    rank[open_[order]] = new
+    return _refine(rank, open_[order[again]], stop, span * 2, most)
 
 
 def repeated(snippets: list[bytes], depth: int, memory: int = MEMORY

@@ -48,9 +48,9 @@ from sluice.session import scratch_path, ship_package
 
 DEPTH = 100
 GRAM = 32
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 2_000_000
 CROWDED = 20_000
-_CHUNK = 1 << 19
+_CHUNK = 1 << 16
 _LOW = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _NULL_ID = -(1 << 63)
@@ -82,26 +82,25 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def _chunk_anchors(raw: np.ndarray, bounds: list[tuple[int, int]], depth: int, gram: int):
     """Anchors of texts laid end to end in ``raw``."""
     h = gram_hashes(raw, gram)
-    place = np.arange(len(h), dtype=np.uint64)
-    key = (h & ~_LOW) | (_LOW - place)  # of equal hashes the rightmost is least
+    key = (h & ~_LOW) | (_LOW - np.arange(len(h), dtype=np.uint64))  # rightmost is least
     least = _sliding_min(key, depth - gram + 1)
-    at = (_LOW - (least & _LOW)).astype(np.int64)
-    starts, owner = [], []
-    for i, (a, b) in enumerate(bounds):
-        if b - a >= depth:
-            starts.append(np.arange(a, b - depth + 1))
-            owner.append(np.full(b - depth + 1 - a, i))
-    if not starts:
+    change = np.flatnonzero(least[1:] != least[:-1]) + 1  # starts with another anchor
+    at = np.array(bounds, np.int64)
+    which = np.flatnonzero(at[:, 1] - at[:, 0] >= depth)
+    if not len(which):
         return None
-    starts, owner = np.concatenate(starts), np.concatenate(owner)
-    p = at[starts]
-    new = np.ones(len(p), bool)
-    new[1:] = (p[1:] != p[:-1]) | (owner[1:] != owner[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(p)) - 1
-    base = np.array([a for a, _ in bounds])[owner[first]]
-    return (owner[first], h[p[first]].view(np.int64), starts[first] - base,
-            starts[last] - base + depth)
+    a, z = at[which, 0], at[which, 1] - depth  # first and last start of each text
+    lo, hi = np.searchsorted(change, a, "right"), np.searchsorted(change, z, "right")
+    many = hi - lo + 1
+    owner = np.repeat(np.arange(len(which)), many)
+    head = np.cumsum(many) - many
+    nth = np.arange(len(owner)) - head[owner]
+    start = a[owner].copy()
+    start[nth > 0] = change[(lo[owner] + nth - 1)[nth > 0]]
+    end = np.append(start[1:], 0) - 1
+    end[head + many - 1] = z
+    p = (_LOW - (least[start] & _LOW)).astype(np.int64)
+    return (which[owner], h[p].view(np.int64), start - a[owner], end - a[owner] + depth)
 
 
 def anchors(texts: list[bytes], depth: int = DEPTH, gram: int = GRAM) -> tuple:
@@ -299,6 +298,13 @@ def _sort_shards(depth: int, shard_bytes: int, memory: int):
 
         def sort(f: pd.DataFrame) -> pd.DataFrame:
             key = f["h"].to_numpy("i8") ^ (f["part"].to_numpy("i8") * 0x9E3779B1)
+            alone = np.ones(len(key), bool)  # a snippet alone in its group repeats nothing
+            same = key[1:] == key[:-1]
+            alone[1:] &= ~same
+            alone[:-1] &= ~same
+            f, key = f[~alone], key[~alone]
+            if not len(f):
+                return pd.DataFrame(columns=names).astype("int64")
             spans = np.array(shard_repeats(
                 f["d"].to_numpy("i8"), f["u"].to_numpy("i8"), f["start"].to_numpy("i8"), key,
                 list(f["snippet"]), depth, memory), np.int64).reshape(-1, 4)
