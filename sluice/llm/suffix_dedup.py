@@ -15,9 +15,10 @@ earlier: in a document with a smaller id, or earlier in the same one.
    places of a repeated string meet in one shard, and each shard's suffixes
    are sorted with their common prefixes by external induced sorting
    (``suffix_array``).  Suffixes that share ``depth`` bytes are neighbours;
-   all but the earliest place are repeats.  Equal snippets are folded first:
-   within a batch the later ones are repeats of the first by themselves; of
-   those that meet in a shard two stand for all.
+   all but the earliest place are repeats.  Equal snippets are folded first,
+   in a batch and in a shard: the later ones repeat the first from end to
+   end, and the first goes into the suffix array for all of them.  A snippet
+   that has no other beside it under its gram repeats nothing.
 4. A gram with more than ``crowded`` snippets is dealt out string by string,
    by a hash of the string, so that no shard holds a hot gram whole.
 5. The repeats' spans are joined back to the documents.
@@ -261,17 +262,21 @@ def shard_repeats(d: np.ndarray, u: np.ndarray, start: np.ndarray, h: np.ndarray
                   ) -> list[tuple[int, int, int, int]]:
     """Spans (d, u, start, end) of a shard's repeats, by its suffix array."""
     order = np.lexsort((start, u, d))
-    stands: dict[tuple[int, bytes], int] = {}
+    stands: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+    distinct: dict[int, int] = {}
     chosen: list[int] = []
     spans: list[tuple[int, int, int, int]] = []
-    for i in order.tolist():  # the first two of equal snippets go into the suffix array
-        key = (int(h[i]), snippets[i])
-        n = stands.get(key, 0)
-        stands[key] = n + 1
-        if n < 2:
+    for i in order.tolist():
+        at = int(d[i]), int(u[i]), int(start[i])
+        first = stands.setdefault((int(h[i]), snippets[i]), at)
+        if first is at:
+            distinct[int(h[i])] = distinct.get(int(h[i]), 0) + 1
             chosen.append(i)
-        else:
-            spans.append((int(d[i]), int(u[i]), int(start[i]), int(start[i]) + len(snippets[i])))
+        elif first != at:  # not a repeated row of the same document
+            spans.append((*at, at[2] + len(snippets[i])))
+    chosen = [i for i in chosen if distinct[int(h[i])] > 1]
+    if not chosen:
+        return spans
     group, owner, offset = repeated([snippets[i] for i in chosen], depth, memory)
     if len(group):
         at = np.array(chosen)[owner]
