@@ -7,69 +7,89 @@ back to a sort-merge join on the key.
 
 Skew.  A plain ``base LEFT JOIN side`` cannot be split by AQE on the side
 (right) input: splitting the non-preserved side would emit false
-"no match" rows.  When one key holds a large share of a side (one patient
-with a third of all encounters), that partition would land in one task.  So
-``left_join`` is written as
+"no match" rows.  So ``left_join_all`` counts the keys of the fan-out sides
+once (partial counts, then one row per key) and takes the hot ones, with more
+than ``hot_rows`` rows, out of the base a single time:
 
-    base INNER JOIN side            -- AQE may split either input
-    UNION ALL
-    base LEFT ANTI JOIN keys(side)  -- keys are pre-aggregated (distinct)
+    cold base  LEFT JOIN side_1 LEFT JOIN side_2 ...     -- plain joins
+    hot base  INNER JOIN side_1' INNER JOIN side_2' ...  -- AQE may split any input
 
-which gives exactly the left join's rows.  Both branches shuffle ``base`` on
-the same key, so Spark reuses one exchange for it.
+where ``side_i'`` is the side's hot rows plus one NULL row for each hot key it
+lacks.  The base is read twice, however many sides there are, and without a
+hot key the plan is the chain of plain left joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.session import scratch_path
+
+HOT_ROWS = 1_000_000
+
 
 def left_join(left: DataFrame, right: DataFrame, key: str | Sequence[str],
-              skew_safe: bool = True) -> DataFrame:
+              skew_safe: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``left LEFT JOIN right USING (key)``; output = left columns + right's others."""
-    keys = [key] if isinstance(key, str) else list(key)
-    if not skew_safe:
-        return left.join(right, on=keys, how="left")
-    extra = [f for f in right.schema.fields if f.name not in keys]
-    matched = left.join(right, on=keys, how="inner")
-    # "no match" as an outer join against the distinct keys + IS NULL rather
-    # than LEFT ANTI: the optimizer would push an anti join below ``left``'s
-    # own joins, giving two different copies of ``left``; this way both
-    # branches share one ``left`` subtree and its shuffles are reused.
-    hits = right.select(*keys).distinct().withColumn("__hit", F.lit(True))
-    unmatched = (left.join(hits, on=keys, how="left").where(F.col("__hit").isNull())
-                 .drop("__hit"))
-    for f in extra:
-        unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return matched.unionByName(unmatched)
-
-
-def left_join_all(base: DataFrame, sides: Sequence[DataFrame], key: str,
-                  unique: Sequence[bool] | None = None, skew_safe: bool = True) -> DataFrame:
+    return left_join_all(left, [right], key, skew_safe=skew_safe, hot_rows=hot_rows)
+
+
+def _hot_keys(sides: Sequence[DataFrame], keys: list[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows in one of the sides; None if there are none.
+
+    Written to the shared scratch folder: at most one key per ``hot_rows``
+    rows of input, of a size the planner knows.
+    """
+    if not sides:
+        return None
+    counts = [s.select(*keys).groupBy(*keys).count().where(F.col("count") > hot_rows)
+              .select(*keys) for s in sides]
+    spark = sides[0].sparkSession
+    path = scratch_path(spark, "hot-keys")
+    hot = reduce(DataFrame.unionByName, counts).distinct()
+    for k in keys:  # a NULL key matches nothing
+        hot = hot.where(F.col(k).isNotNull())
+    hot.write.parquet(path)
+    hot = spark.read.parquet(path)
+    return None if hot.isEmpty() else hot
+
+
+def left_join_all(base: DataFrame, sides: Sequence[DataFrame], key: str | Sequence[str],
+                  unique: Sequence[bool] | None = None, skew_safe: bool = True,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Chain of left joins of independent sides on the base's key.
 
     ``unique[i]`` declares that side i has at most one row per key (a lookup
-    such as a dimension table or a per-key aggregate).  Lookups are joined
-    first with a plain left join: their keys cannot be hot, and AQE may still
-    split the base.  Fan-out sides follow, each with the skew-safe form, so
-    the base appears twice per fan-out side only (not 2^n times).
-
-    The branches are independent: a key with m matches in one side and n in
-    another yields m x n rows, as in the reference.  Keep at most one side
-    non-unique per key unless that product is really wanted.
+    such as a dimension table or a per-key aggregate): its keys cannot be
+    hot and are not counted.  The branches are independent: a key with m
+    matches in one side and n in another yields m x n rows, as in the
+    reference.  ``skew_safe=False`` skips the count of hot keys.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     unique = list(unique) if unique is not None else [False] * len(sides)
-    out = base
-    for side, u in zip(sides, unique):
-        if u:
-            out = out.join(side, on=key, how="left")
-    for side, u in zip(sides, unique):
-        if not u:
-            out = left_join(out, side, key, skew_safe=skew_safe)
-    return out
+    # lookups first: they add no rows
+    order = [s for s, u in zip(sides, unique) if u] + [s for s, u in zip(sides, unique) if not u]
+    fan_out = [s for s, u in zip(sides, unique) if not u]
+    hot = _hot_keys(fan_out, keys, hot_rows) if skew_safe else None
+
+    def plain(left: DataFrame) -> DataFrame:
+        return reduce(lambda out, s: out.join(s, on=keys, how="left"), order, left)
+
+    if hot is None:
+        return plain(base)
+    split = plain(base.join(hot, on=keys, how="left_anti"))
+    out = base.join(hot, on=keys, how="left_semi")
+    for side in order:
+        own = side.join(hot, on=keys, how="left_semi")
+        lacking = hot.join(side.select(*keys).distinct(), on=keys, how="left_anti").select(
+            *keys, *[F.lit(None).cast(f.dataType).alias(f.name)
+                     for f in side.schema.fields if f.name not in keys])
+        out = out.join(own.unionByName(lacking), on=keys, how="inner")
+    return split.unionByName(out.select(*split.columns))
 
 
 def anti_join(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,9 +6,10 @@ the target's column list, appended to the target.  No update, no delete and
 no source dedup; a NULL key never matches, so such rows are inserted on
 every run (all as in the reference).
 
-Re-running with the same source is a no-op for non-NULL keys, so a failed
-or retried job can simply be run again.  Parquet has no row locks: one
-writer per target at a time.
+Re-running with the same source is a no-op for non-NULL keys.  The rows are
+appended by ``append_table`` and every merge first mends what an earlier one
+has left half done, so a failed job can be run again also when several source
+rows share a key.  Parquet has no row locks: one writer per target at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.joins import anti_join
-from sluice.operators.snapshot import create_table_as_if_absent, path_exists
+from sluice.operators.snapshot import (append_table, create_table_as_if_absent, list_status,
+                                       mend_appends, path_exists)
 
 
 @dataclass
@@ -64,7 +66,11 @@ def merge_insert_only(spark: SparkSession, target_path: str, source: DataFrame,
     which keeps min/max statistics tight for later key lookups.
     """
     obs = Observation(f"merge_{uuid.uuid4().hex}")
-    if path_exists(spark, target_path):
+    exists = path_exists(spark, target_path)
+    if exists:
+        mend_appends(spark, target_path)
+        exists = any(not x[0].startswith(("_", ".")) for x in list_status(spark, target_path))
+    if exists:
         target = spark.read.parquet(target_path)
         new = merge_rows(target, source, keys, dedupe=dedupe, skip_null_keys=skip_null_keys)
     else:
@@ -72,7 +78,7 @@ def merge_insert_only(spark: SparkSession, target_path: str, source: DataFrame,
     if sort_by:
         new = new.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     new = new.observe(obs, F.count(F.lit(1)).alias("n"))
-    new.write.mode("append").parquet(target_path)
+    append_table(spark, new, target_path)
     n = int(obs.get.get("n", 0))
     return MergeResult(target_path, n, f"Latest data updated to {target_path}: {n} rows inserted")
 

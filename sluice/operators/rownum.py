@@ -117,7 +117,7 @@ def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_numbe
                       max_sample: int = 1_000_000,
                       tiebreak: Sequence[str] | None = None, seed: int = 17,
                       stage: bool = False) -> DataFrame:
-    """Add ``name`` = 1-based position of the row in ``ORDER BY keys`` (asc, nulls first).
+    """Add ``name`` = 1-based position of the row in ``ORDER BY keys`` (asc, nulls last).
 
     ``stage=True`` first writes ``df`` to the shared checkpoint folder, so an
     expensive input (parsing, exploding) is computed once; the count and
@@ -133,7 +133,9 @@ def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_numbe
         parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(parallel, math.ceil(n / rows_per_bucket))
     buckets = max(1, min(buckets, max_buckets, n or 1))
-    normed = [_norm(df, c) for c in order]
+    # a null flag in front of every key puts its NULLs last in the bucket comparison too
+    normed = [x for c in order for x in (
+        (F.col(f"`{c}`").isNull().cast("bigint"), T.LongType()), _norm(df, c))]
     key_schema = T.StructType([T.StructField(f"k{i}", t) for i, (_, t) in enumerate(normed)])
     key = F.struct(*[e.alias(f"k{i}") for i, (e, _) in enumerate(normed)])
     uniq: list = []
@@ -159,7 +161,8 @@ def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_numbe
         offsets.append(run)
         run += counts.get(b, 0)
     offset = F.element_at(_literal_array(offsets, T.LongType()), F.col("__bucket") + 1)
-    w = Window.partitionBy("__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    w = Window.partitionBy("__bucket").orderBy(
+        *[F.col(f"`{c}`").asc_nulls_last() for c in order])
     return (tagged.withColumn(name, (F.row_number().over(w) + offset).cast("bigint"))
             .drop("__bucket"))
 
@@ -168,7 +171,8 @@ def single_partition_row_number(df: DataFrame, keys: Sequence[str],
                                 name: str = "row_number") -> DataFrame:
     """The plain window, one task for all rows.  For comparison only."""
     order = list(keys) + _tiebreak(df, keys)
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    return df.withColumn(name, F.row_number().over(Window.orderBy(
+        *[F.col(f"`{c}`").asc_nulls_last() for c in order])).cast("bigint"))
 
 
 def file_row_number_one_file_per_partition(df: DataFrame,

@@ -7,6 +7,8 @@ to be recomputed) and the snapshot cannot change underneath later steps.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.session import scratch_path
@@ -23,15 +25,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def rename(spark: SparkSession, src: str, dst: str, overwrite: bool = False) -> bool:
-    """Metadata-only move of one file or folder."""
+def rename(spark: SparkSession, src: str, dst: str, overwrite: bool = False) -> None:
+    """Move one file or folder (a rename on HDFS, a copy on object stores).
+
+    Raises unless the target is there afterwards, so a caller may remove what
+    it came from.
+    """
     fs, s = _fs(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
     if not fs.exists(d.getParent()):
         fs.mkdirs(d.getParent())
     if overwrite and fs.exists(d):
         fs.delete(d, True)
-    return bool(fs.rename(s, d))
+    if not fs.rename(s, d) or not fs.exists(d):
+        raise OSError(f"could not move {src} to {dst}")
 
 
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
@@ -60,6 +67,42 @@ def stage(spark: SparkSession, df: DataFrame, purpose: str = "stage",
     return spark.read.parquet(path)
 
 
+def append_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Append to a parquet table so that a broken-off append can be mended.
+
+    The rows are first written whole to a hidden folder ``_append_<id>`` of
+    the table (readers skip it), then a ``_ready`` marker is set, then the
+    files are moved into the table.  ``mend_appends`` finishes a marked
+    append and drops an unmarked one; file names are unique, so moving twice
+    is harmless.  One writer per table at a time.
+    """
+    staging = f"{path.rstrip('/')}/{_APPEND}{uuid.uuid4().hex}"
+    df.write.parquet(staging)
+    fs, marker = _fs(spark, f"{staging}/_ready")
+    fs.create(marker, True).close()
+    _finish_append(spark, path, staging)
+
+
+_APPEND = "_append_"
+
+
+def _finish_append(spark: SparkSession, path: str, staging: str) -> None:
+    for name, full, _, _ in list_status(spark, staging):
+        if name.startswith("part-"):
+            rename(spark, full, f"{path.rstrip('/')}/{name}")
+    delete(spark, staging)
+
+
+def mend_appends(spark: SparkSession, path: str) -> None:
+    """Finish or drop what earlier appends to the table have left."""
+    for name, full, _, is_dir in list_status(spark, path):
+        if is_dir and name.startswith(_APPEND):
+            if path_exists(spark, f"{full}/_ready"):
+                _finish_append(spark, path, full)
+            else:
+                delete(spark, full)
+
+
 def create_table_as_if_absent(spark: SparkSession, path: str, query: DataFrame) -> bool:
     """``CREATE TABLE IF NOT EXISTS t AS SELECT ...`` (A24).  True if created."""
     if path_exists(spark, path):

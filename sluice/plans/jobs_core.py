@@ -47,16 +47,14 @@ def master_lookup_df(spark: SparkSession, sf_dir: str, order: bool = True) -> Da
     supplier = read_table(spark, sf_dir, "supplier")
     part = read_table(spark, sf_dir, "part")
     patients = as_loaded(customer, "customer", "c_custkey")
-    urgent_first = (orders.where(F.col("o_orderpriority") == "1-URGENT")
-                    .groupBy("o_custkey").agg(F.min("o_orderkey").alias("pcp_id")))
+    urgent = orders.where(F.col("o_orderpriority") == "1-URGENT")
     sides = [
         Side(orders, "o_custkey", "o_orderkey", "encounters_patient_encounter_id"),
         Side(supplier.withColumn("v", F.col("s_nationkey").cast("bigint")), "s_suppkey", "v",
              "surgical_encounters_surgery_id", unique=True),
         Side(part.withColumn("v", F.col("p_size").cast("bigint")), "p_partkey", "v",
              "v_patients_primary_care_pcp_id", unique=True),
-        Side(urgent_first, "o_custkey", "pcp_id", "v_patients_primary_care_maleham_pcp_id",
-             unique=True),
+        Side(urgent, "o_custkey", "o_orderkey", "v_patients_primary_care_maleham_pcp_id"),
     ]
     return build_master_lookup(patients, "c_custkey", "patients_master_patient_id", sides,
                                lookup_key="master_patient_lookup_table_unique_key", order=order)
@@ -78,8 +76,8 @@ WITH p AS ({_LINEAGE_SQL}),
 e AS (SELECT o_custkey AS id, o_orderkey AS v FROM orders),
 se AS (SELECT s_suppkey AS id, CAST(s_nationkey AS BIGINT) AS v FROM supplier),
 pc AS (SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS v FROM part),
-pm AS (SELECT o_custkey AS id, min(o_orderkey) AS v FROM orders
-       WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)
+pm AS (SELECT o_custkey AS id, o_orderkey AS v FROM orders
+       WHERE o_orderpriority = '1-URGENT')
 SELECT p.source_file_loaded_at_utc, p.source_file_date_utc, p.source_file_name,
        p.source_file_unique_key, p.source_file_row_number, p.source_file_record_unique_key,
        md5(CAST(coalesce(p.id, 0) AS VARCHAR) || CAST(coalesce(e.v, 0) AS VARCHAR)
@@ -104,32 +102,32 @@ def master_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# merge_insert_only: orders split into a target and an overlapping source that
-# carries duplicate keys and NULL keys; the merge runs twice.
+# merge_insert_only: all orders, split by key into a target and a source that
+# overlap; the source repeats keys and has NULL keys; the merge runs twice.
 
 def _merge_inputs(spark: SparkSession, sf_dir: str):
     orders = read_table(spark, sf_dir, "orders")
-    target = orders.where(F.col("o_orderstatus") == "F")
+    key = F.col("o_orderkey")
+    target = orders.where(key % 3 != 0)
     source = (
-        orders.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-        .unionByName(orders.where((F.col("o_orderpriority") == "1-URGENT")
-                                  & (F.col("o_orderstatus") == "O")))
-        .unionByName(orders.where(F.col("o_orderstatus") == "P")
-                     .withColumn("o_orderkey", F.lit(None).cast("bigint")))
+        orders.where(key % 3 != 1)
+        .unionByName(orders.where(key % 6 == 0))
+        .unionByName(orders.where(key % 9 == 1).withColumn("o_orderkey", F.lit(None)
+                                                           .cast("bigint")))
     )
     return target, source
 
 
 MERGE_SQL = """
-WITH t AS (SELECT * FROM orders WHERE o_orderstatus = 'F'),
+WITH t AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0),
 s AS (
-    SELECT * FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+    SELECT * FROM orders WHERE o_orderkey % 3 <> 1
     UNION ALL
-    SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'
+    SELECT * FROM orders WHERE o_orderkey % 6 = 0
     UNION ALL
     SELECT CAST(NULL AS BIGINT) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice,
            o_orderdate, o_orderpriority
-    FROM orders WHERE o_orderstatus = 'P')
+    FROM orders WHERE o_orderkey % 9 = 1)
 SELECT * FROM t
 UNION ALL
 SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.dates import ntz_literal
@@ -103,7 +105,9 @@ def flatten_object_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = scratch_path(spark, "raw-neo")
     for _ in range(2):
         merge_insert_only(spark, raw, temp, ["source_file_object_unique_key"])
-    return spark.read.parquet(raw).orderBy("source_file_date_utc", "source_file_row_number")
+    return spark.read.parquet(raw).orderBy(
+        F.col("source_file_date_utc").asc_nulls_last(),
+        F.col("source_file_row_number").asc_nulls_last())
 
 
 # ---------------------------------------------------------------------------
@@ -157,12 +161,15 @@ def variant_strict_vs_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 # global row numbers without a single-partition sort
 
 ROW_NUMBER_GLOBAL_SQL = """
-SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS row_number FROM events"""
+WITH e AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS ts FROM events)
+SELECT event_id, ts, row_number() OVER (ORDER BY ts NULLS LAST, event_id) AS row_number FROM e"""
 
 
 @register("row_number_global", ROW_NUMBER_GLOBAL_SQL)
 def row_number_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
+    """Numbers over a key that is NULL for some events: those come last."""
+    events = read_table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_type") != "error", F.col("ts")).alias("ts"))
     return global_row_number(events, ["ts", "event_id"]).select("event_id", "ts", "row_number")
 
 
@@ -182,10 +189,16 @@ def row_number_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # unload_json: events as feed responses -> gzip JSON files -> read back
 
-UNLOAD_SQL = """
-SELECT event_type AS api_name, DATE '2025-01-02' AS file_date, event_id, user_id, value,
-       CAST(props->>'$.k' AS BIGINT) AS k
-FROM events"""
+UNLOAD_CAP = 4096  # bytes: every feed needs several files
+
+UNLOAD_SQL = f"""
+WITH back AS (
+    SELECT event_type AS api_name, DATE '2025-01-02' AS file_date, event_id, user_id, value,
+           CAST(props->>'$.k' AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS note
+    FROM events
+    UNION ALL
+    SELECT 'constant', DATE '2025-01-02', NULL, NULL, NULL, NULL, 'ü✓ same' FROM events)
+SELECT *, true AS under_cap FROM back"""
 
 
 def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,15 +214,24 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("unload_json", UNLOAD_SQL)
 def unload_json_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unload some events, then (the same day) all of them and a feed of equal
+    rows: the second run replaces the first, and every file is under the cap."""
     out = scratch_path(spark, "unload")
-    unload_json(spark, event_responses(spark, sf_dir), out, RUN_DATE)
+    rows = event_responses(spark, sf_dir)
+    same = rows.select(F.lit("constant").alias("api_name"), "json_response_date",
+                       F.parse_json(F.lit('{"note":"ü✓ same"}')).alias("json_response"))
+    unload_json(spark, rows.where(F.col("api_name") != "error"), out, RUN_DATE)
+    unload_json(spark, rows.unionByName(same), out, RUN_DATE, max_file_size=UNLOAD_CAP)
     back = read_unloaded(spark, out)
     v = F.col("value")
+    size = F.sum(F.octet_length(F.to_json("value")) + 1).over(Window.partitionBy("file_name"))
     return back.select(F.col("feed").alias("api_name"), "file_date",
                        get_path(v, "event_id", "bigint").alias("event_id"),
                        get_path(v, "user_id", "bigint").alias("user_id"),
                        get_path(v, "value", "double").alias("value"),
-                       get_path(v, "props.k", "int").alias("k"))
+                       get_path(v, "props.k", "int").alias("k"),
+                       get_path(v, "note", "string").alias("note"),
+                       (size <= UNLOAD_CAP).alias("under_cap"))
 
 
 # ---------------------------------------------------------------------------
@@ -217,35 +239,50 @@ def unload_json_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class EchoFeed:
-    """Stand-in for an HTTP client: answers with the request it got."""
+    """Stand-in for an HTTP client: answers with the request it got; Sundays fail."""
+
+    def __call__(self, start_date: str, end_date: str) -> dict:
+        day = _dt.date.fromisoformat(start_date)
+        if day.isoweekday() == 7:
+            raise RuntimeError(f"no answer for {day}")
+        return {"end_date": end_date, "feed": "neo_data", "start_date": start_date}
 
-    def __call__(self, api_name: str, start_date: str | None = None,
-                 end_date: str | None = None) -> dict:
-        if api_name == "tle_data":  # the zero-argument feed
-            return {"feed": api_name, "member": []}
-        return {"end_date": end_date, "feed": api_name, "start_date": start_date}
+
+class TleFeed:
+    """The feed that is called without any argument."""
+
+    def __call__(self) -> str:
+        return '{"feed":"tle_data","member":[]}'
 
 
 LAND_SQL = """
 WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
 SELECT 'neo_data' AS api_name, DATE '2025-01-02' AS json_response_date,
-       '{"end_date":"' || CAST(d AS VARCHAR) || '","feed":"neo_data","start_date":"'
-           || CAST(d AS VARCHAR) || '"}' AS response_text
+       CASE WHEN isodow(d) <> 7
+            THEN '{"end_date":"' || CAST(d AS VARCHAR) || '","feed":"neo_data","start_date":"'
+                 || CAST(d AS VARCHAR) || '"}' END AS response_text,
+       CASE WHEN isodow(d) = 7
+            THEN 'RuntimeError: no answer for ' || CAST(d AS VARCHAR) END AS error
 FROM d
 UNION ALL
-SELECT 'tle_data', DATE '2025-01-02', '{"feed":"tle_data","member":[]}' FROM d"""
+SELECT 'tle_data', DATE '2025-01-02', '{"feed":"tle_data","member":[]}', NULL FROM d"""
 
 
 @register("land_responses", LAND_SQL)
 def land_responses_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per order date and feed; failed ones land in the error table."""
     orders = read_table(spark, sf_dir, "orders")
     days = orders.select(F.to_date("o_orderdate").cast("string").alias("day")).distinct()
-    requests = days.select(F.explode(F.array(F.lit("neo_data"), F.lit("tle_data"))).alias("api_name"),
-                           F.col("day").alias("start_date"), F.col("day").alias("end_date"))
-    landed = land_responses(requests, EchoFeed, ["api_name", "start_date", "end_date"], RUN_DATE)
-    path = scratch_path(spark, "responses")
-    landed.write.mode("append").parquet(path)  # INSERT INTO json_responses
-    table = spark.read.parquet(path)
-    return table.select("api_name", "json_response_date",
-                        F.to_json("json_response").alias("response_text"))
-
+    path, errors = scratch_path(spark, "responses"), scratch_path(spark, "response-errors")
+    neo = days.select(F.lit("neo_data").alias("api_name"), F.col("day").alias("start_date"),
+                      F.col("day").alias("end_date"))
+    land_responses(neo, EchoFeed, ["start_date", "end_date"], RUN_DATE, strict=False,
+                   errors_path=errors).write.mode("append").parquet(path)
+    land_responses(days.select(F.lit("tle_data").alias("api_name")), TleFeed, [], RUN_DATE) \
+        .write.mode("append").parquet(path)
+    landed = spark.read.parquet(path).select(
+        "api_name", "json_response_date", F.to_json("json_response").alias("response_text"),
+        F.lit(None).cast("string").alias("error"))
+    return landed.unionByName(spark.read.parquet(errors).select(
+        "api_name", "json_response_date", F.lit(None).cast("string").alias("response_text"),
+        "error"))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.session import ship_package
+from sluice.session import scratch_path, ship_package
 
 RESPONSES_SCHEMA = "api_name string, json_response_date date, json_response variant"
 
@@ -35,15 +35,23 @@ def _response_text(result) -> str:
 
 
 def fetch_responses(requests: DataFrame, make_fetcher: Callable[[], Callable[..., object]],
-                    param_cols: Sequence[str], feed_col: str = "api_name") -> DataFrame:
-    """(api_name, response text, error) per request row."""
+                    param_cols: Sequence[str], feed_col: str = "api_name",
+                    requests_per_task: int = 50) -> DataFrame:
+    """(api_name, response text, error) per request row.
+
+    A request whose parameters are all left out (``param_cols`` empty) calls
+    ``fetch()``.  Requests are dealt out round robin, ``requests_per_task`` to
+    a task at most, so the number of calls running at once grows with the
+    requests and not with the size of the request table.
+    """
     params = list(param_cols)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fetch = make_fetcher()  # one per partition
         for pdf in batches:
             texts, errors = [], []
-            for rec in pdf[params].to_dict("records"):
+            records = pdf[params].to_dict("records") if params else [{}] * len(pdf)
+            for rec in records:
                 try:
                     texts.append(_response_text(fetch(**rec)))
                     errors.append(None)
@@ -55,22 +63,40 @@ def fetch_responses(requests: DataFrame, make_fetcher: Callable[[], Callable[...
 
     ship_package(requests.sparkSession)
     cols = [F.col(c).cast("string").alias(c) for c in params if c != feed_col]
-    return requests.select(F.col(feed_col).cast("string").alias(feed_col), *cols) \
-        .mapInPandas(call, "api_name string, json_data string, error string")
+    calls = requests.select(F.col(feed_col).cast("string").alias(feed_col), *cols)
+    tasks = max(1, -(-calls.count() // requests_per_task))
+    return calls.repartition(tasks).mapInPandas(
+        call, "api_name string, json_data string, error string")
 
 
 def land_responses(requests: DataFrame, make_fetcher: Callable[[], Callable[..., object]],
                    param_cols: Sequence[str], run_date: _dt.date, feed_col: str = "api_name",
-                   strict: bool = False) -> DataFrame:
+                   strict: bool = True, errors_path: str | None = None) -> DataFrame:
     """Rows ready to append to the responses table (api_name, date, variant).
 
-    ``strict=False`` drops responses that are not JSON (``try_parse_json``)
-    instead of failing the whole job; failed fetches are dropped too and can
-    be seen with ``fetch_responses``.
+    ``strict=True`` fails the job on a failed request or an answer that is
+    not JSON, as the reference's insert does.  ``strict=False`` needs
+    ``errors_path``: the answers of the one pass are kept under the shared
+    scratch folder, the failures (api_name, date, json_data, error) are
+    appended there and the rest is returned; no request is made twice and
+    none is lost.
     """
     raw = fetch_responses(requests, make_fetcher, param_cols, feed_col)
-    parse = F.parse_json if strict else F.try_parse_json
-    out = raw.where(F.col("error").isNull()).select(
-        "api_name", F.lit(run_date).alias("json_response_date"),
-        parse("json_data").alias("json_response"))
-    return out.where(F.col("json_response").isNotNull())
+    if strict:
+        failed = F.raise_error(F.concat(F.lit("request failed: "), F.col("error")))
+        text = F.when(F.col("error").isNotNull(), failed).otherwise(F.col("json_data"))
+        return raw.select("api_name", F.lit(run_date).alias("json_response_date"),
+                          F.parse_json(text).alias("json_response"))
+    if errors_path is None:
+        raise ValueError("errors_path is required with strict=False")
+    spark = requests.sparkSession
+    path = scratch_path(spark, "responses")
+    raw.withColumn("json_response_date", F.lit(run_date)) \
+        .withColumn("json_response", F.try_parse_json("json_data")).write.parquet(path)
+    kept = spark.read.parquet(path)
+    kept.where(F.col("json_response").isNull()).select(
+        "api_name", "json_response_date", "json_data",
+        F.coalesce("error", F.lit("answer is not JSON")).alias("error")) \
+        .write.mode("append").parquet(errors_path)
+    return kept.where(F.col("json_response").isNotNull()).select(
+        "api_name", "json_response_date", "json_response")

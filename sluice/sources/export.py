@@ -14,6 +14,7 @@ import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.functions.dates import utc_stamp_text
 from sluice.operators.snapshot import delete, list_status, rename
@@ -52,12 +53,12 @@ def export_ordered_csv(spark: SparkSession, tables: Mapping[str, DataFrame], key
     for name in (names if names is not None else tables_with_column(tables, key)):
         tmp = f"{out_dir.rstrip('/')}/_tmp_{name}"
         try:
-            # ORDER BY key; the other columns break ties so the range
+            # ORDER BY key NULLS LAST; the other columns break ties so the range
             # partitioner can split one very frequent key over several tasks
             df = tables[name]
             ties = [c for c, t in df.dtypes if c != key and not t.startswith(
                 ("variant", "map", "struct", "array"))]
-            (df.orderBy(key, *ties).write.mode("errorifexists")
+            (df.orderBy(F.col(f"`{key}`").asc_nulls_last(), *ties).write.mode("errorifexists")
              .options(**profile("export_csv")).csv(tmp))
             parts = sorted(f for f in list_status(spark, tmp) if f[0].startswith("part-"))
             for i, (_, full, _, _) in enumerate(parts):
@@ -67,5 +68,5 @@ def export_ordered_csv(spark: SparkSession, tables: Mapping[str, DataFrame], key
                 report.append((name, fname, "exported", None))
             delete(spark, tmp)
         except Exception as exc:  # noqa: BLE001 - per-table isolation
-            report.append((name, None, "failed", f"{type(exc).__name__}: {exc}"[:500]))
+            report.append((name, None, "failed", f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(report, REPORT_SCHEMA)

@@ -2,24 +2,27 @@
 
 The reference copies each feed's responses into one file
 ``<feed>_<yyyymmdd>.json.gz`` with a 16 MiB cap.  Here every feed is
-written by one job: the rows of a feed are spread over
-``ceil(bytes / max_file_size)`` files by a hash of the row, so each file
-stays near the cap however large the feed is, and each file is written by
-one task.  A feed that fits in one file keeps the reference's exact name;
-larger feeds get ``<feed>_<yyyymmdd>_<nnnn>.json.gz``.  ``single=True``
-demands one file per feed and raises when a feed exceeds the cap, as the
-reference's single-file copy does.
+written by one job: the bytes of a feed's lines are added up within each
+input partition and a new file starts before the cap (of uncompressed bytes)
+is passed, so every file is under it however large the feed is, equal rows
+are split like any others, and each file is written by one task.  Only a line
+longer than the cap makes a larger file.  A feed that fits in one file keeps the
+reference's exact name; larger feeds get ``<feed>_<yyyymmdd>_<nnnn>.json.gz``
+(more digits from 10,000 files on).  A rerun on the same day replaces the
+feed's files of that day.  ``single=True`` demands one file per feed and
+raises when a feed exceeds the cap, as the reference's single-file copy does.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.operators.snapshot import publish_named
+from sluice.operators.snapshot import delete, list_status, publish_named, stage
 from sluice.sources.files import profile
 
 MAX_FILE_SIZE = 16_777_216  # bytes per unloaded file, as in the reference
@@ -36,33 +39,49 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
     src = responses
     if feeds is not None:
         src = src.where(F.col(feed_col).isin(list(feeds)))
-    lines = src.select(F.col(feed_col).alias("__feed"),
-                       F.to_json(F.col(value_col)).alias("value"))
+    lines = stage(spark, src.select(F.col(feed_col).cast("string").alias("__feed"),
+                                    F.to_json(F.col(value_col)).alias("value")), "unload-lines")
+    lines = lines.withColumn("__bytes", F.octet_length("value") + 1) \
+        .withColumn("__pid", F.spark_partition_id()) \
+        .withColumn("__mono", F.monotonically_increasing_id())
     sizes = (lines.groupBy("__feed")
-             .agg(F.sum(F.length("value") + 1).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+             .agg(F.sum("__bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"),
+                  F.max("__bytes").alias("longest"))
              .collect())  # one row per feed
-    n_files = {}
     for r in sizes:
-        n = max(1, -(-int(r["bytes"]) // max_file_size))
-        if single and n > 1:
+        if single and r["bytes"] > max_file_size:
             raise ValueError(f"feed {r['__feed']}: {r['bytes']} bytes exceed the single-file "
                              f"cap of {max_file_size} bytes")
-        n_files[r["__feed"]] = n
     stamp = f"{run_date:%Y%m%d}"
-    parts = F.element_at(F.create_map(*[x for k, v in n_files.items()
-                                        for x in (F.lit(k), F.lit(v))]), F.col("__feed")) \
-        if n_files else F.lit(1)
-    idx = F.pmod(F.xxhash64("value"), parts)
-    name = F.when(parts == 1, F.concat(F.col("__feed"), F.lit(f"_{stamp}.json.gz"))) \
-        .otherwise(F.concat(F.col("__feed"), F.lit(f"_{stamp}_"),
-                            F.lpad(idx.cast("string"), 4, "0"), F.lit(".json.gz")))
-    named = lines.withColumn("__name", name)
+    # files of a partition: a line belongs to the file in whose room it ends; with the longest
+    # line kept free, no file passes the cap.  A feed below the cap is one file.
+    room = _per_feed({r["__feed"]: 0 if r["bytes"] <= max_file_size else
+                      max(1, max_file_size - int(r["longest"])) for r in sizes})
+    upto = F.sum("__bytes").over(Window.partitionBy("__feed", "__pid").orderBy("__mono")
+                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = lines.withColumn("__room", room).withColumn(
+        "__in", F.when(F.col("__room") == 0, F.lit(0).cast("bigint")).otherwise(
+            F.floor((upto - 1) / F.col("__room")))) \
+        .withColumn("__pid", F.when(F.col("__room") == 0, F.lit(0)).otherwise(F.col("__pid")))
+    numbers = placed.select("__feed", "__pid", "__in").distinct().withColumn(
+        "__n", F.row_number().over(Window.partitionBy("__feed").orderBy("__pid", "__in")) - 1)
+    idx = F.col("__n").cast("string")
+    idx = F.lpad(idx, F.greatest(F.lit(4), F.length(idx)), F.lit("0"))
+    name = F.when(F.col("__room") == 0, F.concat("__feed", F.lit(f"_{stamp}.json.gz"))) \
+        .otherwise(F.concat(F.col("__feed"), F.lit(f"_{stamp}_"), idx, F.lit(".json.gz")))
+    named = placed.join(numbers, ["__feed", "__pid", "__in"]).withColumn("__name", name)
     tmp = out_dir.rstrip("/") + "/_tmp_unload"
     (named.select("__name", "value").repartition("__name")
      .write.mode("overwrite").partitionBy("__name").options(**profile("unload_json")).text(tmp))
     written: dict[str, list[tuple[str, int]]] = {}
     for fname, length in publish_named(spark, tmp, out_dir, "__name", overwrite=True):
         written.setdefault(fname.rsplit(f"_{stamp}", 1)[0], []).append((fname, length))
+    for r in sizes:  # files of an earlier run of the day that this run did not write again
+        mine = {f for f, _ in written.get(r["__feed"], [])}
+        for old, full, _, _ in list_status(spark, out_dir):
+            m = re.match(UNLOADED_NAME, old)
+            if m and m[1] == r["__feed"] and m[2] == stamp and old not in mine:
+                delete(spark, full, recursive=False)
     # per feed, as the dialect's unload result: rows, input and output bytes
     # (from the size pass and the written files' lengths; no extra data pass)
     report = [(r["__feed"], int(r["rows"]), int(r["bytes"]),
@@ -74,6 +93,15 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
                 "files array<string>")
 
 
+def _per_feed(values: dict):
+    """A literal map from feed to value."""
+    if not values:
+        return F.lit(0)
+    return F.element_at(F.create_map(*[x for k, v in values.items()
+                                       for x in (F.lit(k), F.lit(v).cast("bigint"))]),
+                        F.col("__feed"))
+
+
 def read_unloaded(spark: SparkSession, out_dir: str) -> DataFrame:
     """Read unloaded files back: (feed, file_date, file_name, value variant)."""
     df = spark.read.text(f"{out_dir.rstrip('/')}/*.json.gz")

@@ -159,10 +159,49 @@ def test_unload_caps_and_names(spark, tmp):
     assert 0 < feeds["neo"]["output_bytes"] < feeds["neo"]["input_bytes"]
     back = read_unloaded(spark, f"{tmp}/u")
     assert back.count() == 401 and back.where(F.col("feed") == "neo").count() == 400
+    for name in feeds["neo"]["files"]:
+        with gzip.open(f"{tmp}/u/{name}", "rb") as f:
+            assert len(f.read()) <= 8000
+    unload_json(spark, df.limit(20), f"{tmp}/u", dt.date(2025, 1, 2), max_file_size=8000)
+    assert read_unloaded(spark, f"{tmp}/u").where(F.col("feed") == "neo").count() <= 20
     with pytest.raises(ValueError):
         unload_json(spark, df, f"{tmp}/u2", dt.date(2025, 1, 2), max_file_size=8000, single=True)
 
 
+def test_unload_splits_equal_rows(spark, tmp):
+    df = spark.range(500).select(F.lit("f").alias("api_name"),
+                                 F.parse_json(F.lit('{"a": "ü"}')).alias("json_response"))
+    out = unload_json(spark, df, f"{tmp}/u", dt.date(2025, 1, 2), max_file_size=1000).first()
+    assert len(out["files"]) >= 6 and out["input_bytes"] == 500 * 11
+    assert read_unloaded(spark, f"{tmp}/u").count() == 500
+
+
+def test_requests_spread_and_failures_land(spark, tmp):
+    from sluice.sources.api import fetch_responses, land_responses
+
+    class Fetch:
+        def __call__(self, n=None):
+            if n is None:
+                return {"all": True}
+            if int(n) % 10 == 0:
+                raise RuntimeError("down")
+            return "not json" if int(n) % 10 == 1 else {"n": n}
+
+    req = spark.range(300).select(F.lit("f").alias("api_name"), F.col("id").alias("n")).coalesce(1)
+    got = fetch_responses(req, Fetch, ["n"], requests_per_task=50)
+    assert got.rdd.getNumPartitions() == 6
+    err = f"{tmp}/errors"
+    rows = land_responses(req, Fetch, ["n"], dt.date(2025, 1, 2), strict=False, errors_path=err)
+    assert rows.count() == 240
+    assert {r["error"] for r in spark.read.parquet(err).collect()} == {
+        "RuntimeError: down", "answer is not JSON"}
+    assert spark.read.parquet(err).count() == 60
+    with pytest.raises(Exception, match="down"):
+        land_responses(req, Fetch, ["n"], dt.date(2025, 1, 2)).collect()
+    one = land_responses(req.select("api_name").limit(1), Fetch, [], dt.date(2025, 1, 2))
+    assert one.select(F.to_json("json_response")).first()[0] == '{"all":true}'
+
+
 def test_stream_runs_only_on_new_files(spark, tmp):
     land, wh, ck = f"{tmp}/land", f"{tmp}/wh", f"{tmp}/ck"
     gz(f"{land}/e_20250102000000_UTC.csv.gz", "id\n1\n2\n")

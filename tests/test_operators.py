@@ -54,7 +54,7 @@ def test_left_join_fan_out_and_skew_safe_equivalence(spark):
     e = spark.createDataFrame([(1, 10), (1, 11), (3, 30)], "k int, e int")
     s = spark.createDataFrame([(1, 100), (1, 101)], "k int, s int")
     plain = base.join(e, "k", "left").join(s, "k", "left")
-    safe = left_join_all(base, [e, s], "k")
+    safe = left_join_all(base, [e, s], "k", hot_rows=1)
     cols = ["k", "p", "e", "s"]
 
     def rows(df, c):
@@ -62,7 +62,7 @@ def test_left_join_fan_out_and_skew_safe_equivalence(spark):
     a, b = rows(plain, cols), rows(safe, cols)
     assert a == b
     assert len([r for r in a if r[0] == 1]) == 4  # 1 key x 2 x 2
-    assert rows(left_join(base, e, "k"), ["k", "p", "e"]) == \
+    assert rows(left_join(base, e, "k", hot_rows=1), ["k", "p", "e"]) == \
         rows(base.join(e, "k", "left"), ["k", "p", "e"])
 
 
@@ -81,6 +81,34 @@ def test_merge_insert_only_semantics(spark, tmp):
     assert rows == [(-1, "sn"), (-1, "sn"), (1, "t1"), (2, "t2"), (3, "s3"), (3, "s3b")]
 
 
+def test_merge_mends_a_broken_off_append(spark, tmp):
+    import os
+    import shutil
+    path = f"{tmp}/target"
+    spark.createDataFrame([(1, "t1")], "k bigint, v string").write.parquet(path)
+    source = spark.createDataFrame([(3, f"s{i}") for i in range(10)], "k bigint, v string")
+    half = source.repartition(5)
+    half.write.parquet(f"{path}/_append_a")           # broken off while moving: marked ready,
+    open(f"{path}/_append_a/_ready", "w").close()     # two files already in the table
+    moved = sorted(f for f in os.listdir(f"{path}/_append_a") if f.startswith("part-"))[:2]
+    for f in moved:
+        shutil.move(f"{path}/_append_a/{f}", f"{path}/{f}")
+    half.write.parquet(f"{path}/_append_b")           # broken off while writing
+    assert merge_insert_only(spark, path, source, ["k"]).rows_inserted == 0
+    rows = sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert rows == [(1, "t1")] + [(3, f"s{i}") for i in range(10)]
+    assert not [f for f in os.listdir(path) if f.startswith("_append_")]
+
+
+def test_global_row_number_puts_nulls_last(spark):
+    rows = [(None, 1), (5, 2), (None, 0), (3, None), (3, 1)] * 1 + [(i, i) for i in range(9, 40)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    got = {(r["k"], r["v"]): r["row_number"]
+           for r in global_row_number(df, ["k", "v"], buckets=5).collect()}
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0))
+    assert got == {r: i + 1 for i, r in enumerate(want)}
+
+
 def test_merge_skip_null_and_dedupe_options(spark, tmp):
     path = f"{tmp}/target"
     spark.createDataFrame([(1, "a")], "k bigint, v string").write.parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from sluice.operators.merge import merge_rows
 from sluice.plans.jobs_core import master_lookup_df
-from sluice.session import read_table
+from sluice.session import read_table, scratch_path
 from tests.conftest import SF_SMALL
 
 
@@ -36,17 +36,13 @@ def test_no_single_partition_exchange_in_any_job_plan(spark):
         assert not whole_data_single_partition(plan), name
 
 
-def test_master_lookup_fan_out_side_not_left_outer(spark):
+def test_master_lookup_without_hot_keys_is_four_left_joins(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = executed(master_lookup_df(spark, SF_SMALL))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # the fan-out side (orders) is an inner join + an outer join against its
-    # distinct keys (IS NULL); the three lookups are left outer joins whose
-    # shuffles the two branches share
-    assert "Inner" in plan
-    assert plan.count("LeftOuter") == 2 * 3 + 1
+    assert plan.count("LeftOuter") == 4 and "Inner" not in plan
 
 
 def test_merge_does_not_shuffle_target_for_small_source(spark):
@@ -88,7 +84,7 @@ def test_hot_key_is_split_in_fan_out_join(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        df = left_join(base, side, "k")
+        df = left_join(base, side, "k", hot_rows=1000)
         n = len(df.collect())  # runs this plan, so AQE finalises it
         final = df._jdf.queryExecution().executedPlan().toString()
         assert n == orders.count() + base.join(side, "k", "left_anti").count()
@@ -99,3 +95,24 @@ def test_hot_key_is_split_in_fan_out_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_four_fan_out_sides_read_the_base_twice_at_most(spark):
+    from sluice.operators.joins import left_join_all
+    base = spark.createDataFrame([(i % 7, i) for i in range(40)], "k int, b int")
+    path = f"{scratch_path(spark, 'base')}/base-table"
+    base.write.parquet(path)
+    base = spark.read.parquet(path)
+    sides = [spark.createDataFrame([(k, 10 * k + j) for k in range(0, 9, s + 1) for j in range(k)],
+                                   f"k int, s{s} int") for s in range(4)]
+    want = base
+    for side in sides:
+        want = want.join(side, "k", "left")
+    for hot_rows, reads in ((3, 2), (10**6, 1)):
+        got = left_join_all(base, sides, "k", hot_rows=hot_rows)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("[k#") >= 1 and plan.count("b#") and \
+            sum(line.lstrip(" :+-").startswith("Relation") and " b#" not in line and ",b#" in line
+                for line in plan.splitlines()) == reads, plan
+        assert sorted(map(str, got.select(want.columns).collect())) == \
+            sorted(map(str, want.collect()))
