@@ -11,20 +11,26 @@ needs no shuffle; splittable inputs are repartitioned by file.
 
 from __future__ import annotations
 
+import codecs
+import csv
+import gzip
+import io
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.text import REPLACEMENT_CHAR, drop_invalid, null_tokens
 from sluice.operators.infer import read_headers
 from sluice.operators.load import check_compression
-from sluice.operators.snapshot import delete, rename
+from sluice.operators.snapshot import _fs, delete, rename
 from sluice.sources.files import list_files, profile
+from sluice.session import ship_package
 from sluice.sources.landing import write_named_csv
 
 REPORT_SCHEMA = "source_file string, target_file string, status string, reason string"
@@ -57,7 +63,13 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
       (``target_exists``), never overwritten;
     * unreadable gzip streams are skipped with the decoder's message;
     * ``on_bad_utf8='skip'`` skips a file holding invalid UTF-8 (the
-      reference's strict read fails on it); ``'replace'`` drops U+FFFD;
+      reference's strict read fails on it), judged by its bytes, so a real
+      U+FFFD is no fault; ``'replace'`` drops U+FFFD;
+    * a file with a row of more fields than the header is skipped as a whole
+      (the reference's reader fails on it): nothing is cut off; rows with
+      fewer fields are filled with NULL;
+    * quoted line breaks are read in gzip files (one split each anyway);
+    * a file with a header and no rows gives a file with the header;
     * ``source_action``: ``'keep'`` (default), ``'delete'`` or ``'archive'``
       (move to ``archive_dir``) after a successful write.
     """
@@ -112,8 +124,13 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
 
         for (cols, gzipped), files in groups.items():
             pos = [f"c{i}" for i in range(len(cols))]
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in pos])
-            raw = (spark.read.options(**read_opts).schema(schema).csv([r["path"] for r in files])
+            # one column more than the header, and the record's text: a row that
+            # fills the schema, or has more separators than that, is too long
+            schema = T.StructType([T.StructField(c, T.StringType())
+                                   for c in [*pos, "__extra", "__record"]])
+            opts = {**read_opts, "columnNameOfCorruptRecord": "__record",
+                    **({"multiLine": "true"} if gzipped else {})}
+            raw = (spark.read.options(**opts).schema(schema).csv([r["path"] for r in files])
                    .withColumn("__file", F.col("_metadata.file_name"))
                    .withColumn("__split", F.col("_metadata.file_block_start")))
             by_name = {r["file_name"]: r for r in files}
@@ -127,9 +144,13 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
             # files with invalid UTF-8 are found on the same pass (Observation)
             # and their outputs dropped before they are published
             observed = numbered.observe(
-                obs, F.collect_set(F.when(has_bad, F.col("__file"))).alias("bad_files"))
+                obs, F.collect_set(F.when(has_bad, F.col("__file"))).alias("bad_files"),
+                F.collect_set(F.when(_too_long(opts, len(cols)), F.col("__file")))
+                .alias("long_files")).drop("__extra", "__record")
             cleaned = clean_frame(observed, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
                                   else "keep")
+            if len(pos) == 1:  # a lone NULL would be an empty line, which readers drop
+                cleaned = cleaned.withColumn(pos[0], F.coalesce(pos[0], F.lit("")))
             named = cleaned.select(*[F.col(p).alias(n) for p, n in zip(pos, cols)],
                                    "__file", "__split", "__mono")
             # a gzip file is read by one task, so its rows never need a shuffle;
@@ -140,11 +161,19 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
                                       options=_write_options("gzip" if gzipped else "none"),
                                       shuffle=not gzipped, drop=["__split", "__mono"])
             bad = set(obs.get.get("bad_files") or []) if on_bad_utf8 == "skip" else set()
-            for name in written:
-                r = by_name[name]
-                if name in bad:
+            if bad:  # a replacement character may be real: judge the bytes of those files
+                bad = invalid_utf8(spark, [by_name[n]["path"] for n in bad])
+            too_long = set(obs.get.get("long_files") or [])
+            for name, r in sorted(by_name.items()):
+                if r["path"] in bad:
                     report.append((r["path"], None, "skipped", "invalid UTF-8 bytes"))
                     continue
+                if name in too_long:
+                    report.append((r["path"], None, "skipped",
+                                   "rows with more fields than the header"))
+                    continue
+                if name not in written:  # a header and nothing else
+                    _write_header(spark, f"{staging}/{name}", cols, gzipped)
                 dst = f"{target.rstrip('/')}/{r['relative_path']}"
                 rename(spark, f"{staging}/{name}", dst)
                 report.append((r["path"], dst, "processed", None))
@@ -156,6 +185,58 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
     return CleanResult(summary_json(report), rep)
 
 
+def _too_long(opts: dict[str, str], n: int) -> Column:
+    """Whether a row read with one column more than the header's ``n`` has
+    more than ``n`` fields (the record's text is NULL if it fills the schema)."""
+    sep, quote = opts.get("sep", ","), opts.get("quote", '"')
+    record = F.col("__record")
+
+    def fields(c: Column) -> Column:
+        return F.length(c) - F.length(F.replace(c, F.lit(sep), F.lit(""))) + 1
+
+    bare = F.regexp_replace(record, f"{quote}(?:[^{quote}]|{quote}{quote})*{quote}", "")
+    return F.when(record.isNull(), F.lit(True)).otherwise(
+        F.when(F.col("__extra").isNotNull(), F.lit(True)).otherwise(
+            (fields(record) > n) & (fields(bare) > n)))
+
+
+def _utf8_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Paths of the files whose (inflated) bytes are not UTF-8."""
+    for pdf in batches:
+        bad = []
+        for path, content in zip(pdf["path"], pdf["content"]):
+            stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if path.endswith(".gz") \
+                else io.BytesIO(content)
+            decoder = codecs.getincrementaldecoder("utf-8")("strict")
+            try:
+                while chunk := stream.read(1 << 20):
+                    decoder.decode(chunk)
+                decoder.decode(b"", True)
+            except UnicodeDecodeError:
+                bad.append(path)
+        yield pd.DataFrame({"path": bad}, dtype=object)
+
+
+def invalid_utf8(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Which of the files hold bytes that are not UTF-8 (files under 2 GiB)."""
+    ship_package(spark)
+    rows = spark.read.format("binaryFile").load(list(paths)).select("path", "content") \
+        .mapInPandas(_utf8_errors, "path string").collect()  # paths of bad files only
+    return {r["path"] for r in rows}
+
+
+def _write_header(spark: SparkSession, path: str, cols: Sequence[str], gzipped: bool) -> None:
+    buf = io.StringIO()
+    csv.writer(buf, lineterminator="\n").writerow(cols)
+    data = buf.getvalue().encode("utf-8")
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(gzip.compress(data) if gzipped else data))
+    finally:
+        out.close()
+
+
 def _write_options(compression: str = "gzip") -> dict[str, str]:
     return profile("export_csv", ignoreLeadingWhiteSpace="false",
                    ignoreTrailingWhiteSpace="false", compression=compression)
@@ -173,7 +254,7 @@ def _source_action(spark: SparkSession, r, action: str, archive_dir: str | None)
 def summary_json(report: Sequence[tuple]) -> str:
     """``{"processed_files": [...], "skipped_files": [...]}``, indented, sorted keys."""
     if not report:
-        return json.dumps({"No files processed": "No files found in source stage"})
+        return json.dumps({"No files processed": "nothing to clean under the source folder"})
     processed = [{"source file": s, "target file": t} for s, t, st, _ in report if st == "processed"]
     skipped = [{"skipped file": s, "reason": why} for s, _, st, why in report if st == "skipped"]
     return json.dumps({"processed_files": processed, "skipped_files": skipped},

@@ -14,6 +14,7 @@ import csv
 import io
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,6 +133,16 @@ def infer_schema(spark: SparkSession, paths: Sequence[str],
     ``headers`` (file name -> columns) skips reading them again.
     """
     opts = dict(options or profile("infer_csv"))
+    names = [p.rsplit("/", 1)[-1] for p in paths]
+    if len(set(names)) < len(names):  # files sharing a base name go to separate rounds
+        rounds: list[dict[str, str]] = []
+        for name, p in zip(names, paths):
+            free = next((r for r in rounds if name not in r), None)
+            if free is None:
+                rounds.append(free := {})
+            free[name] = p
+        return reduce(DataFrame.unionByName, [
+            infer_schema(spark, list(r.values()), options) for r in rounds])
     if headers is None:
         headers = read_headers(spark, paths, opts)
     by_name = {p.rsplit("/", 1)[-1]: p for p in paths}

@@ -11,10 +11,12 @@ Layout of a warehouse folder::
 
 Exactly once without a transactional table format: data is appended first
 into a fresh ``load_id`` folder, then the ledger rows naming that load are
-appended.  A crash in between leaves a ``load_id`` folder unknown to the
-ledger; the next run deletes such folders before it loads, and the files are
-loaded again.  Already loaded files (same name and length) are reported
-``SKIPPED`` and not read again.
+appended.  ``read_table_rows`` reads only loads that the ledger names, so rows
+of a run that is under way or broke off are never seen.  What such a run left
+is deleted by a later one once it is older than ``ORPHAN_AGE``; its files are
+loaded again.  Already loaded files (same name, length and modification time)
+are reported ``SKIPPED`` and not read again; a file that was replaced is
+loaded as a new one.
 
 Per-file isolation: the new files of an entity are parsed once, in one job;
 each file lands in its own sub-folder of the load, and the files that held
@@ -25,6 +27,7 @@ not at all.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 import zlib
 from collections import Counter
@@ -40,7 +43,7 @@ from sluice.session import ship_package
 from sluice.functions.json import object_text
 from sluice.operators.infer import (create_table_if_absent, entity_schema, infer_schema,
                                     read_entity, read_headers, table_schema)
-from sluice.operators.snapshot import delete, list_status, path_exists
+from sluice.operators.snapshot import _fs, delete, list_status, path_exists
 from sluice.sources.files import filter_names, list_files, profile
 from sluice.sources.landing import LANDED_PATTERN, entity_from_file, read_landed_csv, with_lineage
 
@@ -49,6 +52,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("entity", T.StringType()),
     T.StructField("file_name", T.StringType()),
     T.StructField("length", T.LongType()),
+    T.StructField("modified", T.TimestampType()),
     T.StructField("load_id", T.StringType()),
     T.StructField("loaded_at", T.TimestampNTZType()),
     T.StructField("rows_loaded", T.LongType()),
@@ -69,9 +73,9 @@ class RunResult:
 # listing and ledger
 
 def landed_files(spark: SparkSession, landing: str, pattern: str = LANDED_PATTERN) -> DataFrame:
-    """Files whose name has an entity: (path, file_name, length, entity)."""
+    """Files whose name has an entity: (path, file_name, length, modified, entity)."""
     lst = filter_names(list_files(spark, landing), pattern=pattern)
-    return lst.select("path", "file_name", "length",
+    return lst.select("path", "file_name", "length", F.col("modification_time").alias("modified"),
                       entity_from_file("file_name", pattern).alias("entity"))
 
 
@@ -87,11 +91,21 @@ def _append_ledger(spark: SparkSession, warehouse: str, rows: DataFrame) -> None
         .coalesce(1).write.mode("append").parquet(f"{warehouse.rstrip('/')}/{LEDGER}")
 
 
-def _drop_orphan_loads(spark: SparkSession, table: str, known: set[str]) -> list[str]:
+#: Age from which a load folder that the ledger does not name is taken for a leftover.
+ORPHAN_AGE = _dt.timedelta(hours=24)
+
+
+def _drop_orphan_loads(spark: SparkSession, table: str, known: set[str],
+                       age: _dt.timedelta = ORPHAN_AGE) -> list[str]:
     dropped = []
-    for name, full, _, is_dir in list_status(spark, table):
-        if is_dir and name.startswith("load_id=") and name[len("load_id="):] not in known:
-            delete(spark, full)
+    fs, p = _fs(spark, table)
+    oldest = time.time() - age.total_seconds()
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("load_id=") \
+                and name[len("load_id="):] not in known \
+                and st.getModificationTime() / 1000 < oldest:
+            delete(spark, st.getPath().toString())
             dropped.append(name)
     return dropped
 
@@ -105,7 +119,7 @@ def _first_with_header(spark: SparkSession, candidates: dict[str, list],
     """Per entity, the first file (by name) that has a header line.
 
     Empty files have no row 1 and are passed over, as discovery does in the
-    reference.  Candidates are tried in growing batches (1, 8, 64, ...), so
+    reference; so are files that are not gzip streams (the load reports them).  Candidates are tried in growing batches (1, 8, 64, ...), so
     normally only each entity's first file is opened.
     """
     chosen: dict[str, object] = {}
@@ -116,7 +130,15 @@ def _first_with_header(spark: SparkSession, candidates: dict[str, list],
                  if e not in chosen and len(rows) > start}
         if not batch:
             return chosen, found
-        headers = read_headers(spark, [r["path"] for rs in batch.values() for r in rs], options)
+        paths = [r["path"] for rs in batch.values() for r in rs]
+        try:
+            headers = read_headers(spark, paths, options)
+        except Exception:  # noqa: BLE001 - one unreadable file must not stop the others
+            broken = check_compression(spark, paths)
+            if not broken:
+                raise
+            rest = [x for x in paths if x not in broken]
+            headers = read_headers(spark, rest, options) if rest else {}
         for e, rows in batch.items():
             for r in rows:
                 if headers.get(r["file_name"]):
@@ -177,15 +199,19 @@ def _gzip_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, content in zip(pdf["path"], pdf["content"]):
             msg = None
             if path.endswith(".gz"):
-                d = zlib.decompressobj(16 + zlib.MAX_WBITS)
-                data = memoryview(content)
                 try:
-                    for i in range(0, len(data), 1 << 20):
-                        d.decompress(data[i:i + (1 << 20)], 1 << 24)
-                        while d.unconsumed_tail:
+                    data = bytes(content)
+                    while True:  # a file may hold several gzip members
+                        d = zlib.decompressobj(16 + zlib.MAX_WBITS)
+                        d.decompress(data, 1 << 24)
+                        while d.unconsumed_tail and not d.eof:
                             d.decompress(d.unconsumed_tail, 1 << 24)
-                    if not d.eof:
-                        msg = "truncated gzip stream"
+                        if not d.eof:
+                            msg = "truncated gzip stream"
+                            break
+                        data = d.unused_data.lstrip(b"\0")
+                        if not data:
+                            break
                 except zlib.error as exc:
                     msg = f"corrupt gzip stream: {exc}"
             errs.append(msg)
@@ -301,6 +327,11 @@ def _rows_per_file(spark: SparkSession, load_dir: str) -> dict[str, int]:
     return {r[0]: int(r[1]) for r in df.groupBy("source_file_name").count().collect()}
 
 
+def _utc(at: _dt.datetime) -> _dt.datetime:
+    """The load time without a zone, in UTC, as in the lineage columns."""
+    return at if at.tzinfo is None else at.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def load_files(spark: SparkSession, landing: str, warehouse: str,
                loaded_at: _dt.datetime, options: dict[str, str] | None = None,
                on_error: str = "continue") -> RunResult:
@@ -322,9 +353,10 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     files = landed_files(spark, landing)
     ledger = read_ledger(spark, warehouse)
     loaded = ledger.where(F.col("status") == "LOADED")
-    new = files.join(loaded.select("file_name", "length"), ["file_name", "length"], "left_anti")
-    skipped = files.join(loaded.select("file_name", "length"), ["file_name", "length"], "left_semi")
-    todo = new.select("entity", "path", "file_name", "length").collect()  # file names only
+    same = ["file_name", "length", "modified"]
+    new = files.join(loaded.select(*same), same, "left_anti")
+    skipped = files.join(loaded.select(*same), same, "left_semi")
+    todo = new.select("entity", "path", *same).collect()  # file names only
     known = {r["load_id"] for r in ledger.select("load_id").distinct().collect()}
 
     reports: list[DataFrame] = [skipped.select(
@@ -387,8 +419,8 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
         report += [(r["file_name"], entity, "LOADED", counts.get(r["file_name"], 0), "loaded")
                    for r in rows if r["file_name"] not in failed]
         rep_df = spark.createDataFrame(report, REPORT_SCHEMA)
-        length = {r["file_name"]: r["length"] for r in rows}
-        ledger_rows = [(entity, f, length[f], load_id, loaded_at.replace(tzinfo=None), n, st, m)
+        seen_as = {r["file_name"]: (r["length"], r["modified"]) for r in rows}
+        ledger_rows = [(entity, f, *seen_as[f], load_id, _utc(loaded_at), n, st, m)
                        for f, _, st, n, m in report]
         _append_ledger(spark, warehouse, spark.createDataFrame(ledger_rows, LEDGER_SCHEMA))
         known.add(load_id)
@@ -433,4 +465,9 @@ def verify_summary(report: DataFrame) -> DataFrame:
 
 
 def read_table_rows(spark: SparkSession, warehouse: str, entity: str) -> DataFrame:
-    return read_entity(spark, f"{warehouse.rstrip('/')}/{entity}")
+    """Rows of the loads that the ledger names, file by file."""
+    done = read_ledger(spark, warehouse).where(
+        (F.col("entity") == entity) & (F.col("status") == "LOADED")) \
+        .select("load_id", F.col("file_name").alias("source_file_name")).distinct()
+    rows = read_entity(spark, f"{warehouse.rstrip('/')}/{entity}")
+    return rows.join(done, ["load_id", "source_file_name"], "left_semi").select(*rows.columns)

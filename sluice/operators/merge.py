@@ -80,7 +80,7 @@ def merge_insert_only(spark: SparkSession, target_path: str, source: DataFrame,
     new = new.observe(obs, F.count(F.lit(1)).alias("n"))
     append_table(spark, new, target_path)
     n = int(obs.get.get("n", 0))
-    return MergeResult(target_path, n, f"Latest data updated to {target_path}: {n} rows inserted")
+    return MergeResult(target_path, n, f"{n} rows inserted into {target_path}")
 
 
 def merge_with_failover(spark: SparkSession, target_path: str, load_path: str,
@@ -98,5 +98,4 @@ def merge_with_failover(spark: SparkSession, target_path: str, load_path: str,
     except Exception as exc:  # noqa: BLE001 - any failure triggers the snapshot
         create_table_as_if_absent(spark, failover, spark.read.parquet(load_path))
         return MergeResult(target_path, 0,
-                           f"Failure during procedure ({type(exc).__name__}).  Check query "
-                           f"history and failover table at: {failover}")
+                           f"merge failed ({type(exc).__name__}), load table kept at: {failover}")

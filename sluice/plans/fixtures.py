@@ -22,13 +22,16 @@ FILE_DATE = "20250102"
 
 def file_name_col(entity: str, key: str, rows_per_file: int, date: str = FILE_DATE) -> Column:
     idx = F.floor(F.col(key) / F.lit(rows_per_file)).cast("bigint")
-    return F.concat(F.lit(f"{entity}_{date}"), F.lpad(idx.cast("string"), 6, "0"),
+    text = idx.cast("string")  # more digits from a million files on, never fewer
+    return F.concat(F.lit(f"{entity}_{date}"),
+                    F.lpad(text, F.greatest(F.lit(6), F.length(text)), F.lit("0")),
                     F.lit("_UTC.csv.gz"))
 
 
 def file_name_sql(entity: str, key: str, rows_per_file: int, date: str = FILE_DATE) -> str:
     """The same name in DuckDB SQL."""
-    return (f"('{entity}_{date}' || lpad(CAST({key} // {rows_per_file} AS VARCHAR), 6, '0')"
+    idx = f"CAST({key} // {rows_per_file} AS VARCHAR)"
+    return (f"('{entity}_{date}' || lpad({idx}, greatest(6, length({idx}))::INT, '0')"
             f" || '_UTC.csv.gz')")
 
 

@@ -256,7 +256,7 @@ def failover_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("x").alias("column_missing_from_load")).write.parquet(target)
     result = merge_with_failover(spark, target, load, ["master_patient_lookup_table_unique_key"],
                                  run_date=RUN_AT.date())
-    marker = "failover table at: "
+    marker = "kept at: "
     if marker not in result.message:
         raise RuntimeError(f"expected a failover, got: {result.message}")
     return spark.read.parquet(result.message.split(marker)[1])

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from sluice.functions.dates import parse_date
 from sluice.operators.infer import infer_schema
 from sluice.operators.load import create_entity_tables, load_files, read_table_rows
-from sluice.plans.fixtures import file_name_sql, land_table, new_landing
+from sluice.operators.snapshot import publish_named, stage
+from sluice.plans.fixtures import file_name_col, file_name_sql, land_table, new_landing
 from sluice.plans.jobs_core import RUN_AT, RUN_AT_KEY_TEXT
 from sluice.plans.registry import register
 from sluice.session import read_table, scratch_path
@@ -155,7 +156,7 @@ def reload_is_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
 # (BUILDING customers) and files with an extra field (MACHINERY customers),
 # every file one key range, so no file grows with the table
 
-NOT_GZIP_DATE = "20250103"
+NOT_GZIP_DATE = "20250101"  # sorts first: the file that would decide the schema
 EXTRA_FIELD_DATE = "20250104"
 
 
@@ -194,6 +195,51 @@ def per_file_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.report.select("file_name", "entity", "status", "rows_loaded")
 
 
+# ---------------------------------------------------------------------------
+# run_reports: the report tables of two create and load runs over the same files
+
+def _reports_sql() -> str:
+    good = file_name_sql("customer", "c_custkey", CUSTOMERS_PER_FILE)
+    bad = file_name_sql("customer", "c_custkey", CUSTOMERS_PER_FILE, EXTRA_FIELD_DATE)
+
+    def rows(name: str, where: str, status: str, n: str, first: str) -> str:
+        return f"""
+SELECT file_name, 'CUSTOMER' AS entity, '{status}' AS status, n AS rows_loaded,
+       {'true' if status == 'LOADED' else 'false'} AS all_loaded,
+       '{{"file":"' || file_name || '","rows_loaded":' || n || ',"status":"{status}"}}'
+         AS result_text, '{first}' AS run
+FROM (SELECT {name} AS file_name, CAST({n} AS BIGINT) AS n FROM customer WHERE {where}
+      GROUP BY 1)"""
+
+    is_bad = "c_mktsegment = 'MACHINERY'"
+    return "\nUNION ALL\n".join([
+        rows(good, f"NOT {is_bad}", "LOADED", "count(*)", "first"),
+        rows(bad, is_bad, "FAILED", "0", "first"),
+        rows(good, f"NOT {is_bad}", "SKIPPED", "0", "second"),
+        rows(bad, is_bad, "FAILED", "0", "second")])
+
+
+@register("run_reports", _reports_sql())
+def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.plans.procedures import (LOAD_REPORT, create_schema_and_tables,
+                                         load_data_from_files)
+    customer = read_table(spark, sf_dir, "customer")
+    landing, warehouse = new_landing(spark), scratch_path(spark, "warehouse")
+    bad = F.col("c_mktsegment") == "MACHINERY"
+    land_table(spark, customer.where(~bad), landing, "customer", "c_custkey", CUSTOMERS_PER_FILE)
+    land_table(spark, customer.where(bad).withColumn("extra_field", F.lit("x")), landing,
+               "customer", "c_custkey", CUSTOMERS_PER_FILE, date=EXTRA_FIELD_DATE)
+    create_schema_and_tables(spark, landing, warehouse)
+    out = None
+    for run in ("first", "second"):
+        load_data_from_files(spark, landing, warehouse, RUN_AT)
+        rows = stage(spark, spark.read.parquet(f"{warehouse}/{LOAD_REPORT}"), "report")
+        new = (rows if out is None else rows.exceptAll(out.drop("run"))).withColumn("run", F.lit(run))
+        out = new if out is None else out.unionByName(new)
+    return out.select("file_name", "entity", "status", "rows_loaded", "all_loaded",
+                      "result_text", "run")
+
+
 # ---------------------------------------------------------------------------
 # entity_from_file: names built from customer, matching and not matching
 
@@ -338,6 +384,72 @@ def clean_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_cleaned(spark, target)
 
 
+# Files that a careless cleaner cuts, tears or loses: quoted line breaks, rows
+# with a field too many, a real U+FFFD, a single column with empty cells, and a
+# header without rows.
+HEADER_ONLY = "empty_20250102000000_UTC.csv.gz"
+
+AWKWARD_SQL = f"""
+SELECT {file_name_sql('lines', 'c_custkey', CUSTOMERS_PER_FILE)} AS file_name,
+       'processed' AS status, CAST(NULL AS VARCHAR) AS reason,
+       CAST(c_custkey AS VARCHAR) AS k, 'a, "b"' || chr(10) || c_name AS v
+FROM customer
+UNION ALL
+SELECT {file_name_sql('mark', 's_suppkey', PARTS_PER_FILE)}, 'processed', NULL,
+       CAST(s_suppkey AS VARCHAR), s_name || chr(65533)
+FROM supplier
+UNION ALL
+SELECT {file_name_sql('single', 's_suppkey', PARTS_PER_FILE)}, 'processed', NULL,
+       CASE WHEN s_suppkey % 3 <> 0 THEN s_name END, NULL
+FROM supplier
+UNION ALL
+SELECT DISTINCT {file_name_sql('wide', 's_suppkey', PARTS_PER_FILE)}, 'skipped',
+       'rows with more fields than the header', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM supplier
+UNION ALL
+SELECT '{HEADER_ONLY}', 'processed', NULL, NULL, NULL"""
+
+
+def _land_raw(spark: SparkSession, df: DataFrame, landing: str, entity: str, line) -> None:
+    """Files of ready lines behind the header ``k,v`` (``v`` alone for one column)."""
+    name = file_name_col(entity, "s_suppkey", PARTS_PER_FILE)
+    head = "v" if entity == "single" else "k,v"
+    rows = df.select(name.alias("__name"), F.col("s_suppkey").alias("o"), line.alias("value"))
+    heads = rows.select("__name").distinct().select("__name", F.lit(None).cast("bigint").alias("o"),
+                                                    F.lit(head).alias("value"))
+    tmp = f"{landing}/_tmp_raw"
+    rows.unionByName(heads).repartition("__name").sortWithinPartitions("__name", "o") \
+        .select("__name", "value").write.partitionBy("__name").options(compression="gzip").text(tmp)
+    publish_named(spark, tmp, landing, "__name")
+
+
+@register("clean_awkward_files", AWKWARD_SQL)
+def clean_awkward_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.operators.clean import _write_header, clean_csv_files
+    landing = new_landing(spark, "raw-files")
+    target = scratch_path(spark, "prepped-files")
+    customer = read_table(spark, sf_dir, "customer")
+    supplier = read_table(spark, sf_dir, "supplier")
+    land_table(spark, customer.select("c_custkey", F.concat(F.lit('a, "b"\n'), "c_name").alias("v")),
+               landing, "lines", "c_custkey", CUSTOMERS_PER_FILE)
+    land_table(spark, supplier.select("s_suppkey", F.concat("s_name", F.lit("\ufffd")).alias("v")),
+               landing, "mark", "s_suppkey", PARTS_PER_FILE)
+    _land_raw(spark, supplier, landing, "wide", F.concat(
+        F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 4 == 1, F.lit(",x,"))
+        .otherwise(F.lit(",x"))))
+    _land_raw(spark, supplier, landing, "single", F.when(F.col("s_suppkey") % 3 != 0,
+                                                         F.col("s_name")).otherwise("NA"))
+    _write_header(spark, f"{landing}/{HEADER_ONLY}", ["k", "v"], True)
+    done = clean_csv_files(spark, landing, target)
+    cells = spark.read.options(header="true", multiLine="true", escape='"') \
+        .schema("k string, v string").csv(f"{target}/*.csv.gz") \
+        .select(F.col("_metadata.file_name").alias("file_name"),
+                F.nullif("k", F.lit("")).alias("k"), "v")
+    files = done.report.select(F.element_at(F.split("source_file", "/"), -1).alias("file_name"),
+                               "status", "reason")
+    return files.join(cells, "file_name", "left")
+
+
 SKIP_EXISTING_SQL = f"""
 SELECT DISTINCT {file_name_sql('customer', 'c_custkey', CUSTOMERS_PER_FILE)} AS file_name,
        'skipped' AS status, 'target_exists' AS reason

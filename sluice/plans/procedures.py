@@ -1,8 +1,8 @@
 """The reference's procedures as Python entry points.
 
-Each returns the message text the procedure returned and appends its run
-report rows to a report table in one write per run (A26), so a scheduler
-can call them the way the task graph called the procedures.
+Each returns a short message and appends its run report rows to a report
+table in one write per run (A26), so a scheduler can call them the way the
+task graph called the procedures.
 """
 
 from __future__ import annotations
@@ -14,74 +14,52 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.json import object_text
 from sluice.operators.clean import clean_csv_files
-from sluice.operators.load import create_entity_tables, load_files, verify_summary
+from sluice.operators.load import (create_entity_tables, load_files, verify,
+                                   verify_summary)
 from sluice.operators.merge import MergeResult, merge_with_failover
-from sluice.operators.snapshot import create_table
+from sluice.operators.snapshot import create_table, stage
 from sluice.plans.master import Side, build_master_lookup
 from sluice.sources.api import RESPONSES_SCHEMA, land_responses
 from sluice.sources.unload import unload_json
 
-CREATE_REPORT = "ADMIN_CREATE_OBJECTS_RUN_REPORT"
-INGEST_REPORT = "ADMIN_DAILY_INGEST_REPORTS"
+CREATE_REPORT = "create_report"
+LOAD_REPORT = "load_report"
 
 
 def create_schema_and_tables(spark: SparkSession, landing: str, warehouse: str) -> str:
-    """``CREATE_SCHEMA_AND_TABLES``: one table per entity; one cumulative report row."""
+    """One table per entity; a report row per entity (entity, file_name, created, columns)."""
     wh = warehouse.rstrip("/")
-    created = create_entity_tables(spark, landing, wh)
-    lines = created.select(F.concat(
-        F.lit("\t--Beginning table creation for file: "), F.col("file_name"), F.lit("...\n"),
-        F.lit("\t\t...create table result: "),
-        F.when(F.col("created"), F.concat(F.lit("Table "), F.col("entity"),
-                                          F.lit(" successfully created.")))
-        .otherwise(F.concat(F.col("entity"), F.lit(" already exists, statement succeeded."))),
-        F.lit("\n")).alias("line"), "entity")
-    report = lines.agg(F.concat(
-        F.lit(f"Beginning dynamic generation of tables in schema: {wh}\n\n"),
-        F.coalesce(F.array_join(F.sort_array(F.collect_list("line")), ""), F.lit("")),
-        F.lit("\n...dynamic creation of tables completed.\n\nProcedure run success: TRUE."))
-        .alias("RUN_REPORT_RESULTS"))
-    report.write.mode("append").parquet(f"{wh}/{CREATE_REPORT}")
-    return (f"SUCCESS -- CREATE_SCHEMA_AND_TABLES() procedure complete.  "
-            f"Check the log at {wh}/{CREATE_REPORT}")
+    created = stage(spark, create_entity_tables(spark, landing, wh), "create-report")
+    created.write.mode("append").parquet(f"{wh}/{CREATE_REPORT}")
+    made, all_ = created.agg(F.count(F.when(F.col("created"), 1)), F.count(F.lit(1))).first()
+    return f"{made} of {all_} tables created, report in {wh}/{CREATE_REPORT}"
 
 
 def load_data_from_files(spark: SparkSession, landing: str, warehouse: str,
                          loaded_at: _dt.datetime) -> str:
-    """``LOAD_DATA_FROM_FILES``: load, then one report row per file."""
+    """Load the new files; a report row per file (file_name, entity, status,
+    rows_loaded, result_text, all_loaded, message)."""
     wh = warehouse.rstrip("/")
     run = load_files(spark, landing, wh, loaded_at)
-    obj = object_text(file=F.col("file_name"), rows_loaded=F.col("rows_loaded"),
-                      status=F.col("status"))
-    ok = F.col("status") == "LOADED"
-    rows = run.report.select(
-        F.col("file_name").alias("FILE_NAME"),
-        F.concat(F.lit("Starting daily ingestion of patient data from file: "), F.col("file_name"),
-                 F.lit("...\n"),
-                 F.when(ok, F.concat(F.lit("\t--Copy into successful.  Result is: \n\t\t"), obj))
-                 .otherwise(F.concat(F.lit("\t--Copy into failure.  Result is: "), obj,
-                                     F.lit("\n\t--Stopping iteration for current file and moving "
-                                           "to next.\n"))),
-                 F.lit("\n...End daily ingestion of patient data for file: "), F.col("file_name"),
-                 F.lit(".\n\t--File data ingestion success: "),
-                 F.when(ok, F.lit("TRUE")).otherwise(F.lit("FALSE")))
-        .alias("DAILY_INGEST_RESULTS"),
-        F.when(ok, F.lit("--No exceptions")).otherwise(F.col("message")).alias("EXCEPTION_SUMMARY"))
-    rows.write.mode("append").parquet(f"{wh}/{INGEST_REPORT}")
-    summary = verify_summary(run.report).first()
-    state = "SUCCESS" if summary["all_loaded"] else "SUCCESS WITH FAILED FILES"
-    return (f"{state} -- LOAD_DATA_FROM_FILES() procedure complete.  "
-            f"Check the logs at {wh}/{INGEST_REPORT}")
+    report = stage(spark, run.report, "load-report")
+    rows = report.join(verify(report), "file_name").select(
+        "file_name", "entity", "status", "rows_loaded", "result_text", "all_loaded", "message")
+    rows.write.mode("append").parquet(f"{wh}/{LOAD_REPORT}")
+    n = verify_summary(report).first()
+    state = "nothing new" if n["zero_files_processed"] and n["all_loaded"] else (
+        "loaded" if n["all_loaded"] else "loaded with failures")
+    return (f"{state}: {n['files_loaded']} loaded, {n['files_failed']} failed, "
+            f"{n['files_skipped']} skipped, report in {wh}/{LOAD_REPORT}")
 
 
 def merge_data_to_master(spark: SparkSession, base: DataFrame, base_key: str, base_alias: str,
                          sides: Sequence[Side], lookup_key: str, master_path: str,
                          run_date: _dt.date) -> MergeResult:
-    """``MERGE_DATA_TO_PATIENT_MASTER_TABLE``: build the lookup (M1), stage it
+    """Build the lookup (M1), stage it
     (A23), merge insert-only (G1); on failure snapshot the staged table (K5)."""
-    lookup = build_master_lookup(base, base_key, base_alias, sides, lookup_key=lookup_key)
+    lookup = build_master_lookup(base, base_key, base_alias, sides, lookup_key=lookup_key,
+                                 order=False)  # the merge orders what it appends
     load_path = f"{master_path.rstrip('/')}_LOAD"
     lookup.write.mode("overwrite").parquet(load_path)
     return merge_with_failover(spark, master_path, load_path, [lookup_key], run_date=run_date,
@@ -91,7 +69,7 @@ def merge_data_to_master(spark: SparkSession, base: DataFrame, base_key: str, ba
 def prep_csv_files(spark: SparkSession, source: str, target: str, **kw) -> str:
     """``prep_csv_files``: clean all files, return the summary message (M4)."""
     result = clean_csv_files(spark, source, target, **kw)
-    return f"File processing complete.  Output summary: {result.summary}"
+    return f"cleaning done: {result.summary}"
 
 
 def land_and_unload(spark: SparkSession, requests: DataFrame,
@@ -106,8 +84,7 @@ def land_and_unload(spark: SparkSession, requests: DataFrame,
     # every response of the feed goes to the run's file, whatever its date
     table = spark.read.parquet(responses_path)
     files = unload_json(spark, table, out_dir, run_date, feeds=feeds)
-    parts = [f"\n\t--{r['feed']}: " + json.dumps(
-                 {"rows_unloaded": r["rows_unloaded"], "input_bytes": r["input_bytes"],
-                  "output_bytes": r["output_bytes"], "files": list(r["files"])})
-             for r in files.orderBy("feed").collect()]  # one row per feed
-    return "Objects loaded: " + ",".join(parts)
+    return "unloaded: " + json.dumps({r["feed"]: {
+        "rows_unloaded": r["rows_unloaded"], "input_bytes": r["input_bytes"],
+        "output_bytes": r["output_bytes"], "files": list(r["files"])}
+        for r in files.orderBy("feed").collect()})  # one row per feed

@@ -2,8 +2,9 @@
 
 Scratch data (staged files, snapshot tables, checkpoints) always goes under
 the folder the cluster names in ``spark.checkpoint.dir``.  Only when that is
-unset (local runs, tests) do we create a private folder and register it as
-the checkpoint dir, so every later caller sees the same root.
+unset in a local run (tests) do we create a private folder and register it as
+the checkpoint dir, so every later caller sees the same root; on a cluster an
+unset folder is an error.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir", None)
         if root:
             sc.setCheckpointDir(root)
+        elif not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-ckpt-"))
         root = sc.getCheckpointDir()
@@ -72,7 +75,7 @@ def cluster_conf(shuffle_bytes: int = 100 * 2**40, partition_bytes: int = 512 *
     skewed join partitions); broadcasts stay behind a 64 MiB size check;
     decommissioning moves shuffle blocks off executors that are going away.
     """
-    partitions = max(200, min(100_000, -(-shuffle_bytes // partition_bytes)))
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

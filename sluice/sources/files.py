@@ -10,10 +10,10 @@ from __future__ import annotations
 import copy
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.text import literal_pattern, regexp_full_match
+from sluice.functions.text import regexp_full_match
 from sluice.operators.snapshot import _fs, path_exists
 
 # Named reader/writer option sets (A11).  The reference names its file
@@ -95,10 +95,6 @@ def filter_names(listing: DataFrame, pattern: str | None = None,
     return out
 
 
-def literal_name_pattern(name: str) -> str:
-    return literal_pattern(name)
-
-
 def discover_files(spark: SparkSession, paths: Sequence[str] | str,
                    options: dict[str, str] | None = None) -> DataFrame:
     """Names of files that have a first data row, ordered (A2).
@@ -123,16 +119,6 @@ def guard_new_dir(spark: SparkSession, path: str) -> None:
                               "stopping to prevent overwriting existing files")
 
 
-def missing_in_target(source: DataFrame, target: DataFrame,
-                      on: str = "relative_path") -> DataFrame:
-    """Source files whose name is not yet in the target listing."""
-    return source.join(target.select(on).distinct(), on=on, how="left_anti")
-
-
 def refresh(spark: SparkSession, path: str) -> None:
     """Drop cached listings of ``path`` (A22); a fresh read lists anyway."""
     spark.catalog.refreshByPath(path)
-
-
-def col_file_name() -> Column:
-    return F.col("_metadata.file_name")

@@ -24,7 +24,7 @@ from sluice.sources.files import profile
 # anchored (the reference left both open, so ``.`` matched any character).
 ENTITY_PATTERN = r"^(.*)_\d{14}_UTC\.csv\.gz$"
 # What the loader accepts: also the numbered parts of a multi-part export.
-LANDED_PATTERN = r"^(.*)_\d{14}_UTC(?:_\d{5})?\.csv\.gz$"
+LANDED_PATTERN = r"^(.*)_\d{14}_UTC(?:_\d{5,})?\.csv\.gz$"
 FILE_DATE_PATTERN = r"_(\d{8})\d{6}_UTC"
 
 # The six lineage columns in front of every entity table, in
@@ -73,6 +73,9 @@ def read_landed_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence
     opts = dict(options or profile("ingest_csv"))
     if corrupt_column:
         opts["columnNameOfCorruptRecord"] = corrupt_column
+    if all(p.endswith(".gz") for p in paths):
+        # a gzip file is one split anyway, so quoted line breaks cost nothing
+        opts.setdefault("multiLine", "true")
     df = spark.read.options(**opts).schema(T.StructType(fields)).csv(list(paths))
     return df.select("*", F.col("_metadata.file_name").alias("__file"),
                      F.col("_metadata.file_block_start").alias("__split"))

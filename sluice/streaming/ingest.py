@@ -33,8 +33,8 @@ def has_new_files(spark: SparkSession, landing: str, warehouse: str) -> bool:
     """Batch form of the stream-has-data check (I1): landed files not in the ledger."""
     files = landed_files(spark, landing)
     loaded = read_ledger(spark, warehouse).where(F.col("status") == "LOADED")
-    return bool(files.join(loaded.select("file_name", "length"), ["file_name", "length"],
-                           "left_anti").take(1))
+    same = ["file_name", "length", "modified"]
+    return bool(files.join(loaded.select(*same), same, "left_anti").take(1))
 
 
 def run_chain(spark: SparkSession, landing: str, warehouse: str, loaded_at: _dt.datetime,

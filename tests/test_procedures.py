@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sluice.operators.load import read_table_rows
 from sluice.operators.snapshot import create_table
 from sluice.plans.master import Side
-from sluice.plans.procedures import (CREATE_REPORT, INGEST_REPORT, create_schema_and_tables,
+from sluice.plans.procedures import (CREATE_REPORT, LOAD_REPORT, create_schema_and_tables,
                                      land_and_unload, load_data_from_files, merge_data_to_master,
                                      prep_csv_files)
 from sluice.sources.api import RESPONSES_SCHEMA
@@ -33,15 +33,18 @@ def test_create_load_merge_procedures(spark, tmp):
        "master_patient_id,patient_encounter_id\n1,10\n1,11\n2,20\n")
     gz(f"{land}/encounters_20250103000000_UTC.csv.gz", "master_patient_id,patient_encounter_id\n3,x\n")
     msg = create_schema_and_tables(spark, land, wh)
-    assert msg.startswith("SUCCESS -- CREATE_SCHEMA_AND_TABLES()")
-    text = spark.read.parquet(f"{wh}/{CREATE_REPORT}").first()["RUN_REPORT_RESULTS"]
-    assert "Table ENCOUNTERS successfully created." in text and text.endswith("TRUE.")
+    assert msg.startswith("2 of 2 tables created")
+    made = {r["entity"]: r for r in spark.read.parquet(f"{wh}/{CREATE_REPORT}").collect()}
+    assert made["ENCOUNTERS"]["created"] and "PATIENT_ENCOUNTER_ID" in made["ENCOUNTERS"]["columns"]
     msg = load_data_from_files(spark, land, wh, RUN)
-    assert "FAILED FILES" in msg
-    rep = {r["FILE_NAME"]: r for r in spark.read.parquet(f"{wh}/{INGEST_REPORT}").collect()}
-    assert rep["patients_20250102000000_UTC.csv.gz"]["EXCEPTION_SUMMARY"] == "--No exceptions"
+    assert msg.startswith("loaded with failures: 2 loaded, 1 failed, 0 skipped")
+    rep = {r["file_name"]: r for r in spark.read.parquet(f"{wh}/{LOAD_REPORT}").collect()}
+    good = rep["patients_20250102000000_UTC.csv.gz"]
+    assert good["all_loaded"] and good["rows_loaded"] == 3
     bad = rep["encounters_20250103000000_UTC.csv.gz"]
-    assert "success: FALSE" in bad["DAILY_INGEST_RESULTS"] and "does not fit" in bad["EXCEPTION_SUMMARY"]
+    assert not bad["all_loaded"] and '"status":"FAILED"' in bad["result_text"]
+    assert "does not fit" in bad["message"]
+    assert load_data_from_files(spark, land, wh, RUN).startswith("loaded with failures: 0 loaded")
 
     patients = read_table_rows(spark, wh, "PATIENTS")
     enc = read_table_rows(spark, wh, "ENCOUNTERS")
@@ -59,10 +62,10 @@ def test_create_load_merge_procedures(spark, tmp):
 def test_prep_csv_files_message(spark, tmp):
     gz(f"{tmp}/raw/a_20250102000000_UTC.csv.gz", "c\n x \n")
     msg = prep_csv_files(spark, f"{tmp}/raw", f"{tmp}/prep")
-    assert msg.startswith("File processing complete.  Output summary: {")
+    assert msg.startswith("cleaning done: {")
     assert '"processed_files"' in msg
     empty = prep_csv_files(spark, f"{tmp}/none", f"{tmp}/prep2")
-    assert "No files found in source stage" in empty
+    assert "nothing to clean" in empty
 
 
 class Fake:
@@ -80,7 +83,7 @@ def test_land_and_unload(spark, tmp):
                                      "api_name string, start_date string, end_date string")
     msg = land_and_unload(spark, requests, Fake, ["api_name", "start_date", "end_date"],
                           f"{tmp}/responses", f"{tmp}/out", dt.date(2025, 1, 2))
-    assert msg.startswith("Objects loaded: ") and "neo_data_20250102.json.gz" in msg
+    assert msg.startswith("unloaded: {") and "neo_data_20250102.json.gz" in msg
     back = read_unloaded(spark, f"{tmp}/out")
     assert sorted(r["feed"] for r in back.collect()) == ["neo_data", "tle_data"]
     assert back.where(F.col("feed") == "neo_data").select(
