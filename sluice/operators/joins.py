@@ -11,12 +11,14 @@ Skew.  A plain ``base LEFT JOIN side`` cannot be split by AQE on the side
 once (partial counts, then one row per key) and takes the hot ones, with more
 than ``hot_rows`` rows, out of the base a single time:
 
-    cold base  LEFT JOIN side_1 LEFT JOIN side_2 ...     -- plain joins
-    hot base  INNER JOIN side_1' INNER JOIN side_2' ...  -- AQE may split any input
+    cold base  LEFT JOIN side_1 LEFT JOIN side_2 ...        -- plain joins
+    hot base  INNER JOIN side_1' INNER JOIN side_2' ...     -- salted
 
 where ``side_i'`` is the side's hot rows plus one NULL row for each hot key it
-lacks.  The base is read twice, however many sides there are, and without a
-hot key the plan is the chain of plain left joins.
+lacks, and a key with n rows in a side is dealt into ceil(n / ``hot_rows``)
+salts of that side, for each of which the hot base row is repeated.  The base
+is read twice, however many sides there are, and without a hot key the plan
+is the chain of plain left joins.
 """
 
 from __future__ import annotations
@@ -38,19 +40,23 @@ def left_join(left: DataFrame, right: DataFrame, key: str | Sequence[str],
     return left_join_all(left, [right], key, skew_safe=skew_safe, hot_rows=hot_rows)
 
 
-def _hot_keys(sides: Sequence[DataFrame], keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows in one of the sides; None if there are none.
+def _hot_keys(sides: Sequence[DataFrame], keys: list[str], hot_rows: int
+              ) -> DataFrame | None:
+    """(keys, side number, salts) of the keys with more than ``hot_rows`` rows in
+    a side; None if there are none.
 
-    Written to the shared scratch folder: at most one key per ``hot_rows``
+    Written to the shared scratch folder: at most one row per ``hot_rows``
     rows of input, of a size the planner knows.
     """
     if not sides:
         return None
     counts = [s.select(*keys).groupBy(*keys).count().where(F.col("count") > hot_rows)
-              .select(*keys) for s in sides]
+              .select(*keys, F.lit(i).alias("__side"),
+                      F.ceil(F.col("count") / hot_rows).cast("int").alias("__salts"))
+              for i, s in enumerate(sides)]
     spark = sides[0].sparkSession
     path = scratch_path(spark, "hot-keys")
-    hot = reduce(DataFrame.unionByName, counts).distinct()
+    hot = reduce(DataFrame.unionByName, counts)
     for k in keys:  # a NULL key matches nothing
         hot = hot.where(F.col(k).isNotNull())
     hot.write.parquet(path)
@@ -72,24 +78,33 @@ def left_join_all(base: DataFrame, sides: Sequence[DataFrame], key: str | Sequen
     keys = [key] if isinstance(key, str) else list(key)
     unique = list(unique) if unique is not None else [False] * len(sides)
     # lookups first: they add no rows
-    order = [s for s, u in zip(sides, unique) if u] + [s for s, u in zip(sides, unique) if not u]
+    lookups = [s for s, u in zip(sides, unique) if u]
     fan_out = [s for s, u in zip(sides, unique) if not u]
-    hot = _hot_keys(fan_out, keys, hot_rows) if skew_safe else None
-
-    def plain(left: DataFrame) -> DataFrame:
-        return reduce(lambda out, s: out.join(s, on=keys, how="left"), order, left)
-
-    if hot is None:
-        return plain(base)
-    split = plain(base.join(hot, on=keys, how="left_anti"))
-    out = base.join(hot, on=keys, how="left_semi")
-    for side in order:
-        own = side.join(hot, on=keys, how="left_semi")
+    counts = _hot_keys(fan_out, keys, hot_rows) if skew_safe else None
+
+    def plain(left: DataFrame, some: Sequence[DataFrame]) -> DataFrame:
+        return reduce(lambda out, s: out.join(s, on=keys, how="left"), some, left)
+
+    if counts is None:
+        return plain(base, lookups + fan_out)
+    hot = counts.select(*keys).distinct()
+    cold = plain(base.join(hot, on=keys, how="left_anti"), lookups + fan_out)
+    out = plain(base.join(hot, on=keys, how="left_semi"), lookups)
+    for i, side in enumerate(fan_out):
+        salts = hot.join(counts.where(F.col("__side") == i).select(*keys, "__salts"),
+                         on=keys, how="left").withColumn(
+            "__salts", F.coalesce("__salts", F.lit(1)))
+        own = side.join(salts, on=keys, how="inner").withColumn(
+            "__salt", F.pmod(F.xxhash64(*side.columns), F.col("__salts")).cast("int"))
         lacking = hot.join(side.select(*keys).distinct(), on=keys, how="left_anti").select(
             *keys, *[F.lit(None).cast(f.dataType).alias(f.name)
-                     for f in side.schema.fields if f.name not in keys])
-        out = out.join(own.unionByName(lacking), on=keys, how="inner")
-    return split.unionByName(out.select(*split.columns))
+                     for f in side.schema.fields if f.name not in keys],
+            F.lit(0).alias("__salt"))
+        out = out.join(salts, on=keys, how="inner").withColumn(
+            "__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+        out = out.join(own.drop("__salts").unionByName(lacking), on=[*keys, "__salt"],
+                       how="inner").drop("__salt")
+    return cold.unionByName(out.select(*cold.columns))
 
 
 def anti_join(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

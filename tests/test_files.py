@@ -116,15 +116,49 @@ def test_create_load_reload_isolation(spark, tmp):
     assert has_new_files(spark, land, wh)  # failed files are still pending
 
 
-def test_orphan_load_folder_is_dropped(spark, tmp):
+def test_orphan_load_folder_is_never_read_and_dropped_when_old(spark, tmp):
     land, wh = f"{tmp}/land", f"{tmp}/wh"
     gz(f"{land}/t_20250102000000_UTC.csv.gz", "id\n1\n")
     create_entity_tables(spark, land, wh)
-    # a crashed run: data folder written, ledger not
-    spark.createDataFrame([(1,)], "x int").write.parquet(f"{wh}/T/load_id=crashed")
     load_files(spark, land, wh, RUN)
-    assert not os.path.exists(f"{wh}/T/load_id=crashed")
-    assert read_table_rows(spark, wh, "T").count() == 1
+    # a run that is under way or broke off: data folder written, ledger not
+    rows = read_table_rows(spark, wh, "T").drop("load_id", "source_file_name")
+    crashed = f"{wh}/T/load_id=crashed/source_file_name=x.csv.gz"
+    rows.write.parquet(crashed)
+    gz(f"{land}/t_20250103000000_UTC.csv.gz", "id\n2\n")
+    load_files(spark, land, wh, RUN)
+    assert os.path.exists(crashed) and read_table_rows(spark, wh, "T").count() == 2
+    old = dt.datetime.now().timestamp() - 2 * 86400
+    os.utime(f"{wh}/T/load_id=crashed", (old, old))
+    gz(f"{land}/t_20250104000000_UTC.csv.gz", "id\n3\n")
+    load_files(spark, land, wh, RUN)
+    assert not os.path.exists(crashed) and read_table_rows(spark, wh, "T").count() == 3
+
+
+def test_replaced_file_of_equal_length_is_loaded(spark, tmp):
+    land, wh = f"{tmp}/land", f"{tmp}/wh"
+    path = f"{land}/t_20250102000000_UTC.csv.gz"
+    gz(path, "id\n1\n")
+    os.utime(path, (1_700_000_000, 1_700_000_000))
+    create_entity_tables(spark, land, wh)
+    load_files(spark, land, wh, RUN)
+    gz(path, "id\n2\n")
+    os.utime(path, (1_700_000_500, 1_700_000_500))
+    rep = load_files(spark, land, wh, RUN).report.collect()
+    assert [r["status"] for r in rep] == ["LOADED"]
+    again = load_files(spark, land, wh, RUN).report.collect()
+    assert [r["status"] for r in again] == ["SKIPPED"]
+
+
+def test_cut_second_gzip_member_is_found(spark, tmp):
+    from sluice.operators.load import check_compression
+    os.makedirs(f"{tmp}/z")
+    one, two = gzip.compress(b"a\n1\n"), gzip.compress(b"2\n3\n" * 50)
+    for name, data in (("good", one + two), ("cut", one + two[:-9]), ("single", one)):
+        with open(f"{tmp}/z/{name}.csv.gz", "wb") as f:
+            f.write(data)
+    bad = check_compression(spark, [f"{tmp}/z/{n}.csv.gz" for n in ("good", "cut", "single")])
+    assert [p.rsplit("/", 1)[1] for p in bad] == ["cut.csv.gz"]
 
 
 def test_clean_files(spark, tmp):
@@ -197,7 +231,7 @@ def test_requests_spread_and_failures_land(spark, tmp):
         "RuntimeError: down", "answer is not JSON"}
     assert spark.read.parquet(err).count() == 60
     with pytest.raises(Exception, match="down"):
-        land_responses(req, Fetch, ["n"], dt.date(2025, 1, 2)).collect()
+        land_responses(req.where("n % 10 <> 1"), Fetch, ["n"], dt.date(2025, 1, 2)).collect()
     one = land_responses(req.select("api_name").limit(1), Fetch, [], dt.date(2025, 1, 2))
     assert one.select(F.to_json("json_response")).first()[0] == '{"all":true}'
 
