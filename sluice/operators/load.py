@@ -72,11 +72,20 @@ class RunResult:
 # ---------------------------------------------------------------------------
 # listing and ledger
 
+def landed(files: DataFrame, pattern: str = LANDED_PATTERN) -> DataFrame:
+    """Of files (path, length, modified) those whose name has an entity:
+    (path, file_name, length, modified, entity)."""
+    named = files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+    return filter_names(named, pattern=pattern).select(
+        "path", "file_name", "length", "modified",
+        entity_from_file("file_name", pattern).alias("entity"))
+
+
 def landed_files(spark: SparkSession, landing: str, pattern: str = LANDED_PATTERN) -> DataFrame:
-    """Files whose name has an entity: (path, file_name, length, modified, entity)."""
-    lst = filter_names(list_files(spark, landing), pattern=pattern)
-    return lst.select("path", "file_name", "length", F.col("modification_time").alias("modified"),
-                      entity_from_file("file_name", pattern).alias("entity"))
+    """The landing folder's files whose name has an entity (see ``landed``)."""
+    lst = list_files(spark, landing)
+    return landed(lst.select("path", "length", F.col("modification_time").alias("modified")),
+                  pattern)
 
 
 def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -149,14 +158,15 @@ def _first_with_header(spark: SparkSession, candidates: dict[str, list],
 
 
 def create_entity_tables(spark: SparkSession, landing: str, warehouse: str,
-                         options: dict[str, str] | None = None) -> DataFrame:
+                         options: dict[str, str] | None = None,
+                         files: DataFrame | None = None) -> DataFrame:
     """Create each entity's table from its first landed file with a header.
 
     Returns one row per entity: (entity, file_name, created, columns).  An
     existing table keeps its schema (``CREATE TABLE IF NOT EXISTS``).
     """
     wh = warehouse.rstrip("/")
-    files = landed_files(spark, landing)
+    files = landed_files(spark, landing) if files is None else files
     firsts = files.groupBy("entity").agg(F.min("file_name").alias("file_name")).collect()
     todo = sorted(r["entity"] for r in firsts if table_schema(spark, f"{wh}/{r['entity']}") is None)
     out = []
@@ -334,12 +344,13 @@ def _utc(at: _dt.datetime) -> _dt.datetime:
 
 def load_files(spark: SparkSession, landing: str, warehouse: str,
                loaded_at: _dt.datetime, options: dict[str, str] | None = None,
-               on_error: str = "continue") -> RunResult:
+               on_error: str = "continue", files: DataFrame | None = None) -> RunResult:
     """Load every landed file not yet loaded into its entity table (A10).
 
     Report rows: (file_name, entity, status, rows_loaded, message) with
     status LOADED, FAILED or SKIPPED.  ``on_error='abort'`` raises when any
-    file fails, before anything is committed.
+    file fails, before anything is committed.  ``files`` (as ``landed`` gives
+    them) stands for the listing of the landing folder.
 
     Optimistic, single parse per entity: the new files are parsed once and
     written into a fresh ``load_id`` folder, one sub-folder per source file;
@@ -350,7 +361,7 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     """
     wh = warehouse.rstrip("/")
     opts = dict(options or profile("ingest_csv"))
-    files = landed_files(spark, landing)
+    files = landed_files(spark, landing) if files is None else files
     ledger = read_ledger(spark, warehouse)
     loaded = ledger.where(F.col("status") == "LOADED")
     same = ["file_name", "length", "modified"]

@@ -518,16 +518,28 @@ WITH f AS (
     SELECT *, 'events_' || CASE WHEN event_type IN ('click', 'view') THEN '20250102'
                                 ELSE '20250103' END
               || lpad(CAST(event_id // {EVENTS_PER_FILE} AS VARCHAR), 6, '0') || '_UTC.csv.gz' AS fname
-    FROM events)
+    FROM events),
+k AS (
+    SELECT f.*, CAST(p_size AS BIGINT) AS part_size,
+           md5(CAST(event_id AS VARCHAR) || CAST(coalesce(p_size, 0) AS VARCHAR)) AS key
+    FROM f LEFT JOIN part ON p_partkey = event_id),
+m AS (  -- the key has no delimiter: what collides with the first round is not merged again
+    SELECT *, substr(fname, 8, 8) = '20250102'
+              OR key NOT IN (SELECT key FROM k WHERE substr(fname, 8, 8) = '20250102') AS merged
+    FROM k)
 SELECT fname AS source_file_name,
        CAST(strptime(substr(fname, 8, 8), '%Y%m%d') AS DATE) AS source_file_date_utc,
        row_number() OVER (PARTITION BY fname ORDER BY event_id) AS source_file_row_number,
-       event_id, ts, user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value, props
-FROM f"""
+       CASE WHEN merged THEN key END AS lookup_key, CASE WHEN merged THEN event_id END AS event_id,
+       CASE WHEN merged THEN part_size END AS part_size, ts, user_id, event_type,
+       CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value, props
+FROM m"""
 
 
 @register("stream_ingest", STREAM_SQL)
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.plans.master import Side
+    from sluice.plans.procedures import merge_data_to_master
     from sluice.streaming.ingest import run_available
     events = read_table(spark, sf_dir, "events")
     landing = new_landing(spark, "stream-landing")
@@ -535,16 +547,37 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = scratch_path(spark, "stream-checkpoint")
     first = events.where(F.col("event_type").isin(*_ROUND_ONE))
     rest = events.where(~F.col("event_type").isin(*_ROUND_ONE))
+    lookup = f"{warehouse}/EVENT_LOOKUP"
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_size").cast("bigint").alias("p_size"))
+
+    def merge(session: SparkSession, wh: str, result) -> None:
+        """The chain's last step: the lookup of the batch's files, merged insert-only."""
+        files = result.report.where(F.col("status") == "LOADED") \
+            .select(F.col("file_name").alias("source_file_name"))
+        new = read_table_rows(session, wh, "EVENTS").join(files, "source_file_name", "left_semi") \
+            .withColumn("EVENT_ID", F.col("EVENT_ID").cast("bigint"))
+        merge_data_to_master(session, new, "EVENT_ID", "event_id",
+                             [Side(part, "p_partkey", "p_size", "part_size", unique=True)],
+                             "lookup_key", lookup, RUN_AT.date())
+
+    def run() -> int:
+        return run_available(spark, landing, warehouse, checkpoint, loaded_at=RUN_AT,
+                             after_load=merge)
+
     land_table(spark, first, landing, "events", "event_id", EVENTS_PER_FILE, date="20250102")
-    b1 = run_available(spark, landing, warehouse, checkpoint, loaded_at=RUN_AT)
+    b1 = run()
     land_table(spark, rest, landing, "events", "event_id", EVENTS_PER_FILE, date="20250103")
-    b2 = run_available(spark, landing, warehouse, checkpoint, loaded_at=RUN_AT)
-    b3 = run_available(spark, landing, warehouse, checkpoint, loaded_at=RUN_AT)
+    b2 = run()
+    b3 = run()
     if (b1, b2, b3) != (1, 1, 0):
         raise RuntimeError(f"unexpected micro-batches per run: {(b1, b2, b3)}")
-    table = read_table_rows(spark, warehouse, "EVENTS")
+    keys = spark.read.parquet(lookup).select("source_file_name", "source_file_row_number",
+                                             "lookup_key", "event_id", "part_size")
+    table = read_table_rows(spark, warehouse, "EVENTS").join(
+        keys, ["source_file_name", "source_file_row_number"], "left")
     return table.select(
-        "source_file_name", "source_file_date_utc", "source_file_row_number",
-        F.col("EVENT_ID").cast("bigint").alias("event_id"), F.col("TS").alias("ts"),
+        "source_file_name", "source_file_date_utc", "source_file_row_number", "lookup_key",
+        keys["event_id"], "part_size", F.col("TS").alias("ts"),
         F.col("USER_ID").cast("bigint").alias("user_id"), F.col("EVENT_TYPE").alias("event_type"),
         F.col("VALUE").cast("double").alias("value"), F.col("PROPS").alias("props"))

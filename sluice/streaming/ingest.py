@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.load import (RunResult, create_entity_tables, landed_files, load_files,
-                                   read_ledger)
+from sluice.operators.load import (RunResult, create_entity_tables, landed, landed_files,
+                                   load_files, read_ledger)
+from sluice.operators.snapshot import stage
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -38,10 +39,14 @@ def has_new_files(spark: SparkSession, landing: str, warehouse: str) -> bool:
 
 
 def run_chain(spark: SparkSession, landing: str, warehouse: str, loaded_at: _dt.datetime,
-              after_load: AfterLoad | None = None) -> RunResult:
-    """create -> load (-> after_load, e.g. a master-lookup merge)."""
-    create_entity_tables(spark, landing, warehouse)
-    result = load_files(spark, landing, warehouse, loaded_at)
+              after_load: AfterLoad | None = None, files: DataFrame | None = None) -> RunResult:
+    """create -> load (-> after_load, e.g. a master-lookup merge).
+
+    ``files`` (path, file_name, length, modified, entity) limits the run to
+    these files; the landing folder is not listed then.
+    """
+    create_entity_tables(spark, landing, warehouse, files=files)
+    result = load_files(spark, landing, warehouse, loaded_at, files=files)
     if after_load is not None:
         after_load(spark, warehouse, result)
     return result
@@ -51,7 +56,8 @@ def ingest_stream(spark: SparkSession, landing: str, warehouse: str, checkpoint:
                   trigger: str = "availableNow", loaded_at: _dt.datetime | None = None,
                   after_load: AfterLoad | None = None, glob: str = "*.csv.gz",
                   max_files_per_trigger: int | None = None, clean_source: str = "off",
-                  archive_dir: str | None = None) -> StreamingQuery:
+                  archive_dir: str | None = None,
+                  on_done: Callable[[int], None] | None = None) -> StreamingQuery:
     """Start the ingest stream.  ``trigger``: ``'availableNow'`` (run what is
     there, then stop; for an outside scheduler) or an interval such as
     ``'5 minutes'`` (the reference's cadence, I4).
@@ -71,13 +77,18 @@ def ingest_stream(spark: SparkSession, landing: str, warehouse: str, checkpoint:
             if not archive_dir:
                 raise ValueError("archive_dir is required for clean_source='archive'")
             reader = reader.option("sourceArchiveDir", archive_dir)
-    arrivals = reader.load(landing).select("path", "length")
+    arrivals = reader.load(landing).select("path", "length", "modificationTime")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        # the batch's own files only: max_files_per_trigger bounds each load
+        files = stage(batch.sparkSession, landed(batch.select(
+            "path", "length", F.col("modificationTime").alias("modified"))), "arrivals")
+        if files.isEmpty():
             return
         ts = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        run_chain(batch.sparkSession, landing, warehouse, ts, after_load)
+        run_chain(batch.sparkSession, landing, warehouse, ts, after_load, files)
+        if on_done is not None:
+            on_done(batch_id)
 
     writer = (arrivals.writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint))
@@ -92,10 +103,11 @@ def run_available(spark: SparkSession, landing: str, warehouse: str, checkpoint:
                   **kw) -> int:
     """One scheduled run: process everything that arrived, return the number
     of micro-batches that had data."""
-    q = ingest_stream(spark, landing, warehouse, checkpoint, trigger="availableNow", **kw)
+    done: list[int] = []
+    q = ingest_stream(spark, landing, warehouse, checkpoint, trigger="availableNow",
+                      on_done=done.append, **kw)
     q.awaitTermination()
-    progress = q.recentProgress
-    return sum(1 for p in progress if p.get("numInputRows", 0) > 0)
+    return len(done)
 
 
 def stream_landed_csv(spark: SparkSession, landing: str, columns: list[str],

@@ -246,6 +246,18 @@ def test_stream_runs_only_on_new_files(spark, tmp):
     assert read_table_rows(spark, wh, "E").count() == 3
 
 
+def test_stream_batches_load_their_own_files(spark, tmp):
+    land, wh, ck = f"{tmp}/land", f"{tmp}/wh", f"{tmp}/ck"
+    for d in range(1, 5):
+        gz(f"{land}/e_2025010{d}000000_UTC.csv.gz", f"id\n{d}\n")
+    sizes = []
+    n = run_available(spark, land, wh, ck, loaded_at=RUN, max_files_per_trigger=1,
+                      after_load=lambda s, w, r: sizes.append(
+                          r.report.where(F.col("status") == "LOADED").count()))
+    assert n == 4 and sizes == [1, 1, 1, 1]
+    assert read_table_rows(spark, wh, "E").count() == 4
+
+
 def test_export_guard_and_order(spark, tmp):
     df = spark.range(0, 1000).select((999 - F.col("id")).alias("k"), F.lit("v").alias("v"))
     out = f"{tmp}/exp"
