@@ -189,7 +189,7 @@ def row_number_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # unload_json: events as feed responses -> gzip JSON files -> read back
 
-UNLOAD_CAP = 4096  # bytes: every feed needs several files
+UNLOAD_CAP = 16_384  # bytes: several files per feed from sf0.01 on
 
 UNLOAD_SQL = f"""
 WITH back AS (
