@@ -3,7 +3,8 @@
 Kernel: two units (a word, or a run of single characters written apart) are
 compared by all their character subsequences of length 2 and 3, gaps
 allowed; a subsequence spanning ``k`` characters counts ``DECAY ** k``, and
-the kernel is normalised.  Inserted characters ("i.d.i.o.t", "i d i o t")
+the kernel is normalised.  A unit's beginning and end count as characters, so
+a word that only contains an insult's letters is told apart.  Inserted characters ("i.d.i.o.t", "i d i o t")
 and unknown endings so keep most of the likeness.  Units longer than
 ``WIDTH`` are read in overlapping windows, so whole texts are scored.
 
@@ -49,10 +50,11 @@ FOLDS = 5
 SAMPLE_TOXIC = 1000
 SAMPLE_CLEAN = 2000
 LANDMARKS = 128
-WIDTH = 12
+WIDTH = 13
 DECAY = 0.75
 _CODES = 64
 _TABLE = _CODES ** 2 + _CODES ** 3
+_START, _END = "\x02", "\x03"  # where a unit begins and ends
 _CACHE_UNITS = 600_000
 _LOWEST = -4.0
 
@@ -87,6 +89,7 @@ def _windows(unit: str) -> list[str]:
     plain = _INNER.sub("", unit)
     out = []
     for u in (unit,) if plain == unit else (unit, plain):
+        u = f"{_START}{u}{_END}"
         if len(u) <= WIDTH:
             out.append(u)
         else:
@@ -100,7 +103,8 @@ def _codes(windows: list[str], length: int) -> np.ndarray:
     raw = np.frombuffer("".join(windows).encode("utf-32-le", "surrogatepass"), "<u4")
     o = raw.reshape(len(windows), length).astype(np.int64)
     return np.where((o >= 97) & (o <= 122), o - 97,
-                    np.where((o >= 48) & (o <= 57), o - 22, 36 + o % 28))
+                    np.where((o >= 48) & (o <= 57), o - 22,
+                             np.where((o == 2) | (o == 3), 60 + o, 36 + o % 26)))
 
 
 def _subsequences(windows: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,11 +129,11 @@ def _subsequences(windows: list[str], length: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _by_length(windows: list[str]):
-    """Groups (positions, windows, length) of equal length; windows of fewer
+    """Groups (positions, windows, length) of equal length; units of fewer
     than three characters are not compared."""
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(windows):
-        if len(w) > 2:
+        if len(w) > 4:
             groups.setdefault(len(w), []).append(i)
     for length, at in sorted(groups.items()):
         yield np.array(at), [windows[i] for i in at], length
@@ -219,8 +223,7 @@ def _calibrate(margins: np.ndarray, y: np.ndarray, share: float) -> tuple[float,
 
 
 def _grams(unit: str) -> set[str]:
-    u = unit.strip(_EDGES)
-    return {u} | {u[i:i + k] for k in (4, 5) for i in range(len(u) - k + 1)}
+    return {unit} | {unit[i:i + k] for k in (4, 5) for i in range(len(unit) - k + 1)}
 
 
 def _odds(toxic: list[set[str]], clean: list[set[str]]) -> tuple[dict[str, float], set[str]]:
@@ -255,7 +258,7 @@ def _without_copies(docs: list[list[list[str]]]) -> list[list[list[str]]]:
     seen: dict[tuple[int, int], set[int]] = {}
     out = []
     for i, d in enumerate(docs):
-        words = {u for s in d for u in s if len(u) >= 5}
+        words = {u for s in d for u in s if len(u) >= 7}
         if words:
             crc = np.array([zlib.crc32(u.encode("utf-8", "surrogatepass"))
                             for u in words], np.uint64)
@@ -302,7 +305,7 @@ def train(texts: list[str | None], labels: list[int], share: float | None = None
 
     def windows(u: str) -> list[str]:
         if u not in memo:
-            memo[u] = [w for w in _windows(u) if len(w) > 2]
+            memo[u] = [w for w in _windows(u) if len(w) > 4]
         return memo[u]
 
     def sentences(t: str | None) -> list[list[str]]:
@@ -349,8 +352,9 @@ def train(texts: list[str | None], labels: list[int], share: float | None = None
         val, vec = np.linalg.eigh((kzz + kzz.T) / 2)
         root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
         y = np.array([1.0] * len(names_p) + [-1.0] * len(names_n))
-        weight = np.array([np.sqrt(pos[u]) for u in names_p] + [1.0] * len(names_n))
-        weight[:len(names_p)] *= len(names_n) / weight[:len(names_p)].sum() / 2
+        weight = np.array([np.sqrt(pos[u]) for u in names_p]
+                          + [np.sqrt(neg[u]) for u in names_n])
+        weight[:len(names_p)] *= weight[len(names_p):].sum() / weight[:len(names_p)].sum() / 2
         w, bias = _svm(kernel(units, marks) @ root, y, weight, reg=0.3)
         beta, table = root @ w, np.zeros(_TABLE)
         for at, ws, length in _by_length(marks):
