@@ -11,12 +11,13 @@ database).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.export import export_ordered_csv
+from sluice.sources.export import REPORT_SCHEMA, export_ordered_csv
 
 
 def _lit(text: str) -> str:
@@ -35,30 +36,47 @@ def jdbc_tables_with_column(spark: SparkSession, url: str, schema: str, column:
     return sorted(r[0] for r in df.select(F.col(df.columns[0])).distinct().collect())
 
 
+def quoted(*names: str) -> str:
+    """A (qualified) identifier in standard SQL quotes."""
+    return ".".join('"' + n.replace('"', '""') + '"' for n in names)
+
+
 def partitioned_read_options(table: str, key: str, lower: int, upper: int,
                              partitions: int) -> dict[str, str]:
     return {"dbtable": table, "partitionColumn": key, "lowerBound": str(lower),
             "upperBound": str(upper + 1), "numPartitions": str(max(1, partitions))}
 
 
-def jdbc_read_table(spark: SparkSession, url: str, table: str, key: str,
+def jdbc_read_table(spark: SparkSession, url: str, table: Sequence[str], key: str,
                     properties: Mapping[str, str] | None = None,
-                    rows_per_partition: int = 1_000_000) -> DataFrame:
-    """Read ``table`` in parallel key ranges (bounds from one min/max query)."""
-    props = dict(properties or {})
-    b = spark.read.jdbc(url, f"(SELECT min({key}) lo, max({key}) hi, count(*) n FROM {table}) b",
+                    rows_per_partition: int = 1_000_000,
+                    max_connections: int = 64) -> DataFrame:
+    """Read a table, given as (schema, name), in parallel ranges of a numeric key
+    (bounds from one min/max query), at most ``max_connections`` at a time.  A
+    key that is not a number gives no ranges: one connection reads the table.
+    """
+    props, name, col = dict(properties or {}), quoted(*table), quoted(key)
+    b = spark.read.jdbc(url, f"(SELECT min({col}) lo, max({col}) hi, count(*) n FROM {name}) b",
                         properties=props).collect()[0]
-    if b[0] is None:
-        return spark.read.jdbc(url, table, properties=props)
-    parts = max(1, int(b[2]) // rows_per_partition)
-    opts = partitioned_read_options(table, key, int(b[0]), int(b[1]), parts)
+    if b[0] is None or not isinstance(b[0], (int, Decimal)):
+        return spark.read.jdbc(url, name, properties=props)
+    parts = min(max_connections, max(1, int(b[2]) // rows_per_partition))
+    opts = partitioned_read_options(name, col, int(b[0]), int(b[1]), parts)
     return spark.read.format("jdbc").option("url", url).options(**props).options(**opts).load()
 
 
 def jdbc_to_landing(spark: SparkSession, url: str, schema: str, key: str, out_dir: str,
                     run_at: _dt.datetime, properties: Mapping[str, str] | None = None
                     ) -> DataFrame:
-    """Discover -> export ordered CSV -> compressed landing files (M5)."""
+    """Discover -> export ordered CSV -> compressed landing files (M5).  A table
+    that cannot be read is reported, and the others are exported."""
     names = jdbc_tables_with_column(spark, url, schema, key, properties)
-    tables = {n: jdbc_read_table(spark, url, f"{schema}.{n}", key, properties) for n in names}
-    return export_ordered_csv(spark, tables, key, out_dir, run_at, names)
+    tables: dict[str, DataFrame] = {}
+    failed = []
+    for n in names:
+        try:
+            tables[n] = jdbc_read_table(spark, url, (schema, n), key, properties)
+        except Exception as exc:  # noqa: BLE001 - per-table isolation
+            failed.append((n, None, "failed", f"{type(exc).__name__}: {exc}"))
+    report = export_ordered_csv(spark, tables, key, out_dir, run_at, sorted(tables))
+    return report.unionByName(spark.createDataFrame(failed, REPORT_SCHEMA)) if failed else report

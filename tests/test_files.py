@@ -273,6 +273,22 @@ def test_export_guard_and_order(spark, tmp):
         export_ordered_csv(spark, {"t": df}, "k", out, RUN)
 
 
+def test_jdbc_table_that_cannot_be_read_does_not_stop_the_others(spark, tmp, monkeypatch):
+    from sluice.sources import jdbc
+
+    def read(spark_, url, table, key, properties=None):
+        if table[1] == "b":
+            raise RuntimeError("no such type")
+        return spark_.createDataFrame([(2, "x"), (1, "y")], "id int, v string")
+
+    monkeypatch.setattr(jdbc, "jdbc_tables_with_column", lambda *a: ["a", "b", "c"])
+    monkeypatch.setattr(jdbc, "jdbc_read_table", read)
+    rep = jdbc.jdbc_to_landing(spark, "jdbc:none", "s", "id", f"{tmp}/out", RUN).collect()
+    assert sorted((r["table_name"], r["status"]) for r in rep) == [
+        ("a", "exported"), ("b", "failed"), ("c", "exported")]
+    assert jdbc.quoted("s", 'a"b') == '"s"."a""b"'
+
+
 def test_jdbc_option_building():
     q = discovery_query("clinic", "master_patient_id")
     assert "table_schema = 'clinic'" in q and "column_name = 'master_patient_id'" in q
