@@ -8,7 +8,7 @@ a word that only contains an insult's letters is told apart.  Inserted character
 and unknown endings so keep most of the likeness.  Units longer than
 ``WIDTH`` are read in overlapping windows, so whole texts are scored.
 
-Training (driver, on a bounded sample: the first ``sample_toxic`` and
+Training (one task, on a bounded sample: the first ``sample_toxic`` and
 ``sample_clean`` labelled rows of each class in the order of a hash of the
 id; held-out rows never): texts are cut into sentences.  A sentence of a
 clean document is negative; of a toxic document only its witness sentences
@@ -33,8 +33,11 @@ alike; an empty table gives no rows; other columns are kept.
 from __future__ import annotations
 
 import hashlib
+import math
+import pickle
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -230,23 +233,30 @@ def _odds(toxic: list[set[str]], clean: list[set[str]]) -> tuple[dict[str, float
     """Log-odds of every unit's best character group (counted once per
     document), and the units with a group that only chance could not confine
     to toxic documents."""
-    gram_of: dict[str, set[str]] = {}
-    counts: dict[str, list[int]] = {}
-    for k, docs in enumerate((toxic, clean)):
+    counts: dict[str, int] = {}  # toxic documents in the upper bits, clean ones in the lower
+    for one, docs in ((1 << 32, toxic), (1, clean)):
         for units in docs:
             seen: set[str] = set()
             for u in units:
-                if u not in gram_of:
-                    gram_of[u] = _grams(u)
-                seen |= gram_of[u]
+                seen |= _grams(u)
             for g in seen:
-                counts.setdefault(g, [0, 0])[k] += 1
+                counts[g] = counts.get(g, 0) + one
     n1, n0 = len(toxic) + 1, len(clean) + 1
     enough = np.log(len(counts) + 1) / np.log((n1 + n0) / n1)
-    score = {g: np.log((a + 0.5) / n1) - np.log((b + 0.5) / n0) for g, (a, b) in counts.items()}
-    telling = {g for g, (a, b) in counts.items() if a >= enough and b * n1 <= 0.02 * a * n0}
-    return ({u: max((score[g] for g in gs), default=-9.0) for u, gs in gram_of.items()},
-            {u for u, gs in gram_of.items() if gs & telling})
+    score: dict[str, float] = {}
+    telling: set[str] = set()
+    for units in (*toxic, *clean):
+        for u in units:
+            if u in score:
+                continue
+            best = -9.0
+            for g in _grams(u):
+                a, b = counts[g] >> 32, counts[g] & 0xFFFFFFFF
+                best = max(best, math.log((a + 0.5) / n1 * n0 / (b + 0.5)))
+                if a >= enough and b * n1 <= 0.02 * a * n0:
+                    telling.add(u)
+            score[u] = best
+    return score, telling
 
 
 def _without_copies(docs: list[list[list[str]]]) -> list[list[list[str]]]:
@@ -280,7 +290,7 @@ def _landmarks(units: list[str], counts: np.ndarray, most: int) -> list[str]:
     """Spread choice: the most frequent first, then what is least covered."""
     if len(units) <= most:
         return list(units)
-    pool = np.argsort(-counts, kind="stable")[:600]
+    pool = np.argsort(-counts, kind="stable")[:400]
     names, weight = [units[i] for i in pool], np.sqrt(counts[pool])
     near = kernel(names, names)
     cover, picked = np.zeros(len(names)), []
@@ -387,9 +397,20 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select(F.col(doc_id).alias("id__"), F.col(text).alias("t__")) \
         .join(F.broadcast(picked), "id__")  # at most the two sample sizes
-    rows = sorted(((r["id__"], r["t__"] or "", r["y__"]) for r in rows.collect()))
     share = known.agg(F.avg((F.col("y__") == 1).cast("double"))).first()[0]
-    return train([r[1] for r in rows], [int(r[2] == 1) for r in rows], share)
+    ship_package(docs.sparkSession)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        f = pd.concat([f for f in frames if len(f)] or [pd.DataFrame(columns=["id__"])])
+        if len(f):
+            f = f.sort_values(["id__", "t__", "y__"], kind="stable")
+            model = train(f["t__"].tolist(), [int(y == 1) for y in f["y__"]], share)
+            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    # one task holds the sample, which is bounded, and returns the model
+    got = rows.withColumn("t__", F.coalesce("t__", F.lit(""))).repartition(1) \
+        .mapInPandas(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else Model(constant=0.0, key="constant")
 
 
 # --- scoring -----------------------------------------------------------------------------
