@@ -135,6 +135,24 @@ def _slot(kind: str, token: str) -> int:
     return got
 
 
+_words: dict[str, int] = {}  # slot of a word, with its sign in the lowest bit
+
+
+def _word_vector(words: list[str]) -> np.ndarray:
+    """Signed counts of the words' slots."""
+    get = _words.get
+    slots = [get(w, -1) for w in words]
+    if -1 in slots:
+        if len(_words) > 500_000:
+            _words.clear()
+        for k, w in enumerate(words):
+            if slots[k] < 0:
+                h = zlib.crc32(w.encode("utf-8", "surrogatepass"))
+                slots[k] = _words[w] = (h >> 1) % WORD_DIMS * 2 + (h & 1)
+    at = np.array(slots)
+    return np.bincount(at >> 1, weights=(at & 1) * 2.0 - 1.0, minlength=WORD_DIMS)
+
+
 def path_tokens(tag: str, names: str) -> list[str]:
     return [f"<{tag}", *(t.lower() for t in _TOKEN.findall(names))]
 
@@ -159,16 +177,13 @@ def features(blocks: list[Block]) -> np.ndarray:
         out[i, :PATH_DIMS] = vec
         words = _WORDS.findall(b.text.lower())
         if words:
-            slots = np.array([_slot("w", w) for w in words])
-            np.add.at(out[i], PATH_DIMS + (slots >> 1) % WORD_DIMS,
-                      np.where(slots & 1, 1.0, -1.0))
-            own = out[i, PATH_DIMS:PATH_DIMS + WORD_DIMS]
-            own /= max(np.sqrt((own ** 2).sum()), 1e-6)
+            own = _word_vector(words)
+            out[i, PATH_DIMS:PATH_DIMS + WORD_DIMS] = own / max(np.sqrt(own @ own), 1e-6)
         size = len(b.text)
         tag = b.path[-1][0] if b.path else ""
         out[i, -NUMBERS:] = (
             np.log1p(size) / 5, np.log1p(len(words)) / 4, b.linked / size,
             sum(b.text.count(c) for c in ".,;") / size * 10, tag in HEADINGS,
-            sum(map(str.isdigit, b.text)) / size, i / n, (n - i) / n, min(len(b.path), 12) / 12,
+            sum(b.text.count(c) for c in "0123456789") / size, i / n, (n - i) / n, min(len(b.path), 12) / 12,
             b.text[-1] in ".!?\"", size < 40, np.log1p(n) / 6)
     return out
