@@ -224,7 +224,8 @@ _PIECE = "h long, d long, u long, start long, end long, snippet binary"
 
 def _snippets(depth: int):
     """Snippets of the texts' repeated grams; a snippet equal to an earlier
-    one of the batch gives its span only (h null)."""
+    one of the batch gives its span only (h null), and nothing if it is the
+    same place of a repeated row."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -234,7 +235,7 @@ def _snippets(depth: int):
             if not len(h):
                 continue
             cut = np.searchsorted(text, np.arange(len(texts) + 1))
-            seen: set[tuple[int, bytes]] = set()
+            seen: dict[tuple[int, bytes], tuple[int, int, int]] = {}
             rows, spans = [], []
             for i, (d, u, hs) in enumerate(zip(f["d"], f["u"], f["hs"])):
                 k = np.arange(cut[i], cut[i + 1])
@@ -242,11 +243,12 @@ def _snippets(depth: int):
                 later = []
                 for x, s, e in zip(h[k].tolist(), a[k].tolist(), b[k].tolist()):
                     snippet = texts[i][s:e]
-                    if (x, snippet) in seen:
-                        later.append((s, e))
-                    else:
-                        seen.add((x, snippet))
+                    at = d, u, s
+                    first = seen.setdefault((x, snippet), at)
+                    if first is at:
                         rows.append((x, d, u, s, e, snippet))
+                    elif first != at:  # not a repeated row of the same document
+                        later.append((s, e))
                 if later:
                     got = np.array(later)
                     spans += [(None, d, u, s, e, None) for s, e in merge(got[:, 0], got[:, 1])]

@@ -146,6 +146,22 @@ def test_suffix_dedup_shared_passages(spark, kw):
     assert _report(df, **kw) == _brute([r[:2] for r in rows])
 
 
+def test_suffix_dedup_repeated_rows_keep_their_first_place(spark):
+    """A repeated row is no earlier holder: in one batch, or in several that
+    meet after the shuffle."""
+    alone, shared = prose(61, 80), prose(62, 80)
+    rows = [(1, alone), (2, shared + prose(63, 30)), (2, shared + prose(63, 30)), (1, alone),
+            (3, prose(64, 30) + shared)]
+    df = frame(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    assert _report(df.coalesce(1)) == _brute(rows)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _report(df.repartition(len(rows))) == _brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_suffix_dedup_empty_table(spark):
     assert sd.dedup(frame(spark, [])).collect() == []
 
