@@ -19,8 +19,10 @@ earlier: in a document with a smaller id, or earlier in the same one.
    in a batch and in a shard: the later ones repeat the first from end to
    end, and the first goes into the suffix array for all of them.  A snippet
    that has no other beside it under its gram repeats nothing.
-4. A gram with more than ``crowded`` snippets is dealt out string by string,
-   by a hash of the string, so that no shard holds a hot gram whole.
+4. A gram with more than ``crowded`` snippets is dealt out string by string.
+   The places of a string are gathered by salts, some ``crowded`` to a row,
+   and its first place is the least of the rows' first ones, so that copies
+   of one string need not meet in one task either.
 5. The repeats' spans are joined back to the documents.
 
 Equal whole texts are folded before all that: all but the first are repeats
@@ -296,7 +298,8 @@ def shard_repeats(d: np.ndarray, u: np.ndarray, start: np.ndarray, h: np.ndarray
 
 
 def _sort_shards(depth: int, shard_bytes: int, memory: int):
-    """Over rows sorted by (h, part): whole groups are gathered into shards."""
+    """Over rows sorted by h: whole groups (``crowded`` snippets at most) are
+    gathered into shards."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["d", "u", "start", "end"]
@@ -304,7 +307,7 @@ def _sort_shards(depth: int, shard_bytes: int, memory: int):
         size = 0
 
         def sort(f: pd.DataFrame) -> pd.DataFrame:
-            key = f["h"].to_numpy("i8") ^ (f["part"].to_numpy("i8") * 0x9E3779B1)
+            key = f["h"].to_numpy("i8")
             alone = np.ones(len(key), bool)  # a snippet alone in its group repeats nothing
             same = key[1:] == key[:-1]
             alone[1:] &= ~same
@@ -332,7 +335,7 @@ def _sort_shards(depth: int, shard_bytes: int, memory: int):
             size += int(f["snippet"].map(len).sum())
             if size >= shard_bytes:
                 f = pd.concat(held, ignore_index=True)
-                tail = ((f["h"] == f["h"].iloc[-1]) & (f["part"] == f["part"].iloc[-1])).to_numpy()
+                tail = (f["h"] == f["h"].iloc[-1]).to_numpy()
                 if not tail.all():
                     yield sort(f[~tail])
                 held = [f[tail]]
@@ -343,6 +346,34 @@ def _sort_shards(depth: int, shard_bytes: int, memory: int):
     return run
 
 
+def string_places(rows: DataFrame, depth: int) -> DataFrame:
+    """For snippets ``h, salts, d, u, start, end, snippet``: the places of
+    each string of ``depth`` bytes, as ``h, string, salt, first, places``."""
+    rows = rows.select("h", "d", "u", "start", "snippet", F.pmod(
+        F.xxhash64("d", "u", "start"), F.col("salts")).alias("salt"), F.explode(F.sequence(
+            F.lit(0), (F.col("end") - F.col("start") - depth).cast("int"))).alias("o"))
+    place = F.struct("d", "u", (F.col("start") + F.col("o")).alias("start"))
+    return rows.select("h", "salt", place.alias("place"), F.substr(
+        "snippet", F.col("o") + 1, F.lit(depth)).alias("string")).groupBy("h", "string", "salt") \
+        .agg(F.min("place").alias("first"), F.collect_list("place").alias("places"))
+
+
+def late_strings(places: DataFrame, depth: int) -> DataFrame:
+    """Spans ``d, u, start, end`` of all but each string's first place; a task
+    sees the places of one salt only."""
+    firsts = places.groupBy("h", "string").agg(
+        F.min("first").alias("least"), F.sum(F.size("places")).alias("n"),
+        F.collect_list("salt").alias("every")).filter(F.col("n") > 1)
+    firsts = firsts.select(F.col("h").alias("f_h"), F.col("string").alias("f_string"), "least",
+                           F.explode("every").alias("f_salt"))
+    late = places.join(firsts, (F.col("h") == F.col("f_h")) & (F.col("salt") == F.col("f_salt"))
+                       & (F.col("string") == F.col("f_string"))) \
+        .select("least", F.explode("places").alias("at"))
+    # repeated rows of a document stand at the same place as the first
+    return late.filter(F.col("at") != F.col("least")).select(
+        "at.d", "at.u", "at.start", (F.col("at.start") + depth).alias("end"))
+
+
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, shard_bytes: int = SHARD_BYTES,
                    crowded: int = CROWDED, memory: int = MEMORY
                    ) -> tuple[DataFrame, DataFrame]:
@@ -370,24 +401,22 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, shard_bytes: int = SHARD
 
     rows = pieces.filter(F.col("h").isNotNull())
     crowd = rows.groupBy("h").count().filter(F.col("count") > crowded).select(
-        F.col("h").alias("c_h"), F.ceil(F.col("count") * depth / crowded).cast("long")
-        .alias("parts"))
+        F.col("h").alias("c_h"), F.ceil(F.col("count") / crowded).cast("long").alias("salts"))
     crowd_at = scratch_path(spark, "dedup-crowded")
     crowd.write.parquet(crowd_at)
-    rows = rows.join(spark.read.parquet(crowd_at), F.col("h") == F.col("c_h"), "left")
-    shift = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), (F.col("end") - F.col("start") - depth).cast("int")))
-    rows = rows.select("h", "parts", "d", "u", "start", "snippet", F.explode(shift).alias("o"))
-    one = F.col("parts").isNotNull()
-    rows = rows.select(
-        "h", "parts", "d", "u", (F.col("start") + F.col("o")).alias("start"),
-        F.when(one, F.substr("snippet", F.col("o") + 1, F.lit(depth)))
-        .otherwise(F.col("snippet")).alias("snippet"))
-    rows = rows.select("h", F.when(one, F.pmod(F.xxhash64("snippet"), F.col("parts")))
-                       .otherwise(0).cast("long").alias("part"), "d", "u", "start", "snippet")
-    spans = rows.repartition("h", "part").sortWithinPartitions("h", "part") \
+    crowd = spark.read.parquet(crowd_at)
+    some_crowded = not crowd.isEmpty()
+    rows = rows.join(F.broadcast(crowd), F.col("h") == F.col("c_h"), "left") if some_crowded \
+        else rows.withColumn("salts", F.lit(None).cast("long"))
+    spans = rows.filter(F.col("salts").isNull()).select("h", "d", "u", "start", "snippet") \
+        .repartition("h").sortWithinPartitions("h") \
         .mapInPandas(_sort_shards(depth, shard_bytes, memory),
                      "d long, u long, start long, end long")
+    if some_crowded:
+        places_at = scratch_path(spark, "dedup-places")
+        string_places(rows.filter(F.col("salts").isNotNull()), depth) \
+            .write.option("compression", "zstd").parquet(places_at)
+        spans = spans.unionByName(late_strings(spark.read.parquet(places_at), depth))
     spans = spans.unionByName(pieces.filter(F.col("h").isNull()).select("d", "u", "start", "end"))
     spans = spans.groupBy("d", "u").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return firsts, spans

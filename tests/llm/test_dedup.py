@@ -162,6 +162,24 @@ def test_suffix_dedup_repeated_rows_keep_their_first_place(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_copies_of_a_hot_string_are_spread(spark):
+    string, salts = bytes(range(100)), 20
+    rows = [(7, salts, i, 1000 + i, 3, 104 + i % 2, string + b"xy"[:1 + i % 2])
+            for i in range(400)]
+    rows += rows[:5]  # repeated rows
+    df = spark.createDataFrame(rows, "h long, salts long, d long, u long, start long, end long, "
+                                     "snippet binary").repartition(4)
+    places = sd.string_places(df, 100)
+    assert max(len(r["places"]) for r in places.collect()) < 60
+    late = Counter(tuple(r) for r in sd.late_strings(places, 100).collect())
+    want = Counter()
+    for _, _, d, u, start, end, _ in rows:
+        for s in range(start, end - 99):
+            if d > (1 if s == 5 else 0):  # the third string is in odd documents only
+                want[d, u, s, s + 100] += 1
+    assert late == want
+
+
 def test_suffix_dedup_empty_table(spark):
     assert sd.dedup(frame(spark, [])).collect() == []
 
