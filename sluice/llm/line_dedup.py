@@ -11,7 +11,11 @@
 3. Each pair's line hashes are aligned by patience diff: common head and
    tail, then the lines unique on both sides in longest increasing order,
    then the gaps between them again.
-4. Aligned runs (common blocks) that hold a distinctive line are deleted
+4. An alignment keeps the order and needs unique lines, so it can miss lines
+   that the earlier document does hold: moved blocks, passages that stand
+   twice.  For each distinctive line missed so, the longest runs around it
+   that stand anywhere in the earlier document are common blocks too.
+5. Common blocks that hold a distinctive line are deleted
    from the later document; the earlier keeps them.  Blocks are found in the
    documents as given, not in what other pairs have left.
 
@@ -91,19 +95,82 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _held_runs(earlier: list[int], later: list[int]) -> list[int]:
+    """For every line of ``later``: the length of the longest run of lines
+    that ends with it and stands anywhere in ``earlier`` (suffix automaton,
+    linear in both)."""
+    step: list[dict[int, int]] = [{}]
+    size, link = [0], [-1]
+    last = 0
+    for x in earlier:
+        new = len(size)
+        step.append({})
+        size.append(size[last] + 1)
+        link.append(0)
+        p, last = last, new
+        while p >= 0 and x not in step[p]:
+            step[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = step[p][x]
+            if size[q] != size[p] + 1:
+                twin = len(size)
+                step.append(dict(step[q]))
+                size.append(size[p] + 1)
+                link.append(link[q])
+                while p >= 0 and step[p].get(x) == q:
+                    step[p][x] = twin
+                    p = link[p]
+                link[q] = q = twin
+            link[new] = q
+    out, at, n = [], 0, 0
+    for x in later:
+        while at and x not in step[at]:
+            at = link[at]
+            n = size[at]
+        if x in step[at]:
+            at, n = step[at][x], n + 1
+        out.append(n)
+    return out
+
+
+def _latest_start(distinctive: list[bool], out: list[bool]) -> list[int]:
+    """For every line: the last distinctive line up to it that is not ``out``."""
+    got, last = [], -1
+    for j, (g, o) in enumerate(zip(distinctive, out)):
+        if g and not o:
+            last = j
+        got.append(last)
+    return got
+
+
 def common_lines(earlier: list[int], later: list[int], distinctive: list[bool]) -> list[int]:
-    """Lines of the later document in common blocks with a distinctive line."""
-    out: list[int] = []
+    """Lines of the later document in common blocks with a distinctive line:
+    the aligned blocks first; then, for each distinctive line that the earlier
+    document holds and the alignment missed (moved, or not unique), the
+    longest runs around it that stand anywhere in the earlier one."""
+    out = [False] * len(later)
     block: list[int] = []
     last = (-2, -2)
     for i, j in [*patience(earlier, later), (-9, -9)]:
         if (i, j) != (last[0] + 1, last[1] + 1):
             if any(distinctive[k] for k in block):
-                out += block
+                for k in block:
+                    out[k] = True
             block = []
         block.append(j)
         last = (i, j)
-    return out
+    held = set(earlier)
+    if any(g and not o and x in held for x, g, o in zip(later, distinctive, out)):
+        missed, upto = _latest_start(distinctive, out), len(later)
+        runs = _held_runs(earlier, later)
+        for j in range(len(later) - 1, -1, -1):
+            first = j - runs[j] + 1
+            if missed[j] >= first:
+                for k in range(first, min(j + 1, upto)):
+                    out[k] = True
+                upto = min(upto, first)
+    return [j for j, o in enumerate(out) if o]
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -213,6 +213,37 @@ def test_patience():
         assert all(x < y and u < v for (x, u), (y, v) in zip(got, got[1:]))
 
 
+def test_common_lines_covers_what_the_alignment_misses():
+    p, a, b = [10, 11, 12], [1, 2, 3, 4], [5, 6]
+    for earlier, later, want in [
+            ([90, *p, 91, *p, 92], [80, *p, 81], {1, 2, 3}),  # twice in the earlier
+            ([90, *p, 92], [80, *p, 81, *p], {1, 2, 3, 5, 6, 7}),  # twice in the later
+            ([*a, *b], [*b, *a], {0, 1, 2, 3, 4, 5}),  # moved
+            ([7, 7, 7, 8], [8, 9, 7, 7], {0, 2, 3})]:
+        assert set(ld.common_lines(earlier, later, [True] * len(later))) == want
+    rng = random.Random(6)
+    for _ in range(300):
+        earlier = [rng.randrange(6) for _ in range(rng.randrange(14))]
+        later = [rng.randrange(7) for _ in range(rng.randrange(14))]
+        big = [rng.random() < 0.4 for _ in later]
+        got = set(ld.common_lines(earlier, later, big))
+        assert {j for j, x in enumerate(later) if big[j] and x in earlier} <= got
+        here = {tuple(earlier[i:k]) for i in range(len(earlier)) for k in range(i + 1, 15)}
+        runs = [(i, k) for i in range(len(later)) for k in range(i + 1, len(later) + 1)
+                if tuple(later[i:k]) in here and any(big[i:k])]
+        assert got <= {j for i, k in runs for j in range(i, k)}
+
+
+def test_line_dedup_passage_twice_in_its_first_holder(spark):
+    passage = "\n".join(prose(800 + k, 20) for k in range(3))
+    a, b = "\n".join(prose(810 + k, 20) for k in range(4)), prose(820, 20)
+    rows = [(1, f"x\n{passage}\ny\n{passage}\nz"), (2, f"u\n{passage}\nv"),
+            (3, f"w\n{passage}\nq"), (4, f"{a}\n{b}"), (5, f"{b}\n{a}\nend")]
+    got = ld.dedup_lines(frame(spark, [(i, t, "en", "s", 0) for i, t in rows]))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {
+        1: rows[0][1], 2: "u\nv", 3: "w\nq", 4: rows[3][1], 5: "end"}
+
+
 def _line_brute(rows):
     import xxhash
 
