@@ -1,21 +1,24 @@
 """Line dedup by pairwise alignment.
 
-1. Every line is hashed.  A line of ``min_chars`` characters or more is
-   distinctive: documents hardly share it by chance.  Shorter ones never
-   make candidates.
-2. Candidates: each distinctive line links every later document that holds
+1. Every line is hashed.  A run of consecutive lines is distinctive if it
+   has ``min_chars`` characters or more in total and no shorter run in it
+   has: one long line, or several short ones (verse, code, lists).
+   Documents hardly share it by chance.  Where a run starts and ends depends
+   on its lines alone, so every common block of ``min_chars`` characters
+   holds a whole one.
+2. Candidates: each distinctive run links every later document that holds
    it to the first one that does (smallest id), however many there are.  So
-   a line in k documents gives k - 1 pairs, the rarest and the most frequent
-   alike, and every repeated distinctive line of a document is covered by a
+   a run in k documents gives k - 1 pairs, the rarest and the most frequent
+   alike, and every repeated distinctive run of a document is covered by a
    pair with an earlier document that holds it.
 3. Each pair's line hashes are aligned by patience diff: common head and
    tail, then the lines unique on both sides in longest increasing order,
    then the gaps between them again.
 4. An alignment keeps the order and needs unique lines, so it can miss lines
    that the earlier document does hold: moved blocks, passages that stand
-   twice.  For each distinctive line missed so, the longest runs around it
+   twice.  For each distinctive run missed so, the longest runs around it
    that stand anywhere in the earlier document are common blocks too.
-5. Common blocks that hold a distinctive line are deleted
+5. Common blocks that hold a distinctive run are deleted
    from the later document; the earlier keeps them.  Blocks are found in the
    documents as given, not in what other pairs have left.
 
@@ -35,6 +38,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +47,32 @@ from sluice.llm._names import fresh
 from sluice.session import scratch_path, ship_package
 
 MIN_CHARS = 40
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def distinctive_runs(chars: np.ndarray, min_chars: int) -> np.ndarray:
+    """For every line: the number of lines of the distinctive run that starts
+    there (0: none)."""
+    upto = np.cumsum(chars)
+    end = np.searchsorted(upto, upto - chars + min_chars)  # last line of the run
+    sole = np.append(end[:-1] < end[1:], True) & (end < len(chars))  # none shorter in it
+    return np.where(sole, end - np.arange(len(chars)) + 1, 0)
+
+
+def run_keys(hs: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Distinct hashes of the distinctive runs; equal runs have equal ones."""
+    at = np.flatnonzero(runs)
+    h = hs.view(np.uint64)
+    upto = np.append(np.uint64(0), np.cumsum(h * _powers(_BASE, len(h)), dtype=np.uint64))
+    key = (upto[at + runs[at]] - upto[at]) * _powers(_BACK, len(h))[at]
+    return np.unique(key).view(np.int64)
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -134,38 +164,45 @@ def _held_runs(earlier: list[int], later: list[int]) -> list[int]:
     return out
 
 
-def _latest_start(distinctive: list[bool], out: list[bool]) -> list[int]:
-    """For every line: the last distinctive line up to it that is not ``out``."""
-    got, last = [], -1
-    for j, (g, o) in enumerate(zip(distinctive, out)):
-        if g and not o:
-            last = j
-        got.append(last)
+def _latest_start(runs: list[int], out: list[bool]) -> list[int]:
+    """For every line: the last start of a distinctive run that ends up to it
+    and is not wholly ``out`` (-1: none)."""
+    got = [-1] * len(runs)
+    left = [0]  # lines not out before each line
+    for o in out:
+        left.append(left[-1] + (not o))
+    for j, r in enumerate(runs):
+        if r and left[j + r] > left[j]:
+            got[j + r - 1] = j
+    for j in range(1, len(got)):
+        got[j] = max(got[j], got[j - 1])
     return got
 
 
-def common_lines(earlier: list[int], later: list[int], distinctive: list[bool]) -> list[int]:
-    """Lines of the later document in common blocks with a distinctive line:
-    the aligned blocks first; then, for each distinctive line that the earlier
-    document holds and the alignment missed (moved, or not unique), the
-    longest runs around it that stand anywhere in the earlier one."""
+def common_lines(earlier: list[int], later: list[int], runs: list[int]) -> list[int]:
+    """Lines of the later document in common blocks with a distinctive run
+    (``runs``: lines of the one that starts at each line, 0: none): the
+    aligned blocks first; then, for each run that the earlier document holds
+    and the alignment missed (moved, or not unique), the longest runs around
+    it that stand anywhere in the earlier one."""
     out = [False] * len(later)
+    whole = _latest_start(runs, out)
     block: list[int] = []
     last = (-2, -2)
     for i, j in [*patience(earlier, later), (-9, -9)]:
         if (i, j) != (last[0] + 1, last[1] + 1):
-            if any(distinctive[k] for k in block):
+            if block and whole[block[-1]] >= block[0]:
                 for k in block:
                     out[k] = True
             block = []
         block.append(j)
         last = (i, j)
     held = set(earlier)
-    if any(g and not o and x in held for x, g, o in zip(later, distinctive, out)):
-        missed, upto = _latest_start(distinctive, out), len(later)
-        runs = _held_runs(earlier, later)
+    missed = _latest_start(runs, out)
+    if any(g >= 0 and later[j] in held for j, g in enumerate(missed)):
+        upto, found = len(later), _held_runs(earlier, later)
         for j in range(len(later) - 1, -1, -1):
-            first = j - runs[j] + 1
+            first = j - found[j] + 1
             if missed[j] >= first:
                 for k in range(first, min(j + 1, upto)):
                     out[k] = True
@@ -182,17 +219,29 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     table = scratch_path(spark, "line-hashes")
     lines = F.transform(F.split(F.col(text), "\n", -1), lambda s: F.trim(
         F.regexp_replace(s, r"^\s+|\s+$", "")))
-    docs.filter(F.col(text).isNotNull()).select(
+    hashed = docs.filter(F.col(text).isNotNull()).select(
         F.col(doc_id).alias("d"), F.xxhash64(F.col(text)).alias("t"), lines.alias("ls")).select(
         "d", "t", F.transform("ls", lambda s: F.xxhash64(s)).alias("hs"),
-        F.transform("ls", lambda s: F.char_length(s) >= min_chars).alias("big")) \
+        F.transform("ls", lambda s: F.char_length(s)).alias("chars"))
+
+    def find_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            runs = [distinctive_runs(np.asarray(c, np.int64), min_chars) for c in f["chars"]]
+            keys = [run_keys(np.asarray(h, np.int64), r) for h, r in zip(f["hs"], runs)]
+            yield pd.DataFrame({"id": f["id"], "none": f["none"], "t": f["t"], "hs": f["hs"],
+                                "runs": runs, "keys": keys})
+
+    # a null id beside its own column: never floats, ids are exact
+    found = hashed.select(F.coalesce(F.col("d").cast("long"), F.lit(0)).alias("id"),
+                          F.col("d").isNull().alias("none"), "t", "hs", "chars").mapInPandas(
+        find_runs, "id long, none boolean, t long, hs array<long>, runs array<int>, "
+                   "keys array<long>")
+    found.select(F.when(~F.col("none"), F.col("id")).alias("d"), "t", "hs", "runs", "keys") \
         .write.parquet(table)
     rows = spark.read.parquet(table)
 
     key = F.struct("d", "t")
-    held = rows.select(key.alias("doc"), F.explode(F.array_distinct(F.filter(
-        F.zip_with("hs", "big", lambda h, g: F.when(g, h)), lambda h: h.isNotNull())))
-        .alias("h"))
+    held = rows.select(key.alias("doc"), F.explode("keys").alias("h"))
     first = held.groupBy("h").agg(F.min("doc").alias("first"), F.max("doc").alias("last")) \
         .filter(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first")
     pairs = held.join(first, "h").filter(F.col("doc") > F.col("first")) \
@@ -200,19 +249,19 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     one = rows.dropDuplicates(["d", "t"])
     late = one.select(F.col("d").alias("ld"), F.col("t").alias("lt"),
-                      F.col("hs").alias("late"), "big")
+                      F.col("hs").alias("late"), "runs")
     early = one.select(F.col("d").alias("ed"), F.col("t").alias("et"),
                        F.col("hs").alias("early"))
     both = pairs.join(late, F.col("doc.d").eqNullSafe(F.col("ld"))
                       & (F.col("doc.t") == F.col("lt"))) \
         .join(early, F.col("first.d").eqNullSafe(F.col("ed"))
               & (F.col("first.t") == F.col("et"))) \
-        .select("ld", "lt", "late", "big", "early")
+        .select("ld", "lt", "late", "runs", "early")
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             got = [common_lines(e.tolist(), x.tolist(), g.tolist())
-                   for e, x, g in zip(f["early"], f["late"], f["big"])]
+                   for e, x, g in zip(f["early"], f["late"], f["runs"])]
             yield pd.DataFrame({"d": f["ld"].astype("Int64"), "t": f["lt"], "lines": got})
 
     found = both.mapInPandas(align, "d long, t long, lines array<int>") \

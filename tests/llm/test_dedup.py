@@ -244,6 +244,33 @@ def test_line_dedup_passage_twice_in_its_first_holder(spark):
         1: rows[0][1], 2: "u\nv", 3: "w\nq", 4: rows[3][1], 5: "end"}
 
 
+def test_distinctive_runs():
+    assert ld.distinctive_runs(np.array([50, 0, 20, 0, 20, 10, 39, 41, 5]), 40).tolist() == [
+        1, 0, 3, 0, 0, 2, 0, 1, 0]
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        chars = rng.integers(0, 15, rng.integers(1, 14))
+        n = len(chars)
+        full = {(i, k) for i in range(n) for k in range(i + 1, n + 1) if chars[i:k].sum() >= 20}
+        least = {(i, k) for i, k in full if not {(i + 1, k), (i, k - 1)} & full}
+        runs = ld.distinctive_runs(chars, 20)
+        assert {(i, i + int(r)) for i, r in enumerate(runs) if r} == least
+        hs = rng.integers(-2**63, 2**63 - 1, n)
+        a = ld.run_keys(np.concatenate([hs[:3], hs]), np.concatenate([[0] * len(hs[:3]), runs]))
+        assert a.tolist() == ld.run_keys(hs, runs).tolist() and len(a) == len(least)
+
+
+def test_line_dedup_of_short_lines(spark):
+    verse = "\n".join(prose(830 + k, 4)[:30] for k in range(20))
+    long = prose(870, 20)
+    rows = [(1, f"a\n{verse}\nb"), (2, f"c\n{verse}\nd"), (3, f"{long}\ne\n{verse}"),
+            (4, f"{verse[:60]}\nf"), (5, f"g\n{long}\nh\nb"), (6, "a\nx\nb")]
+    got = ld.dedup_lines(frame(spark, [(i, t, "en", "s", 0) for i, t in rows]))
+    left = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert left.pop(4).endswith("f") and "\n".join(verse.split("\n")[:2]) not in left.values()
+    assert left == {1: rows[0][1], 2: "c\nd", 3: f"{long}\ne", 5: "g\nh\nb", 6: "a\nx\nb"}
+
+
 def _line_brute(rows):
     import xxhash
 
