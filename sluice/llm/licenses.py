@@ -6,11 +6,14 @@
 2. Each block is compressed alone and with each template as raw zstandard
    dictionary.  The templates are ranked by the bytes they save, as a share
    of what they save on their own text.
-3. The best ``tries`` templates are confirmed in that order by the exact
-   differences in wording: words of the template that the block lacks, and
-   words that stand between the first and last word it shares.  A
-   template is confirmed when no key word (name, version) is missing, and
-   the words missing and those put in between are at most ``max_diff`` of it.
+3. Every template that saves bytes is confirmed by the exact differences in
+   wording: words of the template that the block lacks, and words that stand
+   between the first and last word it shares.  A template is confirmed when
+   no key word (name, version) is missing, and the words missing and those
+   put in between are at most ``max_diff`` of it.
+4. A block can hold several notices: all confirmed templates are reported,
+   and the words before and after the one that matches most are judged again
+   as blocks of their own.
 
 Overlapping confirmed blocks of a document keep the one that matches most
 words (then the earlier).
@@ -83,7 +86,6 @@ _CUE = re.compile(CUE)
 _SENTENCE = re.compile(r"[^\n]+?(?:(?<=[.!?:;])(?=\s)|(?=\n)|$)")
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.'-][A-Za-z0-9]+)*")
 MAX_DIFF = 0.2
-TRIES = 5
 
 BLOCKS = ("doc_id long, block int, license string, template int, start long, end long, "
           "size_alone int, size_given int, saved double, n_shared int, missing string, "
@@ -148,10 +150,10 @@ def word_diff(template: list[str], block: list[str]) -> tuple[list[str], list[st
 class Scanner:
     """Templates with their compressors; built once per task."""
 
-    def __init__(self, templates=TEMPLATES, max_diff: float = MAX_DIFF, tries: int = TRIES):
+    def __init__(self, templates=TEMPLATES, max_diff: float = MAX_DIFF):
         import zstandard
 
-        self.templates, self.max_diff, self.tries = templates, max_diff, tries
+        self.templates, self.max_diff = templates, max_diff
         self.alone = zstandard.ZstdCompressor(level=9, write_content_size=False)
         self.given, self.own, self.words = [], [], []
         for _, _, wording in templates:
@@ -168,30 +170,53 @@ class Scanner:
     def form(text: str) -> bytes:
         return " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
 
-    def judge(self, text: str, spans: list[tuple[int, int]]) -> Found | None:
-        """The winner of a block, given by its words' places."""
-        raw = self.form(text[spans[0][0]:spans[-1][1]])
+    def judge(self, text: str, spans: list[tuple[int, int]]) -> list[Found]:
+        """The confirmed templates of a block, given by its words' places, and
+        of what its best one leaves before and after it."""
+        out: list[Found] = []
+        todo = [spans]
+        while todo:
+            spans = todo.pop()
+            found = self.confirmed(text, spans) if spans else []
+            if found:
+                out += found
+                best = min(found, key=self.order)
+                todo += [[x for x in spans if x[1] <= best.start],
+                         [x for x in spans if x[0] >= best.end]]
+        return out
+
+    @staticmethod
+    def order(f: Found) -> tuple:
+        return -f.n_shared, f.end - f.start, f.start, f.template, f.size_alone
+
+    def confirmed(self, text: str, spans: list[tuple[int, int]]) -> list[Found]:
         words = [text[a:b].lower() for a, b in spans]
         present = set(words)
+        likely = [k for k, (_, keys, _) in enumerate(self.templates)
+                  if present.issuperset(keys.split()) and sum(
+                      w not in present for w in self.words[k])
+                  <= self.max_diff * len(self.words[k])]
+        if not likely:
+            return []
+        raw = self.form(text[spans[0][0]:spans[-1][1]])
         size = len(self.alone.compress(raw))
         ranked = []
-        for k, given in enumerate(self.given):
-            with_it = len(given.compress(raw))
+        for k in likely:
+            with_it = len(self.given[k].compress(raw))
             ranked.append(((size - with_it) / self.own[k], -k, with_it))
-        ranked.sort(reverse=True)
-        for share, k, with_it in ranked[:self.tries]:
+        out = []
+        for share, k, with_it in sorted(ranked, reverse=True):
             name, keys, _ = self.templates[-k]
             mine = self.words[-k]
             most = self.max_diff * len(mine)
-            if share <= 0 or not present.issuperset(keys.split()) \
-                    or sum(w not in present for w in mine) > most:
+            if share <= 0:
                 continue
             missing, added, at = word_diff(mine, words)
             if len(missing) <= most and len(added) <= most \
                     and not set(keys.split()) & set(missing):
-                return Found(name, -k, spans[at[0]][0], spans[at[-1]][1], size, with_it, share,
-                             len(at), " ".join(missing), " ".join(added))
-        return None
+                out.append(Found(name, -k, spans[at[0]][0], spans[at[-1]][1], size, with_it,
+                                 share, len(at), " ".join(missing), " ".join(added)))
+        return out
 
     def scan(self, text: str | None) -> list[Found]:
         text = text or ""
@@ -206,23 +231,21 @@ class Scanner:
             a, b = units[max(0, bisect_right(unit_starts, m.start()) - 1)]
             own = max(lo, bisect_left(starts, a)), min(hi, bisect_left(starts, b))
             blocks |= {own: None, (lo, hi): None}
-        found = [f for f in (self.judge(text, spans[lo:hi]) for lo, hi in blocks if lo < hi) if f]
+        found = [f for lo, hi in blocks if lo < hi for f in self.judge(text, spans[lo:hi])]
         kept: list[Found] = []
-        for f in sorted(set(found), key=lambda f: (-f.n_shared, f.end - f.start, f.start,
-                                                   f.template, f.size_alone)):
+        for f in sorted(set(found), key=self.order):
             if all(f.end <= k.start or f.start >= k.end for k in kept):
                 kept.append(f)
         return sorted(kept, key=lambda f: f.start)
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  templates=TEMPLATES, max_diff: float = MAX_DIFF, tries: int = TRIES
-                  ) -> DataFrame:
+                  templates=TEMPLATES, max_diff: float = MAX_DIFF) -> DataFrame:
     """One row per confirmed block, in the order of the text."""
     ship_package(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner = Scanner(templates, max_diff, tries)
+        scanner = Scanner(templates, max_diff)
         names = [c.split()[0] for c in BLOCKS.split(", ")]
         for f in frames:
             rows = []

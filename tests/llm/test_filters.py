@@ -219,6 +219,19 @@ def test_word_diff():
     assert li.word_diff("a b".split(), "a z z a b z b".split()) == ([], [], [3, 4])
 
 
+def test_licenses_that_stand_close_together():
+    mit = "\n".join(" ".join(MIT.split()[k:k + 9]) for k in range(0, 80, 9)).strip()
+    apache = "Licensed under the Apache\nLicense,\nVersion 2.0."
+    gpl = "This work is licensed\nunder the GNU General\nPublic License, version 3."
+    scanner = li.Scanner()
+    for parts, want in [([mit, apache], ["MIT", "Apache-2.0"]),
+                        ([apache, mit, gpl], ["Apache-2.0", "MIT", "GPL-3.0"]),
+                        ([apache, "and\nalso", apache], ["Apache-2.0"] * 2),
+                        ([mit, mit], ["MIT"] * 2)]:
+        found = scanner.scan("\n".join([prose(6, 40), *parts, prose(7, 40)]))
+        assert [f.license for f in found] == want
+
+
 def test_license_in_a_long_sentence():
     text = prose(4, 3000).replace(".", "") + " licensed under cc by 4.0 " + prose(5, 3000)
     found = li.Scanner().scan(text)
