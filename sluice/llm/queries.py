@@ -238,3 +238,17 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm import suffix_dedup
 
     return suffix_dedup.dedup(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@register("op11_wavelet")
+def op11_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as wavelet matrices and read back."""
+    import public_tokenizers
+
+    from sluice.llm import token_shards
+    from sluice.session import scratch_path
+
+    path = scratch_path(spark, "token-shards")
+    token_shards.write_shards(read_table(spark, sf_dir, "documents"), path,
+                              public_tokenizers.path("byte_bpe_50k.json"))
+    return token_shards.digest(spark, path)
