@@ -49,10 +49,13 @@ _LONG_PIECE = 256
 _JOINED = 512
 #: A piece starts at a blank or line feed that follows no white space.
 _PIECES = re.compile("[\\s\\S][^ \n]*(?:(?<=[\\s᠎])[ \n][^ \n]*)*")
-_SPACE_END = re.compile("[\\s᠎]$")
 _POINTS = ".,;:!?"
 
 
+def _ends_in_space(piece: str) -> bool:
+    return piece[-1].isspace() or piece[-1] == "᠎"
+
+
 def _cuts_at_blanks(spec: dict) -> bool:
     pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
     return (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
@@ -86,15 +89,16 @@ class Encoder:
         return [np.array(e.ids, self.dtype) for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_joined(self, pieces: list[str]) -> list[np.ndarray]:
+    def _encode_joined(self, pieces: list[str]) -> list[bytes]:
         """Pieces that start with a blank and end in no white space, encoded as one text."""
         ids = self._ids(["".join(pieces)])[0]
         upto = np.cumsum(self.size[ids])
         ends = np.cumsum([len(p.encode()) for p in pieces])
         at = np.searchsorted(upto, ends)
         if len(ids) == 0 or at[-1] >= len(ids) or (upto[at] != ends).any():
-            return self._ids(pieces)
-        return np.split(ids, at[:-1] + 1)
+            return [x.tobytes() for x in self._ids(pieces)]
+        raw, edge = ids.tobytes(), [0, *((at + 1) * self.dtype.itemsize).tolist()]
+        return [raw[a:b] for a, b in zip(edge, edge[1:])]
 
     def _learn(self, pieces: list[str]) -> None:
         """Put the pieces' ids into the cache."""
@@ -108,29 +112,25 @@ class Encoder:
             else:
                 need[p] = True
         need = [p for p in need if p not in cache]
-        joined = [p for p in need if p[:1] == " " and not _SPACE_END.search(p)
+        joined = [p for p in need if p[:1] == " " and not _ends_in_space(p)
                   and len(p) <= _LONG_PIECE]
         for i in range(0, len(joined), _JOINED):
             part = joined[i:i + _JOINED]
-            cache.update(zip(part, (x.tobytes() for x in self._encode_joined(part))))
+            cache.update(zip(part, self._encode_joined(part)))
         rest = [p for p in need if p not in cache]
         cache.update(zip(rest, (x.tobytes() for x in self._ids(rest))))
         cache.update((p, cache[p[:-1]] + cache[p[-1]]) for p in ends)
 
     def _values(self, pieces: list[str]) -> list[bytes]:
-        try:
-            return [self.cache[p] for p in pieces]
-        except KeyError:
-            pass
-        out = {}
-        for i in range(0, len(pieces), self.cached // 2):
-            part = pieces[i:i + self.cached // 2]
-            missing = [p for p in dict.fromkeys(part) if p not in self.cache]
-            known = {p: self.cache[p] for p in part if p in self.cache}
-            self._learn(missing)
-            out |= known
-            out |= {p: self.cache[p] for p in missing}
-        return [out[p] for p in pieces]
+        vals = list(map(self.cache.get, pieces))
+        gaps = [i for i, v in enumerate(vals) if v is None]
+        step = max(self.cached // 2, 1)
+        for k in range(0, len(gaps), step):
+            part = gaps[k:k + step]
+            self._learn(list(dict.fromkeys(pieces[i] for i in part)))
+            for i in part:
+                vals[i] = self.cache[pieces[i]]
+        return vals
 
     def _one(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self._values(_PIECES.findall(text))), self.dtype)
@@ -141,8 +141,9 @@ class Encoder:
         edge = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.flatten().dictionary_encode()
         codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        open_ = np.fromiter((not w or _SPACE_END.search(w) is not None for w in words), bool,
-                            len(words))[codes]
+        last = pc.utf8_slice_codeunits(coded.dictionary, -1)
+        open_ = pc.or_(pc.utf8_is_space(last), pc.is_in(last, pa.array(["", "᠎"], last.type)))
+        open_ = open_.to_numpy(zero_copy_only=False)[codes]
         open_[edge[1:] - 1] = False  # nothing follows a text's last piece
         slow = np.add.reduceat(open_, edge[:-1]) > 0
         first = np.unique(codes[edge[:-1]])
