@@ -252,3 +252,57 @@ def op11_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_shards.write_shards(read_table(spark, sf_dir, "documents"), path,
                               public_tokenizers.path("byte_bpe_50k.json"))
     return token_shards.digest(spark, path)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         min(doc_id) OVER (PARTITION BY t) AS lo FROM d),
+l AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(ws) < 200,
+          100 * list_unique(ws) < 50 * len(ws),
+          100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+          regexp_matches(t, '[#$%&*|]'),
+          coalesce(doc_id > lo, doc_id IS NULL AND lo IS NOT NULL)] AS bad
+  FROM w LEFT JOIN l USING (doc_id)),
+m AS (
+  SELECT part, bad, count(*) AS n, count(*) FILTER (good) AS good,
+         count(*) FILTER (toxic) AS toxic
+  FROM f GROUP BY part, bad),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+  FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+g AS (
+  SELECT part, filter_order, step, n, good, toxic,
+         bad[ascii(filter_order[step]) - 64] AS here,
+         len(list_filter(range(1, step), lambda k: bad[ascii(filter_order[k]) - 64])) AS before,
+         len(list_filter(bad, lambda y: y)) AS fails
+  FROM m, s)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(coalesce(sum(n) FILTER (NOT here AND before = 0), 0) AS BIGINT) AS kept,
+       CAST(coalesce(sum(n) FILTER (here AND before = 0), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (here AND before > 0), 0) AS BIGINT) AS redundant,
+       CAST(coalesce(sum(n) FILTER (here AND fails = 1), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(good) FILTER (here AND before = 0), 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(sum(toxic) FILTER (here AND before = 0), 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(sum(n) FILTER (here AND before = 0))
+                     OVER (PARTITION BY part, filter_order[step]), 0) AS BIGINT) AS shapley
+FROM g GROUP BY part, filter_order, step
+"""
+
+
+@register("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of five filters in all orders."""
+    from sluice.llm import filter_audit
+
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"),
+                              read_table(spark, sf_dir, "labels"))
