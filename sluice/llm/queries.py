@@ -306,3 +306,49 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return filter_audit.audit(read_table(spark, sf_dir, "documents"),
                               read_table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+i AS (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+q AS (SELECT item, w, count(*) AS times FROM (SELECT item, unnest(ws) AS w FROM i) GROUP BY item, w),
+a AS (SELECT count(*) AS nd, CAST(sum(len(ws)) AS BIGINT) AS lt FROM d WHERE len(ws) > 0),
+p AS (
+  SELECT rid, w, count(*) AS tf FROM (SELECT rid, unnest(ws) AS w FROM d)
+  WHERE w IN (SELECT w FROM q) GROUP BY rid, w),
+t AS (
+  SELECT w, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE)))
+                 AS BIGINT) AS weight
+  FROM p, a GROUP BY w, nd),
+m AS (SELECT rid, doc_id, 100 - 75 + (75 * len(ws) * nd) // lt AS m FROM d, a WHERE len(ws) > 0),
+s AS (
+  SELECT q.item, m.rid, m.doc_id,
+         CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (w) JOIN t USING (w) JOIN m USING (rid)
+  GROUP BY q.item, m.rid, m.doc_id),
+r AS (
+  SELECT item, doc_id, score,
+         row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank
+  FROM s WHERE score > 0)
+SELECT i.item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM r JOIN i USING (item) WHERE rank <= 10
+"""
+
+
+@register("op12_term_search", OP12_SQL)
+def op12_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    from sluice.llm import term_search
+
+    return term_search.search(read_table(spark, sf_dir, "documents"),
+                              read_table(spark, sf_dir, "benchmark"))
