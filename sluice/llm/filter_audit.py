@@ -11,8 +11,8 @@ sketch (counters stop at 2), the sketches of one range of counters are added
 up where that range is dealt to, and the merged bits "counter is 2" go to all
 tasks.  A text with a counter below 2 stands once, for certain.  Only the
 others are grouped by their full text for its least id, pre-aggregated, so
-copies of one text make one row a task.  The least id goes back to the rows by
-hash (rows without text); texts that share a hash are told apart by text.
+copies of one text make one row a task.  Rows meet it by hash and id, without
+their text; texts that share a hash are told apart by text.
 
 The merged bits have one bit a counter, ``COUNTERS`` counters a document and
 ``max_counters`` at most (2**29 is 64 MB), which bounds what is broadcast and
@@ -174,19 +174,21 @@ def flags(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", part: str
     maybe.groupBy("h", "body").agg(F.min("doc_id").alias("lo")).write.parquet(path)
     texts = spark.read.parquet(path)
     by_hash = texts.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"))
-    later = (F.col("doc_id") > F.col("lo")) | (F.col("doc_id").isNull() & F.col("lo").isNotNull())
+    def with_e(rows: DataFrame, least: DataFrame, same) -> DataFrame:
+        # Only the least id finds its text: the key holds the id, so copies of one text spread.
+        least = least.select(*[F.col(c).alias(f"{c}_") for c in least.columns])
+        on = (F.col("h") == F.col("h_")) & F.col("doc_id").eqNullSafe(F.col("lo_")) & same
+        bit = F.when(F.col("h_").isNull(), 1 << 4).otherwise(0)
+        return rows.join(least, on, "left").select(
+            "doc_id", "part", (F.col("mask") + bit).alias("mask"))
 
-    def with_e(found: DataFrame) -> DataFrame:
-        bit = F.when(F.coalesce(later, F.lit(False)), 1 << 4).otherwise(0)
-        return found.select("doc_id", "part", (F.col("mask") + bit).alias("mask"))
-
-    out = once.unionByName(with_e(maybe.select("doc_id", "part", "h", "mask").join(
-        by_hash.filter("n = 1"), "h")))
     shared = by_hash.filter("n > 1").select("h")
-    if not shared.isEmpty():
-        out = out.unionByName(with_e(
-            maybe.join(shared, "h", "left_semi").join(texts, ["h", "body"])))
-    return out
+    if shared.isEmpty():
+        return once.unionByName(with_e(maybe, by_hash, F.lit(True)))
+    return once.unionByName(with_e(
+        maybe.join(shared, "h", "left_anti"), by_hash.filter("n = 1"), F.lit(True))).unionByName(
+        with_e(maybe.join(shared, "h", "left_semi"), texts.join(shared, "h", "left_semi"),
+               F.col("body") == F.col("body_")))
 
 
 def interactions(masks: DataFrame, names: str = NAMES) -> DataFrame:
