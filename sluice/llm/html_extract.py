@@ -5,8 +5,8 @@ tokens, hashed words, length, link density, place); a bidirectional LSTM
 reads the page's sequence and labels each block with the whole document as
 context.  The text is the blocks labelled as content, in page order.
 
-Training (driver, on a bounded sample: the first ``sample`` pages in the
-order of a hash of the id): pages that mark their parts by HTML elements
+Training (driver, on a bounded sample: the first ``sample`` pages of at most
+``sample_chars`` characters in the order of a hash of the id): pages that mark their parts by HTML elements
 label themselves (inside ``article`` or ``main``, and not inside a menu,
 footer, form and the like).  Their content and other blocks are also dealt
 out into pages drawn from a grammar of layouts, with other containers and
@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 
 from sluice.llm._names import fresh
 from sluice.llm.block_lstm import BiLSTM
-from sluice.llm.html_blocks import DIMS, Block, blocks_of, features, path_tokens
+from sluice.llm.html_blocks import DIMS, Block, Path, blocks_of, features, path_tokens
 from sluice.session import ship_package
 
 SAMPLE = 240
+SAMPLE_CHARS = 1_000_000
 DRAWN = 1000
 SEED = 3
 #: Tokens of elements, classes and ids that mark a part as not the article.
@@ -91,20 +92,27 @@ PARTS = {
 
 def self_labels(blocks: list[Block]) -> list[int] | None:
     """Labels from the page's own elements; None if it marks no article."""
-    if not any(t in ("article", "main") for b in blocks for t, _ in b.path):
-        return None
-    out = []
-    for b in blocks:
-        inside, bad = False, False
-        for k, (tag, names) in enumerate(b.path):
-            top = tag in ("article", "main")
-            inside |= top
-            tokens = set(path_tokens(tag, names))
-            if tag == "header" and inside:  # an article's own head holds its title
+    known: dict[Path, tuple[bool, bool]] = {}  # path -> inside an article, inside a part to skip
+
+    def judge(path: Path) -> tuple[bool, bool]:
+        todo = []
+        while path.parent is not None and path not in known:
+            todo.append(path)
+            path = path.parent
+        inside, bad = known.get(path, (False, False))
+        for node in reversed(todo):
+            inside |= node.tag in ("article", "main")
+            tokens = set(path_tokens(node.tag, node.names))
+            if node.tag == "header" and inside:  # an article's own head holds its title
                 tokens.discard("<header")
             bad |= bool(tokens & ASIDE)
-        out.append(int(inside and not bad))
-    return out
+            known[node] = inside, bad
+        return inside, bad
+
+    found = [judge(b.path) for b in blocks]
+    if not any(inside for inside, _ in found):
+        return None
+    return [int(inside and not bad) for inside, bad in found]
 
 
 def _path(spec: str, rng: random.Random, plain: float) -> list[tuple[str, str]]:
@@ -128,6 +136,7 @@ def draw_page(rng: random.Random, content: list[str], other: list[str]
     """A page of the grammar around paragraphs of real content."""
     blocks: list[Block] = []
     labels: list[int] = []
+    root = Path()
     plain = rng.choice([0.0, 0.1, 0.6])
     shell = _path(rng.choice(SHELL), rng, plain)
     top = [("html", ""), ("body", "")]
@@ -135,7 +144,7 @@ def draw_page(rng: random.Random, content: list[str], other: list[str]
     def put(path, text, label, linked=0):
         text = " ".join(text.split())
         if text:
-            blocks.append(Block(text, tuple(path), min(linked, len(text))))
+            blocks.append(Block(text, root.below(path), min(linked, len(text))))
             labels.append(label)
 
     def part(kind: str, inside=()):
@@ -219,17 +228,20 @@ def train(pages: list[str | None], drawn: int = DRAWN, seed: int = SEED) -> BiLS
         labels.append(own)
     for blocks in seqs[:len(seqs) - drawn]:  # some real pages without any names
         if rng.random() < 0.2:
-            blocks[:] = [replace(b, path=tuple((t, "") for t, _ in b.path)) for b in blocks]
+            root = Path()
+            blocks[:] = [replace(b, path=root.below((t, "") for t, _ in b.path.elements()))
+                         for b in blocks]
     net = BiLSTM(DIMS)
     net.fit([features(b) for b in seqs], [np.array(y, np.float32) for y in labels])
     return net
 
 
-def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE
-        ) -> BiLSTM:
-    """Train on a bounded sample of the pages."""
+def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE,
+        sample_chars: int = SAMPLE_CHARS) -> BiLSTM:
+    """Train on a bounded sample of the pages: ``sample`` of those of at most
+    ``sample_chars`` characters."""
     rows = pages.select(F.xxhash64(F.col(page_id)).alias("i"), F.col(html).alias("h")) \
-        .filter(F.col("h").isNotNull()).withColumn("k", F.xxhash64("h"))
+        .filter(F.char_length("h") <= sample_chars).withColumn("k", F.xxhash64("h"))
     picked = rows.select("i", "k").distinct().orderBy("i", "k").limit(sample)
     got = rows.join(F.broadcast(picked), ["i", "k"])  # at most ``sample`` pairs
     got = got.dropDuplicates(["i", "k"]).collect()

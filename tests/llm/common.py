@@ -48,3 +48,37 @@ def write_tables(df, folder: str, **others) -> str:
     for name, table in others.items():
         table.write.parquet(f"{folder}/{name}.parquet")
     return folder
+
+
+def line_brute(rows) -> list[tuple]:
+    """``(id, text)`` after the line dedup, in the order of the rows: documents in
+    order, each against the first holder of every least run of lines that has
+    ``MIN_CHARS`` characters, the runs written out as texts."""
+    import xxhash
+
+    from sluice.llm import line_dedup as ld
+
+    def key(i, t):
+        h = xxhash.xxh64_intdigest(t.encode(), 42)
+        return (i is not None, i or 0, h - (1 << 64) if h >= 1 << 63 else h)
+
+    first, lines, out = {}, {}, {}
+    for k, t in sorted({(key(i, t), t) for i, t in rows if t is not None}):
+        ls = [x.strip() for x in t.split("\n")]
+        least = []
+        for a in range(len(ls)):
+            b, n = a, 0
+            while b < len(ls) and n < ld.MIN_CHARS:
+                n, b = n + len(ls[b]), b + 1
+            if n >= ld.MIN_CHARS > n - len(ls[a]):
+                least.append((a, b))
+        size, gone = [0] * len(ls), set()
+        for a, b in least:
+            size[a] = b - a
+        for p in {first[r] for a, b in least if (r := tuple(ls[a:b])) in first}:
+            gone |= set(ld.common_lines(lines[p], ls, size))
+        lines[k] = ls
+        for a, b in least:
+            first.setdefault(tuple(ls[a:b]), k)
+        out[k] = "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone)
+    return [(i, None if t is None else out[key(i, t)]) for i, t in rows]

@@ -15,7 +15,7 @@ from sluice.llm import line_dedup as ld
 from sluice.llm import simhash as sh
 from sluice.llm import suffix_dedup as sd
 from sluice.llm.suffix_array import InducedSorter, Space, repeated
-from tests.llm.common import awkward, frame, prose, with_clashes
+from tests.llm.common import awkward, frame, line_brute, prose, with_clashes
 
 
 # --- suffix array ------------------------------------------------------------------------
@@ -271,31 +271,9 @@ def test_line_dedup_of_short_lines(spark):
     assert left == {1: rows[0][1], 2: "c\nd", 3: f"{long}\ne", 5: "g\nh\nb", 6: "a\nx\nb"}
 
 
-def _line_brute(rows):
-    import xxhash
-
-    def key(i, t):
-        h = xxhash.xxh64_intdigest(t.encode(), 42)
-        return (i is not None, i or 0, h - (1 << 64) if h >= 1 << 63 else h)
-
-    docs = sorted({(key(i, t), t) for i, t in rows if t is not None})
-    first, hashes, out = {}, {}, {}
-    for k, t in docs:
-        ls = [x.strip() for x in t.split("\n")]
-        big = [len(x) >= ld.MIN_CHARS for x in ls]
-        gone = set()
-        for p in {first[x] for x, g in zip(ls, big) if g and x in first}:
-            gone |= set(ld.common_lines(hashes[p], ls, big))
-        hashes[k] = ls
-        for x, g in zip(ls, big):
-            if g:
-                first.setdefault(x, k)
-        out[k] = "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone)
-    return Counter((i, None if t is None else out[key(i, t)]) for i, t in rows)
-
-
 def _lined(seed=3, n=50):
     rng, lines = random.Random(seed), [prose(300 + k, 9) for k in range(30)]
+    verse = [prose(880 + k, 3)[:rng.randint(3, 25)].strip() for k in range(18)]
     rows = []
     for i in range(n):
         own = [prose(5000 + 40 * i + k, rng.randint(1, 14)) for k in range(rng.randint(1, 6))]
@@ -303,6 +281,9 @@ def _lined(seed=3, n=50):
             a = rng.randrange(28)
             own[rng.randrange(len(own)):0] = lines[a:a + rng.randint(1, 3)]
         own[1:1] = ["", "a b", lines[0]]
+        if i % 4 == 0:  # a run of short lines, its parts moved, one of them twice
+            cut = [verse[:9], verse[9:]][::1 if i % 8 else -1]
+            own[len(own) // 2:0] = [*cut[0], *cut[1], *(verse[4:12] if i % 12 == 0 else [])]
         rows.append((i, ("  \n" if i % 9 == 0 else "\n").join(own), "en", "s", 0))
     return rows
 
@@ -312,8 +293,8 @@ def test_line_dedup(spark):
     docs = with_clashes(frame(spark, rows))
     got = ld.dedup_lines(docs, out="gone")
     assert got.columns == [*docs.columns, "gone"]
-    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == _line_brute(
-        [r[:2] for r in rows])
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(line_brute(
+        [r[:2] for r in rows]))
     assert ld.dedup_lines(frame(spark, [])).collect() == []
 
 

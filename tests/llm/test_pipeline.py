@@ -9,13 +9,12 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from sluice.llm import line_dedup as ld
 from sluice.llm import mixing
 from sluice.llm import queries as q
 from sluice.llm import toxicity as tx
 from tests.conftest import SF_SMALL
-from tests.llm.common import awkward, frame, prose, with_clashes, write_tables
-from tests.llm.test_dedup import _components, _fingerprint, _line_brute, _lined
+from tests.llm.common import awkward, frame, line_brute, prose, with_clashes, write_tables
+from tests.llm.test_dedup import _components, _fingerprint, _lined
 from tests.llm.test_filters import BENCH, LABELS, _bench, _hits, _labelled, _leaky
 from tests.oracle import compare, duck
 
@@ -52,7 +51,7 @@ def test_pipeline_against_brute_force(spark, folder):
     lined = {}
     for r in {(r[0], r[1]) for r in rows}:
         lined[r] = None
-    for (i, new), old in zip(_zip_lines(rows), rows):
+    for (i, new), old in zip(line_brute([r[:2] for r in rows]), rows):
         lined[old[0], old[1]] = new
     rows = [(i, lined[i, t], s) for i, t, s in rows
             if lined[i, t] == t or lined[i, t].strip()]
@@ -85,35 +84,6 @@ def test_pipeline_against_brute_force(spark, folder):
     assert got == want
 
 
-def _zip_lines(rows):
-    """(id, text) behind the line dedup, in the order of the rows."""
-    out = []
-    whole = _line_brute([r[:2] for r in rows])
-    assert sum(whole.values()) == len(rows)
-    import xxhash
-
-    def key(i, t):
-        h = xxhash.xxh64_intdigest(t.encode(), 42)
-        return (i is not None, i or 0, h - (1 << 64) if h >= 1 << 63 else h)
-
-    first, lines = {}, {}
-    new = {}
-    for k, t in sorted({(key(i, t), t) for i, t, _ in rows if t is not None}):
-        ls = [x.strip() for x in t.split("\n")]
-        big = [len(x) >= ld.MIN_CHARS for x in ls]
-        gone = set()
-        for p in {first[x] for x, g in zip(ls, big) if g and x in first}:
-            gone |= set(ld.common_lines(lines[p], ls, big))
-        lines[k] = ls
-        for x, g in zip(ls, big):
-            if g:
-                first.setdefault(x, k)
-        new[k] = "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone)
-    for i, t, _ in rows:
-        out.append((i, None if t is None else new[key(i, t)]))
-    return out
-
-
 def test_stages_keep_columns_and_empty_tables(spark, tmp):
     docs = with_clashes(frame(spark, []))
     at = write_tables(docs, f"{tmp}/t", labels=spark.createDataFrame([], LABELS),
@@ -139,7 +109,7 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     mine = {n: f for n, f in entry.queries().items() if re.match(r"op\d+_|pipeline$", n)}
-    assert sorted(int(n[2:].split("_")[0]) for n in mine if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in mine if n != "pipeline") == list(range(1, 14))
     assert set(q.ORACLES) <= set(entry.oracle_sql())
 
 
