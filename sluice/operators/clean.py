@@ -17,21 +17,22 @@ import gzip
 import io
 import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import BinaryIO
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.text import REPLACEMENT_CHAR, drop_invalid, null_tokens
-from sluice.operators.infer import read_headers
 from sluice.operators.load import check_compression
 from sluice.operators.snapshot import _fs, delete, rename
+from sluice.session import conf_for
 from sluice.sources.files import list_files, profile
-from sluice.session import ship_package
+from sluice.sources.headers import distinct_names, read_headers
 from sluice.sources.landing import write_named_csv
+from sluice.sources.streams import each_file, file_chunks, move_files
 
 REPORT_SCHEMA = "source_file string, target_file string, status string, reason string"
 
@@ -68,7 +69,9 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
     * a file with a row of more fields than the header is skipped as a whole
       (the reference's reader fails on it): nothing is cut off; rows with
       fewer fields are filled with NULL;
-    * quoted line breaks are read in gzip files (one split each anyway);
+    * quoted line breaks are read in gzip files (one split each anyway), in a
+      header in any file; a header that does not end is a reason to skip;
+    * repeated and empty header names are numbered, as a data frame reader does;
     * a file with a header and no rows gives a file with the header;
     * ``source_action``: ``'keep'`` (default), ``'delete'`` or ``'archive'``
       (move to ``archive_dir``) after a successful write.
@@ -97,92 +100,108 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
             rounds.append([])
         rounds[k].append(r)
     for batch in rounds:
-        # The header pass inflates every gzip file whole (a gzip file is one
-        # split), so it is also the integrity check: only when it fails are the
-        # files checked one by one and the broken ones skipped.
-        readable = list(batch)
-        try:
-            headers = read_headers(spark, [r["path"] for r in readable], read_opts) \
-                if readable else {}
-        except Exception:  # noqa: BLE001 - find the unreadable files, then retry once
-            gz = check_compression(spark, [r["path"] for r in readable])
-            if not gz:
-                raise
-            for r in readable:
-                if r["path"] in gz:
-                    report.append((r["path"], None, "skipped", gz[r["path"]]))
-            readable = [r for r in readable if r["path"] not in gz]
-            headers = read_headers(spark, [r["path"] for r in readable], read_opts) \
-                if readable else {}
+        headers = read_headers(spark, [r["path"] for r in batch], read_opts)
+        none = [r["path"] for r in batch if r["path"] not in headers]
+        broken = check_compression(spark, none)
         groups: dict[tuple, list] = {}
-        for r in readable:
-            cols = headers.get(r["file_name"])
-            if not cols:
-                report.append((r["path"], None, "skipped", "no header row"))
+        for r in batch:
+            head = headers.get(r["path"])
+            if head is None or head.fault or not head.columns:
+                report.append((r["path"], None, "skipped", head.fault if head and head.fault
+                               else broken.get(r["path"], "no header row")))
                 continue
-            groups.setdefault((tuple(cols), r["file_name"].endswith(".gz")), []).append(r)
-
-        for (cols, gzipped), files in groups.items():
-            pos = [f"c{i}" for i in range(len(cols))]
-            # one column more than the header, and the record's text: a row that
-            # fills the schema, or has more separators than that, is too long
-            schema = T.StructType([T.StructField(c, T.StringType())
-                                   for c in [*pos, "__extra", "__record"]])
-            opts = {**read_opts, "columnNameOfCorruptRecord": "__record",
-                    **({"multiLine": "true"} if gzipped else {})}
-            raw = (spark.read.options(**opts).schema(schema).csv([r["path"] for r in files])
-                   .withColumn("__file", F.col("_metadata.file_name"))
-                   .withColumn("__split", F.col("_metadata.file_block_start")))
-            by_name = {r["file_name"]: r for r in files}
-            # file order = (split start, scan position): no exact row numbers
-            # are needed, so no per-split summary pass
-            numbered = raw.withColumn("__mono", F.monotonically_increasing_id())
-            has_bad = F.lit(False)
-            for c in pos:
-                has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
-            obs = Observation(f"clean_{uuid.uuid4().hex}")
-            # files with invalid UTF-8 are found on the same pass (Observation)
-            # and their outputs dropped before they are published
-            observed = numbered.observe(
-                obs, F.collect_set(F.when(has_bad, F.col("__file"))).alias("bad_files"),
-                F.collect_set(F.when(_too_long(opts, len(cols)), F.col("__file")))
-                .alias("long_files")).drop("__extra", "__record")
-            cleaned = clean_frame(observed, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
-                                  else "keep")
-            if len(pos) == 1:  # a lone NULL would be an empty line, which readers drop
-                cleaned = cleaned.withColumn(pos[0], F.coalesce(pos[0], F.lit("")))
+            gzipped = r["file_name"].endswith(".gz")
+            # a gzip file is one split anyway; another file is read as a whole
+            # only if its header spans lines
+            whole = gzipped or any("\n" in c for c in head.columns)
+            groups.setdefault((tuple(distinct_names(head.columns)), gzipped, whole), []).append(r)
+        for key, files in groups.items():
+            def clean(some: list, key: tuple = key) -> list[tuple]:
+                return _clean_group(spark, some, *key, target, read_opts, on_bad_utf8)
+
+            try:
+                done = clean(files)
+            except Exception:  # noqa: BLE001 - find the unreadable files, then retry once
+                broken = check_compression(spark, [r["path"] for r in files])
+                if not broken:
+                    raise
+                report += [(path, None, "skipped", why) for path, why in broken.items()]
+                done = clean([r for r in files if r["path"] not in broken])
+            for r, dst, reason in done:
+                report.append((r["path"], dst, "skipped" if reason else "processed", reason))
+                if not reason:
+                    _source_action(spark, r, source_action, archive_dir)
+
+    rep = spark.createDataFrame(report, REPORT_SCHEMA) if report else \
+        spark.createDataFrame([], REPORT_SCHEMA)
+    return CleanResult(summary_json(report), rep)
+
+
+def _clean_group(spark: SparkSession, files: list, cols: tuple[str, ...], gzipped: bool,
+                 whole: bool, target: str, read_opts: dict[str, str], on_bad_utf8: str
+                 ) -> list[tuple]:
+    """Clean files of one header in one job: (file, target, reason of a skip)."""
+    if not files:
+        return []
+    pos = [f"c{i}" for i in range(len(cols))]
+    # one column more than the header, and the record's text: a row that
+    # fills the schema, or has more separators than that, is too long
+    schema = T.StructType([T.StructField(c, T.StringType())
+                           for c in [*pos, "__extra", "__record"]])
+    opts = {**read_opts, "columnNameOfCorruptRecord": "__record",
+            **({"multiLine": "true"} if whole else {})}
+    raw = (spark.read.options(**opts).schema(schema).csv([r["path"] for r in files])
+           .withColumn("__file", F.col("_metadata.file_name"))
+           .withColumn("__split", F.col("_metadata.file_block_start")))
+    by_name = {r["file_name"]: r for r in files}
+    # file order = (split start, scan position): no exact row numbers
+    # are needed, so no per-split summary pass
+    numbered = raw.withColumn("__mono", F.monotonically_increasing_id())
+    has_bad = F.lit(False)
+    for c in pos:
+        has_bad = has_bad | F.coalesce(F.instr(F.col(c), REPLACEMENT_CHAR) > 0, F.lit(False))
+    obs = Observation(f"clean_{uuid.uuid4().hex}")
+    # files with invalid UTF-8 are found on the same pass (Observation)
+    # and their outputs dropped before they are published
+    observed = numbered.observe(
+        obs, F.collect_set(F.when(has_bad, F.col("__file"))).alias("bad_files"),
+        F.collect_set(F.when(_too_long(opts, len(cols)), F.col("__file")))
+        .alias("long_files")).drop("__extra", "__record")
+    cleaned = clean_frame(observed, pos, on_bad_utf8="replace" if on_bad_utf8 == "replace"
+                          else "keep")
+    if len(pos) == 1:  # a lone NULL would be an empty line, which readers drop
+        cleaned = cleaned.withColumn(pos[0], F.coalesce(pos[0], F.lit("")))
+    staging = f"{target.rstrip('/')}/_tmp_clean_{uuid.uuid4().hex}"
+    try:
+        # names may differ in case alone
+        with conf_for(spark, {"spark.sql.caseSensitive": "true"}):
             named = cleaned.select(*[F.col(p).alias(n) for p, n in zip(pos, cols)],
                                    "__file", "__split", "__mono")
             # a gzip file is read by one task, so its rows never need a shuffle;
             # uncompressed files may be split and are brought together by name
-            staging = f"{target.rstrip('/')}/_tmp_clean"
             written = write_named_csv(spark, named, staging, "__file",
                                       order_by=["__split", "__mono"],
                                       options=_write_options("gzip" if gzipped else "none"),
                                       shuffle=not gzipped, drop=["__split", "__mono"])
-            bad = set(obs.get.get("bad_files") or []) if on_bad_utf8 == "skip" else set()
-            if bad:  # a replacement character may be real: judge the bytes of those files
-                bad = invalid_utf8(spark, [by_name[n]["path"] for n in bad])
-            too_long = set(obs.get.get("long_files") or [])
-            for name, r in sorted(by_name.items()):
-                if r["path"] in bad:
-                    report.append((r["path"], None, "skipped", "invalid UTF-8 bytes"))
-                    continue
-                if name in too_long:
-                    report.append((r["path"], None, "skipped",
-                                   "rows with more fields than the header"))
-                    continue
+        bad = set(obs.get.get("bad_files") or []) if on_bad_utf8 == "skip" else set()
+        if bad:  # a replacement character may be real: judge the bytes of those files
+            bad = invalid_utf8(spark, [by_name[n]["path"] for n in bad])
+        too_long = set(obs.get.get("long_files") or [])
+        out, moves = [], []
+        for name, r in sorted(by_name.items()):
+            if r["path"] in bad:
+                out.append((r, None, "invalid UTF-8 bytes"))
+            elif name in too_long:
+                out.append((r, None, "rows with more fields than the header"))
+            else:
                 if name not in written:  # a header and nothing else
                     _write_header(spark, f"{staging}/{name}", cols, gzipped)
-                dst = f"{target.rstrip('/')}/{r['relative_path']}"
-                rename(spark, f"{staging}/{name}", dst)
-                report.append((r["path"], dst, "processed", None))
-                _source_action(spark, r, source_action, archive_dir)
-            delete(spark, staging)
-
-    rep = spark.createDataFrame(report, REPORT_SCHEMA) if report else \
-        spark.createDataFrame([], REPORT_SCHEMA)
-    return CleanResult(summary_json(report), rep)
+                out.append((r, f"{target.rstrip('/')}/{r['relative_path']}", None))
+                moves.append((f"{staging}/{name}", out[-1][1]))
+        move_files(spark, moves)
+    finally:
+        delete(spark, staging)
+    return out
 
 
 def _too_long(opts: dict[str, str], n: int) -> Column:
@@ -200,29 +219,22 @@ def _too_long(opts: dict[str, str], n: int) -> Column:
             (fields(record) > n) & (fields(bare) > n)))
 
 
-def _utf8_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Paths of the files whose (inflated) bytes are not UTF-8."""
-    for pdf in batches:
-        bad = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if path.endswith(".gz") \
-                else io.BytesIO(content)
-            decoder = codecs.getincrementaldecoder("utf-8")("strict")
-            try:
-                while chunk := stream.read(1 << 20):
-                    decoder.decode(chunk)
-                decoder.decode(b"", True)
-            except UnicodeDecodeError:
-                bad.append(path)
-        yield pd.DataFrame({"path": bad}, dtype=object)
+def _utf8_fault(path: str, stream: BinaryIO) -> tuple[str, bool]:
+    """Whether the file's (inflated) bytes are not UTF-8."""
+    decoder = codecs.getincrementaldecoder("utf-8")("strict")
+    try:
+        for data in file_chunks(path, stream):
+            decoder.decode(data)
+        decoder.decode(b"", True)
+    except UnicodeDecodeError:
+        return path, True
+    return path, False
 
 
 def invalid_utf8(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Which of the files hold bytes that are not UTF-8 (files under 2 GiB)."""
-    ship_package(spark)
-    rows = spark.read.format("binaryFile").load(list(paths)).select("path", "content") \
-        .mapInPandas(_utf8_errors, "path string").collect()  # paths of bad files only
-    return {r["path"] for r in rows}
+    """Which of the files hold bytes that are not UTF-8; files are streamed."""
+    return {path for path, bad in each_file(spark, paths, _utf8_fault, "path string, bad boolean")
+            if bad}
 
 
 def _write_header(spark: SparkSession, path: str, cols: Sequence[str], gzipped: bool) -> None:

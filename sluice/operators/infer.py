@@ -10,8 +10,6 @@ ever leave the executors.
 
 from __future__ import annotations
 
-import csv
-import io
 import json
 from collections.abc import Sequence
 from functools import reduce
@@ -22,6 +20,7 @@ from pyspark.sql import types as T
 
 from sluice.operators.snapshot import _fs, path_exists
 from sluice.sources.files import profile
+from sluice.sources.headers import read_headers
 from sluice.sources.landing import LINEAGE_FIELDS
 
 # Value shapes recognised by inference.
@@ -34,30 +33,6 @@ TS_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9}
 MAX_PRECISION = 38
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str],
-                 options: dict[str, str] | None = None) -> dict[str, list[str]]:
-    """First line of every file, parsed as one CSV record -> column names.
-
-    The first line is the lowest scan position in the split that starts at
-    byte 0; it is picked with ``min_by`` (one row per file reaches the
-    driver).  Files whose first line is missing (empty files) are absent.
-    """
-    opts = options or profile("infer_csv")
-    txt = spark.read.text(list(paths)).select(
-        "value", F.col("_metadata.file_name").alias("f"),
-        F.col("_metadata.file_block_start").alias("b"),
-        F.monotonically_increasing_id().alias("m"))
-    first = (txt.where(F.col("b") == 0).groupBy("f")
-             .agg(F.min_by("value", "m").alias("header")))
-    sep = opts.get("sep", ",")
-    quote = opts.get("quote", '"')
-    out = {}
-    for row in first.collect():
-        rec = next(csv.reader(io.StringIO(row["header"]), delimiter=sep, quotechar=quote), [])
-        out[row["f"]] = [c.strip() for c in rec]
-    return out
-
-
 # Value classes, one bit each; a column's type follows from the set of
 # classes its values fall in (OR of the bits).
 BOOL, INT, DEC, FLOAT, DATE, TS, OTHER = 1, 2, 4, 8, 16, 32, 64
@@ -130,7 +105,9 @@ def infer_schema(spark: SparkSession, paths: Sequence[str],
 
     Files with the same header are one group; each group is one scan and
     one aggregation grouped by file.  Column names keep their case.
-    ``headers`` (file name -> columns) skips reading them again.
+    ``headers`` (path -> columns) skips reading them again.  A header or a
+    value in quotes may hold line breaks: gzip files are one split anyway, and
+    other files are read as wholes only if their header spans lines.
     """
     opts = dict(options or profile("infer_csv"))
     names = [p.rsplit("/", 1)[-1] for p in paths]
@@ -144,17 +121,19 @@ def infer_schema(spark: SparkSession, paths: Sequence[str],
         return reduce(DataFrame.unionByName, [
             infer_schema(spark, list(r.values()), options) for r in rounds])
     if headers is None:
-        headers = read_headers(spark, paths, opts)
-    by_name = {p.rsplit("/", 1)[-1]: p for p in paths}
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for fname, cols in headers.items():
-        if fname in by_name:
-            groups.setdefault(tuple(cols), []).append(by_name[fname])
+        headers = {p: h.columns for p, h in read_headers(spark, paths, opts).items()
+                   if not h.fault}
+    groups: dict[tuple, list[str]] = {}
+    for path in paths:
+        if cols := headers.get(path):
+            whole = path.endswith(".gz") or any("\n" in c for c in cols)
+            groups.setdefault((tuple(cols), whole), []).append(path)
     parts = []
-    for cols, files in groups.items():
+    for (cols, whole), files in groups.items():
         pos = [f"c{i}" for i in range(len(cols))]
         schema = T.StructType([T.StructField(c, T.StringType()) for c in pos])
-        df = (spark.read.options(**opts).schema(schema).csv(sorted(files))
+        how = {**opts, "multiLine": "true"} if whole else opts
+        df = (spark.read.options(**how).schema(schema).csv(sorted(files))
               .withColumn("__file", F.col("_metadata.file_name")))
         aggs = []
         for i, c in enumerate(pos):
@@ -224,10 +203,10 @@ def create_table_if_absent(spark: SparkSession, table_path: str, schema: T.Struc
 
 
 def read_entity(spark: SparkSession, table_path: str) -> DataFrame:
-    """All rows of an entity table (empty DataFrame when nothing is loaded).
-
-    ``load_id`` and ``source_file_name`` are folder (partition) columns; the
-    result keeps the frozen column order, then ``load_id``.
+    """All rows written to an entity table, also of files that failed or were
+    replaced (``load.read_table_rows`` leaves those out); empty when nothing is
+    loaded.  ``load_id`` is the folder (partition) column; the result keeps the
+    frozen column order, then ``load_id``.
     """
     schema = table_schema(spark, table_path)
     if schema is None:

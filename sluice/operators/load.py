@@ -4,24 +4,27 @@ SURVEY A2, A9, A10, D1-D5, I5, K1-K3.
 
 Layout of a warehouse folder::
 
-    <warehouse>/<ENTITY>/_schema.json          frozen schema (first file decides)
-    <warehouse>/<ENTITY>/load_id=<id>/source_file_name=<file>/part-*
-                                               one folder per load and file
-    <warehouse>/_ledger/part-*                 one row per loaded/failed file
+    <warehouse>/<ENTITY>/_schema.json          frozen schema (first good header decides)
+    <warehouse>/<ENTITY>/load_id=<id>/part-*   one folder per load
+    <warehouse>/_ledger/run-*/part-*           manifest of the loads (``ledger.py``):
+                                               per file its load, rows and key range
 
-Exactly once without a transactional table format: data is appended first
+Exactly once without a transactional table format: data is written first
 into a fresh ``load_id`` folder, then the ledger rows naming that load are
-appended.  ``read_table_rows`` reads only loads that the ledger names, so rows
-of a run that is under way or broke off are never seen.  What such a run left
-is deleted by a later one once it is older than ``ORPHAN_AGE``; its files are
-loaded again.  Already loaded files (same name, length and modification time)
-are reported ``SKIPPED`` and not read again; a file that was replaced is
-loaded as a new one.
-
-Per-file isolation: the new files of an entity are parsed once, in one job;
-each file lands in its own sub-folder of the load, and the files that held
-a bad row are dropped before the ledger commit, so a file loads whole or
-not at all.
+committed.  ``read_table_rows`` reads only files of loads that the ledger
+names, so rows of a run that is under way or broke off, and rows of files that
+failed, are never seen.  What a broken-off run left is deleted by a later one
+once it is older than ``ORPHAN_AGE``; its files are loaded again.  Already
+loaded files (same name, length and modification time) are reported
+``SKIPPED`` and not read again.  A file that was replaced is loaded as a new
+one, and its newest load is the one that is read: both versions are never seen
+together, and loads with no current file left are deleted like leftovers.
+
+Per-file isolation: headers are judged before a table is made or a file is
+read; the new files of an entity are parsed once, in one job; the files that
+held a bad row are marked failed in the ledger, so a file loads whole or not
+at all; whatever else goes wrong with an entity is the report of its files and
+stops no other entity.
 """
 
 from __future__ import annotations
@@ -31,34 +34,29 @@ import time
 import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import BinaryIO
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.session import ship_package
 from sluice.functions.json import object_text
 from sluice.operators.infer import (create_table_if_absent, entity_schema, infer_schema,
-                                    read_entity, read_headers, table_schema)
-from sluice.operators.snapshot import _fs, delete, list_status, path_exists
+                                    read_entity, table_schema)
+from sluice.operators.ledger import (LEDGER_SCHEMA, append_ledger, current_loads, last_failures,
+                                     read_ledger)
+from sluice.operators.snapshot import _fs, delete, path_exists
+from sluice.session import conf_for
 from sluice.sources.files import filter_names, list_files, profile
-from sluice.sources.landing import LANDED_PATTERN, entity_from_file, read_landed_csv, with_lineage
-
-LEDGER = "_ledger"
-LEDGER_SCHEMA = T.StructType([
-    T.StructField("entity", T.StringType()),
-    T.StructField("file_name", T.StringType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("modified", T.TimestampType()),
-    T.StructField("load_id", T.StringType()),
-    T.StructField("loaded_at", T.TimestampNTZType()),
-    T.StructField("rows_loaded", T.LongType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("message", T.StringType()),
-])
+from sluice.sources.headers import Header, header_fault, read_headers
+from sluice.sources.landing import (LANDED_PATTERN, LINEAGE_FIELDS, entity_from_file,
+                                    read_landed_csv, with_lineage)
+from sluice.sources.streams import each_file, file_chunks
+
+#: Names that a table's own columns have.
+RESERVED = [*(name for name, _ in LINEAGE_FIELDS), "load_id"]
 REPORT_SCHEMA = ("file_name string, entity string, status string, rows_loaded bigint, "
                  "message string")
 
@@ -88,19 +86,7 @@ def landed_files(spark: SparkSession, landing: str, pattern: str = LANDED_PATTER
                   pattern)
 
 
-def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
-    path = f"{warehouse.rstrip('/')}/{LEDGER}"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-
-
-def _append_ledger(spark: SparkSession, warehouse: str, rows: DataFrame) -> None:
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER_SCHEMA.fields]) \
-        .coalesce(1).write.mode("append").parquet(f"{warehouse.rstrip('/')}/{LEDGER}")
-
-
-#: Age from which a load folder that the ledger does not name is taken for a leftover.
+#: Age from which a load folder without a current file is taken for a leftover.
 ORPHAN_AGE = _dt.timedelta(hours=24)
 
 
@@ -123,77 +109,119 @@ def _drop_orphan_loads(spark: SparkSession, table: str, known: set[str],
 # create
 
 def _first_with_header(spark: SparkSession, candidates: dict[str, list],
-                       options: dict[str, str] | None
-                       ) -> tuple[dict[str, object], dict[str, list[str]]]:
-    """Per entity, the first file (by name) that has a header line.
+                       options: dict[str, str] | None, passed: set[str]
+                       ) -> tuple[dict[str, object], dict[str, Header], dict[str, str]]:
+    """Per entity, the first file (by name) whose header can name columns.
 
     Empty files have no row 1 and are passed over, as discovery does in the
-    reference; so are files that are not gzip streams (the load reports them).  Candidates are tried in growing batches (1, 8, 64, ...), so
-    normally only each entity's first file is opened.
+    reference; so are files whose bytes cannot be read and the paths in
+    ``passed``.  Files with a faulty header are passed over with a reason
+    (path -> reason).  Candidates are tried in growing batches (1, 8, 64, ...),
+    so normally only each entity's first file is opened.
     """
     chosen: dict[str, object] = {}
-    found: dict[str, list[str]] = {}
+    found: dict[str, Header] = {}
+    faults: dict[str, str] = {}
     start, size = 0, 1
     while True:
         batch = {e: rows[start:start + size] for e, rows in candidates.items()
                  if e not in chosen and len(rows) > start}
         if not batch:
-            return chosen, found
-        paths = [r["path"] for rs in batch.values() for r in rs]
-        try:
-            headers = read_headers(spark, paths, options)
-        except Exception:  # noqa: BLE001 - one unreadable file must not stop the others
-            broken = check_compression(spark, paths)
-            if not broken:
-                raise
-            rest = [x for x in paths if x not in broken]
-            headers = read_headers(spark, rest, options) if rest else {}
+            return chosen, found, faults
+        headers = read_headers(spark, [r["path"] for rs in batch.values() for r in rs
+                                       if r["path"] not in passed], options)
         for e, rows in batch.items():
             for r in rows:
-                if headers.get(r["file_name"]):
-                    chosen[e] = r
-                    found[r["file_name"]] = headers[r["file_name"]]
+                header = headers.get(r["path"])
+                if header is None or not (header.columns or header.fault):
+                    continue
+                why = header_fault(header, RESERVED)
+                if why is None:
+                    chosen[e], found[r["path"]] = r, header
                     break
+                faults[r["path"]] = why
         start, size = start + size, size * 8
 
 
+def _reason(exc: Exception) -> str:
+    return f"{type(exc).__name__}: {(str(exc).strip().splitlines() or [''])[0][:300]}"
+
+
+def _infer_chosen(spark: SparkSession, chosen: dict[str, object], headers: dict[str, Header],
+                  options: dict[str, str] | None) -> tuple[dict[str, list], dict[str, str]]:
+    """Columns of each chosen file (path -> (name, type)), and why others have none."""
+    def infer(rows: list) -> dict[str, list]:
+        by_name = {r["file_name"]: r["path"] for r in rows}
+        cols: dict[str, list] = {}
+        got = infer_schema(spark, list(by_name.values()), options, headers={
+            p: headers[p].columns for p in by_name.values()})
+        for r in got.orderBy("file_name", "order_id").collect():
+            cols.setdefault(by_name[r["file_name"]], []).append(
+                (r["column_name"], r["normalised_type"]))
+        return cols
+
+    rows = list(chosen.values())
+    try:
+        return infer(rows), {}
+    except Exception:  # noqa: BLE001 - one unreadable file must not stop the others
+        broken = check_compression(spark, [r["path"] for r in rows])
+        out: dict[str, list] = {}
+        for r in rows:
+            if r["path"] not in broken:
+                try:
+                    out |= infer([r])
+                except Exception as exc:  # noqa: BLE001
+                    broken[r["path"]] = _reason(exc)
+        return out, broken
+
+
 def create_entity_tables(spark: SparkSession, landing: str, warehouse: str,
                          options: dict[str, str] | None = None,
                          files: DataFrame | None = None) -> DataFrame:
-    """Create each entity's table from its first landed file with a header.
+    """Create each entity's table from its first landed file with a good header.
 
-    Returns one row per entity: (entity, file_name, created, columns).  An
-    existing table keeps its schema (``CREATE TABLE IF NOT EXISTS``).
+    Returns rows (entity, file_name, created, columns): one per entity, and one
+    for every file that was passed over for a fault, with the reason in
+    ``columns``.  An existing table keeps its schema (``CREATE TABLE IF NOT
+    EXISTS``).  A file or entity with a fault stops no other one.
     """
     wh = warehouse.rstrip("/")
     files = landed_files(spark, landing) if files is None else files
     firsts = files.groupBy("entity").agg(F.min("file_name").alias("file_name")).collect()
     todo = sorted(r["entity"] for r in firsts if table_schema(spark, f"{wh}/{r['entity']}") is None)
     out = []
+    candidates: dict[str, list] = {}
     if todo:
-        candidates: dict[str, list] = {}
         for r in (files.where(F.col("entity").isin(todo))
                   .select("entity", "file_name", "path").orderBy("entity", "file_name")
                   .collect()):  # file names of entities without a table
             candidates.setdefault(r["entity"], []).append(r)
-        chosen, headers = _first_with_header(spark, candidates, options)
-        cols: dict[str, list] = {}
-        if chosen:
-            inferred = infer_schema(spark, [r["path"] for r in chosen.values()], options,
-                                    headers=headers)
-            for r in inferred.orderBy("file_name", "order_id").collect():
-                cols.setdefault(r["file_name"], []).append((r["column_name"], r["normalised_type"]))
-        for entity in todo:
+    left, passed = dict(candidates), set()
+    while left:
+        chosen, headers, faults = _first_with_header(spark, left, options, passed)
+        cols, broken = _infer_chosen(spark, chosen, headers, options) if chosen else ({}, {})
+        for entity, rows in list(left.items()):
+            out += [(entity, r["file_name"], False, f"rejected: {faults[r['path']]}")
+                    for r in rows if r["path"] in faults]
             r = chosen.get(entity)
-            if r is None or not cols.get(r["file_name"]):
-                out.append((entity, candidates[entity][0]["file_name"], False, "no header"))
+            if r is None:
+                out.append((entity, rows[0]["file_name"], False, "no header"))
+            elif r["path"] in broken:  # the entity's next file may do
+                out.append((entity, r["file_name"], False, f"rejected: {broken[r['path']]}"))
+                passed |= {r["path"], *faults}
                 continue
-            columns = cols[r["file_name"]]
-            created = create_table_if_absent(spark, f"{wh}/{entity}", entity_schema(columns))
-            out.append((entity, r["file_name"], created,
-                        ", ".join(f"{c.upper()} {t}" for c, t in columns)))
+            else:
+                columns = cols[r["path"]]
+                try:
+                    created = create_table_if_absent(spark, f"{wh}/{entity}",
+                                                     entity_schema(columns))
+                    out.append((entity, r["file_name"], created,
+                                ", ".join(f"{c.upper()} {t}" for c, t in columns)))
+                except Exception as exc:  # noqa: BLE001
+                    out.append((entity, r["file_name"], False, f"rejected: {_reason(exc)}"))
+            del left[entity]
     for r in firsts:
-        if r["entity"] not in todo:
+        if r["entity"] not in candidates:
             out.append((r["entity"], r["file_name"], False, "exists"))
     return spark.createDataFrame(out, "entity string, file_name string, created boolean, "
                                       "columns string")
@@ -202,55 +230,27 @@ def create_entity_tables(spark: SparkSession, landing: str, warehouse: str,
 # ---------------------------------------------------------------------------
 # validation
 
-def _gzip_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Decompress each file's bytes in chunks; report the first error."""
-    for pdf in batches:
-        errs = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            msg = None
-            if path.endswith(".gz"):
-                try:
-                    data = bytes(content)
-                    while True:  # a file may hold several gzip members
-                        d = zlib.decompressobj(16 + zlib.MAX_WBITS)
-                        d.decompress(data, 1 << 24)
-                        while d.unconsumed_tail and not d.eof:
-                            d.decompress(d.unconsumed_tail, 1 << 24)
-                        if not d.eof:
-                            msg = "truncated gzip stream"
-                            break
-                        data = d.unused_data.lstrip(b"\0")
-                        if not data:
-                            break
-                except zlib.error as exc:
-                    msg = f"corrupt gzip stream: {exc}"
-            errs.append(msg)
-        yield pd.DataFrame({"path": pdf["path"], "error": errs})
+def _gzip_error(path: str, stream: BinaryIO) -> tuple[str, str | None]:
+    """The first error of a gzip stream, read to its end chunk by chunk."""
+    if path.endswith(".gz"):
+        try:
+            for _ in file_chunks(path, stream):
+                pass
+        except EOFError as exc:
+            return path, str(exc)
+        except zlib.error as exc:
+            return path, f"corrupt gzip stream: {exc}"
+    return path, None
 
 
 def check_compression(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """{path: error} for the files whose gzip stream cannot be read to the end.
 
-    Each file's bytes go to Python one file per Arrow batch (a file is one
-    row of ``binaryFile``; files over 2 GiB exceed that source), and are
-    inflated in 1 MiB steps, so memory per task stays near one file.
+    Files are streamed in 1 MiB steps inside tasks, whatever their size.  An
+    empty file is not broken: it has no rows.
     """
-    if not paths:
-        return {}
-    ship_package(spark)
-    raw = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "1")
-    try:
-        rows = raw.mapInPandas(_gzip_errors, "path string, error string") \
-            .where(F.col("error").isNotNull()).collect()  # failed files only
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-    return {r["path"]: r["error"] for r in rows}
+    rows = each_file(spark, paths, _gzip_error, "path string, error string")
+    return {path: error for path, error in rows if error and error != "empty gzip stream"}
 
 
 def _cast_ok(c: str, dt: T.DataType) -> Column:
@@ -265,12 +265,12 @@ def _cast_ok(c: str, dt: T.DataType) -> Column:
 ONE_FILE_OPEN_COST = str(1 << 40)
 
 
-def _write_load(spark: SparkSession, table: str, paths: Sequence[str],
+def _write_load(spark: SparkSession, load_dir: str, paths: Sequence[str],
                 data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
-                opts: dict[str, str], load_id: str) -> set[str]:
-    """One parse of the files: typed rows into ``load_id=/source_file_name=``
-    folders; returns the files holding a bad row (wrong field count or a value
-    that does not fit its column), collected by an Observation on the same pass.
+                opts: dict[str, str]) -> set[str]:
+    """One parse of the files: typed rows into the load's folder; returns the
+    files holding a bad row (wrong field count or a value that does not fit its
+    column), collected by an Observation on the same pass.
 
     Gzip files are read one file per partition, so the row number in file
     comes from the scan position alone (no second, summary scan).  The same
@@ -278,16 +278,17 @@ def _write_load(spark: SparkSession, table: str, paths: Sequence[str],
     dropped and written again with the summary method.
     """
     if all(p.endswith(".gz") for p in paths):
-        bad = _write_pass(spark, table, paths, data_fields, loaded_at, opts, load_id, True)
+        with conf_for(spark, {"spark.sql.files.openCostInBytes": ONE_FILE_OPEN_COST}):
+            bad = _write_pass(spark, load_dir, paths, data_fields, loaded_at, opts, True)
         if bad is not None:
             return bad
-        delete(spark, f"{table}/load_id={load_id}")
-    return _write_pass(spark, table, paths, data_fields, loaded_at, opts, load_id, False)
+        delete(spark, load_dir)
+    return _write_pass(spark, load_dir, paths, data_fields, loaded_at, opts, False)
 
 
-def _write_pass(spark: SparkSession, table: str, paths: Sequence[str],
+def _write_pass(spark: SparkSession, load_dir: str, paths: Sequence[str],
                 data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
-                opts: dict[str, str], load_id: str, one_file: bool) -> set[str] | None:
+                opts: dict[str, str], one_file: bool) -> set[str] | None:
     raw = read_landed_csv(spark, paths, [f.name for f in data_fields], opts,
                           corrupt_column="__corrupt")
     bad = F.col("__corrupt").isNotNull()
@@ -298,43 +299,24 @@ def _write_pass(spark: SparkSession, table: str, paths: Sequence[str],
              for f in data_fields]
     out = with_lineage(raw.withColumn("__bad", bad), loaded_at, typed + [F.col("__bad")],
                        one_file_per_partition=one_file)
-    obs = Observation(f"load_{load_id}_{int(one_file)}")
+    obs = Observation(f"load_{uuid.uuid4().hex}")
     metrics = [F.collect_set(F.when(F.col("__bad"), F.col("source_file_name")))
                .alias("bad_files")]
     if one_file:  # (partition, file) pairs: one file per partition expected
         metrics.append(F.collect_set(F.struct("__pid", "source_file_name")).alias("pid_files"))
-    out = out.observe(obs, *metrics).drop("__bad", "__pid")
-    write = (out.withColumn("load_id", F.lit(load_id))
-             .write.mode("append").partitionBy("load_id", "source_file_name"))
+    out.observe(obs, *metrics).drop("__bad", "__pid").write.parquet(load_dir)
     if one_file:
-        key = "spark.sql.files.openCostInBytes"
-        old = spark.conf.get(key)
-        spark.conf.set(key, ONE_FILE_OPEN_COST)
-        try:
-            write.parquet(table)
-        finally:
-            spark.conf.set(key, old)
         pids = [r[0] for r in obs.get.get("pid_files") or []]
         if len(pids) != len(set(pids)):
             return None
-    else:
-        write.parquet(table)
     return set(obs.get.get("bad_files") or [])
 
 
-def _file_folders(spark: SparkSession, load_dir: str) -> dict[str, str]:
-    from urllib.parse import unquote
-    prefix = "source_file_name="
-    return {unquote(n[len(prefix):]): full for n, full, _, is_dir in list_status(spark, load_dir)
-            if is_dir and n.startswith(prefix)}
-
-
-def _rows_per_file(spark: SparkSession, load_dir: str) -> dict[str, int]:
-    if not path_exists(spark, load_dir):
-        return {}
-    df = (spark.read.schema("source_file_name string").option("basePath", load_dir)
-          .parquet(load_dir))
-    return {r[0]: int(r[1]) for r in df.groupBy("source_file_name").count().collect()}
+def _manifest(spark: SparkSession, load_dir: str, key: str) -> dict[str, tuple]:
+    """File name -> rows and range of the column ``key``, from two columns of the load."""
+    rows = spark.read.parquet(load_dir).groupBy("source_file_name").agg(
+        F.count(F.lit(1)), F.min(f"`{key}`").cast("string"), F.max(f"`{key}`").cast("string"))
+    return {r[0]: tuple(r)[1:] for r in rows.collect()}  # one row per file
 
 
 def _utc(at: _dt.datetime) -> _dt.datetime:
@@ -353,96 +335,109 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     them) stands for the listing of the landing folder.
 
     Optimistic, single parse per entity: the new files are parsed once and
-    written into a fresh ``load_id`` folder, one sub-folder per source file;
-    the files that held a bad row are known from the same pass and their
-    folders are removed before the ledger names the load.  Only when the
-    pass dies on an unreadable gzip stream are the files checked one by one
-    (``check_compression``) and the pass repeated without the broken ones.
+    written into a fresh ``load_id`` folder; the files that held a bad row are
+    known from the same pass, and the ledger does not name them as loaded.
+    Headers are judged first.  Only when the pass dies are the files' streams
+    checked one by one (``check_compression``) and the pass repeated without
+    the broken ones; if it dies again, the entity's files fail with the reason
+    and the next entity goes on.
     """
     wh = warehouse.rstrip("/")
     opts = dict(options or profile("ingest_csv"))
     files = landed_files(spark, landing) if files is None else files
-    ledger = read_ledger(spark, warehouse)
-    loaded = ledger.where(F.col("status") == "LOADED")
+    ledger = read_ledger(spark, warehouse, files.select("file_name"))
     same = ["file_name", "length", "modified"]
-    new = files.join(loaded.select(*same), same, "left_anti")
-    skipped = files.join(loaded.select(*same), same, "left_semi")
+    loaded = current_loads(ledger).select(*same)
+    new = files.join(loaded, same, "left_anti")
+    skipped = files.join(loaded, same, "left_semi")
     todo = new.select("entity", "path", *same).collect()  # file names only
-    known = {r["load_id"] for r in ledger.select("load_id").distinct().collect()}
-
-    reports: list[DataFrame] = [skipped.select(
-        "file_name", "entity", F.lit("SKIPPED").alias("status"),
-        F.lit(0).cast("bigint").alias("rows_loaded"),
-        F.lit("file already loaded").alias("message"))]
-    # File names identify files (ledger, lineage, per-file folders): names
-    # that occur twice under the landing folder are refused, not merged.
+
+    # The skipped rows are fixed now: the ledger moves on below.
+    reports: list[tuple] = [(r["file_name"], r["entity"], "SKIPPED", 0, "file already loaded")
+                            for r in skipped.select("file_name", "entity").collect()]
+    # File names identify files (ledger, lineage): names that occur twice under
+    # the landing folder are refused, not merged.
     seen = Counter(r["file_name"] for r in todo)
-    dup = {n for n, k in seen.items() if k > 1}
-    if dup:
-        reports.append(spark.createDataFrame(
-            [(r["file_name"], r["entity"], "FAILED", 0,
-              "file name occurs more than once under the landing folder")
-             for r in todo if r["file_name"] in dup], REPORT_SCHEMA))
-        todo = [r for r in todo if r["file_name"] not in dup]
+    reports += [(r["file_name"], r["entity"], "FAILED", 0,
+                 "file name occurs more than once under the landing folder")
+                for r in todo if seen[r["file_name"]] > 1]
+    todo = [r for r in todo if seen[r["file_name"]] == 1]
     by_entity: dict[str, list] = {}
     for r in todo:
         by_entity.setdefault(r["entity"], []).append(r)
+    schemas = {e: table_schema(spark, f"{wh}/{e}") for e in by_entity}
+    headers = read_headers(spark, [r["path"] for r in todo if schemas[r["entity"]]], opts)
+    faults = {r["file_name"]: f"header: {why}" for r in todo if r["path"] in headers
+              and (why := header_fault(headers[r["path"]], RESERVED))}
+    told = {(r["file_name"], r["length"], r["modified"], r["message"])
+            for r in last_failures(ledger).select(*same, "message").collect()} if todo else set()
 
     for entity, rows in sorted(by_entity.items()):
-        table = f"{wh}/{entity}"
-        schema = table_schema(spark, table)
-        if schema is None:
-            reports.append(spark.createDataFrame(
-                [(r["file_name"], entity, "FAILED", 0, "no table for entity") for r in rows],
-                REPORT_SCHEMA))
+        if schemas[entity] is None:
+            reports += [(r["file_name"], entity, "FAILED", 0, faults.get(
+                r["file_name"], "no table for entity")) for r in rows]
             continue
-        _drop_orphan_loads(spark, table, known)
-        data_fields = schema.fields[6:]
-        failed: dict[str, str] = {}
-        load_id = uuid.uuid4().hex
+        failed = {r["file_name"]: faults[r["file_name"]] for r in rows if r["file_name"] in faults}
+        load_id, found = uuid.uuid4().hex, {}
+        load_dir = f"{wh}/{entity}/load_id={load_id}"
         try:
-            bad = _write_load(spark, table, [r["path"] for r in rows], data_fields, loaded_at,
-                              opts, load_id)
-        except Exception:  # noqa: BLE001 - find unreadable files, then retry once
-            delete(spark, f"{table}/load_id={load_id}")
-            gz_err = check_compression(spark, [r["path"] for r in rows])
-            if not gz_err:
-                raise
-            failed.update({r["file_name"]: gz_err[r["path"]] for r in rows if r["path"] in gz_err})
-            load_id = uuid.uuid4().hex
-            rest = [r["path"] for r in rows if r["file_name"] not in failed]
-            bad = _write_load(spark, table, rest, data_fields, loaded_at, opts, load_id) \
-                if rest else set()
-        for f in bad:
-            failed[f] = ("rows with a wrong number of fields or a value that does not fit "
-                         "the column type")
-        load_dir = f"{table}/load_id={load_id}"
+            rest = [r for r in rows if r["file_name"] not in failed]
+            if rest:
+                bad, found = _load_entity(spark, load_dir, rest, schemas[entity].fields[6:],
+                                          loaded_at, opts)
+                failed |= bad
+        except Exception as exc:  # noqa: BLE001 - an entity's fault stops no other one
+            failed |= {r["file_name"]: _reason(exc) for r in rest}
         if failed and on_error == "abort":
             delete(spark, load_dir)
             raise RuntimeError(f"load of {entity} aborted: {failed}")
-        folders = _file_folders(spark, load_dir) if path_exists(spark, load_dir) else {}
-        for f in failed:
-            if f in folders:
-                delete(spark, folders[f])
-        counts = _rows_per_file(spark, load_dir)
+        if len(failed) == len(rows):
+            delete(spark, load_dir)
         report = [(r["file_name"], entity, "FAILED", 0, failed[r["file_name"]])
                   for r in rows if r["file_name"] in failed]
-        report += [(r["file_name"], entity, "LOADED", counts.get(r["file_name"], 0), "loaded")
+        report += [(r["file_name"], entity, "LOADED", found.get(r["file_name"], (0,))[0], "loaded")
                    for r in rows if r["file_name"] not in failed]
-        rep_df = spark.createDataFrame(report, REPORT_SCHEMA)
         seen_as = {r["file_name"]: (r["length"], r["modified"]) for r in rows}
-        ledger_rows = [(entity, f, *seen_as[f], load_id, _utc(loaded_at), n, st, m)
-                       for f, _, st, n, m in report]
-        _append_ledger(spark, warehouse, spark.createDataFrame(ledger_rows, LEDGER_SCHEMA))
-        known.add(load_id)
-        reports.append(rep_df)
-
-    report = reports[0]
-    for r in reports[1:]:
-        report = report.unionByName(r)
-    n_new = len(todo)
-    msg = ("SUCCESS -- load complete" if n_new else "Copy executed with 0 files processed")
-    return RunResult(msg, report)
+        news = [(entity, f, *seen_as[f], load_id, _utc(loaded_at), n, st, m,
+                 *(found.get(f, (0, None, None))[1:] if st == "LOADED" else (None, None)))
+                for f, _, st, n, m in report if (f, *seen_as[f], m) not in told]
+        if news:  # a failure that is known already adds no row
+            append_ledger(spark, warehouse, spark.createDataFrame(
+                news, T.StructType(LEDGER_SCHEMA.fields[:-1])))
+        reports += report
+        _drop_orphan_loads(spark, f"{wh}/{entity}", {load_id, *_current_ids(
+            spark, warehouse, entity)})
+
+    msg = ("SUCCESS -- load complete" if todo else "Copy executed with 0 files processed")
+    return RunResult(msg, spark.createDataFrame(reports, REPORT_SCHEMA))
+
+
+def _current_ids(spark: SparkSession, warehouse: str, entity: str) -> list[str]:
+    rows = current_loads(read_ledger(spark, warehouse).where(F.col("entity") == entity))
+    return [r[0] for r in rows.select("load_id").distinct().collect()]  # one per load
+
+
+def _load_entity(spark: SparkSession, load_dir: str, rows: list,
+                 data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
+                 opts: dict[str, str]) -> tuple[dict[str, str], dict[str, tuple]]:
+    """Write one load; returns why files failed and the manifest of the others."""
+    failed: dict[str, str] = {}
+    try:
+        bad = _write_load(spark, load_dir, [r["path"] for r in rows], data_fields, loaded_at, opts)
+    except Exception:  # noqa: BLE001 - find unreadable files, then retry once
+        delete(spark, load_dir)
+        broken = check_compression(spark, [r["path"] for r in rows])
+        if not broken:
+            raise
+        failed = {r["file_name"]: broken[r["path"]] for r in rows if r["path"] in broken}
+        rest = [r["path"] for r in rows if r["path"] not in broken]
+        bad = _write_load(spark, load_dir, rest, data_fields, loaded_at, opts) if rest else set()
+    failed |= {f: "rows with a wrong number of fields or a value that does not fit "
+                  "the column type" for f in bad}
+    if len(failed) == len(rows):
+        return failed, {}
+    found = _manifest(spark, load_dir, data_fields[0].name)
+    return failed, {f: v for f, v in found.items() if f not in failed}
 
 
 def verify(report: DataFrame) -> DataFrame:
@@ -475,10 +470,32 @@ def verify_summary(report: DataFrame) -> DataFrame:
         .withColumn("all_loaded", F.col("files_failed") == 0)
 
 
-def read_table_rows(spark: SparkSession, warehouse: str, entity: str) -> DataFrame:
-    """Rows of the loads that the ledger names, file by file."""
-    done = read_ledger(spark, warehouse).where(
-        (F.col("entity") == entity) & (F.col("status") == "LOADED")) \
-        .select("load_id", F.col("file_name").alias("source_file_name")).distinct()
-    rows = read_entity(spark, f"{warehouse.rstrip('/')}/{entity}")
+def read_table_rows(spark: SparkSession, warehouse: str, entity: str,
+                    keys: tuple[object, object] | None = None) -> DataFrame:
+    """Rows of the files that the ledger names, each from its newest load.
+
+    ``keys`` (lowest, highest; None: open) limits the rows by the entity's
+    first data column.  Files whose range in the ledger lies outside are not
+    matched, and load folders without any matching file are not read.
+    """
+    table = f"{warehouse.rstrip('/')}/{entity}"
+    rows = read_entity(spark, table)
+    done = current_loads(read_ledger(spark, warehouse).where(F.col("entity") == entity))
+    if keys is not None:
+        field = table_schema(spark, table).fields[len(LINEAGE_FIELDS)]
+
+        def within(low: Column, high: Column) -> Column:
+            out = F.lit(True)
+            if keys[0] is not None:
+                out = out & (high >= F.lit(keys[0]).cast(field.dataType))
+            if keys[1] is not None:
+                out = out & (low <= F.lit(keys[1]).cast(field.dataType))
+            return out
+
+        done = done.where(within(F.col("key_min").cast(field.dataType),
+                                 F.col("key_max").cast(field.dataType)))
+        ids = [r[0] for r in done.select("load_id").distinct().collect()]  # one per load
+        key = F.col(f"`{field.name}`")
+        rows = rows.where(F.col("load_id").isin(ids) & within(key, key))
+    done = done.select("load_id", F.col("file_name").alias("source_file_name"))
     return rows.join(done, ["load_id", "source_file_name"], "left_semi").select(*rows.columns)

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.session import scratch_path
+from sluice.sources.streams import move_files
 
 
 def _fs(spark: SparkSession, path: str):
@@ -87,9 +88,9 @@ _APPEND = "_append_"
 
 
 def _finish_append(spark: SparkSession, path: str, staging: str) -> None:
-    for name, full, _, _ in list_status(spark, staging):
-        if name.startswith("part-"):
-            rename(spark, full, f"{path.rstrip('/')}/{name}")
+    move_files(spark, [(full, f"{path.rstrip('/')}/{name}")
+                       for name, full, _, _ in list_status(spark, staging)
+                       if name.startswith("part-")])
     delete(spark, staging)
 
 
@@ -132,7 +133,7 @@ def publish_named(spark: SparkSession, tmp: str, out_dir: str, column: str,
     """
     from urllib.parse import unquote
     prefix = f"{column}="
-    out = []
+    out, moves = [], []
     for d, full, _, is_dir in list_status(spark, tmp):
         if not (is_dir and d.startswith(prefix)):
             continue
@@ -140,7 +141,8 @@ def publish_named(spark: SparkSession, tmp: str, out_dir: str, column: str,
         parts = [f for f in list_status(spark, full) if f[0].startswith("part-")]
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file for {name}, found {len(parts)}")
-        rename(spark, parts[0][1], f"{out_dir.rstrip('/')}/{name}", overwrite=overwrite)
+        moves.append((parts[0][1], f"{out_dir.rstrip('/')}/{name}"))
         out.append((name, parts[0][2]))
+    move_files(spark, moves, overwrite)
     delete(spark, tmp)
     return sorted(out)

@@ -9,8 +9,10 @@ unset folder is an error.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +68,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+@contextlib.contextmanager
+def conf_for(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """SQL settings for the jobs started inside the block, then as before."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def cluster_conf(shuffle_bytes: int = 100 * 2**40, partition_bytes: int = 512 * 2**20
                  ) -> dict[str, str]:
     """Settings for a large cluster (pass to ``SparkSession.builder.config``).

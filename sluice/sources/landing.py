@@ -8,6 +8,7 @@ table it loads into and the 8 date digits are the file's date.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,10 +124,10 @@ def write_named_csv(spark: SparkSession, df: DataFrame, out_dir: str, name_col:
     sort.  Returns the written names.
     """
     opts = dict(options or profile("export_csv"))
-    tmp = out_dir.rstrip("/") + "/_tmp_write"
+    tmp = f"{out_dir.rstrip('/')}/_tmp_write_{uuid.uuid4().hex}"
     ordered = (df.repartition(name_col) if shuffle else df) \
         .sortWithinPartitions(name_col, *order_by)
     if drop:
         ordered = ordered.drop(*drop)
-    ordered.write.mode("overwrite").partitionBy(name_col).options(**opts).csv(tmp)
+    ordered.write.partitionBy(name_col).options(**opts).csv(tmp)
     return [name for name, _ in publish_named(spark, tmp, out_dir, name_col)]

@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.operators.ledger import current_loads, read_ledger
 from sluice.operators.load import (RunResult, create_entity_tables, landed, landed_files,
-                                   load_files, read_ledger)
+                                   load_files)
 from sluice.operators.snapshot import stage
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -33,7 +34,7 @@ AfterLoad = Callable[[SparkSession, str, RunResult], None]
 def has_new_files(spark: SparkSession, landing: str, warehouse: str) -> bool:
     """Batch form of the stream-has-data check (I1): landed files not in the ledger."""
     files = landed_files(spark, landing)
-    loaded = read_ledger(spark, warehouse).where(F.col("status") == "LOADED")
+    loaded = current_loads(read_ledger(spark, warehouse, files.select("file_name")))
     same = ["file_name", "length", "modified"]
     return bool(files.join(loaded.select(*same), same, "left_anti").take(1))
 
