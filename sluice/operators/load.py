@@ -30,11 +30,13 @@ stops no other entity.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import time
 import uuid
 import zlib
 from collections import Counter
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import BinaryIO
 
@@ -55,6 +57,8 @@ from sluice.sources.landing import (LANDED_PATTERN, LINEAGE_FIELDS, entity_from_
                                     read_landed_csv, with_lineage)
 from sluice.sources.streams import each_file, file_chunks
 
+#: Entities whose load jobs run side by side.
+ENTITIES_AT_ONCE = 4
 #: Names that a table's own columns have.
 RESERVED = [*(name for name, _ in LINEAGE_FIELDS), "load_id"]
 REPORT_SCHEMA = ("file_name string, entity string, status string, rows_loaded bigint, "
@@ -90,19 +94,29 @@ def landed_files(spark: SparkSession, landing: str, pattern: str = LANDED_PATTER
 ORPHAN_AGE = _dt.timedelta(hours=24)
 
 
-def _drop_orphan_loads(spark: SparkSession, table: str, known: set[str],
-                       age: _dt.timedelta = ORPHAN_AGE) -> list[str]:
-    dropped = []
+def _old_loads(spark: SparkSession, table: str, age: _dt.timedelta) -> dict[str, str]:
+    """Load id -> folder of the loads that are older than ``age``."""
     fs, p = _fs(spark, table)
-    oldest = time.time() - age.total_seconds()
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("load_id=") \
-                and name[len("load_id="):] not in known \
-                and st.getModificationTime() / 1000 < oldest:
-            delete(spark, st.getPath().toString())
-            dropped.append(name)
-    return dropped
+    oldest, prefix = time.time() - age.total_seconds(), "load_id="
+    return {st.getPath().getName()[len(prefix):]: st.getPath().toString()
+            for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)
+            and st.getModificationTime() / 1000 < oldest}
+
+
+def _drop_orphan_loads(spark: SparkSession, warehouse: str, entities: Sequence[str],
+                       age: _dt.timedelta = ORPHAN_AGE) -> list[str]:
+    """Delete old load folders without a current file: of runs that broke off,
+    and of files that were all replaced."""
+    old = {e: _old_loads(spark, f"{warehouse.rstrip('/')}/{e}", age) for e in entities}
+    if not any(old.values()):
+        return []
+    rows = current_loads(read_ledger(spark, warehouse).where(F.col("entity").isin(list(old))))
+    known = {r[0] for r in rows.select("load_id").distinct().collect()}  # one per load
+    gone = [path for loads in old.values() for i, path in loads.items() if i not in known]
+    for path in gone:
+        delete(spark, path)
+    return gone
 
 
 # ---------------------------------------------------------------------------
@@ -272,14 +286,13 @@ def _write_load(spark: SparkSession, load_dir: str, paths: Sequence[str],
     files holding a bad row (wrong field count or a value that does not fit its
     column), collected by an Observation on the same pass.
 
-    Gzip files are read one file per partition, so the row number in file
-    comes from the scan position alone (no second, summary scan).  The same
+    Gzip files are read one file per partition (the caller sets the open cost),
+    so the row number in file comes from the scan position alone (no second, summary scan).  The same
     pass checks that condition; if it did not hold, the load folder is
     dropped and written again with the summary method.
     """
     if all(p.endswith(".gz") for p in paths):
-        with conf_for(spark, {"spark.sql.files.openCostInBytes": ONE_FILE_OPEN_COST}):
-            bad = _write_pass(spark, load_dir, paths, data_fields, loaded_at, opts, True)
+        bad = _write_pass(spark, load_dir, paths, data_fields, loaded_at, opts, True)
         if bad is not None:
             return bad
         delete(spark, load_dir)
@@ -337,8 +350,8 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     Optimistic, single parse per entity: the new files are parsed once and
     written into a fresh ``load_id`` folder; the files that held a bad row are
     known from the same pass, and the ledger does not name them as loaded.
-    Headers are judged first.  Only when the pass dies are the files' streams
-    checked one by one (``check_compression``) and the pass repeated without
+    Headers are judged first, and files that are no gzip streams found with
+    them.  Only when the pass dies are the files' streams checked one by one (``check_compression``) and the pass repeated without
     the broken ones; if it dies again, the entity's files fail with the reason
     and the next entity goes on.
     """
@@ -369,19 +382,37 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     headers = read_headers(spark, [r["path"] for r in todo if schemas[r["entity"]]], opts)
     faults = {r["file_name"]: f"header: {why}" for r in todo if r["path"] in headers
               and (why := header_fault(headers[r["path"]], RESERVED))}
+    # No header: the file is empty, or its bytes break off before the first record.
+    none = {r["path"]: r["file_name"] for r in todo
+            if schemas[r["entity"]] and r["path"] not in headers}
+    faults |= {none[path]: why for path, why in check_compression(spark, list(none)).items()}
     told = {(r["file_name"], r["length"], r["modified"], r["message"])
             for r in last_failures(ledger).select(*same, "message").collect()} if todo else set()
 
-    for entity, rows in sorted(by_entity.items()):
+    waiting: list[list[tuple]] = []
+    turn = threading.Lock()
+
+    def commit(rows: list[tuple]) -> None:
+        """Commit ledger rows, with those of all entities that wait meanwhile."""
+        waiting.append(rows)
+        with turn:
+            batch: list[tuple] = []
+            while waiting:
+                batch += waiting.pop()
+            if batch:  # else another entity has taken the rows along
+                append_ledger(spark, warehouse, spark.createDataFrame(
+                    batch, T.StructType(LEDGER_SCHEMA.fields[:-1])))
+
+    def load(entity: str) -> list[tuple]:
+        rows = by_entity[entity]
         if schemas[entity] is None:
-            reports += [(r["file_name"], entity, "FAILED", 0, faults.get(
-                r["file_name"], "no table for entity")) for r in rows]
-            continue
+            return [(r["file_name"], entity, "FAILED", 0,
+                     faults.get(r["file_name"], "no table for entity")) for r in rows]
         failed = {r["file_name"]: faults[r["file_name"]] for r in rows if r["file_name"] in faults}
         load_id, found = uuid.uuid4().hex, {}
         load_dir = f"{wh}/{entity}/load_id={load_id}"
+        rest = [r for r in rows if r["file_name"] not in failed]
         try:
-            rest = [r for r in rows if r["file_name"] not in failed]
             if rest:
                 bad, found = _load_entity(spark, load_dir, rest, schemas[entity].fields[6:],
                                           loaded_at, opts)
@@ -402,21 +433,19 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
                  *(found.get(f, (0, None, None))[1:] if st == "LOADED" else (None, None)))
                 for f, _, st, n, m in report if (f, *seen_as[f], m) not in told]
         if news:  # a failure that is known already adds no row
-            append_ledger(spark, warehouse, spark.createDataFrame(
-                news, T.StructType(LEDGER_SCHEMA.fields[:-1])))
-        reports += report
-        _drop_orphan_loads(spark, f"{wh}/{entity}", {load_id, *_current_ids(
-            spark, warehouse, entity)})
-
+            commit(news)
+        return report
+
+    # Jobs of some entities run side by side; what one of them meets is its own.
+    with conf_for(spark, {"spark.sql.files.openCostInBytes": ONE_FILE_OPEN_COST}), \
+            ThreadPoolExecutor(1 if on_error == "abort" else ENTITIES_AT_ONCE) as pool:
+        for report in pool.map(load, sorted(by_entity)):
+            reports += report
+    _drop_orphan_loads(spark, warehouse, [e for e in sorted(by_entity) if schemas[e]])
     msg = ("SUCCESS -- load complete" if todo else "Copy executed with 0 files processed")
     return RunResult(msg, spark.createDataFrame(reports, REPORT_SCHEMA))
 
 
-def _current_ids(spark: SparkSession, warehouse: str, entity: str) -> list[str]:
-    rows = current_loads(read_ledger(spark, warehouse).where(F.col("entity") == entity))
-    return [r[0] for r in rows.select("load_id").distinct().collect()]  # one per load
-
-
 def _load_entity(spark: SparkSession, load_dir: str, rows: list,
                  data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
                  opts: dict[str, str]) -> tuple[dict[str, str], dict[str, tuple]]:

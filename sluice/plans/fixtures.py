@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.snapshot import publish_named
 from sluice.session import scratch_path
 from sluice.sources.landing import write_named_csv
 
@@ -44,10 +45,20 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 def land_table(spark: SparkSession, df: DataFrame, landing: str, entity: str, key: str,
                rows_per_file: int, date: str = FILE_DATE,
-               options: dict[str, str] | None = None) -> list[str]:
+               options: dict[str, str] | None = None, overwrite: bool = False) -> list[str]:
     """Write ``df`` as landed files sorted by ``key``; returns the file names."""
     named = csv_ready(df).withColumn("__name", file_name_col(entity, key, rows_per_file, date))
-    return write_named_csv(spark, named, landing, "__name", order_by=[key], options=options)
+    return write_named_csv(spark, named, landing, "__name", order_by=[key], options=options,
+                           overwrite=overwrite)
+
+
+def land_lines(spark: SparkSession, lines: DataFrame, landing: str) -> list[str]:
+    """Write ``name, at, line`` rows as gzip files of these lines in the order
+    of ``at``, header lines included: files that no CSV writer would make."""
+    tmp = scratch_path(spark, "lines")
+    lines.repartition("name").sortWithinPartitions("name", "at").select("name", "line") \
+        .write.partitionBy("name").option("compression", "gzip").text(tmp)
+    return [name for name, _ in publish_named(spark, tmp, landing, "name")]
 
 
 def new_landing(spark: SparkSession, purpose: str = "landing") -> str:

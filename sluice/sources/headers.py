@@ -42,17 +42,16 @@ def _first_record(text: str, quote: str, escape: str, whole: bool) -> str | None
     """The first record of the text that is not blank; None if it does not end
     in it.  ``whole``: nothing follows the text."""
     record, open_ = "", False
-    for line in _LINE_END.split(text):
+    lines = _LINE_END.split(text)
+    for i, line in enumerate(lines, 1):
         if not record and not line.strip():
             continue
         record = f"{record}\n{line}" if open_ else line
         quotes = record if escape == quote else record.replace(escape + quote, "")
         open_ = quotes.count(quote) % 2 == 1
-        if not open_:
-            break
-    if not whole and (open_ or text.rstrip("\r\n").endswith(record)):
-        return None  # its last line may go on
-    return record if not open_ else None
+        if not open_:  # the text's last line may go on
+            return record if whole or i < len(lines) else None
+    return None if open_ or not whole else record
 
 
 def read_header(path: str, stream: BinaryIO, sep: str = ",", quote: str = '"',
@@ -75,6 +74,8 @@ def read_header(path: str, stream: BinaryIO, sep: str = ",", quote: str = '"',
             return Header([], "the header record does not end: a quote is left open")
     if not record:
         return None
+    if len(record) > limit:
+        return Header([], f"the header record does not end within {limit} characters")
     try:
         names = next(csv.reader(io.StringIO(record, newline=""), delimiter=sep, quotechar=quote,
                                 escapechar=None if escape == quote else escape), [])

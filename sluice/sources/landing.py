@@ -112,7 +112,8 @@ def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[
 
 def write_named_csv(spark: SparkSession, df: DataFrame, out_dir: str, name_col: str,
                     order_by: Sequence[str] = (), options: dict[str, str] | None = None,
-                    shuffle: bool = True, drop: Sequence[str] = ()) -> list[str]:
+                    shuffle: bool = True, drop: Sequence[str] = (), overwrite: bool = False
+                    ) -> list[str]:
     """Write one gzip CSV file per distinct ``name_col`` value, named by it.
 
     Rows of one name go to one task (``repartition(name)``), sorted by
@@ -121,7 +122,8 @@ def write_named_csv(spark: SparkSession, df: DataFrame, out_dir: str, name_col:
     file), so no file is unboundedly large.  ``shuffle=False`` is for data
     whose names are already confined to one partition each (rows read
     from one non-splittable file).  ``drop`` columns are removed after the
-    sort.  Returns the written names.
+    sort.  ``overwrite`` replaces files of the same name.  Returns the written
+    names.
     """
     opts = dict(options or profile("export_csv"))
     tmp = f"{out_dir.rstrip('/')}/_tmp_write_{uuid.uuid4().hex}"
@@ -130,4 +132,4 @@ def write_named_csv(spark: SparkSession, df: DataFrame, out_dir: str, name_col:
     if drop:
         ordered = ordered.drop(*drop)
     ordered.write.partitionBy(name_col).options(**opts).csv(tmp)
-    return [name for name, _ in publish_named(spark, tmp, out_dir, name_col)]
+    return [name for name, _ in publish_named(spark, tmp, out_dir, name_col, overwrite)]
