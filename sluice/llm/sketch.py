@@ -7,7 +7,10 @@ the shared hashes over those of the smaller one estimate containment, and
 the sketch of a union is the union of the sketches (``merge``).  A text
 whose shingles all lie above the threshold keeps its smallest hash alone;
 merging drops such a hash again when any other lies below, so merging stays
-exact.  Fewer than five words make one shingle; no words, none.
+exact.  Such a lone hash says whether texts are equal and no more: at one half
+of the range a text of four shingles has one in 16 cases, one of eight
+shingles in 256 (``lone_hash`` of the report).  Fewer than five words make one
+shingle; no words, none.
 
 Words are the lower-cased text's runs between white space.  A shingle hash
 is XXH64 over the XXH64 values of its words.  As a string a sketch is its
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE_WORDS = 5
-FRACTION = 1 / 8
+FRACTION = 1 / 2
 
 
 def _limit(fraction: float) -> int:
@@ -96,7 +99,13 @@ def with_next(docs: DataFrame, doc_id: str, carry: list[str], parts: int) -> Dat
                    F.sum(F.col(doc_id).isNull().cast("long")).alias("nulls")).first()
     cuts = sorted({c for c in (got["q"] or []) if c > got["lo"]}) if parts > 1 else []
     cuts_col = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
-    part = F.coalesce(F.size(F.filter(cuts_col, lambda c: c <= F.col(doc_id))), F.lit(0))
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    # cuts up to the id, by halving steps: a step is taken if the cut there is not above the id
+    found = F.aggregate(F.array(*map(F.lit, steps)) if steps else F.array().cast("array<int>"),
+                        F.lit(0), lambda at, step: at + F.when(
+                            F.get(cuts_col, at + step - 1) <= F.col(doc_id), step).otherwise(0))
+    docs = docs.select("*", found.alias("part__"))
+    part = F.col("part__")
     first = F.col(doc_id).isNull() if got["nulls"] else F.col(doc_id) == F.lit(got["lo"])
     here = F.struct(part.alias("part"), F.lit(False).alias("guest"), F.lit(False).alias("wrap"))
     to_previous = F.struct((part - 1).alias("part"), F.lit(True).alias("guest"),
@@ -104,13 +113,13 @@ def with_next(docs: DataFrame, doc_id: str, carry: list[str], parts: int) -> Dat
     to_last = F.struct(F.lit(len(cuts)).alias("part"), F.lit(True).alias("guest"),
                        F.lit(True).alias("wrap"))
     places = F.filter(F.array(
-        here, F.when(F.array_contains(cuts_col, F.col(doc_id)), to_previous),
+        here, F.when(F.get(cuts_col, part - 1) == F.col(doc_id), to_previous),
         F.when(first, to_last)), lambda p: p.isNotNull())
     rows = docs.select("*", F.explode(places).alias("at__"))
     order = Window.partitionBy("at__.part").orderBy(
         "at__.wrap", F.col(doc_id).asc_nulls_first(), *[F.col(c) for c in carry])
     return rows.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carry]) \
-        .filter(~F.col("at__.guest")).drop("at__")
+        .filter(~F.col("at__.guest")).drop("at__", "part__")
 
 
 def sketch_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -138,4 +147,5 @@ def sketch_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         containment(F.col("sk"), F.col("ed")).alias("near_edited"),
         containment(F.col("sk"), F.col("next_sk")).alias("near_next"),
         jaccard(F.col("sk"), F.col("ed")).alias("jaccard_edited"),
-        jaccard(F.col("sk"), F.col("next_sk")).alias("jaccard_next"))
+        jaccard(F.col("sk"), F.col("next_sk")).alias("jaccard_next"),
+        F.coalesce(F.get("sk", F.lit(0)) > _limit(fraction), F.lit(False)).alias("lone_hash"))

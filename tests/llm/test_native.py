@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import struct
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sluice.llm import chat_format as cf
 from sluice.llm import mixing
 from sluice.llm import sketch as sk
-from tests.llm.common import awkward, frame, with_clashes
+from tests.llm.common import awkward, frame, prose, with_clashes
 
 CONV = "conv_id long, turn long, role string, text string"
 
@@ -103,10 +106,61 @@ def test_sketch_estimates_and_merge(spark):
                   sk.containment(a, c).alias("ac"), sk.merge(a, c).alias("m"),
                   both.alias("both"), F.size(a).alias("n")).first()
     assert r["ab"] == 1.0 and r["ac"] == 0.0 and abs(r["j"] - 0.25) < 0.05
-    assert abs(r["n"] - 4000 / 8) < 90
+    assert abs(r["n"] - 4000 * sk.FRACTION) < 120
     assert set(r["m"]) <= set(r["both"]) and len(set(r["both"]) - set(r["m"])) <= 4  # at the seam
 
 
+def _sketch_brute(text):
+    """Hashes of the distinct shingles below the bound, or the least one."""
+    def chain(values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest(struct.pack("<Q", v), h)
+        return h
+
+    words = [xxhash.xxh64_intdigest(w.encode(), 42)
+             for w in re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())]
+    n = sk.SHINGLE_WORDS
+    grams = [words[i:i + n] for i in range(len(words) - n + 1)] or ([words] if words else [])
+    signed = {h - (1 << 64) if h >> 63 else h for h in map(chain, grams)}
+    below = {h for h in signed if h + (1 << 63) < sk.FRACTION * (1 << 64)}
+    return below or ({min(signed)} if signed else set())
+
+
+def test_sketch_report_against_brute_force(spark):
+    rows = [r for r in awkward() if r[0] is not None]
+    rows += [(100 + k, prose(900 + k, 8 if k % 2 else 60), "en", "s", 0) for k in range(40)]
+    rows += [(200 + k, prose(700, 300 - 10 * k), "en", "s", 0) for k in range(20)]
+    order = sorted(rows, key=lambda r: (r[0], r[1] or ""))
+    texts = [r[1] or "" for r in order]
+
+    def like(a, b):
+        least = min(len(a), len(b))
+        return len(a & b) / least if least else float(len(a) == len(b))
+
+    def name(hashes):
+        return "".join(f"{h & (1 << 64) - 1:016X}" for h in sorted(hashes))
+
+    want = Counter()
+    for k, t in enumerate(texts):
+        nxt, cut = texts[(k + 1) % len(texts)], len(t) // 4
+        edited = t[:len(t) - cut] + nxt[:cut]
+        own, ed, beside = map(_sketch_brute, (t, edited, nxt))
+        want[order[k][0], len(t), hashlib.sha256(edited.encode()).hexdigest(), name(own), name(ed),
+             like(own, ed), like(own, beside)] += 1
+    for parts in (1, 2, 7, 64):
+        got = sk.sketch_report(frame(spark, rows).repartition(3), parts=parts).collect()
+        assert Counter(tuple(r)[:7] for r in got) == want, parts
+
+
+def test_contained_short_texts(spark):
+    pairs = [(prose(3000 + k, 8), prose(4000 + k, 150) + " " + prose(3000 + k, 8)) for k in range(200)]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    a, b = sk.sketch(F.col("x")), sk.sketch(F.col("y"))
+    got = [r[0] for r in df.select(sk.containment(a, b)).collect()]
+    assert set(got) <= {0.0, 1.0} and got.count(1.0) >= 175  # a lone hash: one case in 16
+
+
 def test_sketch_keeps_one_hash(spark):
     df = spark.createDataFrame([(f"word{i}",) for i in range(40)], "t string")
     sizes = [r[0] for r in df.select(F.size(sk.sketch(F.col("t")))).collect()]
