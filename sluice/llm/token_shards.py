@@ -46,10 +46,12 @@ END_ID = 2
 SHARD_IDS = 4 << 20
 CACHED_PIECES = 1_000_000
 _LONG_PIECE = 256
-_JOINED = 512
+_JOINED = 2048
 #: A piece starts at a blank or line feed that follows no white space.
 _PIECES = re.compile("[\\s\\S][^ \n]*(?:(?<=[\\s᠎])[ \n][^ \n]*)*")
-_POINTS = ".,;:!?"
+#: A letter or digit and a point behind it are two pre-tokens.
+_POINTS = frozenset(".,;:!?")
+_BEFORE = frozenset(c for c in map(chr, range(0x180)) if c.isalnum())
 
 
 def _ends_in_space(piece: str) -> bool:
@@ -83,7 +85,7 @@ class Encoder:
         for token, i in vocab.items():
             self.size[i] = len(token)
         self.end = np.array([end_id], self.dtype)
-        self.cached, self.cache = cached, {}
+        self.half, self.young, self.old = max(cached // 2, 1), {}, {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in
@@ -101,35 +103,44 @@ class Encoder:
         return [raw[a:b] for a, b in zip(edge, edge[1:])]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Put the pieces' ids into the cache."""
-        if len(self.cache) + len(pieces) > self.cached:
-            self.cache.clear()
-        cache, ends, need = self.cache, [], {}
+        """Put the ids of pieces that are not there into the young cache."""
+        known, ends, joined, rest = self.young, [], {}, {}
         for p in pieces:
-            if len(p) > 2 and p[-1] in _POINTS and p[-2].isalnum() and p[-2] < "ƀ":
-                ends.append(p)  # letters or digits and a point are two pre-tokens
-                need[p[:-1]] = need[p[-1]] = True
+            if p[-1:] in _POINTS and p[-2:-1] in _BEFORE:
+                ends.append(p)
+                p = p[:-1]
+                if p in known:
+                    continue
+            if p[:1] == " " and len(p) <= _LONG_PIECE and not _ends_in_space(p):
+                joined[p] = None
             else:
-                need[p] = True
-        need = [p for p in need if p not in cache]
-        joined = [p for p in need if p[:1] == " " and not _ends_in_space(p)
-                  and len(p) <= _LONG_PIECE]
+                rest[p] = None
+        joined, rest = list(joined), [*rest, *(_POINTS - known.keys() if ends else ())]
         for i in range(0, len(joined), _JOINED):
             part = joined[i:i + _JOINED]
-            cache.update(zip(part, self._encode_joined(part)))
-        rest = [p for p in need if p not in cache]
-        cache.update(zip(rest, (x.tobytes() for x in self._ids(rest))))
-        cache.update((p, cache[p[:-1]] + cache[p[-1]]) for p in ends)
+            known.update(zip(part, self._encode_joined(part)))
+        known.update(zip(rest, (x.tobytes() for x in self._ids(rest))))
+        known.update([(p, known[p[:-1]] + known[p[-1]]) for p in ends])
 
     def _values(self, pieces: list[str]) -> list[bytes]:
-        vals = list(map(self.cache.get, pieces))
+        """Ids of every piece.  What was looked up since the young cache was
+        last full is kept; the older half goes first."""
+        vals = list(map(self.young.get, pieces))
         gaps = [i for i, v in enumerate(vals) if v is None]
-        step = max(self.cached // 2, 1)
-        for k in range(0, len(gaps), step):
-            part = gaps[k:k + step]
-            self._learn(list(dict.fromkeys(pieces[i] for i in part)))
+        for k in range(0, len(gaps), self.half):
+            part = gaps[k:k + self.half]
+            if len(self.young) >= self.half:
+                self.old, self.young = self.young, {}
+            old, young, new = self.old.get, self.young, []
             for i in part:
-                vals[i] = self.cache[pieces[i]]
+                v = vals[i] = old(pieces[i])
+                if v is None:
+                    new.append(i)
+                else:
+                    young[pieces[i]] = v
+            self._learn(list(dict.fromkeys([pieces[i] for i in new])))
+            for i in new:
+                vals[i] = self.young[pieces[i]]
         return vals
 
     def _one(self, text: str) -> np.ndarray:
