@@ -151,7 +151,8 @@ class Encoder:
         parts = pc.split_pattern(texts, " ")
         edge = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes = coded.indices.to_numpy()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         last = pc.utf8_slice_codeunits(coded.dictionary, -1)
         open_ = pc.or_(pc.utf8_is_space(last), pc.is_in(last, pa.array(["", "᠎"], last.type)))
         open_ = open_.to_numpy(zero_copy_only=False)[codes]
