@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -48,12 +49,31 @@ def _store(path: str):
     return store, name
 
 
+def can_open(path: str) -> bool:
+    """Whether tasks can open files of the path's store."""
+    try:
+        _store(path)
+    except NoStream:
+        return False
+    return True
+
+
 def open_stream(path: str) -> BinaryIO:
     """The file's bytes from the start; ``NoStream`` if only Spark reads its store."""
     store, name = _store(path)
     return store.open_input_stream(name, compression=None)
 
 
+def write_whole(path: str, data: bytes) -> None:
+    """Write a file so that it is there whole or not at all."""
+    store, name = _store(path)
+    store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    part = f"{name}.{uuid.uuid4().hex}"
+    with store.open_output_stream(part, compression=None) as out:
+        out.write(data)
+    store.move(part, name)
+
+
 def inflated(stream: BinaryIO, chunk: int = CHUNK) -> Iterator[bytes]:
     """Bytes of a gzip stream, ``chunk`` at most at a time; ``EOFError`` where a
     member is cut off, ``zlib.error`` where the bytes are no gzip."""

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,15 +36,21 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
                 feeds: Sequence[str] | None = None, max_file_size: int = MAX_FILE_SIZE,
                 single: bool = False) -> DataFrame:
     """Write one or more files per feed; returns one row per feed:
-    (feed, rows_unloaded, input_bytes, output_bytes, files)."""
+    (feed, rows_unloaded, input_bytes, output_bytes, files).
+
+    Rows without a feed belong to no file, as a filter by feed name leaves them
+    out; a report row without a feed gives their bytes."""
     src = responses
     if feeds is not None:
         src = src.where(F.col(feed_col).isin(list(feeds)))
-    lines = stage(spark, src.select(F.col(feed_col).cast("string").alias("__feed"),
-                                    F.to_json(F.col(value_col)).alias("value")), "unload-lines")
-    lines = lines.withColumn("__bytes", F.octet_length("value") + 1) \
-        .withColumn("__pid", F.spark_partition_id()) \
-        .withColumn("__mono", F.monotonically_increasing_id())
+    # places are written with the lines: every later step reads the same ones
+    staged = stage(spark, src.select(F.col(feed_col).cast("string").alias("__feed"),
+                                     F.to_json(F.col(value_col)).alias("value"),
+                                     F.spark_partition_id().alias("__pid"),
+                                     F.monotonically_increasing_id().alias("__mono")),
+                   "unload-lines").withColumn("__bytes", F.octet_length("value") + 1)
+    lines = staged.where(F.col("__feed").isNotNull())
+    left = staged.where(F.col("__feed").isNull()).agg(F.sum("__bytes")).first()[0]
     sizes = (lines.groupBy("__feed")
              .agg(F.sum("__bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"),
                   F.max("__bytes").alias("longest"))
@@ -70,9 +77,9 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
     name = F.when(F.col("__room") == 0, F.concat("__feed", F.lit(f"_{stamp}.json.gz"))) \
         .otherwise(F.concat(F.col("__feed"), F.lit(f"_{stamp}_"), idx, F.lit(".json.gz")))
     named = placed.join(numbers, ["__feed", "__pid", "__in"]).withColumn("__name", name)
-    tmp = out_dir.rstrip("/") + "/_tmp_unload"
+    tmp = f"{out_dir.rstrip('/')}/_tmp_unload_{uuid.uuid4().hex}"
     (named.select("__name", "value").repartition("__name")
-     .write.mode("overwrite").partitionBy("__name").options(**profile("unload_json")).text(tmp))
+     .write.partitionBy("__name").options(**profile("unload_json")).text(tmp))
     written: dict[str, list[tuple[str, int]]] = {}
     for fname, length in publish_named(spark, tmp, out_dir, "__name", overwrite=True):
         written.setdefault(fname.rsplit(f"_{stamp}", 1)[0], []).append((fname, length))
@@ -88,6 +95,8 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
                sum(n for _, n in written.get(r["__feed"], [])),
                sorted(f for f, _ in written.get(r["__feed"], [])))
               for r in sizes]
+    if left:
+        report.append((None, 0, int(left), 0, []))
     return spark.createDataFrame(
         report, "feed string, rows_unloaded bigint, input_bytes bigint, output_bytes bigint, "
                 "files array<string>")

@@ -333,3 +333,80 @@ def test_clean_awkward_headers(spark, tmp):
     assert gzip.open(f"{dst}/b.csv.gz", "rt").read() == "v,V,v.1,Unnamed: 3\n1,2,3,4\n"
     assert open(f"{dst}/d.csv").read() == '"x\ny",z\n1,2\n'
     assert not any(d.startswith("_tmp") for d in os.listdir(dst))
+
+
+class _Api:
+    """Logs its calls in a folder; the task dies at the request ``dies``, once."""
+
+    def __init__(self, calls: str, dies: int | None = None):
+        self.calls, self.dies = calls, dies
+
+    def __call__(self, n):
+        import uuid
+        with open(f"{self.calls}/{n}-{uuid.uuid4().hex}", "w"):
+            pass
+        if self.dies is not None and int(n) == self.dies and len(
+                [c for c in os.listdir(self.calls) if c.startswith(f"{n}-")]) == 1:
+            raise SystemExit("killed")  # no Exception: the task ends here
+        return {"n": n}
+
+
+def _calls(folder: str) -> dict[str, int]:
+    out: dict[str, int] = {}
+    for c in os.listdir(folder):
+        out[c.split("-")[0]] = out.get(c.split("-")[0], 0) + 1
+    return out
+
+
+def test_answered_requests_are_not_made_again(spark, tmp):
+    from sluice.sources.api import fetch_responses
+    os.makedirs(f"{tmp}/calls")
+    calls = f"{tmp}/calls"
+    req = spark.range(30).select(F.lit("f").alias("api_name"), F.col("id").alias("n"))
+    req = req.unionByName(req.where("n < 3")).coalesce(1)  # repeated rows are their own requests
+    got = fetch_responses(req, lambda: _Api(calls), ["n"], log_dir=f"{tmp}/log")
+    first = sorted(map(tuple, got.collect()))
+    assert len(first) == 33 and sum(_calls(calls).values()) == 33
+    assert sorted(map(tuple, got.collect())) == first  # the action again: from the log
+    more = fetch_responses(req.unionByName(spark.range(30, 32).select(
+        F.lit("f").alias("api_name"), F.col("id").alias("n"))), lambda: _Api(calls), ["n"],
+        log_dir=f"{tmp}/log")
+    assert len(more.collect()) == 35 and sum(_calls(calls).values()) == 35  # a later run resumes
+
+
+def test_killed_task_resumes_its_requests(tmp):
+    """In a process of its own: local mode with a second try for each task."""
+    import subprocess
+    import sys
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession, functions as F
+from tests.test_loads import _Api, _calls
+import os
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+from sluice.sources.api import fetch_responses
+os.makedirs({tmp + '/calls'!r})
+calls = {tmp + '/calls'!r}
+req = spark.range(40).select(F.lit("f").alias("api_name"), F.col("id").alias("n"))
+rows = fetch_responses(req, lambda: _Api(calls, 17), ["n"], requests_per_task=40).collect()
+made = _calls(calls)
+assert len(rows) == 40 and all(r["error"] is None for r in rows), rows
+assert made.pop("17") == 2 and set(made.values()) == {{1}}, made
+print("resumed")
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240)
+    assert "resumed" in out.stdout, out.stderr[-2000:]
+
+
+def test_unload_leaves_rows_without_a_feed_out(spark, tmp):
+    from sluice.sources.unload import read_unloaded, unload_json
+    df = spark.createDataFrame([("a", '{"i": 1}'), (None, '{"i": 2}'), ("null", '{"i": 3}')],
+                               "api_name string, s string").select(
+        "api_name", F.parse_json("s").alias("json_response"))
+    out = {r["feed"]: (r["rows_unloaded"], r["files"])
+           for r in unload_json(spark, df, f"{tmp}/u", dt.date(2025, 1, 2)).collect()}
+    assert out == {"a": (1, ["a_20250102.json.gz"]), "null": (1, ["null_20250102.json.gz"]),
+                   None: (0, [])}
+    assert read_unloaded(spark, f"{tmp}/u").count() == 2
