@@ -18,10 +18,6 @@ def key_text(c) -> Column:
     return as_col(c).cast("string")
 
 
-def ts_text(c) -> Column:
-    return F.date_format(as_col(c), TIMESTAMP_KEY_FORMAT)
-
-
 def surrogate_key(*cols, sep: str = "", null: str | None = "0") -> Column:
     """``MD5(COALESCE(a,0) || COALESCE(b,0) || ...)`` (H4).
 

@@ -29,7 +29,7 @@ from sluice.functions.text import REPLACEMENT_CHAR, drop_invalid, null_tokens
 from sluice.operators.load import check_compression
 from sluice.operators.snapshot import _fs, delete, rename
 from sluice.session import conf_for
-from sluice.sources.files import list_files, profile
+from sluice.sources.files import list_files, profile, refresh
 from sluice.sources.headers import distinct_names, read_headers
 from sluice.sources.landing import write_named_csv
 from sluice.sources.streams import each_file, file_chunks, move_files
@@ -132,6 +132,7 @@ def clean_csv_files(spark: SparkSession, source: str, target: str, *,
                 if not reason:
                     _source_action(spark, r, source_action, archive_dir)
 
+    refresh(spark, target)
     rep = spark.createDataFrame(report, REPORT_SCHEMA) if report else \
         spark.createDataFrame([], REPORT_SCHEMA)
     return CleanResult(summary_json(report), rep)
@@ -266,7 +267,8 @@ def _source_action(spark: SparkSession, r, action: str, archive_dir: str | None)
 def summary_json(report: Sequence[tuple]) -> str:
     """``{"processed_files": [...], "skipped_files": [...]}``, indented, sorted keys."""
     if not report:
-        return json.dumps({"No files processed": "nothing to clean under the source folder"})
+        return json.dumps({"nothing_to_clean": "the source folder holds no files"})
+    # The keys of the report that callers of the reference read.
     processed = [{"source file": s, "target file": t} for s, t, st, _ in report if st == "processed"]
     skipped = [{"skipped file": s, "reason": why} for s, _, st, why in report if st == "skipped"]
     return json.dumps({"processed_files": processed, "skipped_files": skipped},

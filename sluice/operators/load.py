@@ -44,12 +44,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.json import object_text
+from sluice.functions.json import array_text, object_text
 from sluice.operators.infer import (create_table_if_absent, entity_schema, infer_schema,
                                     read_entity, table_schema)
 from sluice.operators.ledger import (LEDGER_SCHEMA, append_ledger, current_loads, last_failures,
                                      read_ledger)
-from sluice.operators.snapshot import _fs, delete, path_exists
+from sluice.operators.snapshot import _fs, delete, stage
 from sluice.session import conf_for
 from sluice.sources.files import filter_names, list_files, profile
 from sluice.sources.headers import Header, header_fault, read_headers
@@ -57,6 +57,8 @@ from sluice.sources.landing import (LANDED_PATTERN, LINEAGE_FIELDS, entity_from_
                                     read_landed_csv, with_lineage)
 from sluice.sources.streams import each_file, file_chunks
 
+# Fixed value: what the dialect says of a load that found no new file.
+NOTHING_LOADED = "Copy executed with 0 files processed"
 #: Entities whose load jobs run side by side.
 ENTITIES_AT_ONCE = 4
 #: Names that a table's own columns have.
@@ -365,9 +367,12 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     skipped = files.join(loaded, same, "left_semi")
     todo = new.select("entity", "path", *same).collect()  # file names only
 
-    # The skipped rows are fixed now: the ledger moves on below.
-    reports: list[tuple] = [(r["file_name"], r["entity"], "SKIPPED", 0, "file already loaded")
-                            for r in skipped.select("file_name", "entity").collect()]
+    # The skipped rows are written now: the ledger moves on below.
+    skipped = stage(spark, skipped.select(
+        "file_name", "entity", F.lit("SKIPPED").alias("status"),
+        F.lit(0).cast("bigint").alias("rows_loaded"),
+        F.lit("file already loaded").alias("message")), "skipped")
+    reports: list[tuple] = []
     # File names identify files (ledger, lineage): names that occur twice under
     # the landing folder are refused, not merged.
     seen = Counter(r["file_name"] for r in todo)
@@ -386,8 +391,11 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
     none = {r["path"]: r["file_name"] for r in todo
             if schemas[r["entity"]] and r["path"] not in headers}
     faults |= {none[path]: why for path, why in check_compression(spark, list(none)).items()}
-    told = {(r["file_name"], r["length"], r["modified"], r["message"])
-            for r in last_failures(ledger).select(*same, "message").collect()} if todo else set()
+
+    def known_failures(names: list[str]) -> set[tuple]:
+        some = spark.createDataFrame([(n,) for n in names], "file_name string")
+        rows = last_failures(read_ledger(spark, warehouse, some).join(some, "file_name", "left_semi"))
+        return {tuple(r) for r in rows.select(*same, "message").collect()}
 
     waiting: list[list[tuple]] = []
     turn = threading.Lock()
@@ -399,6 +407,9 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
             batch: list[tuple] = []
             while waiting:
                 batch += waiting.pop()
+            if bad := [r[1] for r in batch if r[7] == "FAILED"]:
+                told = known_failures(bad)  # a failure that is known already adds no row
+                batch = [r for r in batch if (r[1], r[2], r[3], r[8]) not in told]
             if batch:  # else another entity has taken the rows along
                 append_ledger(spark, warehouse, spark.createDataFrame(
                     batch, T.StructType(LEDGER_SCHEMA.fields[:-1])))
@@ -431,8 +442,8 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
         seen_as = {r["file_name"]: (r["length"], r["modified"]) for r in rows}
         news = [(entity, f, *seen_as[f], load_id, _utc(loaded_at), n, st, m,
                  *(found.get(f, (0, None, None))[1:] if st == "LOADED" else (None, None)))
-                for f, _, st, n, m in report if (f, *seen_as[f], m) not in told]
-        if news:  # a failure that is known already adds no row
+                for f, _, st, n, m in report]
+        if news:
             commit(news)
         return report
 
@@ -442,8 +453,8 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
         for report in pool.map(load, sorted(by_entity)):
             reports += report
     _drop_orphan_loads(spark, warehouse, [e for e in sorted(by_entity) if schemas[e]])
-    msg = ("SUCCESS -- load complete" if todo else "Copy executed with 0 files processed")
-    return RunResult(msg, spark.createDataFrame(reports, REPORT_SCHEMA))
+    msg = "SUCCESS -- load complete" if todo else NOTHING_LOADED
+    return RunResult(msg, spark.createDataFrame(reports, REPORT_SCHEMA).unionByName(skipped))
 
 
 def _load_entity(spark: SparkSession, load_dir: str, rows: list,
@@ -480,7 +491,8 @@ def verify(report: DataFrame) -> DataFrame:
     obj = object_text(file=F.col("file_name"), rows_loaded=F.col("rows_loaded"),
                       status=F.col("status"))
     text = F.col("result_text")
-    return report.select("file_name", obj.alias("result_text")).select(
+    result = array_text(F.array(obj), ", \n\t")  # an array of the file's one object
+    return report.select("file_name", result.alias("result_text")).select(
         "file_name", "result_text",
         (F.regexp_count(text, F.lit('"status":'))
          == F.regexp_count(text, F.lit('"status":"LOADED"'))).alias("all_loaded"))

@@ -18,7 +18,7 @@ from sluice.plans.fixtures import file_name_col, file_name_sql, land_table, new_
 from sluice.plans.jobs_core import RUN_AT, RUN_AT_KEY_TEXT
 from sluice.plans.registry import register
 from sluice.session import read_table, scratch_path
-from sluice.sources.files import filter_names, list_files, profile
+from sluice.sources.files import filter_names, list_files, ordered, profile
 from sluice.sources.landing import (FILE_DATE_PATTERN, entity_from_file, read_landed_csv,
                                     with_lineage)
 
@@ -290,7 +290,7 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_table(spark, read_table(spark, sf_dir, "customer"), landing, "customer", "c_custkey",
                CUSTOMERS_PER_FILE)
     listing = filter_names(list_files(spark, landing), exclude=r"customer_.*")
-    return listing.orderBy("relative_path").select(
+    return ordered(listing).select(
         "relative_path", "file_name", entity_from_file("file_name").alias("entity"),
         (F.col("length") > 0).alias("has_bytes"))
 

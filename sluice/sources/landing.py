@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.dates import ntz_literal
+from sluice.functions.keys import concat_key
 from sluice.functions.text import regexp_group
 from sluice.operators.rownum import file_row_number, file_row_number_one_file_per_partition
 from sluice.operators.snapshot import publish_named
@@ -94,7 +95,7 @@ def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[
     """
     numbered = (file_row_number_one_file_per_partition(df) if one_file_per_partition
                 else file_row_number(df))
-    file_key = F.md5(F.concat(F.lit(loaded_at_key_text(loaded_at)), F.col("__file")))
+    file_key = concat_key(F.lit(loaded_at_key_text(loaded_at)), F.col("__file"))
     rn = F.col("source_file_row_number")
     data = data_columns if data_columns is not None else [
         F.col(f"`{c}`") for c in df.columns if c not in ("__file", "__split")]
@@ -104,7 +105,7 @@ def with_lineage(df: DataFrame, loaded_at: _dt.datetime, data_columns: Sequence[
         F.col("__file").alias("source_file_name"),
         file_key.alias("source_file_unique_key"),
         rn,
-        F.md5(F.concat(file_key, rn.cast("string"))).alias("source_file_record_unique_key"),
+        concat_key(file_key, rn).alias("source_file_record_unique_key"),
         *data,
         *([F.col("__pid")] if one_file_per_partition else []),
     )

@@ -50,11 +50,12 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
                                      F.monotonically_increasing_id().alias("__mono")),
                    "unload-lines").withColumn("__bytes", F.octet_length("value") + 1)
     lines = staged.where(F.col("__feed").isNotNull())
-    left = staged.where(F.col("__feed").isNull()).agg(F.sum("__bytes")).first()[0]
-    sizes = (lines.groupBy("__feed")
+    sizes = (staged.groupBy("__feed")
              .agg(F.sum("__bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"),
                   F.max("__bytes").alias("longest"))
              .collect())  # one row per feed
+    left = sum(r["bytes"] for r in sizes if r["__feed"] is None)
+    sizes = [r for r in sizes if r["__feed"] is not None]
     for r in sizes:
         if single and r["bytes"] > max_file_size:
             raise ValueError(f"feed {r['__feed']}: {r['bytes']} bytes exceed the single-file "
