@@ -267,7 +267,7 @@ def _source_action(spark: SparkSession, r, action: str, archive_dir: str | None)
 def summary_json(report: Sequence[tuple]) -> str:
     """``{"processed_files": [...], "skipped_files": [...]}``, indented, sorted keys."""
     if not report:
-        return json.dumps({"nothing_to_clean": "the source folder holds no files"})
+        return json.dumps({"processed_files": [], "note": "nothing to clean under the source folder"})
     # The keys of the report that callers of the reference read.
     processed = [{"source file": s, "target file": t} for s, t, st, _ in report if st == "processed"]
     skipped = [{"skipped file": s, "reason": why} for s, _, st, why in report if st == "skipped"]
