@@ -3,19 +3,20 @@
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY sends every row to
 one task.  ``global_row_number`` gives the same numbers in parallel:
 
-1. sample the sort keys once (at most ``max_sample`` rows reach the driver)
-   and pick ``buckets - 1`` boundaries;
-2. bucket = number of boundaries <= key, found by a binary search over a
-   perfect search tree kept as one folded literal array per level
-   (``log2(buckets)`` small code-generated projections, literals adding up
-   to the boundary count); a pure function of the row, so identical on
-   every retry;
-3. ``groupBy(bucket).count()`` (<= ``max_buckets`` rows) -> running sum ->
-   one offset per bucket, shipped the same way;
-4. ``row_number() OVER (PARTITION BY bucket ORDER BY k) + offset``.
+1. one range shuffle on the sort keys (Spark samples the bounds itself, 100
+   keys a partition) and a sort inside each range, which spills;
+2. the sorted ranges are written once with their range number and the row's
+   place in its range, both taken from the scan order: no window;
+3. rows are counted by range (one narrow column; as many counts as ranges
+   reach the driver), and the running sum of the counts is each range's offset;
+4. number = place + offset, a broadcast join with one row per range.
+
+Writing the ranges makes the numbers firm: bounds are drawn anew by each run
+of the range shuffle, so counting one run and numbering another would not
+agree, and a lost executor reads the table again instead of the input.
 
 The ordering includes a tie-breaker over the remaining columns, so one very
-frequent key value is still split across buckets by the boundaries.
+frequent key value is still split across ranges by the bounds.
 
 ``file_row_number`` numbers rows inside their source file from the scan
 order alone (no shuffle of the data, only a per-split aggregate).
@@ -23,7 +24,6 @@ order alone (no shuffle of the data, only a per-split aggregate).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,132 +39,55 @@ def _tiebreak(df: DataFrame, keys: Sequence[str]) -> list[str]:
             if f.name not in keys and isinstance(f.dataType, _ORDERABLE)]
 
 
-def _norm(df: DataFrame, c: str) -> tuple[Column, T.DataType]:
-    """An order-preserving, one-to-one image of a key column whose values
-    survive a JSON text round trip exactly (for the literal boundaries)."""
-    t = df.schema[c].dataType
-    col = F.col(f"`{c}`")
-    if isinstance(t, T.TimestampNTZType):
-        return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), T.StringType()
-    if isinstance(t, T.TimestampType):
-        return F.unix_micros(col), T.LongType()
-    if isinstance(t, T.DateType):
-        return F.unix_date(col), T.LongType()
-    if isinstance(t, T.BinaryType):
-        return F.hex(col), T.StringType()
-    if isinstance(t, T.BooleanType):
-        return col.cast("int"), T.LongType()
-    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return col.cast("bigint"), T.LongType()
-    if isinstance(t, (T.FloatType, T.DoubleType)):
-        return col.cast("double"), T.DoubleType()
-    return col, t  # string, decimal
-
-
-def _json_value(v) -> str:
-    import decimal
-    import json
-    if v is None:
-        return "null"
-    if isinstance(v, decimal.Decimal):
-        return str(v)
-    return json.dumps(v)
-
-
-def _literal_array(rows: list, schema: T.StructType | T.DataType) -> Column:
-    """A sorted array literal from driver values: one JSON text literal that
-    the optimizer folds into a constant (the plan stays one literal, no
-    expression per element, no join)."""
-    if isinstance(schema, T.StructType):
-        text = "[" + ",".join("null" if row is None else
-                              "{" + ",".join(f'"{f.name}":{_json_value(v)}'
-                                             for f, v in zip(schema.fields, row)) + "}"
-                              for row in rows) + "]"
-    else:
-        text = "[" + ",".join(_json_value(v) for v in rows) + "]"
-    return F.from_json(F.lit(text), T.ArrayType(schema))
-
-
-def _with_bucket(df: DataFrame, bounds: list, key_schema: T.StructType, key: Column,
-                 name: str = "__bucket") -> DataFrame:
-    """Add ``name`` = number of the sorted ``bounds`` that are <= ``key``.
-
-    A binary search over a perfect search tree stored level by level: level
-    ``i`` holds its 2^i pivots as one literal array, so the literals add up
-    to about ``len(bounds)`` values and each of the ceil(log2) levels is one
-    code-generated comparison (``p = 2p + [pivot <= key]``).  Missing pivots
-    past the end are NULL and count as +infinity.
-    """
-    n = len(bounds)
-    depth = max(1, n.bit_length())            # 2^depth - 1 >= n
-    out = df.withColumn("__key", key).withColumn("__p", F.lit(0))
-    p = F.col("__p")
-    for i in range(depth):
-        span = 1 << (depth - 1 - i)
-        level = []
-        for j in range(1 << i):
-            idx = (2 * j + 1) * span - 1
-            level.append(bounds[idx] if idx < n else None)
-        pivot = F.element_at(_literal_array(level, key_schema), p + 1)
-        go_right = F.coalesce(pivot <= F.col("__key"), F.lit(False))
-        out = out.withColumn("__p", F.when(go_right, p * 2 + 1).otherwise(p * 2))
-    return out.withColumn(name, F.col("__p")).drop("__key", "__p")
+def _ranges(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    """The rows sorted and written by key range, with ``__range`` and the
+    1-based ``__place`` in it; both from the order of the sorted rows, so a
+    task that runs again writes the same."""
+    from sluice.operators.snapshot import stage
+
+    sort = [F.col(f"`{c}`").asc_nulls_last() for c in order]
+    pid = F.spark_partition_id()
+    # the id counts a partition's rows in its lower 33 bits
+    place = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33) + 1
+    cut = (df.repartitionByRange(ranges, *sort).sortWithinPartitions(*sort)
+           .withColumns({"__range": pid, "__place": place}))
+    return stage(df.sparkSession, cut, "rownum-ranges")
 
 
 def global_row_number(df: DataFrame, keys: Sequence[str], name: str = "row_number", *,
-                      buckets: int | None = None, rows_per_bucket: int = 1_000_000,
-                      max_buckets: int = 65_536, samples_per_bucket: int = 20,
-                      max_sample: int = 1_000_000,
-                      tiebreak: Sequence[str] | None = None, seed: int = 17,
+                      buckets: int | None = None, tiebreak: Sequence[str] | None = None,
                       stage: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of the row in ``ORDER BY keys`` (asc, nulls last).
 
-    ``stage=True`` first writes ``df`` to the shared checkpoint folder, so an
-    expensive input (parsing, exploding) is computed once; the count and
-    sample passes then read only the key columns from parquet.
+    ``buckets`` key ranges are made (``spark.sql.shuffle.partitions`` if not
+    given).  Rows equal in the keys are ordered by ``tiebreak`` (all other
+    columns with an order, if not given); rows equal in those too get their
+    numbers in any order.  No rows give no rows.
+
+    The input is read twice (bounds, rows).  ``stage=True`` first writes it to
+    the shared checkpoint folder, so that an expensive one (parsing,
+    exploding) is computed once; the bounds then read only the key columns,
+    and equal rows are split over ranges by their place in the written files
+    (without it they lie in one range, which sorts on disk).
     """
     spark = df.sparkSession
     order = list(keys) + list(tiebreak if tiebreak is not None else _tiebreak(df, keys))
     if stage:
         from sluice.operators.snapshot import stage as _stage
-        df = _stage(spark, df, "rownum-input")
-    n = df.count()
+        df = _stage(spark, df, "rownum-input").withColumns(
+            {"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")})
+        order += ["__file", "__row"]
     if buckets is None:
-        parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(parallel, math.ceil(n / rows_per_bucket))
-    buckets = max(1, min(buckets, max_buckets, n or 1))
-    # a null flag in front of every key puts its NULLs last in the bucket comparison too
-    normed = [x for c in order for x in (
-        (F.col(f"`{c}`").isNull().cast("bigint"), T.LongType()), _norm(df, c))]
-    key_schema = T.StructType([T.StructField(f"k{i}", t) for i, (_, t) in enumerate(normed)])
-    key = F.struct(*[e.alias(f"k{i}") for i, (e, _) in enumerate(normed)])
-    uniq: list = []
-    if buckets > 1:
-        want = min(max_sample, max(samples_per_bucket * buckets, 10_000))
-        frac = min(1.0, want / max(n, 1))
-        cols = [e.alias(f"k{i}") for i, (e, _) in enumerate(normed)]
-        sample = (df.sample(withReplacement=False, fraction=frac, seed=seed)
-                  .select(*cols).orderBy(*[f"k{i}" for i in range(len(cols))])
-                  .collect())  # bounded by max_sample
-        step = len(sample) / buckets
-        for i in range(1, buckets):
-            j = int(step * i)
-            if j < len(sample) and (not uniq or tuple(sample[j]) != tuple(uniq[-1])):
-                uniq.append(tuple(sample[j]))
-    if uniq:
-        tagged = _with_bucket(df, uniq, key_schema, key)
-    else:
-        tagged = df.withColumn("__bucket", F.lit(0))
-    counts = dict(tagged.groupBy("__bucket").count().collect())  # <= buckets rows
-    offsets, run = [], 0
-    for b in range(len(uniq) + 1):
-        offsets.append(run)
-        run += counts.get(b, 0)
-    offset = F.element_at(_literal_array(offsets, T.LongType()), F.col("__bucket") + 1)
-    w = Window.partitionBy("__bucket").orderBy(
-        *[F.col(f"`{c}`").asc_nulls_last() for c in order])
-    return (tagged.withColumn(name, (F.row_number().over(w) + offset).cast("bigint"))
-            .drop("__bucket"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _ranges(df, order, buckets)
+    offsets, before = [], 0
+    for part, n in sorted(rows.groupBy("__range").count().collect()):  # a row per range
+        offsets.append((part, before))
+        before += n
+    offsets = spark.createDataFrame(offsets, "__range int, __before bigint")
+    return (rows.join(F.broadcast(offsets), "__range")  # a row per range
+            .withColumn(name, F.col("__place") + F.col("__before"))
+            .drop("__range", "__place", "__before", *(["__file", "__row"] if stage else [])))
 
 
 def single_partition_row_number(df: DataFrame, keys: Sequence[str],
