@@ -1,26 +1,29 @@
 """License scan by conditional compression.
 
-1. Around every license cue word stand two candidate blocks: its sentence
-   (or line), and as many words before and after it as the longest template
-   can reach, which also holds notices wrapped over lines or set in prose.
-2. Each block is compressed alone and with each template as raw zstandard
-   dictionary.  The templates are ranked by the bytes they save, as a share
-   of what they save on their own text.
-3. Every template that saves bytes is confirmed by the exact differences in
-   wording: words of the template that the block lacks, and words that stand
-   between the first and last word it shares.  A template is confirmed when
-   no key word (name, version) is missing, and the words missing and those
-   put in between are at most ``max_diff`` of it.
-4. A block can hold several notices: all confirmed templates are reported,
-   and the words before and after the one that matches most are judged again
-   as blocks of their own.
+1. Candidate blocks of a text with license cue words: every sentence (or
+   line) with a cue, and windows of twice as many words as the longest
+   template can reach, one reach apart, so that any notice around a cue lies
+   whole in one of them, also one wrapped over lines or set in prose.
+2. Each block is compressed alone and with every template as raw zstandard
+   dictionary.  The templates are ranked by the bytes they save, then by the
+   share of what they save on their own text.
+3. The ranking is walked from the top until a template is confirmed by the
+   exact differences in wording: words of the template that the block lacks,
+   and words that stand between the first and last word it shares.  It is
+   confirmed when no key word (name, version) is missing, and the words
+   missing and those put in between are at most ``max_diff`` of it.  No rank
+   ends the walk, so the ranking decides which template names a block and
+   never whether one is found.
+4. A block can hold several notices: the words before and after the winner
+   are judged again as blocks of their own, until nothing is confirmed.
 
 Overlapping confirmed blocks of a document keep the one that matches most
-words (then the earlier).
+words (then the shorter, then the earlier).
 
 Defined cases: null and empty texts have no blocks; every row is scanned by
 itself, so repeated rows report alike; an empty table gives no rows; long
-texts are scanned whole; other columns are ignored.
+texts are scanned whole, in time linear in their words; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -79,7 +82,37 @@ TEMPLATES = [
     ("CC0-1.0", "cc0 1.0", "Released under CC0 1.0 Universal."),
     ("Unlicense", "public domain", "This is free and unencumbered software released into the "
      "public domain."),
+    ("Apache-2.0", "license basis", "Unless required by applicable law or agreed to in writing, "
+     "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+     "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+     "specific language governing permissions and limitations under the License."),
+    ("MIT", "permission notice included", "The above copyright notice and this permission notice "
+     "shall be included in all copies or substantial portions of the Software."),
+    ("MIT", "warranty noninfringement", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+     "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+     "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+     "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+     "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+     "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-3-Clause", "neither endorse", "Neither the name of the copyright holder nor the names "
+     "of its contributors may be used to endorse or promote products derived from this software "
+     "without specific prior written permission."),
+    ("GPL", "gnu general public license", "This program is distributed in the hope that it will "
+     "be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY "
+     "or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
 ]
+# License identifiers of the SPDX list that are told from tag lines.
+TAGGED = """Apache-2.0 MIT ISC Unlicense BSD-2-Clause BSD-3-Clause MPL-2.0 EPL-2.0
+    GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later
+    LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later CC0-1.0 CC-BY-4.0
+    CC-BY-SA-4.0""".split()
+TEMPLATES += [(x, f"spdx-license-identifier {x.lower()}", f"SPDX-License-Identifier: {x}")
+              for x in TAGGED]
+# Short mentions: "the GNU General Public License v3" and its kin.
+TEMPLATES += [(f"{x}-{v}.0", f"gnu{kind} general public license v{v}",
+               f"the GNU{kind.title()} General Public License v{v}")
+              for x, kind, v in (("GPL", "", 2), ("GPL", "", 3), ("LGPL", " lesser", 3),
+                                 ("AGPL", " affero", 3))]
 CUE = (r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|public domain|spdx|"
        r"creative commons|\bcc[ -]by|\bcc0\b")
 _CUE = re.compile(CUE)
@@ -158,29 +191,61 @@ class Scanner:
         self.given, self.own, self.words = [], [], []
         for _, _, wording in templates:
             raw = self.form(wording)
-            given = zstandard.ZstdCompressor(
-                level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
-                    raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            held = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            held.precompute_compress(level=9)
+            given = zstandard.ZstdCompressor(write_content_size=False, dict_data=held)
             self.given.append(given)
             self.own.append(max(1, len(self.alone.compress(raw)) - len(given.compress(raw))))
             self.words.append(words_of(wording))
+        self.sets = [set(w) for w in self.words]
+        self.keys = [set(k.split()) for _, k, _ in templates]
         self.reach = int(max(map(len, self.words)) * (1 + max_diff)) + 1
 
     @staticmethod
     def form(text: str) -> bytes:
         return " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
 
+    def rank(self, block: str) -> list[tuple[int, float, int, int, int]]:
+        """All templates, the largest size reduction first: (bytes saved, their
+        share of what the template saves on itself, -index, sizes)."""
+        raw = self.form(block)
+        size = len(self.alone.compress(raw))
+        sizes = [len(c.compress(raw)) for c in self.given]
+        return sorted(((size - z, (size - z) / own, -k, size, z)
+                       for k, (z, own) in enumerate(zip(sizes, self.own))), reverse=True)
+
+    def confirm(self, k: int, words: list[str], present: set[str]):
+        """The wording differences of template ``k``, None beyond the bounds."""
+        most = self.max_diff * len(self.words[k])
+        if not self.keys[k] <= present or len(self.sets[k] - present) > most:
+            return None  # at least these words are missing
+        missing, added, at = word_diff(self.words[k], words)
+        if len(missing) > most or len(added) > most or self.keys[k] & set(missing):
+            return None
+        return missing, added, at
+
+    def winner(self, text: str, spans: list[tuple[int, int]]) -> Found | None:
+        """The best ranked template that the block's wording confirms."""
+        words = [text[a:b].lower() for a, b in spans]
+        present = set(words)
+        for _, share, k, size, given in self.rank(text[spans[0][0]:spans[-1][1]]):
+            diff = self.confirm(-k, words, present)
+            if diff:
+                missing, added, at = diff
+                return Found(self.templates[-k][0], -k, spans[at[0]][0], spans[at[-1]][1], size,
+                             given, share, len(at), " ".join(missing), " ".join(added))
+        return None
+
     def judge(self, text: str, spans: list[tuple[int, int]]) -> list[Found]:
-        """The confirmed templates of a block, given by its words' places, and
-        of what its best one leaves before and after it."""
+        """The winner of a block, given by its words' places, and those of
+        what it leaves before and after it."""
         out: list[Found] = []
         todo = [spans]
         while todo:
             spans = todo.pop()
-            found = self.confirmed(text, spans) if spans else []
-            if found:
-                out += found
-                best = min(found, key=self.order)
+            best = self.winner(text, spans) if spans else None
+            if best:
+                out.append(best)
                 todo += [[x for x in spans if x[1] <= best.start],
                          [x for x in spans if x[0] >= best.end]]
         return out
@@ -189,49 +254,27 @@ class Scanner:
     def order(f: Found) -> tuple:
         return -f.n_shared, f.end - f.start, f.start, f.template, f.size_alone
 
-    def confirmed(self, text: str, spans: list[tuple[int, int]]) -> list[Found]:
-        words = [text[a:b].lower() for a, b in spans]
-        present = set(words)
-        likely = [k for k, (_, keys, _) in enumerate(self.templates)
-                  if present.issuperset(keys.split()) and sum(
-                      w not in present for w in self.words[k])
-                  <= self.max_diff * len(self.words[k])]
-        if not likely:
-            return []
-        raw = self.form(text[spans[0][0]:spans[-1][1]])
-        size = len(self.alone.compress(raw))
-        ranked = []
-        for k in likely:
-            with_it = len(self.given[k].compress(raw))
-            ranked.append(((size - with_it) / self.own[k], -k, with_it))
-        out = []
-        for share, k, with_it in sorted(ranked, reverse=True):
-            name, keys, _ = self.templates[-k]
-            mine = self.words[-k]
-            most = self.max_diff * len(mine)
-            if share <= 0:
-                continue
-            missing, added, at = word_diff(mine, words)
-            if len(missing) <= most and len(added) <= most \
-                    and not set(keys.split()) & set(missing):
-                out.append(Found(name, -k, spans[at[0]][0], spans[at[-1]][1], size, with_it,
-                                 share, len(at), " ".join(missing), " ".join(added)))
-        return out
-
-    def scan(self, text: str | None) -> list[Found]:
-        text = text or ""
-        spans = [m.span() for m in _WORD.finditer(text)]
+    def blocks(self, text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Candidate blocks as ranges of the text's words."""
         starts = [a for a, _ in spans]
         units = [m.span() for m in _SENTENCE.finditer(text)]
         unit_starts = [a for a, _ in units]
-        blocks: dict[tuple[int, int], None] = {}
+        out: dict[tuple[int, int], None] = {}
         for m in _CUE.finditer(text):
             i = max(0, bisect_right(starts, m.start()) - 1)
-            lo, hi = max(0, i - self.reach), min(len(spans), i + self.reach + 1)
             a, b = units[max(0, bisect_right(unit_starts, m.start()) - 1)]
-            own = max(lo, bisect_left(starts, a)), min(hi, bisect_left(starts, b))
-            blocks |= {own: None, (lo, hi): None}
-        found = [f for lo, hi in blocks if lo < hi for f in self.judge(text, spans[lo:hi])]
+            lo, hi = bisect_left(starts, a), bisect_left(starts, b)
+            if hi - lo <= 2 * self.reach:  # a longer one is read by the windows
+                out[lo, hi] = None
+            # a span of at most `reach` words that holds word i starts in one of two steps
+            for step in {max(0, i - self.reach) // self.reach, i // self.reach}:
+                out[step * self.reach, min(len(spans), (step + 2) * self.reach)] = None
+        return [(lo, hi) for lo, hi in out if lo < hi]
+
+    def scan(self, text: str | None) -> list[Found]:
+        text = text or ""
+        spans = [m.span() for m in _WORD.finditer(text)]
+        found = [f for lo, hi in self.blocks(text, spans) for f in self.judge(text, spans[lo:hi])]
         kept: list[Found] = []
         for f in sorted(set(found), key=self.order):
             if all(f.end <= k.start or f.start >= k.end for k in kept):
