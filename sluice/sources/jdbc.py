@@ -1,11 +1,11 @@
 """Relational sources over JDBC.
 
 Discovery is one query against ``information_schema.columns`` whose filter
-runs in the database; tables are read in parallel ranges of a numeric key
-(``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions``), so
-every executor pulls its own slice.  These functions need a reachable
-database; the test suite only checks the options they build (it starts no
-database).
+runs in the database; tables are read in parallel ranges of a key whose
+bounds are the key's own quantiles (``predicates``), so every executor pulls
+about as many rows, however the keys are spread and whatever their type.
+Reading needs a reachable database; the test suite starts none and runs the
+queries built here with an in-process SQL engine.
 """
 
 from __future__ import annotations
@@ -41,28 +41,68 @@ def quoted(*names: str) -> str:
     return ".".join('"' + n.replace('"', '""') + '"' for n in names)
 
 
-def partitioned_read_options(table: str, key: str, lower: int, upper: int,
-                             partitions: int) -> dict[str, str]:
-    return {"dbtable": table, "partitionColumn": key, "lowerBound": str(lower),
-            "upperBound": str(upper + 1), "numPartitions": str(max(1, partitions))}
+def quantile_query(table: str, key: str, parts: int) -> str:
+    """(t, b): the least key ``b`` of each of ``parts`` runs of as many rows in
+    key order.  The order is the database's own, by its collation."""
+    return (f"(SELECT t, min({key}) AS b FROM "
+            f"(SELECT {key}, ntile({max(1, parts)}) OVER (ORDER BY {key}) AS t FROM {table} "
+            f"WHERE {key} IS NOT NULL) q GROUP BY t) r")
+
+
+def literal(value) -> str | None:
+    """A key value in standard SQL; None for a type without a safe literal."""
+    if isinstance(value, bool):
+        return None
+    if isinstance(value, (int, Decimal)):
+        return format(value, "f") if isinstance(value, Decimal) else str(value)
+    if isinstance(value, _dt.datetime):
+        return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S.%f}'" if value.tzinfo is None else None
+    if isinstance(value, _dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str) and "\\" not in value:  # an escape in some databases
+        return _lit(value)
+    return None
+
+
+def range_predicates(key: str, bounds: Sequence) -> list[str]:
+    """Conditions that split a table at the ascending bounds, every row in one
+    of them: the first also takes the rows without a key and below all bounds
+    (added since), the last is open; a key that fills several runs gives one
+    bound.  Empty if there is nothing to split or a bound has no literal."""
+    texts = [literal(b) for b in bounds]
+    if None in texts:
+        return []
+    inner = list(dict.fromkeys(texts))[1:]  # the least key needs no bound
+    if not inner:
+        return []
+    return [f"{key} < {inner[0]} OR {key} IS NULL",
+            *(f"{key} >= {lo} AND {key} < {hi}" for lo, hi in zip(inner, inner[1:])),
+            f"{key} >= {inner[-1]}"]
 
 
 def jdbc_read_table(spark: SparkSession, url: str, table: Sequence[str], key: str,
                     properties: Mapping[str, str] | None = None,
                     rows_per_partition: int = 1_000_000,
                     max_connections: int = 64) -> DataFrame:
-    """Read a table, given as (schema, name), in parallel ranges of a numeric key
-    (bounds from one min/max query), at most ``max_connections`` at a time.  A
-    key that is not a number gives no ranges: one connection reads the table.
+    """Read a table, given as (schema, name), in parallel ranges of a key, at
+    most ``max_connections``.
+
+    The database counts the rows and finds the quantiles (an index on the key
+    serves both); as many bounds as ranges come back.  A key of a type without
+    a literal here (float, binary, boolean, with a time zone) and a table of
+    one range are read by one connection.  A key that holds many rows is one
+    range: its rows cannot be told apart by the key.
     """
     props, name, col = dict(properties or {}), quoted(*table), quoted(key)
-    b = spark.read.jdbc(url, f"(SELECT min({col}) lo, max({col}) hi, count(*) n FROM {name}) b",
-                        properties=props).collect()[0]
-    if b[0] is None or not isinstance(b[0], (int, Decimal)):
-        return spark.read.jdbc(url, name, properties=props)
-    parts = min(max_connections, max(1, int(b[2]) // rows_per_partition))
-    opts = partitioned_read_options(name, col, int(b[0]), int(b[1]), parts)
-    return spark.read.format("jdbc").option("url", url).options(**props).options(**opts).load()
+    n = spark.read.jdbc(url, f"(SELECT count(*) n FROM {name}) c", properties=props).first()[0]
+    parts = min(max_connections, int(n) // rows_per_partition)
+    if parts > 1:
+        runs = spark.read.jdbc(url, quantile_query(name, col, parts), properties=props)
+        ranges = range_predicates(col, [b for _, b in sorted(
+            ((r[0], r[1]) for r in runs.collect()), key=lambda x: x[0])])
+        if ranges:
+            return spark.read.jdbc(url, name, predicates=ranges, properties=props)
+    return spark.read.jdbc(url, name, properties=props)
 
 
 def jdbc_to_landing(spark: SparkSession, url: str, schema: str, key: str, out_dir: str,

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import gzip
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,12 +18,13 @@ from sluice.operators.load import (create_entity_tables, load_files, read_table_
                                    verify_summary)
 from sluice.sources.export import export_ordered_csv
 from sluice.sources.files import discover_files, filter_names, list_files
-from sluice.sources.jdbc import discovery_query, partitioned_read_options
+from sluice.sources.jdbc import discovery_query, literal, quantile_query, range_predicates
 from sluice.sources.landing import entity_from_file, read_landed_csv, with_lineage
 from sluice.sources.unload import read_unloaded, unload_json
 from sluice.streaming.ingest import has_new_files, run_available
 
 RUN = dt.datetime(2025, 1, 2, 3, 4, 5)
+SF_TINY = "/root/testdata/sf0.001"
 
 
 def gz(path: str, text: str | bytes) -> str:
@@ -293,9 +296,60 @@ def test_jdbc_option_building():
     q = discovery_query("clinic", "master_patient_id")
     assert "table_schema = 'clinic'" in q and "column_name = 'master_patient_id'" in q
     assert discovery_query("o'x", "c").count("'o''x'") == 1
-    opts = partitioned_read_options("s.t", "id", 1, 100, 4)
-    assert opts == {"dbtable": "s.t", "partitionColumn": "id", "lowerBound": "1",
-                    "upperBound": "101", "numPartitions": "4"}
+    assert [literal(v) for v in (7, decimal.Decimal("1E+2"), "o'x", dt.date(2025, 1, 2), RUN)] == [
+        "7", "100", "'o''x'", "DATE '2025-01-02'", "TIMESTAMP '2025-01-02 03:04:05.000000'"]
+    assert [literal(v) for v in (1.5, True, b"x", "a\\b", None)] == [None] * 5
+    assert range_predicates("k", [1, 1, 4, 9, 9]) == ["k < 4 OR k IS NULL", "k >= 4 AND k < 9",
+                                                     "k >= 9"]
+    assert range_predicates("k", []) == range_predicates("k", [3, 3]) == []
+    assert range_predicates("k", [1.5, 2.5]) == []
+
+
+class _Reader:
+    """``spark.read.jdbc`` over an in-process SQL engine; keeps what was asked."""
+
+    def __init__(self, spark, con):
+        self.spark, self.con, self.asked = spark, con, []
+        self.read = self
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        self.asked.append((table, predicates))
+        frames = [self.con.execute(f"SELECT * FROM {table} WHERE {p}").to_arrow_table()
+                  for p in predicates or ["true"]]
+        self.sizes = [f.num_rows for f in frames]
+        return self.spark.createDataFrame(pa.concat_tables(frames))
+
+
+@pytest.mark.parametrize("key", ["skewed", "l_shipdate", "name", "l_quantity", "flag"])
+def test_jdbc_ranges_follow_the_keys_quantiles(spark, key):
+    """Every row is read once, NULL keys too; the ranges hold as many rows
+    each on skewed, date, text and decimal keys, and one hot key is one range."""
+    import duckdb
+
+    from sluice.sources.jdbc import jdbc_read_table
+    con = duckdb.connect()
+    con.execute(f"""CREATE TABLE t AS SELECT l_orderkey, l_linenumber, l_shipdate,
+        CAST(l_quantity AS DECIMAL(12, 2)) AS l_quantity, l_returnflag AS flag,
+        CASE WHEN l_orderkey % 7 > 0 THEN l_orderkey ** 3 END AS cube,
+        CAST(CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey ** 3 END AS BIGINT) AS skewed,
+        'O' || chr(39) || l_returnflag || l_orderkey AS name
+        FROM read_parquet('{SF_TINY}/lineitem.parquet')""")
+    n = con.execute("SELECT count(*) FROM t").fetchone()[0]
+    reader = _Reader(spark, con)
+    got = jdbc_read_table(reader, "jdbc:none", ("main", "t"), key,
+                          rows_per_partition=n // 10, max_connections=8)
+    rows = sorted((r["l_orderkey"], r["l_linenumber"]) for r in got.collect())
+    assert rows == con.execute("SELECT l_orderkey, l_linenumber FROM t ORDER BY ALL").fetchall()
+    keys = con.execute(f"SELECT count(DISTINCT {key}) FROM t").fetchone()[0]
+    nulls, hot = (con.execute(q).fetchone()[0] or 0 for q in (
+        f"SELECT count(*) FROM t WHERE {key} IS NULL",
+        f"SELECT max(c) FROM (SELECT count(*) c FROM t WHERE {key} IS NOT NULL GROUP BY {key})"))
+    assert 1 < len(reader.sizes) <= 8 and (keys < 100 or len(reader.sizes) == 8)
+    assert max(reader.sizes) <= n / 8 + nulls + 2 * hot
+    one = jdbc_read_table(reader, "jdbc:none", ("main", "t"), "cube", rows_per_partition=n // 10)
+    assert one.count() == n and reader.asked[-1][1] is None  # floats: one connection
+    jdbc_read_table(reader, "jdbc:none", ("main", "t"), key, rows_per_partition=n)
+    assert reader.asked[-1][1] is None                       # one range
 
 
 def test_replayed_batch_adds_no_rows(spark, tmp):
