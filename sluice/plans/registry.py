@@ -28,4 +28,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register jobs."""
-    from sluice.plans import jobs_core, jobs_files, jobs_loads, jobs_json  # noqa: F401
+    from sluice.plans import jobs_core, jobs_files, jobs_json, jobs_loads, jobs_publish  # noqa: F401

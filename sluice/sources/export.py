@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.dates import utc_stamp_text
-from sluice.operators.snapshot import delete, list_status, rename
+from sluice.operators.snapshot import delete, list_status
 from sluice.sources.files import guard_new_dir, profile
+from sluice.sources.streams import move_files
 
 REPORT_SCHEMA = "table_name string, file_name string, status string, message string"
 
@@ -61,11 +62,11 @@ def export_ordered_csv(spark: SparkSession, tables: Mapping[str, DataFrame], key
             (df.orderBy(F.col(f"`{key}`").asc_nulls_last(), *ties).write.mode("errorifexists")
              .options(**profile("export_csv")).csv(tmp))
             parts = sorted(f for f in list_status(spark, tmp) if f[0].startswith("part-"))
-            for i, (_, full, _, _) in enumerate(parts):
-                fname = (f"{name}_{stamp}.csv.gz" if len(parts) == 1
-                         else f"{name}_{stamp}_{i:05d}.csv.gz")
-                rename(spark, full, f"{out_dir.rstrip('/')}/{fname}")
-                report.append((name, fname, "exported", None))
+            files = ([f"{name}_{stamp}.csv.gz"] if len(parts) == 1 else
+                     [f"{name}_{stamp}_{i:05d}.csv.gz" for i in range(len(parts))])
+            move_files(spark, [(full, f"{out_dir.rstrip('/')}/{f}")
+                               for f, (_, full, _, _) in zip(files, parts)])
+            report += [(name, f, "exported", None) for f in files]
             delete(spark, tmp)
         except Exception as exc:  # noqa: BLE001 - per-table isolation
             report.append((name, None, "failed", f"{type(exc).__name__}: {exc}"))
