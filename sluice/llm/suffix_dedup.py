@@ -20,6 +20,8 @@ earlier: in a document with a smaller id, or earlier in the same one.
    end, and the first goes into the suffix array for all of them.  A snippet
    that has no other beside it under its gram repeats nothing.
 4. A gram with more than ``crowded`` snippets is dealt out string by string.
+   The list of such grams is broadcast up to ``broadcast_rows``; a longer one
+   is joined by gram and salt.
    The places of a string are gathered by salts, some ``crowded`` to a row,
    and its first place is the least of the rows' first ones, so that copies
    of one string need not meet in one task either.
@@ -53,6 +55,8 @@ DEPTH = 100
 GRAM = 32
 SHARD_BYTES = 2_000_000
 CROWDED = 20_000
+BROADCAST_ROWS = 1_000_000  # crowded grams of 16 bytes each
+JOIN_SALTS = 64
 _CHUNK = 1 << 16
 _LOW = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -169,7 +173,7 @@ def _gram_rows(depth: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            f = f.drop_duplicates("u")
+            f = f.drop_duplicates(["u", "text"])  # texts may share a hash
             us = f["u"].to_numpy("i8")
             text, h, _, _ = anchors([_utf8(t) for t in f["text"]], depth)
             if not len(h):
@@ -374,9 +378,24 @@ def late_strings(places: DataFrame, depth: int) -> DataFrame:
         "at.d", "at.u", "at.start", (F.col("at.start") + depth).alias("end"))
 
 
+def with_salts(rows: DataFrame, crowd: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``rows`` (``h, d, u, start, ...``) with the salts of a crowded gram, null
+    for the others.  Up to ``broadcast_rows`` crowded grams (16 bytes each) are
+    broadcast; more are joined by gram and a salt of the row, so that no
+    gram's rows meet in one task."""
+    if crowd.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        small = F.broadcast(crowd.select(F.col("h").alias("c_h"), "salts"))
+        return rows.join(small, F.col("h") == F.col("c_h"), "left").drop("c_h")
+    dealt = crowd.select(F.col("h").alias("c_h"), "salts", F.explode(F.sequence(
+        F.lit(0), F.lit(JOIN_SALTS - 1))).alias("c_part"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("d", "u", "start"), F.lit(JOIN_SALTS)))
+    return rows.join(dealt.hint("merge"), (F.col("h") == F.col("c_h"))
+                     & (F.col("part") == F.col("c_part")), "left").drop("c_h", "c_part", "part")
+
+
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, shard_bytes: int = SHARD_BYTES,
-                   crowded: int = CROWDED, memory: int = MEMORY
-                   ) -> tuple[DataFrame, DataFrame]:
+                   crowded: int = CROWDED, memory: int = MEMORY,
+                   broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """For rows ``d, u, s, text`` (id without nulls, two hashes of the text):
     the first row of each text as ``u, s, first``, and the repeats' spans in
     those as ``d, u, spans``."""
@@ -401,12 +420,12 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, shard_bytes: int = SHARD
 
     rows = pieces.filter(F.col("h").isNotNull())
     crowd = rows.groupBy("h").count().filter(F.col("count") > crowded).select(
-        F.col("h").alias("c_h"), F.ceil(F.col("count") / crowded).cast("long").alias("salts"))
+        "h", F.ceil(F.col("count") / crowded).cast("long").alias("salts"))
     crowd_at = scratch_path(spark, "dedup-crowded")
     crowd.write.parquet(crowd_at)
     crowd = spark.read.parquet(crowd_at)
     some_crowded = not crowd.isEmpty()
-    rows = rows.join(F.broadcast(crowd), F.col("h") == F.col("c_h"), "left") if some_crowded \
+    rows = with_salts(rows, crowd, broadcast_rows) if some_crowded \
         else rows.withColumn("salts", F.lit(None).cast("long"))
     spans = rows.filter(F.col("salts").isNull()).select("h", "d", "u", "start", "snippet") \
         .repartition("h").sortWithinPartitions("h") \
@@ -427,8 +446,8 @@ REPORT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH,
-          shard_bytes: int = SHARD_BYTES, crowded: int = CROWDED, memory: int = MEMORY
-          ) -> DataFrame:
+          shard_bytes: int = SHARD_BYTES, crowded: int = CROWDED, memory: int = MEMORY,
+          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every document's counts and what is left of it (``kept``, its bytes)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -436,7 +455,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
                        F.xxhash64("text").alias("u"),
                        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("s"), "text")
     firsts, spans = repeated_spans(rows.select("d", "u", "s", "text"), depth, shard_bytes,
-                                   crowded, memory)
+                                   crowded, memory, broadcast_rows)
     spans = spans.select(F.col("d").alias("m_d"), F.col("u").alias("m_u"), "spans")
     known = firsts.join(spans, (F.col("first") == F.col("m_d")) & (F.col("u") == F.col("m_u")),
                         "left").select(F.col("u").alias("k_u"), F.col("s").alias("k_s"),

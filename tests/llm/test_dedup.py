@@ -139,13 +139,45 @@ def _passages(n=60, seed=9):
     return rows
 
 
-@pytest.mark.parametrize("kw", [{}, {"crowded": 5, "shard_bytes": 2000, "memory": 5000}])
+@pytest.mark.parametrize("kw", [{}, {"crowded": 5, "shard_bytes": 2000, "memory": 5000},
+                                {"crowded": 5, "broadcast_rows": 0}])
 def test_suffix_dedup_shared_passages(spark, kw):
     rows = _passages()
     df = frame(spark, rows).repartition(7)
     assert _report(df, **kw) == _brute([r[:2] for r in rows])
 
 
+def test_grams_of_texts_that_share_a_hash():
+    """Two texts with one hash both give their grams; a repeated row gives them once."""
+    a, b = prose(65, 90), prose(66, 90)
+    run = sd._gram_rows(100)
+
+    def grams(rows):
+        import pandas as pd
+        got = pd.concat(run(iter([pd.DataFrame(rows, columns=["u", "text"])])))
+        return sorted(got[["h", "u", "kind"]].itertuples(index=False, name=None))
+
+    assert grams([(7, a), (7, b)]) == sorted(grams([(7, a)]) + grams([(7, b)]))
+    assert grams([(7, a), (7, a), (8, b)]) == sorted(grams([(7, a)]) + grams([(8, b)]))
+
+
+def test_long_lists_of_crowded_grams_are_joined_by_salts(spark):
+    """Both ways give every row its salts once; a hot gram's rows spread."""
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 4 > 0, F.lit(5)).otherwise(F.col("id")).cast("long").alias("h"),
+        F.col("id").alias("d"), F.lit(1).cast("long").alias("u"),
+        F.lit(0).cast("long").alias("start"))
+    crowd = spark.createDataFrame([(5, 3), (8, 2), (12, 9)], "h long, salts long")
+    want = sorted((r["d"], {5: 3, 8: 2, 12: 9}.get(r["h"])) for r in rows.collect())
+    for most in (3, 2, 0):
+        got = sd.with_salts(rows, crowd, most)
+        assert got.columns == ["h", "d", "u", "start", "salts"]
+        assert sorted((r["d"], r["salts"]) for r in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (most == 3)
+        assert ("hashpartitioning(h" in plan and "part" in plan) == (most < 3)
+
+
 def test_suffix_dedup_repeated_rows_keep_their_first_place(spark):
     """A repeated row is no earlier holder: in one batch, or in several that
     meet after the shuffle."""
