@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.session import scratch_path
-from sluice.sources.streams import move_files
+from sluice.sources.streams import NoStream, list_store, move_files
 
 
 def _fs(spark: SparkSession, path: str):
@@ -52,6 +52,12 @@ def list_status(spark: SparkSession, path: str):
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
+    root = fs.makeQualified(p).toString().rstrip("/")
+    try:  # one call for the folder; the JVM's statuses take some calls each
+        return [(name, f"{root}/{name}", length, is_dir)
+                for name, length, is_dir in list_store(root)]
+    except NoStream:
+        pass
     return [(s.getPath().getName(), s.getPath().toString(), int(s.getLen()), bool(s.isDirectory()))
             for s in fs.listStatus(p)]
 
@@ -123,6 +129,24 @@ def create_table(spark: SparkSession, path: str, schema) -> bool:
     return not existed
 
 
+def _parts(spark: SparkSession, path: str) -> dict[str, list[tuple[str, int]]]:
+    """Folder in ``path`` -> (full path, length) of its part files."""
+    fs, p = _fs(spark, path)
+    root = fs.makeQualified(p).toString().rstrip("/")
+    try:
+        found = list_store(root, recursive=True)
+    except NoStream:
+        return {d: [(f[1], f[2]) for f in list_status(spark, full) if f[0].startswith("part-")]
+                for d, full, _, is_dir in list_status(spark, path) if is_dir}
+    out: dict[str, list[tuple[str, int]]] = {
+        name: [] for name, _, is_dir in found if is_dir and "/" not in name}
+    for name, length, _ in found:
+        d, _, part = name.partition("/")
+        if part.startswith("part-") and "/" not in part:
+            out[d].append((f"{root}/{name}", length))
+    return out
+
+
 def publish_named(spark: SparkSession, tmp: str, out_dir: str, column: str,
                   overwrite: bool = False) -> list[tuple[str, int]]:
     """Move the single part file of each ``<column>=<name>`` folder written
@@ -134,15 +158,14 @@ def publish_named(spark: SparkSession, tmp: str, out_dir: str, column: str,
     from urllib.parse import unquote
     prefix = f"{column}="
     out, moves = [], []
-    for d, full, _, is_dir in list_status(spark, tmp):
-        if not (is_dir and d.startswith(prefix)):
+    for d, parts in _parts(spark, tmp).items():
+        if not d.startswith(prefix):
             continue
         name = unquote(d[len(prefix):])
-        parts = [f for f in list_status(spark, full) if f[0].startswith("part-")]
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file for {name}, found {len(parts)}")
-        moves.append((parts[0][1], f"{out_dir.rstrip('/')}/{name}"))
-        out.append((name, parts[0][2]))
+        moves.append((parts[0][0], f"{out_dir.rstrip('/')}/{name}"))
+        out.append((name, parts[0][1]))
     move_files(spark, moves, overwrite)
     delete(spark, tmp)
     return sorted(out)

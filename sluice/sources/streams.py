@@ -7,11 +7,14 @@ pyarrow can open (shared folders, HDFS, S3, GCS) are streamed; files of any
 other store come as whole rows of Spark's ``binaryFile`` source, which takes
 files of up to 2 GiB.
 
-``move_files`` renames many files in a job.  ``inflated`` undoes gzip (several members too) chunk by chunk.
+``move_files`` renames many files in a job.  Hadoop keeps a checksum file
+``.<name>.crc`` beside a local file and refuses to read what does not match it;
+so renames take it along, and one of a replaced file goes.  ``inflated`` undoes gzip (several members too) chunk by chunk.
 """
 
 from __future__ import annotations
 
+import contextlib
 import io
 import re
 import uuid
@@ -71,7 +74,41 @@ def write_whole(path: str, data: bytes) -> None:
     part = f"{name}.{uuid.uuid4().hex}"
     with store.open_output_stream(part, compression=None) as out:
         out.write(data)
-    store.move(part, name)
+    _replace(store, part, name)
+
+
+def _checksum(name: str) -> str:
+    """The checksum file that Hadoop writes beside a local file."""
+    folder, _, base = name.rpartition("/")
+    return f"{folder}/.{base}.crc"
+
+
+def _replace(store, old: str, new: str) -> None:
+    """Rename one file.  The target's checksum goes first and the file's own one
+    comes last, so a broken-off rename never leaves a wrong one."""
+    from pyarrow import fs as pafs
+
+    local = isinstance(store, pafs.LocalFileSystem)
+    if local:
+        with contextlib.suppress(FileNotFoundError):
+            store.delete_file(_checksum(new))
+    store.move(old, new)
+    if local:
+        with contextlib.suppress(FileNotFoundError):
+            store.move(_checksum(old), _checksum(new))
+
+
+def list_store(path: str, recursive: bool = False) -> list[tuple[str, int, bool]]:
+    """(path below ``path``, length, is a folder) of what a folder holds, without
+    checksum files; ``NoStream`` if only Spark reads its store."""
+    from pyarrow import fs as pafs
+
+    store, name = _store(path)
+    local, name = isinstance(store, pafs.LocalFileSystem), name.rstrip("/")
+    found = store.get_file_info(pafs.FileSelector(name, allow_not_found=True, recursive=recursive))
+    return [(i.path[len(name) + 1:], i.size or 0, i.type == pafs.FileType.Directory)
+            for i in found
+            if not (local and i.base_name.startswith(".") and i.base_name.endswith(".crc"))]
 
 
 def inflated(stream: BinaryIO, chunk: int = CHUNK) -> Iterator[bytes]:
@@ -171,7 +208,7 @@ def _move(src: str, dst: str, overwrite: bool) -> str | None:
     if not there[0]:
         return f"{src} is gone"
     store.create_dir(new.rsplit("/", 1)[0], recursive=True)
-    store.move(old, new)
+    _replace(store, old, new)
     return None
 
 

@@ -84,12 +84,12 @@ def unload_json(spark: SparkSession, responses: DataFrame, out_dir: str, run_dat
     written: dict[str, list[tuple[str, int]]] = {}
     for fname, length in publish_named(spark, tmp, out_dir, "__name", overwrite=True):
         written.setdefault(fname.rsplit(f"_{stamp}", 1)[0], []).append((fname, length))
-    for r in sizes:  # files of an earlier run of the day that this run did not write again
-        mine = {f for f, _ in written.get(r["__feed"], [])}
-        for old, full, _, _ in list_status(spark, out_dir):
-            m = re.match(UNLOADED_NAME, old)
-            if m and m[1] == r["__feed"] and m[2] == stamp and old not in mine:
-                delete(spark, full, recursive=False)
+    # files of an earlier run of the day that this run did not write again
+    mine = {r["__feed"]: {f for f, _ in written.get(r["__feed"], [])} for r in sizes}
+    for old, full, _, _ in list_status(spark, out_dir):
+        m = re.match(UNLOADED_NAME, old)
+        if m and m[1] in mine and m[2] == stamp and old not in mine[m[1]]:
+            delete(spark, full, recursive=False)
     # per feed, as the dialect's unload result: rows, input and output bytes
     # (from the size pass and the written files' lengths; no extra data pass)
     report = [(r["__feed"], int(r["rows"]), int(r["bytes"]),
@@ -114,7 +114,8 @@ def _per_feed(values: dict):
 
 def read_unloaded(spark: SparkSession, out_dir: str) -> DataFrame:
     """Read unloaded files back: (feed, file_date, file_name, value variant)."""
-    df = spark.read.text(f"{out_dir.rstrip('/')}/*.json.gz")
+    # a filter, not a glob: the folder is listed once, not every file by itself
+    df = spark.read.option("pathGlobFilter", "*.json.gz").text(out_dir)
     name = F.col("_metadata.file_name")
     return df.select(
         F.regexp_extract(name, UNLOADED_NAME, 1).alias("feed"),

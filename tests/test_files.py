@@ -16,10 +16,13 @@ from sluice.operators.clean import clean_csv_files
 from sluice.operators.infer import infer_schema, table_schema
 from sluice.operators.load import (create_entity_tables, load_files, read_table_rows, verify,
                                    verify_summary)
+from sluice.operators.snapshot import list_status
 from sluice.sources.export import export_ordered_csv
 from sluice.sources.files import discover_files, filter_names, list_files
 from sluice.sources.jdbc import discovery_query, literal, quantile_query, range_predicates
 from sluice.sources.landing import entity_from_file, read_landed_csv, with_lineage
+from sluice.sources import streams
+from sluice.sources.streams import DRIVER_MOVES
 from sluice.sources.unload import read_unloaded, unload_json
 from sluice.streaming.ingest import has_new_files, run_available
 
@@ -205,6 +208,37 @@ def test_unload_caps_and_names(spark, tmp):
         unload_json(spark, df, f"{tmp}/u2", dt.date(2025, 1, 2), max_file_size=8000, single=True)
 
 
+def test_unload_again_into_many_files(spark, tmp):
+    """The first run's few files are renamed by the driver, the second run's many by
+    tasks: what the first one leaves beside its files must not spoil the new ones."""
+    def rows(n: int, pad: str):
+        return spark.range(n).select(F.lit("f").alias("api_name"), F.parse_json(F.concat(
+            F.lit('{"i":'), F.col("id").cast("string"), F.lit(f',"p":"{pad}"}}'))).alias("json_response"))
+
+    first = unload_json(spark, rows(200, "a"), f"{tmp}/u", dt.date(2025, 1, 2), max_file_size=500)
+    second = unload_json(spark, rows(3000, "b"), f"{tmp}/u", dt.date(2025, 1, 2), max_file_size=500)
+    few, many = len(first.first()["files"]), len(second.first()["files"])
+    assert 1 < few <= DRIVER_MOVES < many
+    back = read_unloaded(spark, f"{tmp}/u").select(F.to_json("value").alias("v")).collect()
+    assert sorted(json.loads(r["v"])["i"] for r in back) == list(range(3000))
+    assert {json.loads(r["v"])["p"] for r in back} == {"b"}
+
+
+def test_listing_and_checksums(spark, tmp):
+    for name, text in (("new/part-0", "new text"), ("old/a b=c", "old")):
+        spark.range(1).select(F.lit(text)).coalesce(1).write.text(f"{tmp}/w/{name}")
+    at = {n: next(f for f in list_status(spark, f"{tmp}/w/{n}") if f[0].startswith("part-"))
+          for n in ("new/part-0", "old/a b=c")}
+    src, dst = at["new/part-0"], at["old/a b=c"]
+    assert src[1] == f"file:{tmp}/w/new/part-0/{src[0]}" and src[2] == 9 and not src[3]
+    assert {f[0] for f in list_status(spark, f"{tmp}/w/old/a b=c")} == {"_SUCCESS", dst[0]}
+    assert list_status(spark, f"{tmp}/none") == []
+    assert streams._move(src[1], dst[1], True) is None
+    assert [r[0] for r in spark.read.text(dst[1]).collect()] == ["new text"]
+    assert os.path.exists(f"{tmp}/w/old/a b=c/.{dst[0]}.crc")  # still checked
+    assert not os.path.exists(f"{tmp}/w/new/part-0/.{src[0]}.crc")
+
+
 def test_unload_splits_equal_rows(spark, tmp):
     df = spark.range(500).select(F.lit("f").alias("api_name"),
                                  F.parse_json(F.lit('{"a": "ü"}')).alias("json_response"))
