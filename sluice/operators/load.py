@@ -50,7 +50,7 @@ from sluice.operators.infer import (create_table_if_absent, entity_schema, infer
 from sluice.operators.ledger import (LEDGER_SCHEMA, append_ledger, current_loads, last_failures,
                                      read_ledger)
 from sluice.operators.snapshot import _fs, delete, stage
-from sluice.session import conf_for
+from sluice.session import conf_for, listing_conf
 from sluice.sources.files import filter_names, list_files, profile
 from sluice.sources.headers import Header, header_fault, read_headers
 from sluice.sources.landing import (LANDED_PATTERN, LINEAGE_FIELDS, entity_from_file,
@@ -279,11 +279,20 @@ def _cast_ok(c: str, dt: T.DataType) -> Column:
 # Fixed value: an open cost far above any split size, so the planner gives
 # every file its own input partition.
 ONE_FILE_OPEN_COST = str(1 << 40)
+#: Small files share a write task up to so many (compressed) bytes.
+TASK_BYTES = 1 << 25
+
+
+def _write_tasks(spark: SparkSession, files: int, longest: int) -> int:
+    """Tasks that write ``files`` files of up to ``longest`` bytes: some a core, more
+    where the longest files together would pass ``TASK_BYTES`` (Spark deals files by size)."""
+    most = min(files // (4 * spark.sparkContext.defaultParallelism), TASK_BYTES // max(1, longest))
+    return -(-files // max(1, most))
 
 
 def _write_load(spark: SparkSession, load_dir: str, paths: Sequence[str],
                 data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
-                opts: dict[str, str]) -> set[str]:
+                opts: dict[str, str], longest: int) -> set[str]:
     """One parse of the files: typed rows into the load's folder; returns the
     files holding a bad row (wrong field count or a value that does not fit its
     column), collected by an Observation on the same pass.
@@ -291,10 +300,13 @@ def _write_load(spark: SparkSession, load_dir: str, paths: Sequence[str],
     Gzip files are read one file per partition (the caller sets the open cost),
     so the row number in file comes from the scan position alone (no second, summary scan).  The same
     pass checks that condition; if it did not hold, the load folder is
-    dropped and written again with the summary method.
+    dropped and written again with the summary method.  Numbered partitions of
+    small files (the longest has ``longest`` bytes) are then put together without
+    a shuffle: a load of many small files takes few tasks and leaves few part files.
     """
     if all(p.endswith(".gz") for p in paths):
-        bad = _write_pass(spark, load_dir, paths, data_fields, loaded_at, opts, True)
+        bad = _write_pass(spark, load_dir, paths, data_fields, loaded_at, opts, True,
+                          tasks=_write_tasks(spark, len(paths), longest))
         if bad is not None:
             return bad
         delete(spark, load_dir)
@@ -303,7 +315,8 @@ def _write_load(spark: SparkSession, load_dir: str, paths: Sequence[str],
 
 def _write_pass(spark: SparkSession, load_dir: str, paths: Sequence[str],
                 data_fields: Sequence[T.StructField], loaded_at: _dt.datetime,
-                opts: dict[str, str], one_file: bool) -> set[str] | None:
+                opts: dict[str, str], one_file: bool, tasks: int | None = None
+                ) -> set[str] | None:
     raw = read_landed_csv(spark, paths, [f.name for f in data_fields], opts,
                           corrupt_column="__corrupt")
     bad = F.col("__corrupt").isNotNull()
@@ -319,7 +332,9 @@ def _write_pass(spark: SparkSession, load_dir: str, paths: Sequence[str],
                .alias("bad_files")]
     if one_file:  # (partition, file) pairs: one file per partition expected
         metrics.append(F.collect_set(F.struct("__pid", "source_file_name")).alias("pid_files"))
-    out.observe(obs, *metrics).drop("__bad", "__pid").write.parquet(load_dir)
+    out = out.observe(obs, *metrics).drop("__bad", "__pid")
+    # behind the numbers, which are those of the uncoalesced partitions
+    (out.coalesce(tasks) if tasks else out).write.parquet(load_dir)
     if one_file:
         pids = [r[0] for r in obs.get.get("pid_files") or []]
         if len(pids) != len(set(pids)):
@@ -448,7 +463,8 @@ def load_files(spark: SparkSession, landing: str, warehouse: str,
         return report
 
     # Jobs of some entities run side by side; what one of them meets is its own.
-    with conf_for(spark, {"spark.sql.files.openCostInBytes": ONE_FILE_OPEN_COST}), \
+    with conf_for(spark, listing_conf(spark)
+                  | {"spark.sql.files.openCostInBytes": ONE_FILE_OPEN_COST}), \
             ThreadPoolExecutor(1 if on_error == "abort" else ENTITIES_AT_ONCE) as pool:
         for report in pool.map(load, sorted(by_entity)):
             reports += report
@@ -462,8 +478,10 @@ def _load_entity(spark: SparkSession, load_dir: str, rows: list,
                  opts: dict[str, str]) -> tuple[dict[str, str], dict[str, tuple]]:
     """Write one load; returns why files failed and the manifest of the others."""
     failed: dict[str, str] = {}
+    longest = max(r["length"] for r in rows)
     try:
-        bad = _write_load(spark, load_dir, [r["path"] for r in rows], data_fields, loaded_at, opts)
+        bad = _write_load(spark, load_dir, [r["path"] for r in rows], data_fields, loaded_at,
+                          opts, longest)
     except Exception:  # noqa: BLE001 - find unreadable files, then retry once
         delete(spark, load_dir)
         broken = check_compression(spark, [r["path"] for r in rows])
@@ -471,7 +489,8 @@ def _load_entity(spark: SparkSession, load_dir: str, rows: list,
             raise
         failed = {r["file_name"]: broken[r["path"]] for r in rows if r["path"] in broken}
         rest = [r["path"] for r in rows if r["path"] not in broken]
-        bad = _write_load(spark, load_dir, rest, data_fields, loaded_at, opts) if rest else set()
+        bad = _write_load(spark, load_dir, rest, data_fields, loaded_at, opts,
+                          longest) if rest else set()
     failed |= {f: "rows with a wrong number of fields or a value that does not fit "
                   "the column type" for f in bad}
     if len(failed) == len(rows):

@@ -84,6 +84,13 @@ def conf_for(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
+def listing_conf(spark: SparkSession) -> dict[str, str]:
+    """Settings for reads of many paths: their files are listed by a few tasks a
+    core instead of a task a path (Spark's own limit is 10,000 tasks)."""
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism":
+            str(min(10_000, 4 * spark.sparkContext.defaultParallelism))}
+
+
 def cluster_conf(shuffle_bytes: int = 100 * 2**40, partition_bytes: int = 512 * 2**20
                  ) -> dict[str, str]:
     """Settings for a large cluster (pass to ``SparkSession.builder.config``).

@@ -25,6 +25,7 @@ from sluice.operators.ledger import current_loads, read_ledger
 from sluice.operators.load import (RunResult, create_entity_tables, landed, landed_files,
                                    load_files)
 from sluice.operators.snapshot import stage
+from sluice.session import conf_for, listing_conf
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -105,9 +106,11 @@ def run_available(spark: SparkSession, landing: str, warehouse: str, checkpoint:
     """One scheduled run: process everything that arrived, return the number
     of micro-batches that had data."""
     done: list[int] = []
-    q = ingest_stream(spark, landing, warehouse, checkpoint, trigger="availableNow",
-                      on_done=done.append, **kw)
-    q.awaitTermination()
+    # the file source lists a batch's files again by path, under the session's settings
+    with conf_for(spark, listing_conf(spark)):
+        q = ingest_stream(spark, landing, warehouse, checkpoint, trigger="availableNow",
+                          on_done=done.append, **kw)
+        q.awaitTermination()
     return len(done)
 
 

@@ -410,3 +410,36 @@ def test_unload_leaves_rows_without_a_feed_out(spark, tmp):
     assert out == {"a": (1, ["a_20250102.json.gz"]), "null": (1, ["null_20250102.json.gz"]),
                    None: (0, [])}
     assert read_unloaded(spark, f"{tmp}/u").count() == 2
+
+
+def test_small_files_share_write_tasks(spark, tmp):
+    """Many small files: few tasks and part files, every row with its number in its file."""
+    from sluice.operators import load
+    from sluice.sources.landing import write_named_csv
+
+    cores = spark.sparkContext.defaultParallelism
+    files = 12 * cores + 1
+    rows = spark.range(files * 5).select(
+        F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"),
+        F.concat(F.lit("m_2025010200"), F.lpad((F.col("id") / 5).cast("int").cast("string"), 4, "0"),
+                 F.lit("_UTC.csv.gz")).alias("name"))
+    write_named_csv(spark, rows, f"{tmp}/l", "name", order_by=["k"])
+    load.create_entity_tables(spark, f"{tmp}/l", f"{tmp}/w")
+    done = load.load_files(spark, f"{tmp}/l", f"{tmp}/w", dt.datetime(2025, 1, 2))
+    assert done.report.where("status = 'LOADED' AND rows_loaded = 5").count() == files
+    parts = [f for _, _, fs in os.walk(f"{tmp}/w/M") for f in fs
+             if f.startswith("part-") and f.endswith(".parquet")]
+    assert len(parts) <= files // 2
+    got = {(r[0], r[1]): int(r[2]) for r in load.read_table_rows(spark, f"{tmp}/w", "M").select(
+        "source_file_name", "source_file_row_number", "K").collect()}
+    assert got == {(f"m_2025010200{i // 5:04d}_UTC.csv.gz", i % 5 + 1): i for i in range(files * 5)}
+
+
+def test_write_tasks(spark):
+    from sluice.operators.load import TASK_BYTES, _write_tasks
+
+    cores = spark.sparkContext.defaultParallelism
+    assert _write_tasks(spark, 3, 10) == 3
+    assert _write_tasks(spark, 400 * cores, 1000) == 4 * cores
+    assert _write_tasks(spark, 400 * cores, TASK_BYTES // 2) == 200 * cores
+    assert _write_tasks(spark, 400 * cores, TASK_BYTES * 2) == 400 * cores  # one file a task
